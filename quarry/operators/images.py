@@ -51,3 +51,208 @@ def error_summary(meta: DataFrame, by: list[str]) -> DataFrame:
             F.sum(F.length("_err")).cast("long").alias("total_error_chars"),
         )
     )
+
+
+# ---------------------------------------------------------------------------------------
+# header profiling (mapInArrow)
+import struct  # noqa: E402
+import zlib  # noqa: E402
+from collections.abc import Iterator  # noqa: E402
+
+import numpy as np  # noqa: E402
+import pyarrow as pa  # noqa: E402
+
+from quarry import schemas as S  # noqa: E402
+from quarry.functions import image_headers as H  # noqa: E402
+
+HEAD_BYTES = 1 << 20  # header bytes sent to Python; longer headers get a second, full pass
+TAIL_BYTES = 16
+
+PROFILE = S.struct(
+    ("bronze_key", S.S),
+    ("width", S.L),
+    ("height", S.L),
+    ("format", S.S),
+    ("mode", S.S),
+    ("exif_make", S.S),
+    ("exif_model", S.S),
+    ("exif_orientation", S.L),
+    ("error", S.S),
+    ("need_more", S.BOOL),
+)
+_PROFILE_ARROW = pa.schema(
+    [
+        ("bronze_key", pa.string()),
+        ("width", pa.int64()),
+        ("height", pa.int64()),
+        ("format", pa.string()),
+        ("mode", pa.string()),
+        ("exif_make", pa.string()),
+        ("exif_model", pa.string()),
+        ("exif_orientation", pa.int64()),
+        ("error", pa.string()),
+        ("need_more", pa.bool_()),
+    ]
+)
+
+
+def profile_one(key: str, head: bytes, tail: bytes, size: int) -> dict:
+    """Profile of one image from its first bytes and last bytes; errors are captured.
+    A row with dimensions can still carry an error (a truncated file)."""
+    row = {f.name: None for f in _PROFILE_ARROW}
+    row.update(bronze_key=key, need_more=False)
+    try:
+        fmt, w, h, mode, exif = H.read_header(head)
+        row.update(width=w, height=h, format=fmt, mode=mode)
+        make, model, orient = exif.get(H.EXIF_MAKE), exif.get(H.EXIF_MODEL), exif.get(H.EXIF_ORIENTATION)
+        row["exif_make"] = str(make) if make else None
+        row["exif_model"] = str(model) if model else None
+        row["exif_orientation"] = int(orient) if orient else None
+        if H.is_truncated(fmt, tail):
+            row["error"] = H.TRUNCATED
+    except H.NeedMore:
+        if size > len(head):
+            row["need_more"] = True
+        else:
+            row["error"] = H.TRUNCATED if head[:2] in (b"\xff\xd8", b"\x89P") else H.UNKNOWN
+    except Exception as exc:
+        row["error"] = (str(exc) or type(exc).__name__)[: 500]
+    return row
+
+
+def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        keys, heads, tails, sizes = (b.column(i).to_pylist() for i in range(4))
+        rows = [profile_one(k, hd or b"", tl or b"", sz or 0) for k, hd, tl, sz in zip(keys, heads, tails, sizes)]
+        yield pa.RecordBatch.from_pylist(rows, schema=_PROFILE_ARROW)
+
+
+def _headers(objects: DataFrame, key: str, content: str, head_bytes: int | None) -> DataFrame:
+    head = F.col(content) if head_bytes is None else F.substring(content, 1, head_bytes)
+    return objects.select(
+        F.col(key).alias("bronze_key"),
+        head.alias("head"),
+        F.substring(content, -TAIL_BYTES, TAIL_BYTES).alias("tail"),
+        F.octet_length(content).cast("long").alias("size"),
+    ).mapInArrow(_profile_batches, PROFILE)
+
+
+def profile(objects: DataFrame, key: str = "bronze_key", content: str = "content", head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """Header profile per object.  Only the first ``head_bytes`` and last bytes of each
+    object go to Python; the rare object whose header is longer is profiled again from
+    its full content, so results never depend on the cut."""
+    first = _headers(objects, key, content, head_bytes).persist()
+    done = first.where(~F.col("need_more"))
+    again = objects.join(first.where("need_more").select(F.col("bronze_key").alias(key)), key, "left_semi")
+    return done.unionByName(_headers(again, key, content, None)).drop("need_more")
+
+
+def image_metadata(
+    objects: DataFrame, partner: str, dataset: str, ingest_date: str, key: str = "bronze_key", content: str = "content"
+) -> DataFrame:
+    """image_metadata rows for image objects: checksums JVM-side, header profile in
+    Arrow batches, thumbnail key when the thumbnail could be made (no error)."""
+    sums = checksums(objects.select(key, content), content).select(key, "size_bytes", "sha256")
+    prof = profile(objects.select(key, content), key, content)
+    prefix = K.hive_prefix(F.lit(partner), F.lit(dataset), F.lit(ingest_date))
+    name = K.file_name(key)
+    out = sums.join(prof.withColumnRenamed("bronze_key", key), key)
+    return out.select(
+        F.lit(partner).alias("partner"),
+        F.lit(dataset).alias("dataset"),
+        K.date_lit(ingest_date).alias("ingest_date"),
+        F.col(key).alias("bronze_key"),
+        name.alias("file_name"),
+        "size_bytes",
+        "sha256",
+        "width",
+        "height",
+        "format",
+        "mode",
+        "exif_make",
+        "exif_model",
+        "exif_orientation",
+        F.when(F.col("error").isNull(), K.thumbnail_key(prefix, name)).alias("thumbnail_key"),
+        K.truncate_error("error").alias("error"),
+    )
+
+
+# ---------------------------------------------------------------------------------------
+# thumbnails from Spark's image source (decoded pixels, BGR order)
+def _png_bytes(pixels: np.ndarray) -> bytes:
+    h, w = pixels.shape[:2]
+    ctype = 0 if pixels.ndim == 2 else 2
+    raw = b"".join(b"\x00" + pixels[r].tobytes() for r in range(h))
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data) & 0xFFFFFFFF)
+
+    ihdr = struct.pack(">IIBBBBB", w, h, 8, ctype, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b"")
+
+
+def resize_area(img: np.ndarray, tw: int, th: int) -> np.ndarray:
+    """Area-average downscale of an (h, w[, c]) uint8 array."""
+    h, w = img.shape[:2]
+    rows = (np.arange(th) * h) // th
+    cols = (np.arange(tw) * w) // tw
+    a = np.add.reduceat(img.astype(np.float64), rows, axis=0)
+    a = np.add.reduceat(a, cols, axis=1)
+    rcount = np.diff(np.append(rows, h))
+    ccount = np.diff(np.append(cols, w))
+    denom = rcount[:, None] * ccount[None, :]
+    if a.ndim == 3:
+        denom = denom[:, :, None]
+    return np.clip(np.rint(a / denom), 0, 255).astype(np.uint8)
+
+
+_THUMB_ARROW = pa.schema([("origin", pa.string()), ("width", pa.int64()), ("height", pa.int64()), ("content", pa.binary())])
+
+
+def _thumb_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out = []
+        for im in b.column("image").to_pylist():
+            h, w, c = im["height"], im["width"], im["nChannels"]
+            if h <= 0 or w <= 0:
+                continue
+            px = np.frombuffer(im["data"], dtype=np.uint8).reshape(h, w, c)
+            px = px[:, :, 0] if c == 1 else px[:, :, 2::-1]  # BGR(A) -> RGB, alpha dropped
+            tw, th = H.thumbnail_size(w, h)
+            small = resize_area(np.ascontiguousarray(px), tw, th) if (tw, th) != (w, h) else px
+            out.append({"origin": im["origin"], "width": tw, "height": th, "content": _png_bytes(np.ascontiguousarray(small))})
+        yield pa.RecordBatch.from_pylist(out, schema=_THUMB_ARROW)
+
+
+def thumbnails(images: DataFrame) -> DataFrame:
+    """Thumbnails (fit in 256x256, aspect kept, never enlarged; RGB or L; PNG bytes) of a
+    DataFrame from ``spark.read.format("image")``."""
+    return images.select("image").mapInArrow(
+        _thumb_batches, S.struct(("origin", S.S), ("width", S.L), ("height", S.L), ("content", S.B))
+    )
+
+
+
+def thumbnail_dims(meta: DataFrame, bound: int = H.THUMBNAIL_MAX) -> DataFrame:
+    """``thumb_width`` / ``thumb_height`` from ``width`` / ``height`` with built-in
+    expressions: fit in bound x bound, aspect rounded to the nearer side, never enlarged
+    (same rule as ``image_headers.thumbnail_size``)."""
+    w, h = F.col("width").cast("double"), F.col("height").cast("double")
+    aspect = w / h
+    b = F.lit(float(bound))
+    # wide or square-ish: height is the bound when bound/bound < aspect
+    xf, xc = F.floor(b * aspect), F.ceil(b * aspect)
+    x_pick = F.when(F.abs(aspect - xf / b) <= F.abs(aspect - xc / b), xf).otherwise(xc)
+    yf, yc = F.floor(b / aspect), F.ceil(b / aspect)
+    key = lambda n: F.when(n == 0, F.lit(0.0)).otherwise(F.abs(aspect - b / n))
+    y_pick = F.when(key(yf) <= key(yc), yf).otherwise(yc)
+    tall = F.lit(1.0) >= aspect
+    x = F.when(tall, F.greatest(x_pick, F.lit(1))).otherwise(F.lit(bound)).cast("long")
+    y = F.when(tall, F.lit(bound)).otherwise(F.greatest(y_pick, F.lit(1))).cast("long")
+    keep = (x >= F.col("width")) & (y >= F.col("height"))
+    return meta.withColumns(
+        {
+            "thumb_width": F.when(keep, F.col("width")).otherwise(x).cast("long"),
+            "thumb_height": F.when(keep, F.col("height")).otherwise(y).cast("long"),
+        }
+    )
