@@ -41,14 +41,22 @@ def _open(path: str):
     """Random-access file for a Spark path (``file:/x``, ``hdfs://``, ``s3a://`` ...)."""
     from pyarrow import fs
 
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:") :]
+    if path.startswith("file:"):
+        local = path[len("file:") :]
+        while local.startswith("//"):
+            local = local[1:]
+        return open(local, "rb")
     if path.startswith("s3a://") or path.startswith("s3n://"):
         path = "s3://" + path.split("://", 1)[1]
     if "://" not in path:
         return open(path, "rb")
     filesystem, inner = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
+    f = filesystem.open_input_file(inner)
+    if f.size() < (1 << 20):  # small archive: whole bytes, bounded
+        data = f.read()
+        f.close()
+        return io.BytesIO(data)
+    return f
 
 
 def _open_out(path: str):
