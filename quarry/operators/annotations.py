@@ -87,3 +87,51 @@ def with_kind(files: DataFrame, key: str = "key") -> DataFrame:
             "action": K.annotation_action(key),
         }
     )
+
+
+# ---------------------------------------------------------------------------------------
+# the normaliser job: manifest files -> four tidy tables
+def _uri(c):
+    """File URIs in one form (``file:///x`` and ``file:/x`` both become ``file:/x``)."""
+    return F.regexp_replace(c, r"^file:/+", "file:/")
+
+
+def normalize(spark, files: DataFrame, path_col: str = "path") -> dict[str, DataFrame]:
+    """Annotation documents listed in ``files`` (path, partner, dataset, ingest_date) ->
+    ``coco_images``, ``coco_categories``, ``coco_annotations``, ``coco_captions``.
+
+    Instances and captions documents are read with their subset schemas (FAILFAST);
+    keypoints files are skipped; base columns and the split come from the manifest row.
+    Only the list of document paths reaches the driver, never their content.
+    """
+    from quarry import schemas as S
+    from quarry.sources.documents import read_json_docs
+
+    f = with_kind(files, path_col).where(F.col("action").isin("instances", "captions"))
+    base = f.select(
+        _uri(F.col(path_col)).alias("source_path"),
+        "partner",
+        "dataset",
+        F.col("ingest_date").cast("date").alias("ingest_date"),
+        "split",
+        "action",
+    )
+    out: dict[str, DataFrame] = {}
+    for kind, schema in (("instances", S.INSTANCES_DOC), ("captions", S.CAPTIONS_DOC)):
+        paths = [r[0] for r in f.where(F.col("action") == kind).select(path_col).collect()]
+        if not paths:
+            empty = spark.createDataFrame([], "source_path string").join(base, "source_path")
+            docs = empty.select(*S.SLICE_PARTITION, F.lit(None).cast(schema).alias("doc"))
+        else:
+            raw = read_json_docs(spark, paths, schema, multi_line=True, with_path=True)
+            raw = raw.withColumn("source_path", _uri(F.col("source_path")))
+            docs = raw.join(F.broadcast(base.where(F.col("action") == kind)), "source_path").select(
+                *S.SLICE_PARTITION, F.struct(*[F.col(n) for n in schema.fieldNames()]).alias("doc")
+            )
+        if kind == "instances":
+            out["coco_images"] = images(docs, S.SLICE_PARTITION)
+            out["coco_categories"] = categories(docs, S.SLICE_PARTITION)
+            out["coco_annotations"] = annotations(docs, S.SLICE_PARTITION)
+        else:
+            out["coco_captions"] = captions(docs, S.SLICE_PARTITION)
+    return out
