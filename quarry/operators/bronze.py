@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -194,3 +195,51 @@ def drop_outcome(entries: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("error").isNull(), F.col("size_bytes"))).cast("long").alias("total_bytes"),
         F.min("error").alias("error"),
     ).withColumn("status", F.when(F.col("error").isNull(), F.lit("DONE")).otherwise(F.lit("FAILED")))
+
+
+def _write_batches(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("key", pa.string()), ("size_bytes", pa.int64()), ("crc32", pa.int64()), ("error", pa.string())])
+        for b in batches:
+            out = []
+            for key, content in zip(b.column("key").to_pylist(), b.column("content").to_pylist()):
+                err = None
+                try:
+                    with _open_out(f"{root.rstrip('/')}/{key}") as fh:
+                        fh.write(content)
+                except Exception as exc:
+                    err = str(exc)[:1000]
+                out.append({"key": key, "size_bytes": len(content), "crc32": zlib.crc32(content), "error": err})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+def write_objects(objects: DataFrame, root: str) -> DataFrame:
+    """Write each (key, content) row as an object at ``root/key`` from the executors
+    (deterministic keys: a re-run rewrites the same bytes).  Returns key, size, CRC, error."""
+    return objects.select("key", "content").mapInArrow(
+        _write_batches(root), S.struct(("key", S.S), ("size_bytes", S.L), ("crc32", S.L), ("error", S.S))
+    )
+
+
+def _read_batches(root: str, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = {n: b.column(n) for n in names}
+            contents = []
+            for key in b.column("key").to_pylist():
+                with _open(f"{root.rstrip('/')}/{key}") as fh:  # a listed key with no object fails the job
+                    contents.append(fh.read())
+            arrays = [cols[n] for n in names] + [pa.array(contents, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=names + ["content"])
+
+    return run
+
+
+def read_objects(keys: DataFrame, root: str) -> DataFrame:
+    """Fetch the objects of ``keys`` (a ``key`` column plus any pass-through columns) on
+    the executors: only listed objects are read, and no key list reaches the driver."""
+    names = keys.columns
+    schema = S.T.StructType(list(keys.schema.fields) + [S.T.StructField("content", S.B, True)])
+    return keys.mapInArrow(_read_batches(root, names), schema)

@@ -148,19 +148,32 @@ def profile(objects: DataFrame, key: str = "bronze_key", content: str = "content
 
 
 def image_metadata(
-    objects: DataFrame, partner: str, dataset: str, ingest_date: str, key: str = "bronze_key", content: str = "content"
+    objects: DataFrame,
+    partner: str | None = None,
+    dataset: str | None = None,
+    ingest_date: str | None = None,
+    key: str = "bronze_key",
+    content: str = "content",
 ) -> DataFrame:
     """image_metadata rows for image objects: checksums JVM-side, header profile in
-    Arrow batches, thumbnail key when the thumbnail could be made (no error)."""
-    sums = checksums(objects.select(key, content), content).select(key, "size_bytes", "sha256")
-    prof = profile(objects.select(key, content), key, content)
-    prefix = K.hive_prefix(F.lit(partner), F.lit(dataset), F.lit(ingest_date))
+    Arrow batches, thumbnail key when the thumbnail could be made (no error).  The drop
+    columns come from the arguments, or from the objects' own columns when None."""
+    base = objects.select(
+        key,
+        content,
+        (F.lit(partner) if partner is not None else F.col("partner")).alias("partner"),
+        (F.lit(dataset) if dataset is not None else F.col("dataset")).alias("dataset"),
+        (K.date_lit(ingest_date) if ingest_date is not None else F.col("ingest_date").cast("date")).alias("ingest_date"),
+    )
+    sums = checksums(base, content).drop(content)
+    prof = profile(base.select(key, content), key, content)
+    prefix = K.hive_prefix("partner", "dataset", "ingest_date")
     name = K.file_name(key)
     out = sums.join(prof.withColumnRenamed("bronze_key", key), key)
     return out.select(
-        F.lit(partner).alias("partner"),
-        F.lit(dataset).alias("dataset"),
-        K.date_lit(ingest_date).alias("ingest_date"),
+        "partner",
+        "dataset",
+        "ingest_date",
         F.col(key).alias("bronze_key"),
         name.alias("file_name"),
         "size_bytes",
