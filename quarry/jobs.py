@@ -17,6 +17,7 @@ redoes exactly what is missing.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -204,7 +205,7 @@ def write_thumbnails(spark: SparkSession, layout: Layout, meta: DataFrame) -> in
     )
     root = layout.bronze.rstrip("/") + "/"
     root = root if "://" in root or root.startswith("file:") else "file:" + root
-    root = __import__("re").sub(r"^file:/+", "file:/", root)
+    root = re.sub(r"^file:/+", "file:/", root)
     th = I.thumbnails(images).select(
         F.expr(f"substring(regexp_replace(origin, '^file:/+', 'file:/'), {len(root) + 1})").alias("bronze_key"),
         F.col("width").alias("thumb_width"),

@@ -2,8 +2,8 @@
 (S7, U3, K6, F6, X10, X11, X12, A3).
 
 Stand-in deliveries: Spark packs the documents into zip archives of at most 50 documents
-(one archive per source and block of doc ids, written by the executors to shared
-scratch), then the bronze job lists and extracts them like any landing archive.
+(one archive per block of doc ids, one folder per source inside, written by the executors
+to shared scratch), then the bronze job lists and extracts them like any landing archive.
 """
 
 from __future__ import annotations
@@ -26,13 +26,14 @@ DOCS_PER_ARCHIVE = 50
 
 def _writer(root: str):
     def write_archive(pdf: pd.DataFrame) -> pd.DataFrame:
-        src, block = pdf["source"].iloc[0], int(pdf["block"].iloc[0])
+        block = int(pdf["block"].iloc[0])
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(f"{src}/", b"")  # a folder entry, which unpacking skips
+            for src in sorted(pdf["source"].unique()):
+                zf.writestr(f"{src}/", b"")  # a folder entry, which unpacking skips
             for r in pdf.sort_values("doc_id").itertuples():
-                zf.writestr(f"{r.lang}/doc_{r.doc_id}.txt", r.text.encode("utf-8"))
-        path = f"{root}/{src}-{block}.zip"
+                zf.writestr(f"{r.source}/{r.lang}/doc_{r.doc_id}.txt", r.text.encode("utf-8"))
+        path = f"{root}/docs-{block}.zip"
         with bronze._open_out(path) as out:
             out.write(buf.getvalue())
         return pd.DataFrame({"archive_path": [path], "n": [len(pdf)]})
@@ -45,7 +46,7 @@ def build_archives(spark: SparkSession, sf_dir: str) -> str:
     d = table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "text", "source", F.floor(F.col("doc_id") / DOCS_PER_ARCHIVE).alias("block")
     )
-    d.groupBy("source", "block").applyInPandas(_writer(root), "archive_path string, n long").count()
+    d.groupBy("block").applyInPandas(_writer(root), "archive_path string, n long").count()
     return root
 
 
@@ -56,8 +57,8 @@ def _unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_DOCS = f"""
-dz AS (SELECT source || '-' || CAST(doc_id // {DOCS_PER_ARCHIVE} AS VARCHAR) || '.zip' AS archive,
-              lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text
+dz AS (SELECT 'docs-' || CAST(doc_id // {DOCS_PER_ARCHIVE} AS VARCHAR) || '.zip' AS archive,
+              source || '/' || lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS path, text
        FROM documents)
 """
 
