@@ -100,3 +100,25 @@ def test_end_to_end_twice(spark):
     added2, counts2, _ = _run(spark, layout, 1)
     assert added2 == 0 and counts2 == counts
     assert _snapshot(spark, layout) == snap
+
+
+def test_manifest_stream_triggers_silver_once(spark):
+    from quarry.streaming import manifests as ms
+
+    layout = jobs.Layout(scratch_path(spark, "e2e-stream"))
+    _setup(layout)
+    jobs.register_events(spark, layout, _events(spark), 0)
+    jobs.bronze_job(spark, layout, jobs.pending_drops(spark, layout))
+    ck = scratch_path(spark, "silver-stream-ck")
+    ms.start_silver_stream(spark, layout, ck).awaitTermination()
+    led = tbl.read_table(spark, layout.silver_ledger, ms.LEDGER_TABLE).collect()
+    assert [(r.drop_id, r.status) for r in led] == [
+        ("silver#partner=coco/dataset=val2017/ingest_date=2024-06-01/manifest.json", "SUBMITTED")
+    ]
+    staged = tbl.read_table(spark, layout.staging("image_metadata"), S.IMAGE_METADATA)
+    assert staged.count() == 3
+    # the drop is re-unpacked (its manifest partition rewritten): the stream sees new
+    # files but the manifest key is already ledgered, so nothing runs twice
+    jobs.bronze_job(spark, layout, tbl.read_table(spark, layout.ledger, jobs.ledger_stream.LEDGER_TABLE))
+    ms.start_silver_stream(spark, layout, ck).awaitTermination()
+    assert tbl.read_table(spark, layout.silver_ledger, ms.LEDGER_TABLE).count() == 1
