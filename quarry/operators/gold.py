@@ -9,8 +9,9 @@ Semantics kept on purpose (they are what users of the reference get today):
 - an annotation whose category is unknown is dropped (inner join);
 - duplicate category rows multiply counts, exactly as a join-then-aggregate would;
 - ``n_categories`` counts distinct category *names*, not ids;
-- images join metadata on file name, so duplicate names fan out, and images whose
-  profiling failed are kept (their thumbnail key is null);
+- images join metadata on file name, and images whose profiling failed are kept (their
+  thumbnail key is null); a file name with several metadata rows in one delivery fails
+  the build rather than fanning out into all pairs of that name;
 - ``dataset`` of ``category_stats`` is the *images* dataset given by the caller.
 """
 
@@ -155,22 +156,25 @@ def ml_manifest(
     """
     labels = per_image_labels(ann, cat, max_broadcast_rows)
     i = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
-    m = meta.select(
+    # One metadata row per name: the aggregate shuffles on the join keys (so the join adds
+    # no exchange on this side), and a repeated name fails the job instead of emitting all
+    # pairs of a hot name group.
+    m = meta.groupBy(
         F.col("partner").alias("m_partner"),
-        F.col("dataset").alias("m_dataset"),
         F.col("ingest_date").alias("m_ingest_date"),
-        "file_name",
-        "bronze_key",
-        "thumbnail_key",
-        "size_bytes",
-        "sha256",
+        F.col("file_name").alias("m_file_name"),
+        F.col("dataset").alias("m_dataset"),
+    ).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.struct("bronze_key", "thumbnail_key", "size_bytes", "sha256")).alias("_m"),
     )
     joined = i.join(
         m,
-        (i.partner == m.m_partner) & (i.ingest_date == m.m_ingest_date) & (i.file_name == m.file_name),
+        (i.partner == m.m_partner) & (i.ingest_date == m.m_ingest_date) & (i.file_name == m.m_file_name),
         "inner",
-    ).drop(m.file_name)
+    )
     out = joined.join(labels, IMAGE_KEY, "left")
+    dup = F.raise_error(F.concat(F.lit("image metadata has several rows for file name "), F.col("file_name")))
     return out.select(
         F.col("m_partner").alias("partner"),
         F.col("m_dataset").alias("dataset"),
@@ -179,10 +183,10 @@ def ml_manifest(
         "file_name",
         "width",
         "height",
-        "bronze_key",
-        "thumbnail_key",
-        "size_bytes",
-        "sha256",
+        F.when(F.col("_n") > 1, dup.cast("string")).otherwise(F.col("_m.bronze_key")).alias("bronze_key"),
+        F.col("_m.thumbnail_key").alias("thumbnail_key"),
+        F.col("_m.size_bytes").alias("size_bytes"),
+        F.col("_m.sha256").alias("sha256"),
         F.coalesce("n_annotations", F.lit(0)).cast("long").alias("n_annotations"),
         F.coalesce("n_categories", F.lit(0)).cast("long").alias("n_categories"),
         F.coalesce("categories", F.lit("")).alias("categories"),

@@ -93,3 +93,15 @@ def test_gold_broadcasts_small_category_side(spark, tmp_path):
     ann, cat, _ = _gold_inputs(spark, tmp_path)
     plan = gold.category_stats(ann, cat, "v")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_ml_manifest_duplicate_metadata_name_fails(spark, tmp_path):
+    ann, cat, img = _gold_inputs(spark, tmp_path)
+    meta = spark.createDataFrame(
+        [("coco", "val2017", "k1", "1.jpg", None, 1, "s"), ("coco", "val2017", "k2", "1.jpg", None, 1, "s")],
+        "partner string, dataset string, bronze_key string, file_name string, thumbnail_key string, size_bytes long, sha256 string",
+    ).withColumn("ingest_date", F.to_date(F.lit("2024-06-01")))
+    ok = gold.ml_manifest(img, meta.where("bronze_key = 'k1'"), ann, cat).collect()
+    assert [(r.image_id, r.bronze_key, r.n_annotations) for r in ok] == [(1, "k1", 2)]
+    with pytest.raises(Exception, match="several rows for file name"):
+        gold.ml_manifest(img, meta, ann, cat).collect()
