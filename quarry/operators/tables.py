@@ -173,6 +173,24 @@ def replace(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[
     return rows
 
 
+def partition_predicate(partition_cols: list[str], parts: list):
+    """Literal predicate selecting exactly the given partitions (a partition filter, so
+    the scan lists and reads only those folders)."""
+    if len(partition_cols) == 1:
+        c = partition_cols[0]
+        values = [p[c] for p in parts]
+        cond = F.col(c).isin(*[v for v in values if v is not None])
+        return cond | F.col(c).isNull() if any(v is None for v in values) else cond
+    cond = None
+    for p in parts:
+        one = None
+        for c in partition_cols:
+            term = F.col(c).isNull() if p[c] is None else F.col(c) == F.lit(p[c])
+            one = term if one is None else one & term
+        cond = one if cond is None else cond | one
+    return cond
+
+
 def _drop_partition_dirs(spark: SparkSession, path: str, partition_cols: list[str], parts: list) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -206,7 +224,7 @@ def upsert_into(
     touched_list = touched.collect()  # one row per touched partition, not per data row
     if not touched_list:
         return 0
-    in_touched = target.join(F.broadcast(spark.createDataFrame(touched_list, touched.schema)), partition_cols, "left_semi")
+    in_touched = target.where(partition_predicate(partition_cols, touched_list))
     result = upsert(in_touched.select(*staged.columns), staged, key).checkpoint(eager=True)
     written = {tuple(r) for r in result.select(*partition_cols).distinct().collect()}
     emptied = [r for r in touched_list if tuple(r) not in written]
