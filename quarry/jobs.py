@@ -243,8 +243,12 @@ def gold_build(
     annotations_dataset: str,
     split: str,
     ingest_date: str,
+    mode: str = "replace",
 ) -> dict[str, int]:
-    """One slice -> category_stats and ml_manifest, each replacing its gold table."""
+    """One slice -> category_stats and ml_manifest.  ``mode="replace"`` replaces each gold
+    table whole (building one partner removes the others' rows, as the original does);
+    ``mode="partitions"`` replaces only the partitions this slice produces."""
+    write = tbl.replace if mode == "replace" else tbl.overwrite_partitions
     def silver(t):
         return tbl.read_table(spark, layout.silver(t), S.SILVER_TABLES[t][2])
 
@@ -253,10 +257,10 @@ def gold_build(
     img = gold.scan_slice(silver("coco_images"), partner, annotations_dataset, ingest_date, split)
     meta = gold.scan_slice(silver("image_metadata"), partner, images_dataset, ingest_date)
     out = {}
-    out["category_stats"] = tbl.replace(
+    out["category_stats"] = write(
         spark, gold.category_stats(ann, cat, images_dataset), layout.gold("category_stats"), S.DROP_PARTITION, "category_stats"
     )
-    out["ml_manifest"] = tbl.replace(
+    out["ml_manifest"] = write(
         spark, gold.ml_manifest(img, meta, ann, cat), layout.gold("ml_manifest"), S.DROP_PARTITION, "ml_manifest"
     )
     return out

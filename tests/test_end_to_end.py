@@ -122,3 +122,24 @@ def test_manifest_stream_triggers_silver_once(spark):
     jobs.bronze_job(spark, layout, tbl.read_table(spark, layout.ledger, jobs.ledger_stream.LEDGER_TABLE))
     ms.start_silver_stream(spark, layout, ck).awaitTermination()
     assert tbl.read_table(spark, layout.silver_ledger, ms.LEDGER_TABLE).count() == 1
+
+
+def test_cli_runs_the_jobs(spark, tmp_path, capsys):
+    from quarry import cli
+
+    layout = jobs.Layout(scratch_path(spark, "e2e-cli"))
+    _setup(layout)
+    ev = tmp_path / "events.json"
+    ev.write_text("\n".join(json.dumps(r.asDict(recursive=True)) for r in _events(spark).collect()))
+    root = ["--root", layout.root]
+    assert cli.main(["register", "--events", f"file:{ev}", *root]) == 0
+    assert cli.main(["bronze", *root]) == 0
+    assert cli.main(["silver", *root]) == 0
+    assert cli.main(["silver-build", *root]) == 0
+    gold = ["--partner", "coco", "--images-dataset", "val2017", "--annotations-dataset", "val2017",
+            "--split", "val2017", "--ingest-date", "2024-06-01", "--mode", "partitions"]
+    assert cli.main(["gold-build", *gold, *root]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert lines[0] == {"registered": 2}
+    assert lines[3]["coco_annotations"] == 3
+    assert lines[4] == {"category_stats": 2, "ml_manifest": 3}
