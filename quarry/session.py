@@ -27,10 +27,12 @@ BASE_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry", extra: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and benchmarks (the UI stays off)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -59,3 +61,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_dir(spark).rstrip("/")
     return f"{root}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Size-dependent settings for a cluster run: shuffle partitions of about
+    ``target_partition_bytes`` if the whole input were shuffled (at least 3 per core, at
+    most 100,000: past that the map x reduce block count dominates, and every shuffle here
+    is combined map-side, so it is far smaller than the input); AQE coalesces small ones
+    and splits skewed ones.  File splits of the same size.  Example: 100 TB on 8,000
+    cores -> 100,000 shuffle partitions, 256 MiB splits (~400,000 scan tasks)."""
+    parts = min(max(3 * total_cores, -(-input_bytes // target_partition_bytes)), 100_000)
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+    }
