@@ -35,6 +35,8 @@ ENTRY_LIST = S.struct(
     ("crc32", S.L),
     ("error", S.S),
 )
+BATCH_BYTES = 64 << 20  # output Arrow batches of binary content stay below this size
+
 ENTRY_CONTENT = S.struct(*[(f.name, f.dataType) for f in ENTRY_LIST.fields], ("content", S.B))
 
 
@@ -132,6 +134,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         rows = b.to_pylist()
         rows.sort(key=lambda r: (r["archive_path"], r["pos"]))
         current, fh, zf = None, None, None
+        held = 0
         try:
             for r in rows:
                 content, err = None, r["error"]
@@ -148,9 +151,10 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     except Exception as exc:
                         err = str(exc)[:1000]
                 out.append({**r, "error": err, "content": content})
-                if len(out) >= 256:
+                held += len(content or b"")
+                if len(out) >= 256 or held >= BATCH_BYTES:
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
-                    out = []
+                    out, held = [], 0
         finally:
             if zf is not None:
                 zf.close()
@@ -226,13 +230,17 @@ def write_objects(objects: DataFrame, root: str) -> DataFrame:
 def _read_batches(root: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = {n: b.column(n) for n in names}
-            contents = []
-            for key in b.column("key").to_pylist():
+            keys = b.column("key").to_pylist()
+            start, contents, held = 0, [], 0
+            for i, key in enumerate(keys):
                 with _open(f"{root.rstrip('/')}/{key}") as fh:  # a listed key with no object fails the job
                     contents.append(fh.read())
-            arrays = [cols[n] for n in names] + [pa.array(contents, type=pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=names + ["content"])
+                held += len(contents[-1])
+                if held >= BATCH_BYTES or i == len(keys) - 1:
+                    part = b.slice(start, i + 1 - start)
+                    arrays = [part.column(n) for n in names] + [pa.array(contents, type=pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names + ["content"])
+                    start, contents, held = i + 1, [], 0
 
     return run
 

@@ -22,6 +22,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # binary columns (archive entries, images) cross into Python in batches of bounded bytes
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -27,17 +27,23 @@ LEDGER_TABLE = S.struct(*[(f.name, f.dataType) for f in S.LEDGER.fields], ("batc
 
 def register_batch(spark: SparkSession, events: DataFrame, batch_id: int, ledger_path: str, seq: str | None = None) -> int:
     """Register the drops of one micro-batch of raw events; returns rows added."""
-    candidates = landing.first_seen(landing.normalize_events(events, seq))
+    # one row per drop id of this batch, kept for the size probe and the write (a cache:
+    # a lost executor recomputes it from the batch's files)
+    first = landing.first_seen(landing.normalize_events(events, seq)).persist()
+    candidates = first
     ledger = tbl.read_table(spark, ledger_path, LEDGER_TABLE)
     if ledger is not None:
         candidates = landing.insert_if_absent(ledger.where(F.col("batch_id") != batch_id), candidates)
     new = candidates.select(*landing.LEDGER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    return tbl.stage(new, ledger_path, ["batch_id"])
+    try:
+        return tbl.stage(new, ledger_path, ["batch_id"])
+    finally:
+        first.unpersist()
 
 
 def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, extra=()) -> DataFrame:
     """Object-created events as a stream of JSON files (explicit schema, no inference)."""
-    schema = S.LANDING_EVENT
+    schema = S.T.StructType(list(S.LANDING_EVENT.fields))  # a copy: add() mutates in place
     for name, dtype in extra:
         schema = schema.add(name, dtype)
     reader = spark.readStream.schema(schema)
