@@ -171,8 +171,7 @@ def silver_job(spark: SparkSession, layout: Layout, files: DataFrame) -> DataFra
     ``files``; results go to staging.  Returns the routing of each drop."""
     routing = M.silver_routing(files, "drop_id", "key")
     listed = files.where(K.is_image_key("key")).select("key", "partner", "dataset", "ingest_date")
-    imgs = bronze.read_objects(listed, layout.bronze)
-    meta = I.image_metadata(imgs, key="key").persist()
+    meta = I.stored_image_metadata(listed, layout.bronze).persist()
     tbl.stage(meta, layout.staging("image_metadata"), S.DROP_PARTITION)
     write_thumbnails(spark, layout, meta)
     meta.unpersist()

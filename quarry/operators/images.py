@@ -120,61 +120,60 @@ def profile_one(key: str, head: bytes, tail: bytes, size: int) -> dict:
     return row
 
 
+_META_COLS = ["partner", "dataset", "ingest_date", "size_bytes", "sha256"]
+
+
 def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bronze_key, head, tail, size, *pass-through) -> profile columns + pass-through."""
     for b in batches:
         keys, heads, tails, sizes = (b.column(i).to_pylist() for i in range(4))
         rows = [profile_one(k, hd or b"", tl or b"", sz or 0) for k, hd, tl, sz in zip(keys, heads, tails, sizes)]
-        yield pa.RecordBatch.from_pylist(rows, schema=_PROFILE_ARROW)
+        out = pa.RecordBatch.from_pylist(rows, schema=_PROFILE_ARROW)
+        extra = [b.column(i) for i in range(4, b.num_columns)]
+        names = out.schema.names + b.schema.names[4:]
+        yield pa.RecordBatch.from_arrays(list(out.columns) + extra, names=names)
 
 
-def _headers(objects: DataFrame, key: str, content: str, head_bytes: int | None) -> DataFrame:
+def _headers(objects: DataFrame, key: str, content: str, head_bytes: int | None, keep: list[str]) -> DataFrame:
     head = F.col(content) if head_bytes is None else F.substring(content, 1, head_bytes)
+    keep_fields = [f for f in objects.schema.fields if f.name in keep]
+    out_schema = S.T.StructType(list(PROFILE.fields) + keep_fields)
     return objects.select(
         F.col(key).alias("bronze_key"),
         head.alias("head"),
         F.substring(content, -TAIL_BYTES, TAIL_BYTES).alias("tail"),
         F.octet_length(content).cast("long").alias("size"),
-    ).mapInArrow(_profile_batches, PROFILE)
-
-
-def profile(objects: DataFrame, key: str = "bronze_key", content: str = "content", head_bytes: int = HEAD_BYTES) -> DataFrame:
-    """Header profile per object.  Only the first ``head_bytes`` and last bytes of each
-    object go to Python; the rare object whose header is longer is profiled again from
-    its full content, so results never depend on the cut."""
-    first = _headers(objects, key, content, head_bytes).persist()
-    done = first.where(~F.col("need_more"))
-    again = objects.join(first.where("need_more").select(F.col("bronze_key").alias(key)), key, "left_semi")
-    return done.unionByName(_headers(again, key, content, None)).drop("need_more")
+        *keep,
+    ).mapInArrow(_profile_batches, out_schema)
 
 
-def image_metadata(
+def profile(
     objects: DataFrame,
-    partner: str | None = None,
-    dataset: str | None = None,
-    ingest_date: str | None = None,
     key: str = "bronze_key",
     content: str = "content",
+    head_bytes: int = HEAD_BYTES,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """image_metadata rows for image objects: checksums JVM-side, header profile in
-    Arrow batches, thumbnail key when the thumbnail could be made (no error).  The drop
-    columns come from the arguments, or from the objects' own columns when None."""
-    base = objects.select(
-        key,
-        content,
-        (F.lit(partner) if partner is not None else F.col("partner")).alias("partner"),
-        (F.lit(dataset) if dataset is not None else F.col("dataset")).alias("dataset"),
-        (K.date_lit(ingest_date) if ingest_date is not None else F.col("ingest_date").cast("date")).alias("ingest_date"),
-    )
-    sums = checksums(base, content).drop(content)
-    prof = profile(base.select(key, content), key, content)
+    """Header profile per object, in one pass over ``objects``.  Only the first
+    ``head_bytes`` and last bytes go to Python; the result (metadata only) is cached and,
+    when some header runs past the cut (rare), just those objects are profiled again from
+    their full content, so results never depend on the cut."""
+    keep = [c for c in (keep or []) if c != key]
+    first = _headers(objects, key, content, head_bytes, keep).persist()
+    if not first.where("need_more").limit(1).count():
+        return first.drop("need_more")
+    again = objects.join(first.where("need_more").select(F.col("bronze_key").alias(key)), key, "left_semi")
+    return first.where(~F.col("need_more")).unionByName(_headers(again, key, content, None, keep)).drop("need_more")
+
+
+def _finish(prof: DataFrame) -> DataFrame:
     prefix = K.hive_prefix("partner", "dataset", "ingest_date")
-    name = K.file_name(key)
-    out = sums.join(prof.withColumnRenamed("bronze_key", key), key)
-    return out.select(
+    name = K.file_name("bronze_key")
+    return prof.select(
         "partner",
         "dataset",
         "ingest_date",
-        F.col(key).alias("bronze_key"),
+        "bronze_key",
         name.alias("file_name"),
         "size_bytes",
         "sha256",
@@ -190,6 +189,68 @@ def image_metadata(
     )
 
 
+def image_metadata(
+    objects: DataFrame,
+    partner: str | None = None,
+    dataset: str | None = None,
+    ingest_date: str | None = None,
+    key: str = "bronze_key",
+    content: str = "content",
+) -> DataFrame:
+    """image_metadata rows for objects with a binary ``content`` column: size and SHA-256
+    JVM-side, header profile in Arrow batches, all in one pass over the objects; thumbnail
+    key when the thumbnail could be made (no error).  The drop columns come from the
+    arguments, or from the objects' own columns when None."""
+    base = objects.select(
+        F.col(key).alias("bronze_key"),
+        content,
+        (F.lit(partner) if partner is not None else F.col("partner")).alias("partner"),
+        (F.lit(dataset) if dataset is not None else F.col("dataset")).alias("dataset"),
+        (K.date_lit(ingest_date) if ingest_date is not None else F.col("ingest_date").cast("date")).alias("ingest_date"),
+        F.octet_length(content).cast("long").alias("size_bytes"),
+        F.sha2(F.col(content), 256).alias("sha256"),
+    )
+    return _finish(profile(base, "bronze_key", content, keep=_META_COLS))
+
+
+def _stored_batches(root: str):
+    import hashlib
+
+    out_schema = pa.schema(list(_PROFILE_ARROW) + [("size_bytes", pa.int64()), ("sha256", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quarry.operators.bronze import _open
+
+        for b in batches:
+            rows = []
+            for key in b.column("key").to_pylist():
+                with _open(f"{root.rstrip('/')}/{key}") as fh:  # a listed key with no object fails the job
+                    body = fh.read()
+                row = profile_one(key, body, body[-TAIL_BYTES:], len(body))
+                row.update(size_bytes=len(body), sha256=hashlib.sha256(body).hexdigest())
+                rows.append(row)
+            out = pa.RecordBatch.from_pylist(rows, schema=out_schema)
+            extra = [b.column(n) for n in b.schema.names if n != "key"]
+            yield pa.RecordBatch.from_arrays(
+                list(out.columns) + extra, names=out.schema.names + [n for n in b.schema.names if n != "key"]
+            )
+
+    return run
+
+
+def stored_image_metadata(keys: DataFrame, root: str) -> DataFrame:
+    """image_metadata rows for objects stored at ``root/key`` (``keys``: key, partner,
+    dataset, ingest_date): each object is fetched once on an executor and hashed and
+    profiled there, so its bytes never cross into the JVM."""
+    keys = keys.select("key", "partner", "dataset", F.col("ingest_date").cast("date").alias("ingest_date"))
+    schema = S.T.StructType(
+        list(PROFILE.fields)
+        + [S.T.StructField("size_bytes", S.L), S.T.StructField("sha256", S.S)]
+        + [f for f in keys.schema.fields if f.name != "key"]
+    )
+    return _finish(keys.mapInArrow(_stored_batches(root), schema).drop("need_more"))
+
+
 # ---------------------------------------------------------------------------------------
 # thumbnails from Spark's image source (decoded pixels, BGR order)
 def _png_bytes(pixels: np.ndarray) -> bytes:
