@@ -40,3 +40,30 @@ def landing_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     out = tbl.read_table(spark, ledger_path, ledger_stream.LEDGER_TABLE)
     return out.select("drop_id", "partner", "src_bucket", "src_key", F.col("size_bytes"))
+
+
+@register(
+    "landing_dedup_watermark",
+    "R1 (bounded state)",
+    f"""
+WITH {SQL_LANDING}
+SELECT DISTINCT drop_id, partner, src_bucket, src_key, size_bytes FROM drops
+""",
+)
+def landing_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stream through ``dropDuplicatesWithinWatermark`` (31-day delay: the stand-in
+    spans 30 days, so every replay falls inside it) into a parquet sink; read back."""
+    src = scratch_path(spark, "landing-wm")
+    landing_events(spark, sf_dir).select("event_id", "detail", "time").repartition(8).write.json(src)
+    out = scratch_path(spark, "dedup-wm")
+    stream = ledger_stream.event_stream(spark, src, max_files_per_trigger=2, extra=[("event_id", S.L)])
+    deduped = ledger_stream.dedup_within_watermark(stream, "31 days", seq="event_id")
+    q = (
+        deduped.select("drop_id", "partner", "src_bucket", "src_key", "size_bytes")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", scratch_path(spark, "dedup-wm-ck"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    q.awaitTermination()
+    return spark.read.schema("drop_id string, partner string, src_bucket string, src_key string, size_bytes long").parquet(out)

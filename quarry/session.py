@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # binary columns (archive entries, images) cross into Python in batches of bounded bytes
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # streaming state (dedup ids) lives in RocksDB on local disk, not on the executor heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -68,3 +68,14 @@ def start_ledger_stream(
     ).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def dedup_within_watermark(events: DataFrame, delay: str, seq: str | None = None) -> DataFrame:
+    """Bounded-state registration: a streaming ``dropDuplicatesWithinWatermark`` on the
+    drop id.  A replay arriving within ``delay`` of the first copy is dropped; state for a
+    drop id expires with the watermark, so memory stays bounded (replays later than
+    ``delay`` would register again; the ledger form above has no such horizon)."""
+    objs = landing.normalize_events(events, seq).withColumn(
+        "event_ts", F.to_timestamp("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    )
+    return objs.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["drop_id"])
