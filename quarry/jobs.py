@@ -178,8 +178,10 @@ def silver_job(spark: SparkSession, layout: Layout, files: DataFrame) -> DataFra
     ann_files = files.select(
         F.concat(F.lit(layout.bronze.rstrip("/") + "/"), "key").alias("path"), "partner", "dataset", "ingest_date"
     )
-    for table, df in A.normalize(spark, ann_files).items():
+    normalized = A.normalize(spark, ann_files)
+    for table, df in A.tables_of(normalized).items():
         tbl.stage(df, layout.staging(table), S.SLICE_PARTITION)
+    A.release(normalized)
     return routing
 
 

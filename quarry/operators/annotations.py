@@ -96,15 +96,20 @@ def _uri(c):
     return F.regexp_replace(c, r"^file:/+", "file:/")
 
 
-def normalize(spark, files: DataFrame, path_col: str = "path") -> dict[str, DataFrame]:
+def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "stream") -> dict[str, DataFrame]:
     """Annotation documents listed in ``files`` (path, partner, dataset, ingest_date) ->
     ``coco_images``, ``coco_categories``, ``coco_annotations``, ``coco_captions``.
 
-    Instances and captions documents are read with their subset schemas (FAILFAST);
-    keypoints files are skipped; base columns and the split come from the manifest row.
-    Only the list of document paths reaches the driver, never their content.
+    ``reader="stream"`` (default) walks each document element by element in bounded
+    memory (``sources.coco_stream``); ``reader="json"`` uses Spark's JSON reader with the
+    subset schemas (one document per row).  Either way: keypoints files are skipped, base
+    columns and the split come from the manifest row, malformed documents fail the job,
+    and each document is parsed once (the rows are cached for the four tables; the
+    cache is released with ``release(tables)``).
     """
     from quarry import schemas as S
+    from quarry.operators.joins import bounded_broadcast
+    from quarry.sources.coco_stream import read_annotation_rows
     from quarry.sources.documents import read_json_docs
 
     f = with_kind(files, path_col).where(F.col("action").isin("instances", "captions"))
@@ -114,8 +119,39 @@ def normalize(spark, files: DataFrame, path_col: str = "path") -> dict[str, Data
         "dataset",
         F.col("ingest_date").cast("date").alias("ingest_date"),
         "split",
-        "action",
+        F.col("action").alias("kind"),
     )
+    base_side, _ = bounded_broadcast(base)
+    if reader == "stream":
+        rows = (
+            read_annotation_rows(f.select(path_col, F.col("action").alias("kind")), path_col)
+            .withColumn("source_path", _uri(F.col("source_path")))
+            .join(base_side, ["source_path", "kind"])
+            .persist()
+        )
+
+        def part(kind, array, *cols):
+            return rows.where((F.col("kind") == kind) & (F.col("array") == array)).select(*S.SLICE_PARTITION, *cols)
+
+        return {
+            "coco_images": part(
+                "instances", "images", F.col("id").alias("image_id"), "file_name", "width", "height"
+            ),
+            "coco_categories": part("instances", "categories", F.col("id").alias("category_id"), "name", "supercategory"),
+            "coco_annotations": part(
+                "instances",
+                "annotations",
+                F.col("id").alias("annotation_id"),
+                "image_id",
+                "category_id",
+                *bbox_columns("bbox"),
+                "area",
+                "iscrowd",
+            ),
+            "coco_captions": part("captions", "annotations", F.col("id").alias("caption_id"), "image_id", "caption"),
+            "_cache": rows,
+        }
+
     out: dict[str, DataFrame] = {}
     for kind, schema in (("instances", S.INSTANCES_DOC), ("captions", S.CAPTIONS_DOC)):
         paths = [r[0] for r in f.where(F.col("action") == kind).select(path_col).collect()]
@@ -125,9 +161,12 @@ def normalize(spark, files: DataFrame, path_col: str = "path") -> dict[str, Data
         else:
             raw = read_json_docs(spark, paths, schema, multi_line=True, with_path=True)
             raw = raw.withColumn("source_path", _uri(F.col("source_path")))
-            docs = raw.join(F.broadcast(base.where(F.col("action") == kind)), "source_path").select(
-                *S.SLICE_PARTITION, F.struct(*[F.col(n) for n in schema.fieldNames()]).alias("doc")
+            docs = (
+                raw.join(base_side.where(F.col("kind") == kind), "source_path")
+                .select(*S.SLICE_PARTITION, F.struct(*[F.col(n) for n in schema.fieldNames()]).alias("doc"))
+                .persist()
             )
+            out.setdefault("_caches", []).append(docs)
         if kind == "instances":
             out["coco_images"] = images(docs, S.SLICE_PARTITION)
             out["coco_categories"] = categories(docs, S.SLICE_PARTITION)
@@ -135,3 +174,17 @@ def normalize(spark, files: DataFrame, path_col: str = "path") -> dict[str, Data
         else:
             out["coco_captions"] = captions(docs, S.SLICE_PARTITION)
     return out
+
+
+def tables_of(normalized: dict) -> dict[str, DataFrame]:
+    """The four tables of a ``normalize`` result (without its cache handles)."""
+    return {k: v for k, v in normalized.items() if not k.startswith("_")}
+
+
+def release(normalized: dict) -> None:
+    """Drop the parse cache of a ``normalize`` result."""
+    for k in ("_cache",):
+        if k in normalized:
+            normalized[k].unpersist()
+    for d in normalized.get("_caches", []):
+        d.unpersist()

@@ -331,3 +331,52 @@ def annotation_docs_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("annotations").alias("doc"),
     )
     return ann_ops.captions(base, S.SLICE_PARTITION)
+
+
+def _doc_writer(root: str):
+    import json as _json
+
+    import pandas as pd
+
+    from quarry.operators.bronze import _open_out
+
+    def write(pdf: "pd.DataFrame") -> "pd.DataFrame":
+        conv, page = int(pdf["conv_id"].iloc[0]), int(pdf["page"].iloc[0])
+        doc = {
+            "info": {"description": "conversation turns as captions"},
+            "annotations": [
+                {"id": int(r.turn), "image_id": conv, "caption": r.text} for r in pdf.sort_values("turn").itertuples()
+            ],
+        }
+        path = f"{root}/c{conv}-p{page}/captions_chat.json"
+        with _open_out(path) as fh:
+            fh.write(_json.dumps(doc, indent=1, ensure_ascii=False).encode("utf-8"))
+        return pd.DataFrame({"path": [path]})
+
+    return write
+
+
+@register(
+    "annotation_docs_stream",
+    "S5 F5 F8 F9 X15 (streaming document reader)",
+    f"""
+SELECT '{si.PARTNER}' AS partner, 'conversations' AS dataset, DATE '{si.INGEST_DATE}' AS ingest_date,
+       'chat' AS split, turn AS caption_id, conv_id AS image_id, text AS caption
+FROM conversations
+""",
+)
+def annotation_docs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as caption documents, one multi-line file per conversation page
+    (written by the executors), then the normaliser: file-name routing, the streaming
+    element reader, base columns from the manifest rows."""
+    root = scratch_path(spark, "caption-files")
+    c = table(spark, sf_dir, "conversations").withColumn("page", F.floor(F.col("turn") / 500))
+    paths = c.groupBy("conv_id", "page").applyInPandas(_doc_writer(root), "path string").persist()
+    paths.count()  # the documents exist before they are listed
+    files = paths.select(
+        "path",
+        F.lit(si.PARTNER).alias("partner"),
+        F.lit("conversations").alias("dataset"),
+        F.lit(si.INGEST_DATE).alias("ingest_date"),
+    )
+    return ann_ops.tables_of(ann_ops.normalize(spark, files))["coco_captions"]

@@ -1,0 +1,205 @@
+"""Streaming reader for large annotation documents.
+
+Spark's JSON reader turns a multi-line document into one row, so a very large document
+must fit in one task's memory.  This reader walks each document with a bounded text
+buffer instead: top-level keys in order, array values element by element
+(``json.JSONDecoder.raw_decode``), and emits typed rows in batches of at most
+``BATCH_ROWS``.  Fields the tables do not use (segmentation, keypoints, licences, info)
+are dropped as soon as an element is decoded.  One task still reads one document from
+start to end, but its memory no longer grows with the document.
+
+Missing required fields or malformed JSON fail the task, as a strict parser would.
+"""
+
+from __future__ import annotations
+
+import codecs
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarry import schemas as S
+
+CHUNK_CHARS = 4 << 20
+BATCH_ROWS = 10_000
+
+ROWS = S.struct(
+    ("source_path", S.S),
+    ("kind", S.S),
+    ("array", S.S),
+    ("id", S.L),
+    ("file_name", S.S),
+    ("width", S.L),
+    ("height", S.L),
+    ("name", S.S),
+    ("supercategory", S.S),
+    ("image_id", S.L),
+    ("category_id", S.L),
+    ("bbox", S.T.ArrayType(S.D)),
+    ("area", S.D),
+    ("iscrowd", S.L),
+    ("caption", S.S),
+)
+_ARROW = pa.schema(
+    [
+        ("source_path", pa.string()),
+        ("kind", pa.string()),
+        ("array", pa.string()),
+        ("id", pa.int64()),
+        ("file_name", pa.string()),
+        ("width", pa.int64()),
+        ("height", pa.int64()),
+        ("name", pa.string()),
+        ("supercategory", pa.string()),
+        ("image_id", pa.int64()),
+        ("category_id", pa.int64()),
+        ("bbox", pa.list_(pa.float64())),
+        ("area", pa.float64()),
+        ("iscrowd", pa.int64()),
+        ("caption", pa.string()),
+    ]
+)
+
+
+def _image(e):
+    return {"id": e["id"], "file_name": e["file_name"], "width": e["width"], "height": e["height"]}
+
+
+def _category(e):
+    return {"id": e["id"], "name": e["name"], "supercategory": e["supercategory"]}
+
+
+def _annotation(e):
+    return {
+        "id": e["id"],
+        "image_id": e["image_id"],
+        "category_id": e["category_id"],
+        "bbox": [float(x) for x in e["bbox"]],
+        "area": float(e["area"]),
+        "iscrowd": e["iscrowd"],
+    }
+
+
+def _caption(e):
+    return {"id": e["id"], "image_id": e["image_id"], "caption": e["caption"]}
+
+
+# which arrays each document kind yields, and how an element becomes a row
+WANTED = {
+    "instances": {"images": _image, "categories": _category, "annotations": _annotation},
+    "captions": {"annotations": _caption},
+}
+
+
+class _Buffer:
+    def __init__(self, fh):
+        self.fh = fh
+        self.dec = codecs.getincrementaldecoder("utf-8")()
+        self.buf = ""
+        self.pos = 0
+        self.eof = False
+
+    def fill(self) -> bool:
+        if self.eof:
+            return False
+        raw = self.fh.read(CHUNK_CHARS)
+        if not raw:
+            self.eof = True
+            self.buf += self.dec.decode(b"", final=True)
+            return False
+        if self.pos > CHUNK_CHARS:
+            self.buf, self.pos = self.buf[self.pos :], 0
+        self.buf += self.dec.decode(raw)
+        return True
+
+    def peek(self) -> str:
+        while True:
+            while self.pos < len(self.buf) and self.buf[self.pos] in " \t\r\n":
+                self.pos += 1
+            if self.pos < len(self.buf):
+                return self.buf[self.pos]
+            if not self.fill():
+                raise ValueError("unexpected end of document")
+
+    def expect(self, ch: str) -> None:
+        if self.peek() != ch:
+            raise ValueError(f"expected {ch!r} at offset {self.pos}")
+        self.pos += 1
+
+    def value(self, decoder: json.JSONDecoder):
+        self.peek()
+        while True:
+            try:
+                obj, end = decoder.raw_decode(self.buf, self.pos)
+                if end < len(self.buf) or self.eof:  # a number cut at the buffer end is not done
+                    self.pos = end
+                    return obj
+            except json.JSONDecodeError:
+                if self.eof:
+                    raise
+            if not self.fill():
+                obj, end = decoder.raw_decode(self.buf, self.pos)
+                self.pos = end
+                return obj
+
+
+def iter_rows(fh, kind: str) -> Iterator[tuple[str, dict]]:
+    """(array name, row) for every wanted element of one document."""
+    wanted = WANTED[kind]
+    dec = json.JSONDecoder()
+    b = _Buffer(fh)
+    b.expect("{")
+    if b.peek() == "}":
+        return
+    while True:
+        key = b.value(dec)
+        b.expect(":")
+        if b.peek() == "[":
+            b.pos += 1
+            make = wanted.get(key)
+            if b.peek() == "]":
+                b.pos += 1
+            else:
+                while True:
+                    elem = b.value(dec)
+                    if make is not None:
+                        yield key, make(elem)
+                    nxt = b.peek()
+                    b.pos += 1
+                    if nxt == "]":
+                        break
+                    if nxt != ",":
+                        raise ValueError(f"expected ',' or ']' at offset {b.pos}")
+        else:
+            b.value(dec)  # a scalar or object we do not need
+        nxt = b.peek()
+        b.pos += 1
+        if nxt == "}":
+            return
+        if nxt != ",":
+            raise ValueError(f"expected ',' or '}}' at offset {b.pos}")
+
+
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from quarry.operators.bronze import _open
+
+    for bt in batches:
+        for path, kind in zip(bt.column("path").to_pylist(), bt.column("kind").to_pylist()):
+            out = []
+            with _open(path) as fh:
+                for array, row in iter_rows(fh, kind):
+                    out.append({"source_path": path, "kind": kind, "array": array, **row})
+                    if len(out) >= BATCH_ROWS:
+                        yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+                        out = []
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+
+
+def read_annotation_rows(docs: DataFrame, path_col: str = "path", kind_col: str = "kind") -> DataFrame:
+    """Documents (path, kind in {instances, captions}) -> one typed row per wanted array
+    element.  One document is read by one task, in bounded memory."""
+    return docs.select(F.col(path_col).alias("path"), F.col(kind_col).alias("kind")).mapInArrow(_batches, ROWS)

@@ -36,13 +36,14 @@ def _files(spark, rows):
     return spark.createDataFrame(rows, "path string, partner string, dataset string, ingest_date string")
 
 
-def test_normalize_instances_and_captions(spark, tmp_path):
+@pytest.mark.parametrize("reader", ["stream", "json"])
+def test_normalize_instances_and_captions(spark, tmp_path, reader):
     inst = _write(tmp_path, "instances_val2017.json", INSTANCES)
     caps = _write(tmp_path, "captions_val2017.json", {"annotations": [{"id": 5, "image_id": 1, "caption": "a dog"}]})
     kp = _write(tmp_path, "person_keypoints_val2017.json", {"annotations": "never read"})
     empty = _write(tmp_path, "instances_train2017.json", {"images": [], "categories": [], "annotations": []})
     files = _files(spark, [(p, "coco", "ann", "2024-06-01") for p in (inst, caps, kp, empty)])
-    t = A.normalize(spark, files)
+    t = A.normalize(spark, files, reader=reader)
     ann = sorted((r.annotation_id, r.bbox_x, r.area, r.iscrowd, r.split) for r in t["coco_annotations"].collect())
     assert ann[0] == (10, 1.0, 12.0, 0, "val2017")
     assert ann[1][1:3] == (0.5, 6.25)
@@ -51,17 +52,19 @@ def test_normalize_instances_and_captions(spark, tmp_path):
     assert t["coco_images"].schema["ingest_date"].dataType.typeName() == "date"
 
 
-def test_short_bbox_fails(spark, tmp_path):
+@pytest.mark.parametrize("reader", ["stream", "json"])
+def test_short_bbox_fails(spark, tmp_path, reader):
     bad = dict(INSTANCES, annotations=[{"id": 1, "image_id": 1, "category_id": 1, "bbox": [1, 2], "area": 1, "iscrowd": 0}])
-    t = A.normalize(spark, _files(spark, [(_write(tmp_path, "instances_x.json", bad), "c", "d", "2024-06-01")]))
+    t = A.normalize(spark, _files(spark, [(_write(tmp_path, "instances_x.json", bad), "c", "d", "2024-06-01")]), reader=reader)
     with pytest.raises(Exception, match="bbox"):
         t["coco_annotations"].collect()
 
 
-def test_malformed_document_fails(spark, tmp_path):
+@pytest.mark.parametrize("reader", ["stream", "json"])
+def test_malformed_document_fails(spark, tmp_path, reader):
     p = tmp_path / "instances_bad.json"
     p.write_text("{not json")
-    t = A.normalize(spark, _files(spark, [(f"file:{p}", "c", "d", "2024-06-01")]))
+    t = A.normalize(spark, _files(spark, [(f"file:{p}", "c", "d", "2024-06-01")]), reader=reader)
     with pytest.raises(Exception):
         t["coco_images"].collect()
 
@@ -105,3 +108,32 @@ def test_ml_manifest_duplicate_metadata_name_fails(spark, tmp_path):
     assert [(r.image_id, r.bronze_key, r.n_annotations) for r in ok] == [(1, "k1", 2)]
     with pytest.raises(Exception, match="several rows for file name"):
         gold.ml_manifest(img, meta, ann, cat).collect()
+
+
+def test_stream_reader_small_chunks_and_compact_json(monkeypatch):
+    """Element boundaries falling on chunk edges, numbers cut at a chunk end, nested
+    skipped values, escapes and non-ASCII text."""
+    import io
+
+    from quarry.sources import coco_stream
+
+    monkeypatch.setattr(coco_stream, "CHUNK_CHARS", 7)
+    doc = {
+        "info": {"a": [1, {"b": "x]}"}]},
+        "images": [{"id": 123456789, "file_name": "é\\u00e9 \"q\".jpg", "width": 10, "height": 20, "x": [[1]]}],
+        "licenses": [],
+        "annotations": [
+            {"id": i, "image_id": 123456789, "category_id": 7, "bbox": [1, 2.5, 3e2, 4], "area": 12345678901,
+             "iscrowd": 0, "segmentation": {"counts": [1, 2, 3], "size": [1, 2]}}
+            for i in range(50)
+        ],
+        "categories": [{"id": 7, "name": "ß", "supercategory": "x"}],
+    }
+    for text in (json.dumps(doc), json.dumps(doc, indent=3)):
+        rows = list(coco_stream.iter_rows(io.BytesIO(text.encode()), "instances"))
+        assert [a for a, _ in rows].count("annotations") == 50
+        img = [r for a, r in rows if a == "images"][0]
+        assert img == {"id": 123456789, "file_name": doc["images"][0]["file_name"], "width": 10, "height": 20}
+        ann = [r for a, r in rows if a == "annotations"][-1]
+        assert ann["bbox"] == [1.0, 2.5, 300.0, 4.0] and ann["area"] == 12345678901.0 and ann["id"] == 49
+        assert [r for a, r in rows if a == "categories"] == [{"id": 7, "name": "ß", "supercategory": "x"}]
