@@ -24,7 +24,12 @@ from quarry.session import BASE_CONF
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("quarry").getOrCreate()
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode", "spark.sql.execution.arrow.maxBytesPerBatch"):
+    for k in (
+        "spark.sql.session.timeZone",
+        "spark.sql.sources.partitionOverwriteMode",
+        "spark.sql.execution.arrow.maxBytesPerBatch",
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold",
+    ):
         spark.conf.set(k, BASE_CONF[k])
     return spark
 

@@ -24,6 +24,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # binary columns (archive entries, images) cross into Python in batches of bounded bytes
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # collect_set per image: keep up to 64k keys in the hash map per task (each holds one
+    # small set of category names) before the spill-safe sort-based fallback
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     # streaming state (dedup ids) lives in RocksDB on local disk, not on the executor heap
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
