@@ -96,20 +96,22 @@ def _uri(c):
     return F.regexp_replace(c, r"^file:/+", "file:/")
 
 
-def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "stream") -> dict[str, DataFrame]:
+def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "split") -> dict[str, DataFrame]:
     """Annotation documents listed in ``files`` (path, partner, dataset, ingest_date) ->
     ``coco_images``, ``coco_categories``, ``coco_annotations``, ``coco_captions``.
 
-    ``reader="stream"`` (default) walks each document element by element in bounded
-    memory (``sources.coco_stream``); ``reader="json"`` uses Spark's JSON reader with the
-    subset schemas (one document per row).  Either way: keypoints files are skipped, base
+    ``reader="split"`` (default) cuts each document into byte-range spans of whole array
+    elements and parses the spans in parallel (``sources.coco_split``); ``reader="stream"``
+    walks each document element by element in one task with bounded memory
+    (``sources.coco_stream``); ``reader="json"`` uses Spark's JSON reader with the subset
+    schemas (one document per row).  Either way: keypoints files are skipped, base
     columns and the split come from the manifest row, malformed documents fail the job,
     and each document is parsed once (the rows are cached for the four tables; the
     cache is released with ``release(tables)``).
     """
     from quarry import schemas as S
     from quarry.operators.joins import bounded_broadcast
-    from quarry.sources.coco_stream import read_annotation_rows
+    from quarry.sources import coco_split, coco_stream
     from quarry.sources.documents import read_json_docs
 
     f = with_kind(files, path_col).where(F.col("action").isin("instances", "captions"))
@@ -122,9 +124,10 @@ def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "st
         F.col("action").alias("kind"),
     )
     base_side, _ = bounded_broadcast(base)
-    if reader == "stream":
+    if reader in ("split", "stream"):
+        read_rows = coco_split.read_annotation_rows if reader == "split" else coco_stream.read_annotation_rows
         rows = (
-            read_annotation_rows(f.select(path_col, F.col("action").alias("kind")), path_col)
+            read_rows(f.select(path_col, F.col("action").alias("kind")), path_col)
             .withColumn("source_path", _uri(F.col("source_path")))
             .join(base_side, ["source_path", "kind"])
             .persist()

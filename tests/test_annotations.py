@@ -36,7 +36,7 @@ def _files(spark, rows):
     return spark.createDataFrame(rows, "path string, partner string, dataset string, ingest_date string")
 
 
-@pytest.mark.parametrize("reader", ["stream", "json"])
+@pytest.mark.parametrize("reader", ["split", "stream", "json"])
 def test_normalize_instances_and_captions(spark, tmp_path, reader):
     inst = _write(tmp_path, "instances_val2017.json", INSTANCES)
     caps = _write(tmp_path, "captions_val2017.json", {"annotations": [{"id": 5, "image_id": 1, "caption": "a dog"}]})
@@ -52,7 +52,7 @@ def test_normalize_instances_and_captions(spark, tmp_path, reader):
     assert t["coco_images"].schema["ingest_date"].dataType.typeName() == "date"
 
 
-@pytest.mark.parametrize("reader", ["stream", "json"])
+@pytest.mark.parametrize("reader", ["split", "stream", "json"])
 def test_short_bbox_fails(spark, tmp_path, reader):
     bad = dict(INSTANCES, annotations=[{"id": 1, "image_id": 1, "category_id": 1, "bbox": [1, 2], "area": 1, "iscrowd": 0}])
     t = A.normalize(spark, _files(spark, [(_write(tmp_path, "instances_x.json", bad), "c", "d", "2024-06-01")]), reader=reader)
@@ -60,7 +60,7 @@ def test_short_bbox_fails(spark, tmp_path, reader):
         t["coco_annotations"].collect()
 
 
-@pytest.mark.parametrize("reader", ["stream", "json"])
+@pytest.mark.parametrize("reader", ["split", "stream", "json"])
 def test_malformed_document_fails(spark, tmp_path, reader):
     p = tmp_path / "instances_bad.json"
     p.write_text("{not json")
@@ -137,3 +137,52 @@ def test_stream_reader_small_chunks_and_compact_json(monkeypatch):
         ann = [r for a, r in rows if a == "annotations"][-1]
         assert ann["bbox"] == [1.0, 2.5, 300.0, 4.0] and ann["area"] == 12345678901.0 and ann["id"] == 49
         assert [r for a, r in rows if a == "categories"] == [{"id": 7, "name": "ß", "supercategory": "x"}]
+
+
+def _tricky_doc(seed):
+    import random
+
+    rnd = random.Random(seed)
+    words = ['a]b', 'c}d', 'q"u"o', 'back\\\\slash', 'x\\\\', '\\\\"', '[{,}]', 'ß', '日本', ':', ',']
+    def text():
+        return "".join(rnd.choice(words) for _ in range(rnd.randint(0, 4)))
+    return {
+        "info": {"desc": text(), "nested": [[1, [2, {"k": text()}]], "]"]},
+        "images": [{"id": i, "file_name": text() + ".jpg", "width": rnd.randint(1, 999), "height": 3} for i in range(rnd.randint(0, 30))],
+        "licenses": [{"name": text()}],
+        "annotations": [
+            {"id": i, "image_id": rnd.randint(0, 5), "category_id": 1, "bbox": [rnd.random(), 2, 3, 4], "area": rnd.random() * 1e6,
+             "iscrowd": rnd.randint(0, 1), "segmentation": [[rnd.random() for _ in range(rnd.randint(0, 6))]], "note": text()}
+            for i in range(rnd.randint(0, 60))
+        ],
+        "categories": [{"id": 1, "name": text(), "supercategory": text()}],
+    }
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_split_reader_matches_stream_reader(seed):
+    import io
+
+    from quarry.sources import coco_split, coco_stream
+
+    doc = _tricky_doc(seed)
+    for text in (json.dumps(doc), json.dumps(doc, indent=2, ensure_ascii=False)):
+        raw = text.encode("utf-8")
+        expected = list(coco_stream.iter_rows(io.BytesIO(raw), "instances"))
+        for chunk, target in ((5, 1), (13, 40), (1 << 20, 1 << 20)):
+            spans = coco_split.find_spans(io.BytesIO(raw), set(coco_stream.WANTED["instances"]), target, chunk)
+            got = []
+            for key, start, end in spans:
+                make = coco_stream.WANTED["instances"][key]
+                got += [(key, make(e)) for e in json.loads(b"[" + raw[start:end] + b"]")]
+            assert got == expected, (chunk, target)
+
+
+def test_split_reader_in_spark(spark, tmp_path):
+    from quarry.sources import coco_split
+
+    path = _write(tmp_path, "instances_val2017.json", INSTANCES)
+    docs = spark.createDataFrame([(path, "instances")], "path string, kind string")
+    rows = coco_split.read_annotation_rows(docs, target_bytes=64, partitions=4).collect()
+    assert sorted(r.id for r in rows if r.array == "annotations") == [10, 11, 12]
+    assert {r.name for r in rows if r.array == "categories"} == {"person", "dog"}
