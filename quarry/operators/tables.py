@@ -191,7 +191,7 @@ def partition_predicate(partition_cols: list[str], parts: list):
     return cond
 
 
-def _drop_partition_dirs(spark: SparkSession, path: str, partition_cols: list[str], parts: list) -> None:
+def drop_partitions(spark: SparkSession, path: str, partition_cols: list[str], parts: list) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in parts:
@@ -229,7 +229,7 @@ def upsert_into(
     written = {tuple(r) for r in result.select(*partition_cols).distinct().collect()}
     emptied = [r for r in touched_list if tuple(r) not in written]
     rows = stage(result, path, partition_cols)
-    _drop_partition_dirs(spark, path, partition_cols, emptied)
+    drop_partitions(spark, path, partition_cols, emptied)
     log_version(spark, path, table_name, "merge", rows)
     return rows
 

@@ -79,3 +79,37 @@ def dedup_within_watermark(events: DataFrame, delay: str, seq: str | None = None
         "event_ts", F.to_timestamp("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
     return objs.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["drop_id"])
+
+
+COMPACTED_BATCH = -1
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str, keep_last: int = 16) -> int:
+    """Fold every batch partition except the newest ``keep_last`` (which a restarted
+    stream may still replay) into the single partition ``batch_id=-1``, one row per drop
+    id (the earliest).  The folded rows are checkpointed before anything is replaced; a
+    crash between the write and the removal of the old folders leaves duplicates that the
+    next compaction removes.  Returns the rows in the compacted partition."""
+    from quarry.session import checkpoint_dir
+
+    led = tbl.read_table(spark, ledger_path, LEDGER_TABLE)
+    if led is None:
+        return 0
+    batches = sorted(r[0] for r in led.select("batch_id").distinct().collect())  # one row per partition
+    old = [b for b in batches if b != COMPACTED_BATCH][:-keep_last] if keep_last else [b for b in batches if b != COMPACTED_BATCH]
+    if not old:
+        return 0
+    checkpoint_dir(spark)
+    part = led.where(F.col("batch_id").isin(*old, COMPACTED_BATCH))
+    first = F.min(F.struct("received_at", *[c for c in landing.LEDGER_COLUMNS if c not in ("drop_id", "received_at")]))
+    folded = (
+        part.groupBy("drop_id")
+        .agg(first.alias("f"))
+        .select("drop_id", "f.*")
+        .select(*landing.LEDGER_COLUMNS)
+        .withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long"))
+        .checkpoint(eager=True)
+    )
+    n = tbl.stage(folded, ledger_path, ["batch_id"])
+    tbl.drop_partitions(spark, ledger_path, ["batch_id"], [{"batch_id": b} for b in old])
+    return n

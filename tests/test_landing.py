@@ -86,3 +86,19 @@ def test_stream_registers_once_and_survives_replayed_batch(spark):
     ledger_stream.register_batch(spark, batch1, 1, ledger_path)
     rows = tbl.read_table(spark, ledger_path, ledger_stream.LEDGER_TABLE).collect()
     assert sorted(r.drop_id for r in rows) == ["coco#a.jpg#e1", "coco#b.zip#e1"]
+
+
+def test_compact_ledger_keeps_ids_and_replay_safety(spark):
+    ledger_path = scratch_path(spark, "ledger-compact")
+    for bid, keys in enumerate([["a.jpg", "b.jpg"], ["c.jpg"], ["a.jpg", "d.jpg"], ["e.jpg"]]):
+        ledger_stream.register_batch(spark, _df(spark, [ev(k) for k in keys]), bid, ledger_path)
+    before = sorted(r.drop_id for r in tbl.read_table(spark, ledger_path, ledger_stream.LEDGER_TABLE).collect())
+    n = ledger_stream.compact_ledger(spark, ledger_path, keep_last=1)
+    led = tbl.read_table(spark, ledger_path, ledger_stream.LEDGER_TABLE).collect()
+    assert sorted(r.drop_id for r in led) == before and n == 4
+    assert sorted({r.batch_id for r in led}) == [-1, 3]
+    # compaction again is a no-op for the ids; a replay of the kept batch stays exact
+    ledger_stream.compact_ledger(spark, ledger_path, keep_last=1)
+    ledger_stream.register_batch(spark, _df(spark, [ev("e.jpg"), ev("f.jpg")]), 3, ledger_path)
+    ids = sorted(r.drop_id for r in tbl.read_table(spark, ledger_path, ledger_stream.LEDGER_TABLE).collect())
+    assert ids == sorted(set(before) | {"coco#f.jpg#e1"})
