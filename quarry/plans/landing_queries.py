@@ -20,7 +20,6 @@ from quarry.plans.standins import table
 
 ACCOUNT = "000000000042"
 BATCH_START = _dt.datetime(2024, 1, 16)  # events before this are the existing ledger
-EVENT_ORDER = ["event_time", "event_seq"]
 
 
 def landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
