@@ -115,6 +115,16 @@ def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
         "bronze_prefix",
         _uri(F.concat(F.lit(landing_root), src_key)).alias("upath"),
     )
+    # the work starts: UNPACKING (with the bronze prefix) for every archive drop
+    archives.select(
+        "drop_id",
+        F.lit("UNPACKING").alias("status"),
+        _now(spark).alias("updated_at"),
+        F.lit(None).cast("string").alias("bronze_key"),
+        F.lit(None).cast("string").alias("manifest_key"),
+        F.lit(None).cast("long").alias("file_count"),
+        F.lit(None).cast("string").alias("error"),
+    ).write.mode("append").parquet(layout.ledger_status)
     arch_side, _ = bounded_broadcast(archives)
     listing = (
         bronze.list_entries(archives.select(F.col("upath").alias("path")))

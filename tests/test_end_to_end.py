@@ -143,3 +143,17 @@ def test_cli_runs_the_jobs(spark, tmp_path, capsys):
     assert lines[0] == {"registered": 2}
     assert lines[3]["coco_annotations"] == 3
     assert lines[4] == {"category_stats": 2, "ml_manifest": 3}
+
+
+def test_status_history_of_a_drop(spark):
+    layout = jobs.Layout(scratch_path(spark, "e2e-status"))
+    _setup(layout)
+    jobs.register_events(spark, layout, _events(spark), 0)
+    jobs.bronze_job(spark, layout, jobs.pending_drops(spark, layout))
+    st = tbl.read_table(spark, layout.ledger_status, jobs.STATUS_EVENTS)
+    hist = sorted((r.drop_id.split("#")[1], r.status) for r in st.collect())
+    assert hist == [("drops/photo.png", "DONE"), ("drops/val2017.zip", "DONE"), ("drops/val2017.zip", "UNPACKING")]
+    latest = {r.drop_id.split("#")[1]: r for r in jobs.landing.latest_status(st).collect()}
+    assert latest["drops/val2017.zip"].status == "DONE"
+    assert latest["drops/val2017.zip"].manifest_key.endswith("/manifest.json")
+    assert jobs.pending_drops(spark, layout).count() == 0
