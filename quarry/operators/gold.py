@@ -156,18 +156,22 @@ def ml_manifest(
     """
     labels = per_image_labels(ann, cat, max_broadcast_rows)
     i = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
-    # One metadata row per name: the aggregate shuffles on the join keys (so the join adds
-    # no exchange on this side), and a repeated name fails the job instead of emitting all
-    # pairs of a hot name group.
-    m = meta.groupBy(
+    # Each name must have one metadata row: a hash-aggregated count per name (fixed-width
+    # buffer, no sort) is joined back on the same keys, so the metadata is shuffled once
+    # for both joins, and a repeated name fails on its first output row instead of
+    # emitting all pairs of a hot name group.
+    mkeys = ["m_partner", "m_ingest_date", "m_file_name"]
+    m0 = meta.select(
         F.col("partner").alias("m_partner"),
         F.col("ingest_date").alias("m_ingest_date"),
         F.col("file_name").alias("m_file_name"),
         F.col("dataset").alias("m_dataset"),
-    ).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.struct("bronze_key", "thumbnail_key", "size_bytes", "sha256")).alias("_m"),
+        "bronze_key",
+        "thumbnail_key",
+        "size_bytes",
+        "sha256",
     )
+    m = m0.join(m0.groupBy(*mkeys).agg(F.count(F.lit(1)).alias("_n")), mkeys)
     joined = i.join(
         m,
         (i.partner == m.m_partner) & (i.ingest_date == m.m_ingest_date) & (i.file_name == m.m_file_name),
@@ -183,10 +187,10 @@ def ml_manifest(
         "file_name",
         "width",
         "height",
-        F.when(F.col("_n") > 1, dup.cast("string")).otherwise(F.col("_m.bronze_key")).alias("bronze_key"),
-        F.col("_m.thumbnail_key").alias("thumbnail_key"),
-        F.col("_m.size_bytes").alias("size_bytes"),
-        F.col("_m.sha256").alias("sha256"),
+        F.when(F.col("_n") > 1, dup.cast("string")).otherwise(F.col("bronze_key")).alias("bronze_key"),
+        "thumbnail_key",
+        "size_bytes",
+        "sha256",
         F.coalesce("n_annotations", F.lit(0)).cast("long").alias("n_annotations"),
         F.coalesce("n_categories", F.lit(0)).cast("long").alias("n_categories"),
         F.coalesce("categories", F.lit("")).alias("categories"),
