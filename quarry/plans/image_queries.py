@@ -21,6 +21,7 @@ from quarry.functions import keys as K
 from quarry.operators import images as img_ops
 from quarry.plans.registry import register
 from quarry.plans.standins import table
+from quarry.session import scratch_path
 
 PREFIX = "partner=acme/dataset=vectors/ingest_date=2024-06-01/"
 
@@ -81,3 +82,44 @@ def thumbnail_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = img_ops.image_metadata(rendered_images(spark, sf_dir), "acme", "vectors", "2024-06-01")
     sizes = img_ops.thumbnail_dims(meta.where(F.col("thumbnail_key").isNotNull()))
     return sizes.select("file_name", "thumb_width", "thumb_height")
+
+
+def _write_rendered(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quarry.operators.bronze import _open_out
+
+        for b in batches:
+            keys = b.column("bronze_key").to_pylist()
+            for key, content in zip(keys, b.column("content").to_pylist()):
+                with _open_out(f"{root}/{key}") as fh:
+                    fh.write(content)
+            yield pa.RecordBatch.from_pydict({"bronze_key": keys}, schema=pa.schema([("bronze_key", pa.string())]))
+
+    return run
+
+
+@register(
+    "thumbnails_decoded",
+    "U2 K8",
+    f"""
+SELECT CAST(vec_id AS VARCHAR) || '.png' AS file_name,
+       CAST(CASE WHEN label < 3 THEN 64 * (label + 1) ELSE 256 END AS BIGINT) AS width,
+       CAST(CASE WHEN label < 3 THEN 4 * (label + 1) ELSE 16 END AS BIGINT) AS height,
+       'PNG' AS format, CASE WHEN label < 5 THEN 'L' ELSE 'RGB' END AS mode
+FROM embeddings WHERE label < 9
+""",
+)
+def thumbnails_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered images land as files (written by the executors); as in the silver job,
+    only images whose profile has no error get a thumbnail (the JVM decoder would accept
+    the truncated ones).  Spark's image source decodes them, thumbnails are resized in
+    Arrow batches and encoded as PNG, and each thumbnail's own header is read back."""
+    root = scratch_path(spark, "rendered")
+    rendered = rendered_images(spark, sf_dir)
+    rendered.mapInArrow(_write_rendered(root), "bronze_key string").count()
+    ok = img_ops.image_metadata(rendered, "acme", "vectors", "2024-06-01").where(F.col("error").isNull())
+    images = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", "true").load(root)
+    th = img_ops.thumbnails(images).withColumn("file_name", F.substring_index("origin", "/", -1))
+    th = th.join(ok.select("file_name"), "file_name", "left_semi")
+    prof = img_ops.profile(th.select(F.col("file_name").alias("bronze_key"), "content"))
+    return prof.select(F.col("bronze_key").alias("file_name"), "width", "height", "format", "mode")
