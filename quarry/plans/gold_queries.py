@@ -84,3 +84,39 @@ GROUP BY a.partner, a.dataset, a.ingest_date, a.split, a.image_id
 def per_image_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ann, cat, _, _ = _inputs(spark, sf_dir)
     return gold.per_image_labels(ann, cat)
+
+
+def _ml_manifest_sql() -> str:
+    from quarry.plans.registry import REGISTRY
+
+    return REGISTRY["ml_manifest"].sql
+
+
+@register("gold_build_tables", "S1 S2 S3 K1 K4 K5 K12 (silver build + gold build jobs)", _ml_manifest_sql())
+def gold_build_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job chain on stand-in silver inputs: staged tables -> ``jobs.silver_build``
+    (tables created from staging; captions have no staging data and are skipped) ->
+    ``jobs.gold_build`` for the slice (gold tables replaced) -> the gold ml_manifest table."""
+    from pyspark.sql import functions as F
+
+    from quarry import jobs
+    from quarry import schemas as S
+    from quarry.operators import tables as tbl
+    from quarry.session import scratch_path
+
+    layout = jobs.Layout(scratch_path(spark, "gold-chain"))
+    meta = si.image_metadata(spark, sf_dir)
+    for name in S.IMAGE_METADATA.fieldNames():
+        if name not in meta.columns:
+            meta = meta.withColumn(name, F.lit(None).cast(S.IMAGE_METADATA[name].dataType))
+    staged = {
+        "coco_annotations": si.coco_annotations(spark, sf_dir),
+        "coco_categories": si.coco_categories(spark, sf_dir),
+        "coco_images": si.coco_images(spark, sf_dir),
+        "image_metadata": meta.select(*S.IMAGE_METADATA.fieldNames()),
+    }
+    for table, df in staged.items():
+        tbl.stage(df, layout.staging(table), S.SILVER_TABLES[table][0])
+    jobs.silver_build(spark, layout)
+    jobs.gold_build(spark, layout, si.PARTNER, si.IMAGES_DATASET, si.ANN_DATASET, si.SPLIT, si.INGEST_DATE.isoformat())
+    return tbl.read_table(spark, layout.gold("ml_manifest"), S.ML_MANIFEST)
