@@ -141,6 +141,8 @@ def upsert(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
 def check_merge_duplicates(target: DataFrame, staged: DataFrame, key: str) -> None:
     """A target row matched by two staged rows is an error for MERGE; so is it here."""
     dup = staged.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).select(key)
+    if not dup.limit(1).count():  # the usual case: no staged key repeats, the target is not read
+        return
     bad = dup.join(target.select(key), key, "left_semi").limit(5).collect()
     if bad:
         raise ValueError(f"MERGE source has several rows for target keys {[r[0] for r in bad]}")
@@ -191,11 +193,24 @@ def partition_predicate(partition_cols: list[str], parts: list):
     return cond
 
 
+# Characters escaped in partition folder names (as Spark names them), and the null folder.
+_PATH_ESCAPE = set('"%' + "'*/:=?\\\x7f{[]^")
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_dir_name(value) -> str:
+    if value is None:
+        return NULL_PARTITION
+    text = str(value)
+    return "".join(f"%{ord(ch):02X}" if ch in _PATH_ESCAPE or ord(ch) < 0x20 else ch for ch in text)
+
+
 def drop_partitions(spark: SparkSession, path: str, partition_cols: list[str], parts: list) -> None:
+    """Delete the folders of the given partitions (rows or dicts of partition values)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in parts:
-        sub = "/".join(f"{c}={p[c]}" for c in partition_cols)
+        sub = "/".join(f"{partition_dir_name(c)}={partition_dir_name(p[c])}" for c in partition_cols)
         hp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
         hp.getFileSystem(conf).delete(hp, True)
 

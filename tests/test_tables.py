@@ -103,3 +103,11 @@ def test_catalog_tables(spark):
     assert [r.k for r in spark.table(name).collect()] == [4]
     audit = {r.table_name: r.n_rows for r in tbl.audit_counts({name: spark.table(name)}).collect()}
     assert audit == {name: 1}
+
+
+def test_emptied_partitions_with_special_and_null_values_are_dropped(spark):
+    path = scratch_path(spark, "esc")
+    tbl.create(spark, spark.createDataFrame([(1, "a", "we/ird=p%"), (2, "b", None), (3, "c", "z")], SCHEMA), path, ["part"], "t")
+    tbl.upsert_into(spark, spark.createDataFrame([(1, "a2", "z"), (2, "b2", "z")], SCHEMA), path, "k", ["part"], "t")
+    got = sorted((r.k, r.v, r.part) for r in tbl.read_table(spark, path).collect())
+    assert got == [(1, "a2", "z"), (2, "b2", "z"), (3, "c", "z")]
