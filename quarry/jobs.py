@@ -92,6 +92,8 @@ def pending_drops(spark: SparkSession, layout: Layout) -> DataFrame:
     """Drops whose latest status is not final (the work set, read after registration,
     so a lost submission is retried)."""
     led = tbl.read_table(spark, layout.ledger, ledger_stream.LEDGER_TABLE)
+    if led is None:
+        return spark.createDataFrame([], ledger_stream.LEDGER_TABLE)
     status = tbl.read_table(spark, layout.ledger_status, STATUS_EVENTS)
     if status is None:
         return led

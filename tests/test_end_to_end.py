@@ -157,3 +157,9 @@ def test_status_history_of_a_drop(spark):
     assert latest["drops/val2017.zip"].status == "DONE"
     assert latest["drops/val2017.zip"].manifest_key.endswith("/manifest.json")
     assert jobs.pending_drops(spark, layout).count() == 0
+
+
+def test_jobs_on_an_empty_root(spark):
+    layout = jobs.Layout(scratch_path(spark, "empty"))
+    assert jobs.pending_drops(spark, layout).count() == 0
+    assert jobs.silver_build(spark, layout) == {}
