@@ -74,8 +74,24 @@ def find_spans(fh, wanted: set[str], target: int = TARGET_SPAN, chunk: int = SCA
         opens = outside & ((a == 123) | (a == 91))
         closes = outside & ((a == 125) | (a == 93))
         after = depth + np.cumsum(opens.astype(np.int32) - closes.astype(np.int32), dtype=np.int32)
-        ev = np.flatnonzero((opens & (after == 2)) | (closes & (after == 1)) | (outside & (a == 44) & (after == 2)))
-        for i in ev.tolist():
+        # rare events (a top-level value opens or closes) in order; the many commas between
+        # elements in between are only searched for cut points (searchsorted, no loop)
+        rare = np.flatnonzero((opens & (after == 2)) | (closes & (after == 1))).tolist()
+        commas = np.flatnonzero(outside & (a == 44) & (after == 2))
+        seg = 0
+        for i in rare + [n]:
+            if cur_key is not None:
+                cs = commas[np.searchsorted(commas, seg) : np.searchsorted(commas, i)]
+                while len(cs):
+                    j = int(np.searchsorted(cs, last_cut - offset + target))
+                    if j >= len(cs):
+                        break
+                    cut = offset + int(cs[j])
+                    spans.append((cur_key, last_cut, cut))
+                    last_cut = cut + 1
+                    cs = cs[j + 1 :]
+            if i == n:
+                break
             pos = offset + i
             c = int(a[i])
             if c in (91, 123) and int(after[i]) == 2:  # a top-level value opens
@@ -86,13 +102,11 @@ def find_spans(fh, wanted: set[str], target: int = TARGET_SPAN, chunk: int = SCA
                     key = json.loads(b'"' + m.group(1) + b'"') if m else None
                     if key in wanted:
                         cur_key, last_cut = key, pos + 1
-            elif c in (93, 125):  # the top-level value closes
+            else:  # the top-level value closes
                 if cur_key is not None and pos > last_cut:
                     spans.append((cur_key, last_cut, pos))
                 cur_key = None
-            elif cur_key is not None and pos - last_cut >= target:  # a comma between elements
-                spans.append((cur_key, last_cut, pos))
-                last_cut = pos + 1
+            seg = i + 1
         zero = np.flatnonzero(closes & (after == 0))
         if len(zero):
             closed_at = offset + int(zero[0])
