@@ -7,6 +7,7 @@ The session comes from the cluster's configuration (``getOrCreate``); all paths
     bronze      --root R                                  pending drops -> bronze + manifests
     silver      --root R [--checkpoint C]                 manifests -> staging (stream, available-now)
     silver-build --root R [--ingest-date D]               staging -> silver tables
+    compact-ledger --root R [--keep-last N]               fold old ledger batch partitions
     gold-build  --root R --partner P --images-dataset I --annotations-dataset A
                 --split S --ingest-date D [--mode replace|partitions]
 """
@@ -43,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("bronze")
     s = sub.add_parser("silver")
     s.add_argument("--checkpoint")
+    c = sub.add_parser("compact-ledger")
+    c.add_argument("--keep-last", type=int, default=16)
     b = sub.add_parser("silver-build")
     b.add_argument("--ingest-date")
     g = sub.add_parser("gold-build")
@@ -67,6 +70,10 @@ def main(argv: list[str] | None = None) -> int:
         ck = args.checkpoint or f"{args.root.rstrip('/')}/checkpoints/silver"
         manifests.start_silver_stream(spark, layout, ck).awaitTermination()
         out = {"silver": "done"}
+    elif args.job == "compact-ledger":
+        from quarry.streaming.ledger import compact_ledger
+
+        out = {"compacted_rows": compact_ledger(spark, layout.ledger, args.keep_last)}
     elif args.job == "silver-build":
         out = jobs.silver_build(spark, layout, args.ingest_date)
     else:

@@ -139,7 +139,9 @@ def test_cli_runs_the_jobs(spark, tmp_path, capsys):
     gold = ["--partner", "coco", "--images-dataset", "val2017", "--annotations-dataset", "val2017",
             "--split", "val2017", "--ingest-date", "2024-06-01", "--mode", "partitions"]
     assert cli.main(["gold-build", *gold, *root]) == 0
+    assert cli.main(["compact-ledger", "--keep-last", "0", *root]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert lines[5] == {"compacted_rows": 2}
     assert lines[0] == {"registered": 2}
     assert lines[3]["coco_annotations"] == 3
     assert lines[4] == {"category_stats": 2, "ml_manifest": 3}
