@@ -265,7 +265,13 @@ def gold_build(
     def silver(t):
         return tbl.read_table(spark, layout.silver(t), S.SILVER_TABLES[t][2])
 
-    ann = gold.scan_slice(silver("coco_annotations"), partner, annotations_dataset, ingest_date, split)
+    # both products read the same annotation slice: scan it once (needed columns only) and
+    # keep it across the two writes
+    ann = (
+        gold.scan_slice(silver("coco_annotations"), partner, annotations_dataset, ingest_date, split)
+        .select(*gold.CATEGORY_KEY, "image_id", "area", "iscrowd")
+        .persist()
+    )
     cat = gold.scan_slice(silver("coco_categories"), partner, annotations_dataset, ingest_date, split)
     img = gold.scan_slice(silver("coco_images"), partner, annotations_dataset, ingest_date, split)
     meta = gold.scan_slice(silver("image_metadata"), partner, images_dataset, ingest_date)
@@ -276,4 +282,5 @@ def gold_build(
     out["ml_manifest"] = write(
         spark, gold.ml_manifest(img, meta, ann, cat), layout.gold("ml_manifest"), S.DROP_PARTITION, "ml_manifest"
     )
+    ann.unpersist()
     return out
