@@ -72,8 +72,19 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VERSION_LOG).parquet(version_log_path(path))
 
 
+def _count_files(spark: SparkSession, path: str, prefix: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hp):
+        return 0
+    return sum(1 for st in fs.listStatus(hp) if st.getPath().getName().startswith(prefix))
+
+
 def log_version(spark: SparkSession, path: str, table_name: str, operation: str, rows: int) -> None:
-    version = read_versions(spark, path).count() + 1
+    """Append one version row (one small file per version, so the next version number is
+    a file listing, not a Spark job)."""
+    version = _count_files(spark, version_log_path(path), "part-") + 1
     row = (table_name, version, operation, int(rows), _dt.datetime.now(_dt.UTC).replace(tzinfo=None))
     spark.createDataFrame([row], VERSION_LOG).coalesce(1).write.mode("append").parquet(version_log_path(path))
 

@@ -43,6 +43,9 @@ def local_session(
         builder = builder.config(k, v)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # small data on one box: AQE targets 8 MiB partitions, so a rebalance before a
+        # write and coalesced shuffles still spread over the cores
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(8 << 20))
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="quarry-wh-"))
     )
