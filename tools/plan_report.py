@@ -17,7 +17,7 @@ NODES = [
     ("broadcasts", r"BroadcastExchange"),
     ("bhj", r"BroadcastHashJoin"),
     ("smj", r"SortMergeJoin"),
-    ("partial_aggs", r"(?:Hash|ObjectHash|Sort)Aggregate\(keys=\[[^\]]*\], functions=\[partial_"),
+    ("partial_aggs", r"(?:Hash|ObjectHash|Sort)Aggregate\(keys?=\[[^\]]*\], functions=\[partial_"),
     ("python", r"MapInArrow|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython"),
 ]
 
