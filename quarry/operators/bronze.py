@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.functions import keys as K
+from quarry.session import ship_code
 
 ENTRY_LIST = S.struct(
     ("archive_path", S.S),
@@ -122,6 +123,7 @@ def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def list_entries(archives: DataFrame, path_col: str = "path") -> DataFrame:
     """One row per file entry of each archive (no content read)."""
+    ship_code(archives.sparkSession)
     return archives.select(F.col(path_col).alias("path")).mapInArrow(_list_batches, ENTRY_LIST)
 
 
@@ -165,6 +167,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def extract(entries: DataFrame, partitions: int | None = None) -> DataFrame:
     """Entry rows -> entry rows with ``content``; spread over ``partitions`` tasks first."""
+    ship_code(entries.sparkSession)
     spread = entries.repartition(partitions, "archive_path", "pos") if partitions else entries.repartition(
         "archive_path", "pos"
     )
@@ -222,6 +225,7 @@ def _write_batches(root: str):
 def write_objects(objects: DataFrame, root: str) -> DataFrame:
     """Write each (key, content) row as an object at ``root/key`` from the executors
     (deterministic keys: a re-run rewrites the same bytes).  Returns key, size, CRC, error."""
+    ship_code(objects.sparkSession)
     return objects.select("key", "content").mapInArrow(
         _write_batches(root), S.struct(("key", S.S), ("size_bytes", S.L), ("crc32", S.L), ("error", S.S))
     )
@@ -248,6 +252,7 @@ def _read_batches(root: str, names: list[str]):
 def read_objects(keys: DataFrame, root: str) -> DataFrame:
     """Fetch the objects of ``keys`` (a ``key`` column plus any pass-through columns) on
     the executors: only listed objects are read, and no key list reaches the driver."""
+    ship_code(keys.sparkSession)
     names = keys.columns
     schema = S.T.StructType(list(keys.schema.fields) + [S.T.StructField("content", S.B, True)])
     return keys.mapInArrow(_read_batches(root, names), schema)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry import schemas as S
 from quarry.functions import image_headers as H
 from quarry.functions import keys as K
+from quarry.session import ship_code
 
 
 def checksums(objects: DataFrame, content: str = "content") -> DataFrame:
@@ -133,6 +134,7 @@ def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _headers(objects: DataFrame, key: str, content: str, head_bytes: int | None, keep: list[str]) -> DataFrame:
+    ship_code(objects.sparkSession)
     head = F.col(content) if head_bytes is None else F.substring(content, 1, head_bytes)
     keep_fields = [f for f in objects.schema.fields if f.name in keep]
     out_schema = S.T.StructType(list(PROFILE.fields) + keep_fields)
@@ -240,6 +242,7 @@ def stored_image_metadata(keys: DataFrame, root: str) -> DataFrame:
     """image_metadata rows for objects stored at ``root/key`` (``keys``: key, partner,
     dataset, ingest_date): each object is fetched once on an executor and hashed and
     profiled there, so its bytes never cross into the JVM."""
+    ship_code(keys.sparkSession)
     keys = keys.select("key", "partner", "dataset", F.col("ingest_date").cast("date").alias("ingest_date"))
     schema = S.T.StructType(
         list(PROFILE.fields)
@@ -299,6 +302,7 @@ def _thumb_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def thumbnails(images: DataFrame) -> DataFrame:
     """Thumbnails (fit in 256x256, aspect kept, never enlarged; RGB or L; PNG bytes) of a
     DataFrame from ``spark.read.format("image")``."""
+    ship_code(images.sparkSession)
     return images.select("image").mapInArrow(
         _thumb_batches, S.struct(("origin", S.S), ("width", S.L), ("height", S.L), ("content", S.B))
     )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.session import ship_code
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,7 +31,13 @@ def register(name: str, operators: str, sql: str | None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Registered(name, fn, sql, operators)
-        return fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_code(spark)  # the Python workers import this package
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = Registered(name, run, sql, operators)
+        return run
 
     return deco

@@ -88,3 +88,52 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def _write_shared(path: str, data: bytes) -> None:
+    if path.startswith("file:") or "://" not in path:
+        local = path[len("file:") :] if path.startswith("file:") else path
+        while local.startswith("//"):
+            local = local[1:]
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(local, "wb") as fh:
+            fh.write(data)
+        return
+    from pyarrow import fs
+
+    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(inner) as fh:
+        fh.write(data)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (``addPyFile``), once per
+    application.  The zip is written below the shared checkpoint folder, so executors on
+    other machines fetch it the same way as locally."""
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    info = zipfile.ZipInfo(os.path.relpath(full, os.path.dirname(pkg)), (2024, 1, 1, 0, 0, 0))
+                    with open(full, "rb") as src:
+                        zf.writestr(info, src.read())
+    data = buf.getvalue()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quarry-code/quarry-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    _write_shared(path, data)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

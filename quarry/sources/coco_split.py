@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
+from quarry.session import ship_code
 from quarry.sources.coco_stream import _ARROW, ROWS, WANTED
 
 SCAN_CHUNK = 4 << 20
@@ -163,6 +164,7 @@ def read_annotation_rows(
     docs: DataFrame, path_col: str = "path", kind_col: str = "kind", target_bytes: int = TARGET_SPAN, partitions: int | None = None
 ) -> DataFrame:
     """Documents (path, kind) -> typed rows, parsed in parallel by byte-range spans."""
+    ship_code(docs.sparkSession)
     spans = docs.select(F.col(path_col).alias("path"), F.col(kind_col).alias("kind")).mapInArrow(
         _span_batches(target_bytes), SPANS
     )

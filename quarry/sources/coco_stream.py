@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
+from quarry.session import ship_code
 
 CHUNK_CHARS = 4 << 20
 BATCH_ROWS = 10_000
@@ -202,4 +203,5 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_annotation_rows(docs: DataFrame, path_col: str = "path", kind_col: str = "kind") -> DataFrame:
     """Documents (path, kind in {instances, captions}) -> one typed row per wanted array
     element.  One document is read by one task, in bounded memory."""
+    ship_code(docs.sparkSession)
     return docs.select(F.col(path_col).alias("path"), F.col(kind_col).alias("kind")).mapInArrow(_batches, ROWS)
