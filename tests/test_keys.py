@@ -98,3 +98,13 @@ def test_thumbnail_key_and_loose_key(spark):
     assert rows[0][0] == "thumbnails/partner=x/dataset=y/ingest_date=2024-01-01/a.b.jpg"
     assert rows[1][0] == "thumbnails/partner=x/dataset=y/ingest_date=2024-01-01/noext.jpg"
     assert rows[0][1] == "partner=x/dataset=loose/ingest_date=2024-01-01/a.b.png"
+
+
+def test_package_is_shipped_to_workers_once(spark):
+    from quarry.session import checkpoint_dir, ship_code
+
+    ship_code(spark)
+    ship_code(spark)
+    shipped = [f for f in spark.sparkContext.listFiles if "/quarry-code/quarry-" in f]
+    assert len(shipped) == 1 and shipped[0].endswith(".zip")
+    assert checkpoint_dir(spark).split("://")[-1].lstrip("/").split("/")[0] in shipped[0]
