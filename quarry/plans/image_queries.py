@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
-from quarry.functions import keys as K
 from quarry.operators import images as img_ops
 from quarry.plans.registry import register
 from quarry.plans.standins import table

@@ -5,7 +5,6 @@ import os
 import zipfile
 import zlib
 
-from pyspark.sql import functions as F
 
 from quarry.operators import bronze
 

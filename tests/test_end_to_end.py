@@ -6,7 +6,6 @@ import json
 import os
 import zipfile
 
-from pyspark.sql import functions as F
 
 from quarry import jobs, schemas as S
 from quarry.operators import tables as tbl

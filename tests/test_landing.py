@@ -5,7 +5,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.operators import landing

@@ -2,7 +2,6 @@
 shuffle, dimension sides broadcast only when small, and only image headers cross into
 Python.  Plus a skewed run: one key holding a third of all rows gives exact results."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 

@@ -1,6 +1,5 @@
 """Upsert / partition overwrite / create / replace semantics on path and catalog tables."""
 
-import datetime as dt
 import uuid
 
 import pytest
