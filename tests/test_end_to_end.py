@@ -7,6 +7,8 @@ import os
 import zipfile
 
 
+from pyspark.sql import functions as F
+
 from quarry import jobs, schemas as S
 from quarry.operators import tables as tbl
 from quarry.session import scratch_path
@@ -164,3 +166,24 @@ def test_jobs_on_an_empty_root(spark):
     layout = jobs.Layout(scratch_path(spark, "empty"))
     assert jobs.pending_drops(spark, layout).count() == 0
     assert jobs.silver_build(spark, layout) == {}
+
+
+def test_corrupt_archive_fails_only_its_drop(spark):
+    layout = jobs.Layout(scratch_path(spark, "e2e-corrupt"))
+    _setup(layout)
+    root = layout.landing.replace("file:", "")
+    with open(os.path.join(root, BUCKET, "drops", "broken.zip"), "wb") as f:
+        f.write(b"PK\x03\x04" + b"\x00" * 40)
+    rows = [
+        {"detail": {"bucket": {"name": BUCKET}, "object": {"key": k, "size": 1, "etag": "x"}}, "time": "2024-06-01T10:00:00Z"}
+        for k in ("drops/val2017.zip", "drops/broken.zip")
+    ]
+    ev = spark.read.schema(S.LANDING_EVENT).json(spark.sparkContext.parallelize([json.dumps(r) for r in rows]))
+    jobs.register_events(spark, layout, ev, 0)
+    jobs.bronze_job(spark, layout, jobs.pending_drops(spark, layout))
+    latest = {r.drop_id.split("#")[1]: r for r in jobs.landing.latest_status(
+        tbl.read_table(spark, layout.ledger_status, jobs.STATUS_EVENTS)).collect()}
+    assert latest["drops/val2017.zip"].status == "DONE" and latest["drops/val2017.zip"].file_count == 6
+    assert latest["drops/broken.zip"].status == "FAILED" and 0 < len(latest["drops/broken.zip"].error) <= 1000
+    files = tbl.read_table(spark, layout.manifests, jobs.MANIFEST_FILES)
+    assert files.where(F.col("dataset") == "broken").count() == 0 and files.count() == 6
