@@ -67,3 +67,16 @@ def test_bronze_objects_keys_and_types(spark, tmp_path):
     ]
     assert [o.content_type for o in objs] == ["image/png", "application/octet-stream"]
     assert objs[0].ingest_date.isoformat() == "2024-06-01"
+
+
+def test_one_archive_is_extracted_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    p = tmp_path / "big.zip"
+    _zip(p, [(f"img/{i:03d}.jpg", bytes([i]) * (100 + i)) for i in range(40)])
+    archives = spark.read.format("binaryFile").load(str(p)).select("path")
+    out = bronze.extract(bronze.list_entries(archives), partitions=4).withColumn("task", F.spark_partition_id())
+    rows = out.collect()
+    assert sorted(r.pos for r in rows) == list(range(40))
+    assert all(r.content == bytes([r.pos]) * (100 + r.pos) for r in rows)
+    assert len({r.task for r in rows}) > 1  # the hot archive is spread, not one task
