@@ -110,3 +110,26 @@ def test_emptied_partitions_with_special_and_null_values_are_dropped(spark):
     tbl.upsert_into(spark, spark.createDataFrame([(1, "a2", "z"), (2, "b2", "z")], SCHEMA), path, "k", ["part"], "t")
     got = sorted((r.k, r.v, r.part) for r in tbl.read_table(spark, path).collect())
     assert got == [(1, "a2", "z"), (2, "b2", "z"), (3, "c", "z")]
+
+
+def test_touched_partition_predicate_prunes_at_the_scan(spark):
+    path = scratch_path(spark, "touched")
+    df = spark.createDataFrame([(i, "v", f"p{i % 5}") for i in range(50)], SCHEMA).withColumn("sub", F.col("k") % 2)
+    tbl.stage(df, path, ["part", "sub"])
+    t = tbl.read_table(spark, path)
+    one = t.where(tbl.partition_predicate(["part"], [{"part": "p1"}, {"part": "p3"}]))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "p1" in plan and "p3" in plan
+    two = t.where(tbl.partition_predicate(["part", "sub"], [{"part": "p1", "sub": 1}, {"part": "p2", "sub": 0}]))
+    assert sorted((r.part, r.sub) for r in two.select("part", "sub").distinct().collect()) == [("p1", 1), ("p2", 0)]
+    assert "PartitionFilters: [" in two._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cluster_conf_sizing():
+    from quarry.session import cluster_conf
+
+    big = cluster_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    small = cluster_conf(2**30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
+    assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.adaptive.skewJoin.enabled"] == "true"
