@@ -57,3 +57,32 @@ def test_hot_key_third_of_rows_exact(spark):
     led = {r.drop_id: r for r in landing.first_seen(ev).collect()}
     assert len(led) == 1 + 2 * n // 3
     assert led["hot"].size_bytes == 0 and led["hot"].received_at == "2024-01-01T00:00:00Z"
+
+
+def test_hot_category_third_of_annotations_exact_on_both_branches(spark):
+    import collections
+    import datetime
+
+    rows = []
+    for i in range(3000):
+        cat = 1 if i % 3 == 0 else 2 + i % 40
+        rows.append(("p", "d", datetime.date(2024, 1, 1), "s", i // 7, cat, float(i % 13), i % 2))
+    ann = spark.createDataFrame(
+        rows, "partner string, dataset string, ingest_date date, split string, image_id long, category_id long, area double, iscrowd long"
+    )
+    cat = spark.createDataFrame(
+        [("p", "d", datetime.date(2024, 1, 1), "s", c, f"c{c % 10}", "x") for c in range(1, 42)],
+        "partner string, dataset string, ingest_date date, split string, category_id long, name string, supercategory string",
+    )
+    n, imgs, area, crowd = collections.Counter(), collections.defaultdict(set), collections.Counter(), collections.Counter()
+    for _, _, _, _, img, c, a, cr in rows:
+        n[c] += 1
+        imgs[c].add(img)
+        area[c] += a
+        crowd[c] += cr
+    for limit in (1000, 0):
+        got = {r.category_id: r for r in gold.category_stats(ann, cat, "v", max_broadcast_rows=limit).collect()}
+        assert got[1].n_annotations == 1000
+        for c in n:
+            assert (got[c].n_annotations, got[c].n_images, got[c].crowd_annotations) == (n[c], len(imgs[c]), crowd[c])
+            assert abs(got[c].avg_area - area[c] / n[c]) < 1e-9
