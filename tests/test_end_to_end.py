@@ -187,3 +187,17 @@ def test_corrupt_archive_fails_only_its_drop(spark):
     assert latest["drops/broken.zip"].status == "FAILED" and 0 < len(latest["drops/broken.zip"].error) <= 1000
     files = tbl.read_table(spark, layout.manifests, jobs.MANIFEST_FILES)
     assert files.where(F.col("dataset") == "broken").count() == 0 and files.count() == 6
+
+
+def test_gold_replace_vs_partition_mode(spark):
+    layout = jobs.Layout(scratch_path(spark, "e2e-gold-modes"))
+    _setup(layout)
+    _run(spark, layout, 0)  # builds gold for partner coco (replace mode)
+    stats = lambda: tbl.read_table(spark, layout.gold("category_stats"), S.CATEGORY_STATS)
+    assert stats().count() == 2
+    # another partner's slice, partition mode: coco's gold rows stay
+    jobs.gold_build(spark, layout, "other", "val2017", "val2017", "val2017", "2024-06-01", mode="partitions")
+    assert stats().count() == 2
+    # replace mode (the original's createOrReplace): the table becomes exactly the new slice
+    jobs.gold_build(spark, layout, "other", "val2017", "val2017", "val2017", "2024-06-01", mode="replace")
+    assert stats().count() == 0
