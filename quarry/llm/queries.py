@@ -85,3 +85,33 @@ def op10(spark, sf_dir):
     from quarry.llm.sharding import shard_documents
 
     return shard_documents(documents(spark, sf_dir))
+
+
+@query("op9_near_dedup")
+def op9(spark, sf_dir):
+    from quarry.llm.near_dedup import near_dedup
+
+    return near_dedup(documents(spark, sf_dir))
+
+
+@query(
+    "op8_exact_topk",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+      FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    s AS (
+      SELECT a.vec_id AS query_id, b.vec_id,
+             CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    WHERE rank <= 20
+    """,
+)
+def op8(spark, sf_dir):
+    from quarry.llm.topk import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
