@@ -115,3 +115,21 @@ def op8(spark, sf_dir):
     from quarry.llm.topk import top_k
 
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query("op3_quality")
+def op3(spark, sf_dir):
+    from quarry.llm.quality import score_quality
+
+    return score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    from quarry.llm.toxicity import score_toxicity
+
+    return score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))

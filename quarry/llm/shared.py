@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -98,7 +99,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``limit`` bytes in each (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:
@@ -114,8 +115,6 @@ def map_text(df: DataFrame, schema: str, per_slice: Callable[[pa.RecordBatch], p
     prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401  (pa.compute)
-
         for batch in sliced(batches, column):
             yield per_slice(batch)
 
