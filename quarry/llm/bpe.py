@@ -102,14 +102,27 @@ class WordBpe:
         return [*word[:-1], word[-1] + self.end]
 
     def merge(self, parts: list[str]) -> list[str]:
-        """Exact merging: the pair of lowest rank first, the leftmost of equals.  A heap with
-        linked neighbours keeps it at n log n for words of any length."""
+        """Exact merging: the pair of lowest rank first, the leftmost of equals."""
+        parts = list(parts)
+        if len(parts) > 48:
+            return self._merge_long(parts)
+        rank = self.ranks.get
+        near = [rank(pair, NEVER) for pair in zip(parts, parts[1:], strict=False)]
+        while near and (best := min(near)) != NEVER:
+            i = near.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del near[i]
+            if i < len(near):
+                near[i] = rank((parts[i], parts[i + 1]), NEVER)
+            if i:
+                near[i - 1] = rank((parts[i - 1], parts[i]), NEVER)
+        return parts
+
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """The same with a heap and linked neighbours, n log n for words of any length."""
         import heapq
 
         n = len(parts)
-        if n < 2:
-            return parts
-        parts = list(parts)
         nxt, prv, ranks = list(range(1, n + 1)), list(range(-1, n - 1)), self.ranks
         heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := ranks.get((parts[i], parts[i + 1]))) is not None]
         heapq.heapify(heap)
@@ -165,12 +178,22 @@ class WordBpe:
 
 
 class PieceCache(dict):
-    """What is known of a piece (bytes between ASCII white space); emptied beyond a size."""
+    """What is known of pieces, in two generations of at most ``most`` entries: when the younger is
+    full it becomes the older, whose entries come back as they are asked for."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         super().__init__()
         self.most = most
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        found = self[key] = self.old[key]
+        return found
+
+    def knows(self, key) -> bool:
+        return key in self or key in self.old
 
     def make_room(self, more: int) -> None:
         if len(self) + more > self.most:
+            self.old = self.copy()
             self.clear()

@@ -27,26 +27,30 @@ class Speculator:
         if self.bpe.strings.keys() - range(1 << 21):
             raise ValueError("ids below 2**21 are expected")
         tokens = self.bpe.ids
-        self.longest = max(len(t) - len(self.bpe.end) * t.endswith(self.bpe.end) for t in tokens)
+        self.starts = {t[:k] for t in tokens for k in range(1, len(t) + 1)}
         #: verified pairs as sorted keys, and whether each is compatible
         self.pair_keys, self.pair_fits = np.empty(0, np.int64), np.empty(0, bool)
         self.whole: dict[int, bool] = {}
-        self.pieces = PieceCache(300_000)
+        self.pieces, self.words = PieceCache(), PieceCache()
         self.most_pairs = 1_000_000
         self.exact_words = self.proposed_words = 0
 
     def propose(self, word: str) -> list[int]:
         """Greedy longest match; the last token carries the word end."""
-        ids, end, out, at, n = self.bpe.ids, self.bpe.end, [], 0, len(word)
+        ids, starts, out, at, n = self.bpe.ids, self.starts, [], 0, len(word)
+        last = word + self.bpe.end
         while at < n:
-            for stop in range(min(n, at + self.longest), at, -1):
-                token = ids.get(word[at:stop] + end if stop == n else word[at:stop])
-                if token is not None:
-                    out.append(token)
-                    at = stop
-                    break
-            else:
+            token, stop, reach = None, at, at + 1
+            while reach <= n and word[at:reach] in starts:
+                if reach < n and (found := ids.get(word[at:reach])) is not None:
+                    token, stop = found, reach
+                reach += 1
+            if reach > n and (found := ids.get(last[at:])) is not None:
+                token, stop = found, n
+            if token is None:
                 raise ValueError(f"{word[at]!r} is not in the vocabulary")
+            out.append(token)
+            at = stop
         return out
 
     def _fits(self, keys: np.ndarray) -> np.ndarray:
@@ -98,32 +102,37 @@ class Speculator:
         self.exact_words += int((~fits).sum())
         return proposals
 
-    def learn(self, pieces: set[bytes], into: dict) -> None:
-        """(ids as little-endian 32-bit integers, their strings joined by a space, count) of pieces."""
-        split = {p: self.bpe.words(p) for p in pieces}
-        words = list({w for ws in split.values() for w in ws if isinstance(w, str)})
-        ids = dict(zip(words, self.encode_words(words), strict=True))
-        strings = self.bpe.strings
-        for p, ws in split.items():
-            own = [i for w in ws for i in ([w] if isinstance(w, int) else ids[w])]
-            packed = array("I", own)
-            into[p] = (packed.tobytes(), " ".join([strings[i] for i in own]).encode(), len(own))
+    def learn(self, pieces: list[bytes]) -> None:
+        """Keeps (ids as little-endian 32-bit integers, their strings joined by a space, count) of pieces."""
+        split = [self.bpe.words(p) for p in pieces]
+        words = {w for ws in split for w in ws if isinstance(w, str)}
+        self.words.make_room(len(words))
+        new = [w for w in words if not self.words.knows(w)]
+        strings, known = self.bpe.strings, self.words
+        for w, ids in zip(new, self.encode_words(new), strict=True):
+            known[w] = (array("I", ids).tobytes(), " ".join([strings[i] for i in ids]).encode(), len(ids))
+        for p, ws in zip(pieces, split, strict=True):
+            if len(ws) == 1 and isinstance(ws[0], str):
+                self.pieces[p] = known[ws[0]]
+                continue
+            own = [known[w] if isinstance(w, str) else (array("I", [w]).tobytes(), strings[w].encode(), 1) for w in ws]
+            self.pieces[p] = (b"".join([e[0] for e in own]), b" ".join([e[1] for e in own]), sum([e[2] for e in own]))
+        for w in new:
+            if len(w) > 512:  # one long word is not worth keeping
+                del known[w]
 
     def encode(self, texts: list[bytes]) -> list[list[tuple]]:
         """For each text, the entries of its pieces in order."""
         split = [t.split() for t in texts]
         wanted = {p for ps in split for p in ps}
-        new = {p for p in wanted if p not in self.pieces}
-        if new:
-            if len(self.pieces) + len(new) > self.pieces.most:  # start anew with what this slice needs
-                self.pieces.clear()
-                new = wanted
-            self.learn(new, self.pieces)
+        self.pieces.make_room(len(wanted))
+        new = [p for p in wanted if not self.pieces.knows(p)]
+        self.learn(new)
         entry = self.pieces.__getitem__
         out = [[e for e in map(entry, ps) if e[2]] for ps in split]
-        for p in wanted:
-            if len(p) > 512:  # one long piece is not worth keeping
-                self.pieces.pop(p, None)
+        for p in new:
+            if len(p) > 512:
+                del self.pieces[p]
         return out
 
 

@@ -144,20 +144,24 @@ class Counter:
 
     def of_piece(self, piece: bytes) -> int:
         n = self.cache.get(piece)
+        if n is None:
+            n = self.cache.old.get(piece)
         if n is None:
             n = sum(1 if isinstance(w, int) else self.of_word(w) for w in self.bpe.words(piece)) if piece else 0
-            if len(piece) <= 256:
-                self.cache.make_room(1)
-                self.cache[piece] = n
+        if len(piece) <= 256:
+            self.cache.make_room(1)
+            self.cache[piece] = n
         return n
 
     def of_word(self, word: str) -> int:
         n = self.words.get(word)
+        if n is None:
+            n = self.words.old.get(word)
         if n is None:
             n = self.machine.count(word)
-            if len(word) <= 256:
-                self.words.make_room(1)
-                self.words[word] = n
+        if len(word) <= 256:
+            self.words.make_room(1)
+            self.words[word] = n
         return n
 
     def of_pieces(self, pieces: list[bytes]) -> int:
