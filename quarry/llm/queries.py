@@ -133,3 +133,10 @@ def op4(spark, sf_dir):
     from quarry.llm.toxicity import score_toxicity
 
     return score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op6_html_main_text")
+def op6(spark, sf_dir):
+    from quarry.llm.html_text import extract_main_text
+
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
