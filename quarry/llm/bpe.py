@@ -58,48 +58,13 @@ BYTE_ALPHABET = _byte_alphabet()
 LATIN_BYTES = {c: "".join(BYTE_ALPHABET[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
-class WordBpe:
-    """A BPE whose words never span white space (word-end suffix, no space symbol).
-
-    ``words(piece)`` splits a piece between ASCII white space into special-token ids and
-    words in the byte alphabet, by the library's own normaliser and pre-tokenizer;
-    ``merge(word)`` is exact byte-pair merging."""
-
-    def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+class Merges:
+    """The merge list of a vocabulary file, and exact merging with it."""
 
-        library = Tokenizer.from_str(spec)
-        model = json.loads(spec)["model"]
-        self.end = model.get("end_of_word_suffix") or ""
-        if model.get("continuing_subword_prefix") or not self.end:
-            raise ValueError("a vocabulary with a word-end suffix is expected")
+    def __init__(self, model: dict):
         self.ids: dict[str, int] = model["vocab"]
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.ranks = {(a, b): r for r, (a, b) in enumerate(merges)}
-        self._made = {a + b: (a, b) for a, b in self.ranks}
-        self._edges: tuple[dict, dict] = ({}, {})
-        added = library.get_added_tokens_decoder()
-        self.special = {t.content: i for i, t in added.items()}
-        self._split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.strings = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
-        self._plain_rule = WORD_RULE in spec and all("<|" in t for t in self.special)
-        self._normalize, self._pre = library.normalizer, library.pre_tokenizer
-
-    def words(self, piece: bytes) -> list[int | str]:
-        text = piece.decode("utf-8", "replace")
-        if self._plain_rule and SIMPLE.fullmatch(text) and "<|" not in text:
-            return SIMPLE_WORDS.findall(text.lower()) if text.isascii() else [w.translate(LATIN_BYTES) for w in SIMPLE_WORDS.findall(text.lower())]
-        out: list[int | str] = []
-        for part in self._split.split(text) if self._split else [text]:
-            if part in self.special:
-                out.append(self.special[part])
-            elif part:
-                norm = self._normalize.normalize_str(part) if self._normalize else part
-                out += [w for w, _ in self._pre.pre_tokenize_str(norm)]
-        return out
-
-    def symbols(self, word: str) -> list[str]:
-        return [*word[:-1], word[-1] + self.end]
 
     def merge(self, parts: list[str]) -> list[str]:
         """Exact merging: the pair of lowest rank first, the leftmost of equals."""
@@ -140,6 +105,48 @@ class WordBpe:
                 heapq.heappush(heap, (r, prv[i], parts[prv[i]], parts[i]))
         return [p for p in parts if p]
 
+
+class WordBpe(Merges):
+    """A BPE whose words never span white space (word-end suffix, no space symbol).
+
+    ``words(piece)`` splits a piece between ASCII white space into special-token ids and
+    words in the byte alphabet, by the library's own normaliser and pre-tokenizer;
+    ``merge(symbols)`` is exact byte-pair merging."""
+
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(spec)
+        model = json.loads(spec)["model"]
+        super().__init__(model)
+        self.end = model.get("end_of_word_suffix") or ""
+        if model.get("continuing_subword_prefix") or not self.end:
+            raise ValueError("a vocabulary with a word-end suffix is expected")
+        self._made = {a + b: (a, b) for a, b in self.ranks}
+        self._edges: tuple[dict, dict] = ({}, {})
+        added = library.get_added_tokens_decoder()
+        self.special = {t.content: i for i, t in added.items()}
+        self._split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.strings = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
+        self._plain_rule = WORD_RULE in spec and all("<|" in t for t in self.special)
+        self._normalize, self._pre = library.normalizer, library.pre_tokenizer
+
+    def words(self, piece: bytes) -> list[int | str]:
+        text = piece.decode("utf-8", "replace")
+        if self._plain_rule and SIMPLE.fullmatch(text) and "<|" not in text:
+            return SIMPLE_WORDS.findall(text.lower()) if text.isascii() else [w.translate(LATIN_BYTES) for w in SIMPLE_WORDS.findall(text.lower())]
+        out: list[int | str] = []
+        for part in self._split.split(text) if self._split else [text]:
+            if part in self.special:
+                out.append(self.special[part])
+            elif part:
+                norm = self._normalize.normalize_str(part) if self._normalize else part
+                out += [w for w, _ in self._pre.pre_tokenize_str(norm)]
+        return out
+
+    def symbols(self, word: str) -> list[str]:
+        return [*word[:-1], word[-1] + self.end]
+
     def split_token(self, token: str) -> list[str]:
         """The symbols a token is made of."""
         return self.symbols(token[: -len(self.end)]) if token.endswith(self.end) and token != self.end else [*token]
