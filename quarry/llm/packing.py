@@ -22,21 +22,19 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import PieceCache, Vocabulary
 from quarry.llm.shared import map_text, rank_within, text_of, written
 
-#: The byte-level word rule for parts of ASCII and the accented letters of Latin-1 alone (lines may
-#: end in them); all other parts are encoded as they are.
-PLAIN_PART = re.compile("[\n!-~À-ÖØ-öø-ÿ][\n -~À-ÖØ-öø-ÿ]*")
+#: The byte-level word rule for texts of ASCII and the accented letters of Latin-1 alone.
+PLAIN_TEXT = re.compile("[\n -~À-ÖØ-öø-ÿ]*")
 PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\\s+(?!\\S)|\\s+")
 
 
 class SpacedTokenizer:
-    """Ids of whole texts as the ``tokenizers`` library gives them, remembered per part and word.
+    """Ids of whole texts by the ``tokenizers`` library, remembered per unit.
 
-    A space before a visible character begins a token, whatever stands before it, so a text
-    is cut there into parts.  A part of common letters is cut further into the words of the vocabulary's
-    own rule.  The library encodes each distinct word, each other distinct part, and what stands
-    before the first cut.  Lives as long as the Python worker."""
+    A text of common letters is cut into the words of the vocabulary's own rule.  Any other is
+    cut at spaces before visible characters: such a space begins a token whatever stands
+    before it.  The library encodes each distinct unit once.  Lives as long as the Python worker."""
 
-    CUT = re.compile(r" (?=\S)")
+    CUT = re.compile(r"(?= \S)")
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -50,48 +48,27 @@ class SpacedTokenizer:
         )
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.parts, self.words = PieceCache(), PieceCache()  # parts follow a cut and are kept without its space
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: list[str], special: bool) -> None:
-        """``special``: special tokens may be among the parts."""
-        simple = [p for p in parts if self.plain_rule and PLAIN_PART.fullmatch(p) and not (special and self.special.search(p))]
-        others = list(set(parts).difference(simple))
-        self.parts.update(zip(others, self._library([" " + p for p in others]), strict=True))
-        split = [PLAIN_WORDS.findall(" " + p) for p in simple]
-        words = {w for ws in split for w in ws}
-        self.words.make_room(len(words))
-        known, young, old = self.words.__getitem__, self.words, self.words.old
-        new = [w for w in words if w not in young and w not in old]
-        young.update(zip(new, self._library(new), strict=True))
-        for p, ws in zip(simple, split, strict=True):
-            self.parts[p] = known(ws[0]) if len(ws) == 1 else b"".join(map(known, ws))
-        for w in new:
-            if len(w) > 512:  # one long word is not worth keeping
-                del young[w]
+        self.units = PieceCache(400_000)
+
+    def _cut(self, text: str) -> list[str]:
+        if self.plain_rule and PLAIN_TEXT.fullmatch(text) and not (self.special and self.special.search(text)):
+            return PLAIN_WORDS.findall(text)
+        return self.CUT.split(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.split(" ") for t in texts]
-        wanted = {p for ps in split for p in ps[1:]}
-        young, old = self.parts, self.parts.old
-        # such parts are never kept: their space does not begin a token
-        odd = {p for p in wanted if p not in young and p not in old and (not p or p[0].isspace())}
-        if odd:
-            split = [self.CUT.split(t) if not odd.isdisjoint(ps) else ps for t, ps in zip(texts, split, strict=True)]
-            wanted = {p for ps in split for p in ps[1:]}
-        self.parts.make_room(len(wanted))
-        old = self.parts.old
-        new = [p for p in wanted if p not in young and p not in old]
-        self._learn(new, self.special is not None and any(map(self.special.search, texts)))
-        firsts = self._library([ps[0] for ps in split])
-        part = self.parts.__getitem__
-        out = [f + b"".join(map(part, ps[1:])) for f, ps in zip(firsts, split, strict=True)]
-        for p in new:
-            if len(p) > 512:
-                del self.parts[p]
+        cut = [self._cut(t) for t in texts]
+        wanted = set().union(*cut)
+        self.units.make_room(len(wanted))
+        young, old = self.units, self.units.old
+        new = [u for u in wanted if u not in young and u not in old]
+        encoded = self.library.encode_batch_fast(new, add_special_tokens=False)
+        young.update(zip(new, [array("I", e.ids).tobytes() for e in encoded], strict=True))
+        unit = young.__getitem__
+        out = [b"".join(map(unit, units)) for units in cut]
+        for u in new:
+            if len(u) > 512:  # one long unit is not worth keeping
+                del young[u]
         return out
 
 
