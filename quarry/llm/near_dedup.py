@@ -1,7 +1,8 @@
 """Near-duplicates by HyperMinHash sketches, banding, estimation and exact verification.
 
-A document's set is its distinct word shingles.  Each of ``REGISTERS`` buckets of the hash space keeps its
-smallest hash as 16 bits: leading zeros and the mantissa after them.  Empty registers of small
+A document's set is its distinct word shingles.  Each bucket of the hash space keeps its smallest
+hash as leading zeros and the mantissa after them, in 16 bits for the 128 registers that are banded,
+in 8 bits for 1,024 registers that documents with a candidate get for finer estimates.  Empty registers of small
 sets borrow from a filled one in a fixed random order of their own, so that a register
 agrees with the probability of the Jaccard similarity whatever the set's size.
 
@@ -18,9 +19,11 @@ standard errors with probability 3e-7.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +32,27 @@ from pyspark.sql import functions as F
 
 from quarry.llm.shared import connected_components, map_text, prepare, text_of, written
 
-REGISTER_BITS = 7
-REGISTERS = 1 << REGISTER_BITS
-MANTISSA_BITS = 10
+
+
+@dataclass(frozen=True)
+class Layout:
+    """A sketch of 2 ** ``bits`` registers with ``mantissa`` bits each besides ``zeros`` bits for the leading zeros."""
+
+    bits: int
+    zeros: int
+    mantissa: int
+
+    @property
+    def registers(self) -> int:
+        return 1 << self.bits
+
+    @property
+    def kind(self) -> np.dtype:
+        return np.dtype(np.uint16 if self.zeros + self.mantissa > 8 else np.uint8)
+
+
+BANDED, FINE = Layout(7, 6, 10), Layout(10, 5, 3)
+REGISTERS = BANDED.registers
 BAND = 4
 BANDS = REGISTERS // BAND
 ESTIMATE_MARGIN = 5.0
@@ -40,7 +61,6 @@ BLOCK = 256
 #: Rounds that link each bucket to one hub before what is left is compared in blocks.
 HUB_ROUNDS = 3
 
-EMPTY = np.uint16(0xFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -74,49 +94,52 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
     return out
 
 
-def _borrow_order() -> np.ndarray:
+@functools.cache
+def _borrow_order(registers: int) -> np.ndarray:
     """For each register (column) the registers it asks in turn while empty: a fixed random permutation each."""
-    keys = _mix(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(12345)).reshape(REGISTERS, REGISTERS)
-    return np.argsort(keys, axis=0, kind="stable")
+    keys = _mix(np.arange(registers * registers, dtype=np.uint64) + np.uint64(12345)).reshape(registers, registers)
+    return np.argsort(keys, axis=0, kind="stable").astype(np.int16)
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """(len(sets), REGISTERS) uint16; rows of empty sets hold EMPTY."""
-    out = np.full((len(sets), REGISTERS), EMPTY, np.uint16)
-    shift, low = np.uint64(64 - REGISTER_BITS), np.uint64((1 << (64 - REGISTER_BITS)) - 1)
+def sketches(sets: list[np.ndarray], layout: Layout = BANDED) -> np.ndarray:
+    """(len(sets), registers); rows of empty sets hold the largest number."""
+    empty = np.iinfo(layout.kind).max
+    out = np.full((len(sets), layout.registers), empty, layout.kind)
+    rest_bits = 64 - layout.bits
+    shift, low, most = np.uint64(rest_bits), np.uint64((1 << rest_bits) - 1), (1 << layout.zeros) - 2
     for row, s in zip(out, sets, strict=True):
         if len(s):  # sorted: the first hash of each bucket is its smallest
             bucket = (s >> shift).astype(np.int64)
             first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
             rest = s[first] & low
             bits = np.frexp((rest >> np.uint64(11)).astype(np.float64))[1] + 11  # length of rest in bits, 11 at least
-            zeros = 64 - REGISTER_BITS - bits
-            mantissa = (rest >> (bits - 1 - MANTISSA_BITS).astype(np.uint64)).astype(np.int64) & ((1 << MANTISSA_BITS) - 1)
-            row[bucket[first]] = (zeros << MANTISSA_BITS) | mantissa
-    order = _borrow_order()
+            zeros = np.minimum(rest_bits - bits, most)
+            mantissa = (rest >> (bits - 1 - layout.mantissa).astype(np.uint64)).astype(np.int64) & ((1 << layout.mantissa) - 1)
+            row[bucket[first]] = (zeros << layout.mantissa) | mantissa
+    order = _borrow_order(layout.registers)
     full = out.copy()
-    rows, cols = np.nonzero((out == EMPTY) & (out != EMPTY).any(axis=1)[:, None])
-    for turn in range(REGISTERS):
+    rows, cols = np.nonzero((out == empty) & (out != empty).any(axis=1)[:, None])
+    for turn in range(layout.registers):
         if not len(rows):
             break
         got = out[rows, order[turn, cols]]
         full[rows, cols] = got
-        missing = got == EMPTY
+        missing = got == empty
         rows, cols = rows[missing], cols[missing]
     return full
 
 
-def estimate(agree: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def estimate(agree: np.ndarray, n: np.ndarray, m: np.ndarray, layout: Layout = BANDED) -> np.ndarray:
     """Jaccard similarity from the share of agreeing registers and the set sizes, without the
     agreements expected by collision of mantissas."""
     # fixed value: constant of the published collision approximation
     ratio = np.maximum(n, m) / np.maximum(1, np.minimum(n, m))
-    by_chance = 0.169919487159739093975315012348 / (1 << MANTISSA_BITS) * 4 * ratio / (1 + ratio) ** 2
+    by_chance = 0.169919487159739093975315012348 / (1 << layout.mantissa) * 4 * ratio / (1 + ratio) ** 2
     return np.clip((agree - by_chance) / (1 - by_chance), 0, 1)
 
 
-def least_estimate(threshold: float) -> float:
-    return threshold - ESTIMATE_MARGIN * math.sqrt(threshold * (1 - threshold) / REGISTERS)
+def least_estimate(threshold: float, layout: Layout = BANDED) -> float:
+    return threshold - ESTIMATE_MARGIN * math.sqrt(threshold * (1 - threshold) / layout.registers)
 
 
 SIGNATURE = "doc_id long, n_shingles long, digest binary, sketch binary"
@@ -147,18 +170,22 @@ def band_rows(nodes: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) for ``wanted`` (node, doc_id, digest): the sorted set as bytes."""
+    """(node, n_shingles, shingles, fine) for ``wanted`` (node, doc_id, digest): the sorted set and the
+    finer sketch as bytes."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     of = wanted.select("node", F.col("doc_id").alias("_doc"), "digest")
     joined = rows.join(of, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("node", "digest", "text")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for s in shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())]
-        same = [hashlib.blake2b(s, digest_size=16).digest() == d for s, d in zip(sets, batch.column("digest").to_pylist(), strict=True)]
-        kept = pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
-        return kept.filter(pa.array(same))  # a row that repeats the doc_id with another text
+        sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
+        raw = [s.tobytes() for s in sets]
+        same = [hashlib.blake2b(s, digest_size=16).digest() == d for s, d in zip(raw, batch.column("digest").to_pylist(), strict=True)]
+        fine = [s.tobytes() for s in sketches(sets, FINE)]
+        columns = [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(raw, pa.binary()), pa.array(fine, pa.binary())]
+        made = pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "shingles", "fine"])
+        return made.filter(pa.array(same))  # a row that repeats the doc_id with another text
 
-    return map_text(joined, "node long, shingles binary", make)
+    return map_text(joined, "node long, n_shingles long, shingles binary, fine binary", make)
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -171,7 +198,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), BANDED.kind).reshape(-1, REGISTERS) for c in ("sa", "sb"))
                 n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
                 yield batch.select(["a", "b"]).filter(pa.array(estimate((x == y).mean(axis=1), n, m) >= least))
 
@@ -198,24 +225,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def hub_pairs(members: DataFrame, round_: int) -> DataFrame:
-    """``members`` (bucket, node, comp): every member paired with its bucket's hub unless both
-    are in one component.  The hub is the smallest node at first, then one drawn per bucket."""
-    order = F.col("node") if round_ == 0 else F.xxhash64("bucket", "node", F.lit(round_))
+    """``members`` (bucket, node, comp): a bucket's hub is its smallest node at first, then its first in an
+    order drawn for the round.  Every member is paired with one hub, that of another component with which
+    it shares most buckets: at most one pair per member and round."""
+    order = F.col("node") if round_ == 0 else F.xxhash64("node", F.lit(round_))
     hubs = (
         members.groupBy("bucket")
         .agg(F.min_by("node", order).alias("hub"), F.min_by("comp", order).alias("hub_comp"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         .where("lo <> hi")
         .select("bucket", "hub", "hub_comp")
     )
-    return (
-        members.join(hubs, "bucket")
-        .where("comp <> hub_comp")
-        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        .distinct()
-    )
+    common = members.join(hubs, "bucket").where("comp <> hub_comp").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    best = common.groupBy("node").agg(F.max_by("hub", "n").alias("hub"))
+    return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def block_pairs(members: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """All likely pairs (a, b) of one bucket and different components.
 
     Of each bucket the component with most members is its bulk; the others, the outsiders,
@@ -245,20 +270,20 @@ def block_pairs(members: DataFrame, nodes: DataFrame, threshold: float) -> DataF
         F.when(F.col("out"), F.least("own", "other")).otherwise(F.col("other")).alias("i"),
         F.when(F.col("out"), F.greatest("own", "other")).otherwise(F.col("outs") + F.col("own")).alias("j"),
     )
-    known = nodes.select("node", "n_shingles", "sketch")
-    least = least_estimate(threshold)
+    known = sets.select("node", "n_shingles", F.col("fine").alias("sketch"))
+    least = least_estimate(threshold, FINE)
 
     def compare(rows: list[tuple]) -> list[tuple[int, int]]:
         node, comp, n = (np.array(c, np.int64) for c in list(zip(*rows, strict=True))[:3])
         if (comp == comp[0]).all():
             return []
-        sketch = np.frombuffer(b"".join(r[3] for r in rows), np.uint16).reshape(-1, REGISTERS)
+        sketch = np.frombuffer(b"".join(r[3] for r in rows), FINE.kind).reshape(-1, FINE.registers)
         out = []
         for k in range(len(rows) - 1):
             other = slice(k + 1, None)
             agree = (sketch[other] == sketch[k]).mean(axis=1)
             sized = np.minimum(n[other], n[k]) >= threshold * np.maximum(n[other], n[k])
-            good = sized & (comp[other] != comp[k]) & (estimate(agree, n[other], n[k]) >= least)
+            good = sized & (comp[other] != comp[k]) & (estimate(agree, n[other], n[k], FINE) >= least)
             out += [(min(node[k], x), max(node[k], x)) for x in node[other][good].tolist()]
         return out
 
@@ -330,17 +355,14 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
 def _components(spark: SparkSession, docs: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float, percent: int) -> DataFrame:
     """(node, comp) for the nodes that share a bucket with another."""
     comps = members.select("node").distinct().withColumn("comp", F.col("node"))
-    sets = None
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
+    sets = written(full_sets(docs, wanted), "sets")
     for round_ in range(HUB_ROUNDS + 1):
         grouped = members.join(comps, "node").select("bucket", "node", "comp")
         if round_ < HUB_ROUNDS:
             pairs = likely(hub_pairs(grouped, round_), nodes, threshold)
         else:
-            pairs = block_pairs(grouped, nodes, threshold)
-        pairs = written(pairs, "pairs")
-        if sets is None:
-            wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
-            sets = written(full_sets(docs, wanted), "sets")
+            pairs = block_pairs(grouped, sets, threshold)
         links = written(confirmed(pairs, sets, percent), "links")
         a, b = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
         edges = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
