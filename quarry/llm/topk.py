@@ -86,31 +86,42 @@ def block_top(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.Dat
     c_ids, c, c_far = candidates["vec_id"].to_numpy(), _matrix(candidates["vector"]), _matrix(candidates["distances"])
     q_ids, q, q_far = queries["vec_id"].to_numpy(), _matrix(queries["vector"]), _matrix(queries["distances"])
     by_id = np.argsort(c_ids)
-    c_ids, c, c_far = c_ids[by_id], c[by_id], np.ascontiguousarray(c_far[by_id].T)
-    norms = (c**2).sum(axis=1)
+    c_ids, c, c_far = c_ids[by_id], c[by_id], np.ascontiguousarray(c_far[by_id].T.astype(np.float32))
+    norms, q_norms = (c**2).sum(axis=1), (q**2).sum(axis=1)
+    # scores are whole numbers; this covers the rounding of single-precision bounds
+    slack = 0.01 + 1e-5 * (norms + norms.max())
+    if np.sqrt(norms.max() * q_norms.max()) < 1 << 23:  # products and their sums are whole numbers that single precision holds
+        c, q = c.astype(np.float32), q.astype(np.float32)
+    apart = np.empty_like(c_far)
     out = []
-    for qid, x, far in zip(q_ids, q, q_far, strict=True):
-        least = np.zeros(len(c_ids))
-        for to_pivot, own in zip(c_far, far, strict=True):
-            np.maximum(least, np.abs(to_pivot - own), out=least)
-        # scores are whole numbers: 0.01 covers the rounding of the bounds
-        bound = np.floor((norms + x @ x - least**2) / 2 + 0.01)
-        bound[c_ids == qid] = -np.inf
+    for qid, x, own, far in zip(q_ids, q, q_norms, q_far.astype(np.float32), strict=True):
+        np.abs(np.subtract(c_far, far[:, None], out=apart), out=apart)
+        least = apart.max(axis=0).astype(np.float64)
+        bound = np.floor((norms + own - least**2) / 2 + slack + 1e-5 * own)
+        mine = np.searchsorted(c_ids, qid)
+        if mine < len(c_ids) and c_ids[mine] == qid:
+            bound[mine] = -np.inf
         take = min(FIRST, len(c_ids))
-        first = np.argpartition(-bound, take - 1)[:take]
-        at, score = first, c[first] @ x
-        kth = np.partition(score, -k)[-k] if len(score) > k else -np.inf
-        rest = np.flatnonzero(bound >= kth)
-        rest = rest[~np.isin(rest, first)]
-        rest = rest[np.argsort(-bound[rest], kind="stable")]
-        for begin in range(0, len(rest), STEP):
-            step = rest[begin : begin + STEP]
-            if bound[step[0]] < kth:
-                break  # bounds only fall from here: the answer is complete
-            at, score = np.concatenate([at, step]), np.concatenate([score, c[step] @ x])
-            best = np.lexsort((c_ids[at], -score))[: k + 1]
-            at, score = at[best], score[best]
-            kth = score[min(k, len(score)) - 1] if len(score) >= k else -np.inf
+        at = np.argpartition(-bound, take - 1)[:take]
+        score = c[at] @ x
+        kth = np.partition(score[bound[at] > -np.inf], -k)[-k] if take > k else -np.inf
+        todo = bound >= kth
+        todo[at] = False
+        rest = np.flatnonzero(todo)
+        if 2 * len(rest) > len(c_ids):  # bounds rule out little here: all that is left in one product
+            all_scores = c @ x
+            hopeful = np.flatnonzero(todo & (all_scores >= kth))
+            at, score = np.concatenate([at, hopeful]), np.concatenate([score, all_scores[hopeful]])
+        else:
+            rest = rest[np.argsort(-bound[rest], kind="stable")]
+            for begin in range(0, len(rest), STEP):
+                step = rest[begin : begin + STEP]
+                if bound[step[0]] < kth:
+                    break  # bounds only fall from here: the answer is complete
+                at, score = np.concatenate([at, step]), np.concatenate([score, c[step] @ x])
+                real = c_ids[at] != qid
+                if real.sum() >= k:
+                    kth = np.partition(score[real], -k)[-k]
         real = c_ids[at] != qid
         at, score = at[real], score[real]
         best = np.lexsort((c_ids[at], -score))[:k]
