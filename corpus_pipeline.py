@@ -19,6 +19,7 @@ from quarry.llm.shared import prepare, written
 from quarry.llm.toxicity import score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+CARRIED = tuple(COLUMNS[1:])
 
 
 def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -29,12 +30,14 @@ def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon finds toxic go."""
-    return _kept(docs, score_toxicity(docs, labels(spark, sf_dir)).where("predicted = 0"))
+    scored = score_toxicity(docs, labels(spark, sf_dir), carry=CARRIED)
+    return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as low quality go."""
-    return _kept(docs, score_quality(docs, labels(spark, sf_dir)).where("predicted = 1"))
+    scored = score_quality(docs, labels(spark, sf_dir), carry=CARRIED)
+    return scored.where("predicted = 1").select(*COLUMNS)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,3 +26,10 @@ def fit_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = MAX_FIT
     share = min(1.0, most / max(1, known.count()))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) < int(share * (1 << 30))
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known.where(draw)), "doc_id").select("text", "label")
+
+
+def scored_rows(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """(_text, doc_id, the columns ``carry`` besides doc_id), and the schema of all but the text."""
+    others = [c for c in carry if c != "doc_id"]
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("_text"), F.col("doc_id").cast("long").alias("doc_id"), *others)
+    return rows, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])

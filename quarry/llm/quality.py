@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.labels import MAX_FIT_ROWS, fit_rows, held_out
-from quarry.llm.shared import map_text, prepare, sliced, text_of, written
+from quarry.llm.labels import MAX_FIT_ROWS, fit_rows, held_out, scored_rows
+from quarry.llm.shared import map_text, prepare, sliced, written
 
 FEATURES = 256
 #: Kernel width in standard deviations of the statistics, and the ridge.
@@ -78,11 +78,11 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-def matrix(batch: pa.RecordBatch) -> np.ndarray:
+def matrix(batch: pa.RecordBatch, column: str = "text") -> np.ndarray:
     """Statistics of a batch; a text seen twice in it is read once."""
     seen: dict[str, list[float]] = {}
     rows = []
-    for text in batch.column("text").to_pylist():
+    for text in batch.column(column).to_pylist():
         row = seen.get(text)
         if row is None:
             row = seen[text] = statistics(text)
@@ -200,9 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS, features:
     return Model(mean, spread, waves, phases, weights, edges, values)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS, predict_at: float = PREDICT_AT) -> DataFrame:
+def score_quality(
+    docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS, predict_at: float = PREDICT_AT, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score (0 to 1, higher: label 1
-    likelier), predicted (1 if score >= ``predict_at``, else 0).
+    likelier), predicted (1 if score >= ``predict_at``, else 0), and the columns ``carry`` of ``docs``.
 
     ``labels`` (doc_id, quality) are learned from where crc32(doc_id as text) mod 5 is not 0,
     on a sample of at most ``most`` of them; only the text enters a score.  Null counts as
@@ -213,9 +215,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_FIT_ROWS,
     model = fit(docs, labels, most)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = model.score(matrix(batch)) if model else np.full(batch.num_rows, 0.5)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+        scores = model.score(matrix(batch, "_text")) if model else np.full(batch.num_rows, 0.5)
+        return pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()), *batch.columns[1:]], ["score", *batch.schema.names[1:]])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    scored = map_text(rows, "doc_id long, score double", score)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= predict_at).cast("int").alias("predicted"))
+    rows, own = scored_rows(docs, carry)
+    scored = map_text(rows, "score double, " + own, score, "_text")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= predict_at).cast("int").alias("predicted"), *carry)

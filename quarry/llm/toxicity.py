@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.labels import fit_rows, held_out
-from quarry.llm.shared import map_text, prepare, sliced, text_of, written
+from quarry.llm.labels import fit_rows, held_out, scored_rows
+from quarry.llm.shared import map_text, prepare, sliced, written
 
 #: At most about this many labelled rows are fitted on.
 FIT_ROWS = 20_000
@@ -225,9 +225,11 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Lexicon:
     return Lexicon(weights, lexicon.exceptions, _curve(x, y))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, predict_at: float = PREDICT_AT) -> DataFrame:
+def score_toxicity(
+    docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, predict_at: float = PREDICT_AT, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score (0 to 1, higher: label 1
-    likelier), predicted (1 if score >= ``predict_at``, else 0), n_hits.
+    likelier), predicted (1 if score >= ``predict_at``, else 0), n_hits, and the columns ``carry`` of ``docs``.
 
     ``labels`` (doc_id, toxic) are learned from where crc32(doc_id as text) mod 5 is not 0, on a sample
     of at most ``most`` of them; only the text enters a score.  Null counts as empty: no match,
@@ -240,16 +242,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, pre
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         c0, c1, c2 = lexicon.curve
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "_text"):
             scores, hits = [], []
-            for text in batch.column("text").to_pylist():
+            for text in batch.column("_text").to_pylist():
                 folded = fold(text)
                 weight, n = lexicon.found(folded, automaton)
                 a, b = features(weight, folded) if n else (0.0, 0.0)
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, c0 + c1 * a + c2 * b)))))
                 hits.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(hits, pa.int64())], ["doc_id", "score", "n_hits"])
+            columns = [pa.array(scores, pa.float64()), pa.array(hits, pa.int64()), *batch.columns[1:]]
+            yield pa.RecordBatch.from_arrays(columns, ["score", "n_hits", *batch.schema.names[1:]])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    scored = rows.mapInArrow(score, "doc_id long, score double, n_hits long")
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= predict_at).cast("int").alias("predicted"), "n_hits")
+    rows, own = scored_rows(docs, carry)
+    scored = rows.mapInArrow(score, "score double, n_hits long, " + own)
+    predicted = (F.col("score") >= predict_at).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted, "n_hits", *carry)
