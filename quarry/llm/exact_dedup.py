@@ -89,7 +89,8 @@ def exact_dedup(docs: DataFrame, digests=DIGESTS, pattern: str | None = None) ->
         .where("n > 1")
         .select("recipe", F.col("n").alias("group_size"), F.col("best.doc_id").alias("keep"))
     )
-    joined = lists.join(groups, "recipe", "left")
+    # written, so that both sides of the join come from an exchange and a large group can be split
+    joined = lists.join(written(groups, "recipe-groups"), "recipe", "left")
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep"))
     return joined.select(
