@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="job", required=True)
     r = sub.add_parser("register")
     r.add_argument("--events", required=True)
-    r.add_argument("--batch-id", type=int, default=0)
+    r.add_argument("--batch-id", type=int, help="replay this batch; a fresh id is taken when not given")
     sub.add_parser("bronze")
     s = sub.add_parser("silver")
     s.add_argument("--checkpoint")

@@ -7,6 +7,7 @@ and run on the executors next to the scan.
 from __future__ import annotations
 
 import datetime as _dt
+import mimetypes
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,29 +26,15 @@ COCO_JSON_PATTERN = r"(instances|captions|person_keypoints)_.*\.json$"
 # Annotation kinds the normaliser flattens; "person" (keypoints) is skipped on purpose.
 NORMALISED_KINDS = ("instances", "captions")
 SKIPPED_KINDS = ("person",)
-# Content types of a bronze object by extension, as the standard mime table gives them.
-CONTENT_TYPES = {
-    ".jpg": "image/jpeg",
-    ".jpeg": "image/jpeg",
-    ".png": "image/png",
-    ".gif": "image/gif",
-    ".bmp": "image/bmp",
-    ".webp": "image/webp",
-    ".tif": "image/tiff",
-    ".tiff": "image/tiff",
-    ".svg": "image/svg+xml",
-    ".ico": "image/vnd.microsoft.icon",
-    ".json": "application/json",
-    ".txt": "text/plain",
-    ".csv": "text/csv",
-    ".xml": "text/xml",
-    ".html": "text/html",
-    ".htm": "text/html",
-    ".zip": "application/zip",
-    ".tar": "application/x-tar",
-    ".pdf": "application/pdf",
-    ".mp4": "video/mp4",
-}
+# Content types of a bronze object by extension: the standard library's own table, without the
+# machine's files, so that every machine gives the same types.
+CONTENT_TYPES = dict(sorted(mimetypes.MimeTypes(filenames=()).types_map[True].items()))
+# Extensions of a compressed form: the type of such an object is that of its inner extension.
+ENCODINGS = tuple(sorted(x.lower() for x in mimetypes.MimeTypes(filenames=()).encodings_map))
+# Extensions that stand for two, e.g. a packed archive.
+SUFFIX_ALIASES = dict(sorted(mimetypes.MimeTypes(filenames=()).suffix_map.items()))
+# The image suffixes in any mixture of cases, for file sources.
+IMAGE_GLOB = "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in x[1:]) for x in IMAGE_SUFFIXES) + "}"
 DEFAULT_CONTENT_TYPE = "application/octet-stream"
 LOOSE_DATASET = "loose"
 MANIFEST_NAME = "manifest.json"  # a leading "_" would hide it from every Spark file source
@@ -170,11 +157,16 @@ def annotation_action(key: Column | str) -> Column:
 
 
 def content_type(key: Column | str) -> Column:
-    """Content type by (lower-cased) last extension, octet-stream when unknown."""
-    name = file_name(key)
-    ext = F.when(name.rlike(r"^.+\.[^.]+$"), F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1)))
-    table = F.create_map(*[F.lit(x) for kv in CONTENT_TYPES.items() for x in kv])
-    return F.coalesce(table[ext], F.lit(DEFAULT_CONTENT_TYPE))
+    """Content type by the last extension (in any case), of the inner extension for compressed
+    forms; octet-stream when unknown."""
+    lookup = lambda table: F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    last = lambda name: F.regexp_extract(name, r"^.*[^.].*?(\.[^.]*)$", 1)
+    name = F.lower(file_name(key))
+    alias = lookup(SUFFIX_ALIASES)[last(name)]
+    name = F.when(alias.isNotNull(), F.concat(cut_last_dot(name), alias)).otherwise(name)
+    packed = last(name).isin(*ENCODINGS)
+    inner = F.when(packed, cut_last_dot(name)).otherwise(name)
+    return F.coalesce(lookup(CONTENT_TYPES)[last(inner)], F.lit(DEFAULT_CONTENT_TYPE))
 
 
 def truncate_error(err: Column | str, n: int = ERROR_MAX_CHARS) -> Column:

@@ -30,7 +30,8 @@ from quarry.operators import bronze, gold, landing
 from quarry.operators import images as I
 from quarry.operators import manifest as M
 from quarry.operators import tables as tbl
-from quarry.operators.joins import bounded_broadcast
+from quarry.operators.joins import work_of
+from quarry.session import scratch_path
 from quarry.streaming import ledger as ledger_stream
 
 MANIFEST_FILES = S.struct(
@@ -40,6 +41,7 @@ MANIFEST_FILES = S.struct(
     ("size_bytes", S.L),
     ("crc32", S.L),
     ("source", S.S),
+    ("content_type", S.S),
     ("partner", S.S),
     ("dataset", S.S),
     ("ingest_date", S.DT),
@@ -52,6 +54,8 @@ STATUS_EVENTS = S.struct(
     ("manifest_key", S.S),
     ("file_count", S.L),
     ("error", S.S),
+    ("bronze_prefix", S.S),
+    ("batch_job_id", S.S),
 )
 
 
@@ -83,8 +87,12 @@ def _uri(c):
 
 
 # ---------------------------------------------------------------------------------------
-def register_events(spark: SparkSession, layout: Layout, events: DataFrame, batch_id: int) -> int:
-    """Batch form of the landing stream: record new drops in the ledger."""
+def register_events(spark: SparkSession, layout: Layout, events: DataFrame, batch_id: int | None = None) -> int:
+    """Batch form of the landing stream: record new drops in the ledger.  Without a
+    ``batch_id`` a fresh one is taken, so that an earlier registration is never replaced; a
+    given one replays that batch."""
+    if batch_id is None:
+        batch_id = ledger_stream.fresh_batch_id(spark, layout.ledger)
     return ledger_stream.register_batch(spark, events, batch_id, layout.ledger)
 
 
@@ -102,10 +110,20 @@ def pending_drops(spark: SparkSession, layout: Layout) -> DataFrame:
     return led.join(final, "drop_id", "left_anti")
 
 
+def _status(spark: SparkSession, df: DataFrame, status, **columns) -> DataFrame:
+    """Status events of ``df`` (drop_id); attributes not given are null."""
+    given = {"status": status, "updated_at": _now(spark), "batch_job_id": F.lit(spark.sparkContext.applicationId), **columns}
+    values = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STATUS_EVENTS.fields if f.name != "drop_id"]
+    return df.select("drop_id", *values)
+
+
 def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
-    """Unpack archives and copy loose objects of ``drops`` into bronze; write manifest
-    rows and status events.  Content flows from extraction straight into the object
-    writer within the same tasks; only entry metadata is kept between steps."""
+    """Unpack archives and copy loose objects of ``drops`` into bronze; write manifest rows,
+    manifest documents and status events.
+
+    Each distinct archive is listed and read once, however many drops deliver it, by tasks
+    whose number follows its bytes.  A drop with any entry that could not be listed, read or
+    written is FAILED and gets no manifest; so is a loose object that could not be copied."""
     routed = landing.route(drops)
     src_key = F.concat("src_bucket", F.lit("/"), "src_key")
     landing_root = layout.landing.rstrip("/") + "/"
@@ -117,79 +135,88 @@ def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
         "bronze_prefix",
         _uri(F.concat(F.lit(landing_root), src_key)).alias("upath"),
     )
-    # the work starts: UNPACKING (with the bronze prefix) for every archive drop
-    archives.select(
-        "drop_id",
-        F.lit("UNPACKING").alias("status"),
-        _now(spark).alias("updated_at"),
-        F.lit(None).cast("string").alias("bronze_key"),
-        F.lit(None).cast("string").alias("manifest_key"),
-        F.lit(None).cast("long").alias("file_count"),
-        F.lit(None).cast("string").alias("error"),
-    ).write.mode("append").parquet(layout.ledger_status)
-    arch_side, _ = bounded_broadcast(archives)
-    listing = (
-        bronze.list_entries(archives.select(F.col("upath").alias("path")))
-        .withColumn("upath", _uri("archive_path"))
-        .join(arch_side, "upath")
-        .withColumn("key", F.concat("bronze_prefix", "path"))
-        .persist()
+    prefix = {"bronze_prefix": F.col("bronze_prefix")}
+    for state in ("SUBMITTED", "UNPACKING"):
+        _status(spark, archives, F.lit(state), **prefix).write.mode("append").parquet(layout.ledger_status)
+
+    listing_path, written_path = scratch_path(spark, "listing"), scratch_path(spark, "unpacked")
+    paths = archives.select(F.col("upath").alias("path")).distinct()
+    bronze.list_entries(paths).withColumn("upath", _uri("archive_path")).write.parquet(listing_path)
+    listing = spark.read.parquet(listing_path)
+    targets = archives.select("upath", "bronze_prefix").distinct()
+    entries = (
+        listing.where("error is null")
+        .join(targets.groupBy("upath").agg(F.collect_set("bronze_prefix").alias("prefixes")), "upath")  # one per delivery day
+        .withColumn("keys", F.transform("prefixes", lambda p: F.concat(p, F.col("path"))))
     )
-    ok = listing.where(F.col("error").isNull())
-    extracted = bronze.extract(ok.select(*bronze.ENTRY_LIST.fieldNames()))
-    keyed = extracted.withColumn("upath", _uri("archive_path")).join(arch_side.select("upath", "bronze_prefix"), "upath")
-    writes = bronze.write_objects(keyed.select(F.concat("bronze_prefix", "path").alias("key"), "content"), layout.bronze)
-    failed = writes.where(F.col("error").isNotNull()).select("key", "error")
-    bad = failed.limit(1).collect()
-    if bad:
-        raise IOError(f"bronze write failed for {bad[0].key}: {bad[0].error}")
-    files = ok.select(
-        "drop_id", "pos", "key", "size_bytes", "crc32", F.col("upath").alias("source"), "partner", "dataset", "ingest_date"
+    n_bytes, n_rows = work_of(listing, F.col("size_bytes"))
+    bronze.unpack_to(entries, layout.bronze, n_bytes, n_rows).withColumn("upath", _uri("archive_path")).write.parquet(written_path)
+    written = spark.read.parquet(written_path)
+
+    # outcome of each archive and prefix: entries written, and the first error of any step
+    of_key = F.expr("substring(key, 1, length(bronze_prefix)) = bronze_prefix")
+    placed = written.withColumnRenamed("upath", "w_upath").join(targets, (F.col("w_upath") == F.col("upath")) & of_key).drop("w_upath")
+    done = placed.groupBy("upath", "bronze_prefix").agg(
+        F.count_if(F.col("error").isNull()).alias("file_count"),
+        F.sum(F.when(F.col("error").isNull(), F.col("size_bytes"))).alias("total_bytes"),
+        F.min("error").alias("write_error"),
     )
-    tbl.stage(files, layout.manifests, S.DROP_PARTITION)
-    outcome = listing.groupBy("drop_id", "bronze_prefix").agg(
-        F.count_if(F.col("error").isNull()).alias("file_count"), F.min("error").alias("error")
+    unlisted = listing.where("error is not null").groupBy("upath").agg(F.min("error").alias("list_error"))
+    outcome = (
+        archives.join(done, ["upath", "bronze_prefix"], "left")
+        .join(unlisted, "upath", "left")
+        .withColumn("error", F.coalesce("list_error", "write_error"))
+        .withColumn("file_count", F.coalesce("file_count", F.lit(0)))
+        .withColumn("total_bytes", F.coalesce("total_bytes", F.lit(0)).cast("long"))
+        .withColumn("manifest_key", F.concat("bronze_prefix", F.lit(K.MANIFEST_NAME)))
     )
-    status = outcome.select(
-        "drop_id",
-        F.when(F.col("error").isNull(), F.lit("DONE")).otherwise(F.lit("FAILED")).alias("status"),
-        _now(spark).alias("updated_at"),
-        F.lit(None).cast("string").alias("bronze_key"),
-        F.concat("bronze_prefix", F.lit(K.MANIFEST_NAME)).alias("manifest_key"),
-        "file_count",
-        K.truncate_error("error", K.LEDGER_ERROR_MAX_CHARS).alias("error"),
+    good = outcome.where("error is null")
+    named = good.withColumnRenamed("error", "drop_error").join(
+        placed.select("upath", "bronze_prefix", "pos", "key", "size_bytes", "crc32"), ["upath", "bronze_prefix"], "left"
+    )
+    named = named.withColumn("source", F.col("upath")).withColumn("content_type", K.content_type("key"))
+    tbl.stage(named.where("key is not null").select(*MANIFEST_FILES.fieldNames()), layout.manifests, S.DROP_PARTITION)
+    stamped = named.withColumn("completed_at", F.date_format(_now(spark), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
+    latest = stamped.withColumn("ingest_date", F.col("ingest_date").cast("string"))
+    bronze.write_manifest_documents(latest, layout.bronze).count()  # every document is written before any drop is DONE
+    final = _status(
+        spark,
+        outcome,
+        F.when(F.col("error").isNull(), F.lit("DONE")).otherwise(F.lit("FAILED")),
+        manifest_key=F.when(F.col("error").isNull(), F.col("manifest_key")),
+        file_count=F.col("file_count"),
+        error=K.truncate_error("error", K.LEDGER_ERROR_MAX_CHARS),
+        **prefix,
     )
+    final.write.mode("append").parquet(layout.ledger_status)
+
     # loose objects: fetched by key on the executors, copied under dataset=loose
     loose = routed.where(F.col("action") == "copy").select("drop_id", "bronze_key", src_key.alias("key"))
-    copied = bronze.read_objects(loose, layout.landing)
-    bronze.write_objects(copied.select(F.col("bronze_key").alias("key"), "content"), layout.bronze).count()
-    status = status.unionByName(
-        loose.select(
-            "drop_id",
-            F.lit("DONE").alias("status"),
-            _now(spark).alias("updated_at"),
-            "bronze_key",
-            F.lit(None).cast("string").alias("manifest_key"),
-            F.lit(1).cast("long").alias("file_count"),
-            F.lit(None).cast("string").alias("error"),
-        )
-    )
-    status.write.mode("append").parquet(layout.ledger_status)
-    listing.unpersist()
+    copied = bronze.copy_objects(loose, layout.landing, layout.bronze)
+    ok = F.col("error").isNull()
+    _status(
+        spark,
+        copied,
+        F.when(ok, F.lit("DONE")).otherwise(F.lit("FAILED")),
+        bronze_key=F.when(ok, F.col("bronze_key")),
+        file_count=F.when(ok, F.lit(1)).otherwise(F.lit(0)),
+        error=K.truncate_error("error", K.LEDGER_ERROR_MAX_CHARS),
+    ).write.mode("append").parquet(layout.ledger_status)
 
 
 def silver_job(spark: SparkSession, layout: Layout, files: DataFrame) -> DataFrame:
     """Profile the images and normalise the annotation documents listed in manifest rows
     ``files``; results go to staging.  Returns the routing of each drop."""
     routing = M.silver_routing(files, "drop_id", "key")
-    listed = files.where(K.is_image_key("key")).select("key", "partner", "dataset", "ingest_date")
-    meta = I.stored_image_metadata(listed, layout.bronze).persist()
+    # a key that several deliveries list is one object
+    listed = files.where(K.is_image_key("key")).groupBy("key", "partner", "dataset", "ingest_date").agg(F.max("size_bytes").alias("size_bytes"))
+    meta = I.stored_image_metadata(listed, layout.bronze, *work_of(listed, F.col("size_bytes"))).persist()
     tbl.stage(meta, layout.staging("image_metadata"), S.DROP_PARTITION)
     write_thumbnails(spark, layout, meta)
     meta.unpersist()
     ann_files = files.select(
         F.concat(F.lit(layout.bronze.rstrip("/") + "/"), "key").alias("path"), "partner", "dataset", "ingest_date"
-    )
+    ).distinct()
     normalized = A.normalize(spark, ann_files)
     for table, df in A.tables_of(normalized).items():
         tbl.stage(df, layout.staging(table), S.SLICE_PARTITION)
@@ -197,13 +224,10 @@ def silver_job(spark: SparkSession, layout: Layout, files: DataFrame) -> DataFra
     return routing
 
 
-# Image files the JVM image source decodes (it has no WebP reader).
-DECODABLE = "*.{jpg,jpeg,png,bmp,gif,JPG,JPEG,PNG,BMP,GIF}"
-
-
 def write_thumbnails(spark: SparkSession, layout: Layout, meta: DataFrame) -> int:
     """Thumbnails of the profiled images that had no error, decoded by Spark's image
-    source from the drops' bronze folders, stored as a table keyed by thumbnail_key."""
+    source from the drops' bronze folders, stored as a table keyed by thumbnail_key.  An image that
+    the decoder does not read is a row with an error and no content, never a missing row."""
     ok = meta.where(F.col("thumbnail_key").isNotNull())
     prefixes = [r[0] for r in ok.select(K.hive_prefix("partner", "dataset", "ingest_date")).distinct().collect()]
     if not prefixes:
@@ -213,7 +237,7 @@ def write_thumbnails(spark: SparkSession, layout: Layout, meta: DataFrame) -> in
         spark.read.format("image")
         .option("dropInvalid", True)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", DECODABLE)
+        .option("pathGlobFilter", K.IMAGE_GLOB)
         .load(paths)
     )
     root = layout.bronze.rstrip("/") + "/"
@@ -225,10 +249,16 @@ def write_thumbnails(spark: SparkSession, layout: Layout, meta: DataFrame) -> in
         F.col("height").alias("thumb_height"),
         "content",
     )
-    out = th.join(ok.select("bronze_key", "thumbnail_key", "partner", "dataset", "ingest_date"), "bronze_key")
+    out = ok.select("bronze_key", "thumbnail_key", "partner", "dataset", "ingest_date").join(th, "bronze_key", "left")
+    out = out.withColumn("error", F.when(F.col("content").isNull(), F.lit("not decodable by the image source")))
     return tbl.stage(out, layout.thumbnails, S.DROP_PARTITION)
 
 
+def missing_thumbnails(meta: DataFrame, thumbnails: DataFrame) -> DataFrame:
+    """Images whose metadata names a thumbnail that has no row in the thumbnail table."""
+    return meta.where("thumbnail_key is not null").join(thumbnails.select("thumbnail_key"), "thumbnail_key", "left_anti")
+
+
 def silver_build(spark: SparkSession, layout: Layout, ingest_date: str | None = None) -> dict[str, int]:
     """Staging -> silver tables: create on first run, MERGE image_metadata on bronze_key,
     replace the staged partitions of the annotation tables.  Returns row counts."""

@@ -96,22 +96,30 @@ def _uri(c):
     return F.regexp_replace(c, r"^file:/+", "file:/")
 
 
+def _complete(schema, kind: str):
+    """The document as a struct; a missing array fails the job."""
+    names = [n for n in schema.fieldNames() if schema[n].dataType.typeName() == "array"]
+    lacks = F.lit(False)
+    for n in names:
+        lacks = lacks | F.col(n).isNull()
+    doc = F.struct(*[F.col(n) for n in schema.fieldNames()])
+    return F.when(lacks, F.raise_error(F.lit(f"{kind} document without one of the arrays {names}")).cast(schema)).otherwise(doc)
+
+
 def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "split") -> dict[str, DataFrame]:
     """Annotation documents listed in ``files`` (path, partner, dataset, ingest_date) ->
     ``coco_images``, ``coco_categories``, ``coco_annotations``, ``coco_captions``.
 
     ``reader="split"`` (default) cuts each document into byte-range spans of whole array
-    elements and parses the spans in parallel (``sources.coco_split``); ``reader="stream"``
-    walks each document element by element in one task with bounded memory
-    (``sources.coco_stream``); ``reader="json"`` uses Spark's JSON reader with the subset
-    schemas (one document per row).  Either way: keypoints files are skipped, base
-    columns and the split come from the manifest row, malformed documents fail the job,
-    and each document is parsed once (the rows are cached for the four tables; the
-    cache is released with ``release(tables)``).
+    elements and parses the spans in parallel (``sources.coco_split``); ``reader="json"``
+    uses Spark's JSON reader with the subset schemas (one document per row).  Either way:
+    keypoints files are skipped, base columns and the split come from the manifest row,
+    malformed documents and documents without a required array fail the job, and each
+    document is parsed once (the rows are cached for the four tables; the cache is released
+    with ``release(tables)``).
     """
     from quarry import schemas as S
-    from quarry.operators.joins import bounded_broadcast
-    from quarry.sources import coco_split, coco_stream
+    from quarry.sources import coco_split
     from quarry.sources.documents import read_json_docs
 
     f = with_kind(files, path_col).where(F.col("action").isin("instances", "captions"))
@@ -123,13 +131,11 @@ def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "sp
         "split",
         F.col("action").alias("kind"),
     )
-    base_side, _ = bounded_broadcast(base)
-    if reader in ("split", "stream"):
-        read_rows = coco_split.read_annotation_rows if reader == "split" else coco_stream.read_annotation_rows
+    if reader == "split":
         rows = (
-            read_rows(f.select(path_col, F.col("action").alias("kind")), path_col)
+            coco_split.read_annotation_rows(f.select(path_col, F.col("action").alias("kind")), path_col)
             .withColumn("source_path", _uri(F.col("source_path")))
-            .join(base_side, ["source_path", "kind"])
+            .join(base, ["source_path", "kind"])
             .persist()
         )
 
@@ -165,8 +171,8 @@ def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "sp
             raw = read_json_docs(spark, paths, schema, multi_line=True, with_path=True)
             raw = raw.withColumn("source_path", _uri(F.col("source_path")))
             docs = (
-                raw.join(base_side.where(F.col("kind") == kind), "source_path")
-                .select(*S.SLICE_PARTITION, F.struct(*[F.col(n) for n in schema.fieldNames()]).alias("doc"))
+                raw.join(base.where(F.col("kind") == kind), "source_path")
+                .select(*S.SLICE_PARTITION, _complete(schema, kind).alias("doc"))
                 .persist()
             )
             out.setdefault("_caches", []).append(docs)

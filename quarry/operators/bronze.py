@@ -5,9 +5,11 @@ Two phases, so one large archive never becomes one task:
    entry (name, sizes, CRC, position).  Directory entries are dropped; absolute names and
    names with ``..`` are rejected with an error row (the drop is then FAILED); a corrupt
    archive gives one error row.
-2. ``extract``: the entry rows are repartitioned (a hot archive spreads over the cluster),
-   and each task opens the archives it needs with random access and reads just its
-   entries; the CRC is verified on read.
+2. ``extract`` / ``unpack_to``: the entry rows are dealt over as many tasks as their bytes
+   ask for (a hot archive spreads over the cluster), and each task opens the archives it
+   needs with random access and reads just its entries; the CRC is verified on read.
+   ``unpack_to`` writes each entry as an object in the same task; an entry that cannot be
+   read or written is a row with an error, never a failed job.
 
 Archives are opened through ``pyarrow.fs`` from their path, so nothing larger than one
 entry is held in memory, and binary-file size limits do not apply to the archive.
@@ -16,6 +18,7 @@ entry is held in memory, and binary-file size limits do not apply to the archive
 from __future__ import annotations
 
 import io
+import json
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.functions import keys as K
+from quarry.operators.joins import spread
 from quarry.session import ship_code
 
 ENTRY_LIST = S.struct(
@@ -124,7 +128,7 @@ def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def list_entries(archives: DataFrame, path_col: str = "path") -> DataFrame:
     """One row per file entry of each archive (no content read)."""
     ship_code(archives.sparkSession)
-    return archives.select(F.col(path_col).alias("path")).mapInArrow(_list_batches, ENTRY_LIST)
+    return spread(archives.select(F.col(path_col).alias("path")), ["path"]).mapInArrow(_list_batches, ENTRY_LIST)
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,12 +170,43 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def extract(entries: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Entry rows -> entry rows with ``content``; spread over ``partitions`` tasks first."""
+    """Entry rows -> entry rows with ``content``; dealt over ``partitions`` tasks first (one
+    per core at least)."""
     ship_code(entries.sparkSession)
-    spread = entries.repartition(partitions, "archive_path", "pos") if partitions else entries.repartition(
-        "archive_path", "pos"
-    )
-    return spread.mapInArrow(_extract_batches, ENTRY_CONTENT)
+    keys = ["archive_path", "pos"]
+    dealt = entries.repartition(partitions, *keys) if partitions else spread(entries, keys)
+    return dealt.mapInArrow(_extract_batches, ENTRY_CONTENT)
+
+
+WRITTEN = S.struct(("archive_path", S.S), ("key", S.S), ("pos", S.L), ("size_bytes", S.L), ("crc32", S.L), ("error", S.S))
+
+
+def _unpack_batches(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = WRITTEN.fieldNames()
+        schema = pa.schema(list(zip(names, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)))
+        for b in batches:
+            keys = dict(zip(zip(b.column("archive_path").to_pylist(), b.column("pos").to_pylist(), strict=True), b.column("keys").to_pylist(), strict=True))
+            for part in _extract_batches(iter([b.drop_columns(["keys"])])):
+                out = []
+                for r in part.to_pylist():
+                    content, error = r.pop("content"), r["error"]
+                    for key in keys[r["archive_path"], r["pos"]]:
+                        if content is not None:
+                            error = _put(f"{root.rstrip('/')}/{key}", content)
+                        out.append({n: {**r, "key": key, "error": error}[n] for n in names})
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+def unpack_to(entries: DataFrame, root: str, total_bytes: int, total_rows: int) -> DataFrame:
+    """Reads each entry (columns of ``ENTRY_LIST`` and ``keys``, the object keys it goes to)
+    once and writes it to ``root``; content never leaves the task.  One row per key with its
+    error, if any."""
+    ship_code(entries.sparkSession)
+    rows = entries.select(*ENTRY_LIST.fieldNames(), "keys")
+    return spread(rows, ["archive_path", "pos"], total_bytes, total_rows).mapInArrow(_unpack_batches(root), WRITTEN)
 
 
 def unpack(archives: DataFrame, path_col: str = "path", partitions: int | None = None) -> DataFrame:
@@ -204,24 +239,98 @@ def drop_outcome(entries: DataFrame) -> DataFrame:
     ).withColumn("status", F.when(F.col("error").isNull(), F.lit("DONE")).otherwise(F.lit("FAILED")))
 
 
+def _put(path: str, content: bytes) -> str | None:
+    """Writes one object; the error, if any."""
+    try:
+        with _open_out(path) as fh:
+            fh.write(content)
+    except Exception as exc:
+        return str(exc)[:1000] or type(exc).__name__
+    return None
+
+
 def _write_batches(root: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.string()), ("size_bytes", pa.int64()), ("crc32", pa.int64()), ("error", pa.string())])
         for b in batches:
             out = []
-            for key, content in zip(b.column("key").to_pylist(), b.column("content").to_pylist()):
-                err = None
+            for key, content in zip(b.column("key").to_pylist(), b.column("content").to_pylist(), strict=True):
+                if content is None:
+                    out.append({"key": key, "size_bytes": None, "crc32": None, "error": "no content"})
+                else:
+                    error = _put(f"{root.rstrip('/')}/{key}", content)
+                    out.append({"key": key, "size_bytes": len(content), "crc32": zlib.crc32(content), "error": error})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+def _copy_batches(source: str, target: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("drop_id", pa.string()), ("bronze_key", pa.string()), ("size_bytes", pa.int64()), ("error", pa.string())])
+        for b in batches:
+            for drop, key, to in zip(*(b.column(c).to_pylist() for c in ("drop_id", "key", "bronze_key")), strict=True):
+                size, error = None, None
                 try:
-                    with _open_out(f"{root.rstrip('/')}/{key}") as fh:
-                        fh.write(content)
+                    with _open(f"{source.rstrip('/')}/{key}") as fh:
+                        content = fh.read()
+                    size, error = len(content), _put(f"{target.rstrip('/')}/{to}", content)
                 except Exception as exc:
-                    err = str(exc)[:1000]
-                out.append({"key": key, "size_bytes": len(content), "crc32": zlib.crc32(content), "error": err})
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    error = str(exc)[:1000] or type(exc).__name__
+                yield pa.RecordBatch.from_pylist([{"drop_id": drop, "bronze_key": to, "size_bytes": size, "error": error}], schema=schema)
 
     return run
 
 
+def copy_objects(loose: DataFrame, source: str, target: str) -> DataFrame:
+    """Copies ``source/key`` to ``target/bronze_key`` for each row (drop_id, key, bronze_key) on
+    the executors; one row per drop with its error, if any."""
+    ship_code(loose.sparkSession)
+    schema = S.struct(("drop_id", S.S), ("bronze_key", S.S), ("size_bytes", S.L), ("error", S.S))
+    return spread(loose.select("drop_id", "key", "bronze_key"), ["drop_id"]).mapInArrow(_copy_batches(source, target), schema)
+
+
+def _document_batches(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, fh, first = None, None, True
+
+        def close():
+            if fh is not None:
+                fh.write(b"]}")
+                fh.close()
+
+        for b in batches:
+            for r in b.to_pylist():
+                if r["drop_id"] != current:
+                    close()
+                    current, first = r["drop_id"], True
+                    head = {n: r[n] for n in DOCUMENT_HEAD}
+                    fh = _open_out(f"{root.rstrip('/')}/{r['manifest_key']}")
+                    fh.write((json.dumps(head, default=str)[:-1] + ', "files": [').encode())
+                    yield pa.RecordBatch.from_pylist([{"drop_id": current, "manifest_key": r["manifest_key"]}])
+                if r["key"] is not None:
+                    entry = {n: r[n] for n in ("key", "size_bytes", "crc32", "content_type")}
+                    fh.write((("" if first else ",") + json.dumps(entry)).encode())
+                    first = False
+        close()
+
+    return run
+
+
+DOCUMENT_HEAD = ("drop_id", "partner", "dataset", "ingest_date", "source", "completed_at", "file_count", "total_bytes")
+
+
+def write_manifest_documents(files: DataFrame, root: str) -> DataFrame:
+    """One JSON document per drop at ``root/manifest_key``: the fields of ``DOCUMENT_HEAD`` and
+    ``files`` in archive order.  Rows hold the head columns, manifest_key, pos, key, size_bytes, crc32
+    and content_type (a drop without files is one row with null key).  A document is one
+    object, so one task writes it, row by row."""
+    ship_code(files.sparkSession)
+    rows = files.select(*DOCUMENT_HEAD, "manifest_key", "pos", "key", "size_bytes", "crc32", "content_type")
+    dealt = spread(rows, ["drop_id"]).sortWithinPartitions("drop_id", "pos")
+    return dealt.mapInArrow(_document_batches(root), "drop_id string, manifest_key string")
+
+
 def write_objects(objects: DataFrame, root: str) -> DataFrame:
     """Write each (key, content) row as an object at ``root/key`` from the executors
     (deterministic keys: a re-run rewrites the same bytes).  Returns key, size, CRC, error."""

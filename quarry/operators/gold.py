@@ -10,8 +10,8 @@ Semantics kept on purpose (they are what users of the reference get today):
 - duplicate category rows multiply counts, exactly as a join-then-aggregate would;
 - ``n_categories`` counts distinct category *names*, not ids;
 - images join metadata on file name, and images whose profiling failed are kept (their
-  thumbnail key is null); a file name with several metadata rows in one delivery fails
-  the build rather than fanning out into all pairs of that name;
+  thumbnail key is null); a file name with several metadata rows in one delivery gives a
+  row for each, and ``repeated_file_names`` reports such names;
 - ``dataset`` of ``category_stats`` is the *images* dataset given by the caller.
 """
 
@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.keys import date_lit
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from quarry.schemas import SLICE_PARTITION
 
 CATEGORY_KEY = SLICE_PARTITION + ["category_id"]
@@ -53,35 +52,12 @@ def scan_slice(
     return df
 
 
-def _labelled(
-    ann: DataFrame, cat: DataFrame, max_broadcast_rows: int, grain: list[str], area_type: str = "double"
-) -> DataFrame:
-    """Annotations joined to their category rows (inner join on slice + category_id).
-
-    With a small category side (checked) the join is a broadcast hash join and the raw
-    annotations never shuffle for it.  Otherwise annotations are first combined to
-    ``grain`` (partial aggregation before any shuffle, so a hot category shrinks to one
-    row per image) and the join is a shuffle join that AQE can split when skewed.
-    """
-    cat = cat.select(*CATEGORY_KEY, "name", "supercategory")
-    cat_side, small = bounded_broadcast(cat, max_broadcast_rows)
-    if small:
-        a = ann.select(
-            *CATEGORY_KEY,
-            "image_id",
-            F.lit(1).cast("long").alias("n_ann"),
-            F.col("area").cast(area_type).alias("area_sum"),
-            F.col("area").isNotNull().cast("long").alias("area_n"),
-            F.col("iscrowd").alias("crowd"),
-        )
-    else:
-        a = ann.groupBy(*CATEGORY_KEY, *grain).agg(
-            F.count(F.lit(1)).alias("n_ann"),
-            F.sum(F.col("area").cast(area_type)).alias("area_sum"),
-            F.count("area").alias("area_n"),
-            F.sum("iscrowd").alias("crowd"),
-        )
-    return a.join(cat_side, CATEGORY_KEY, "inner")
+def _labelled(ann: DataFrame, cat: DataFrame, area_type: str = "double") -> DataFrame:
+    """Annotations joined to their category rows (inner join on slice + category_id).  A
+    plain join: the category side is broadcast when its measured bytes allow it, and
+    otherwise adaptive execution splits a hot category."""
+    a = ann.select(*CATEGORY_KEY, "image_id", F.col("area").cast(area_type).alias("area"), "iscrowd")
+    return a.join(cat.select(*CATEGORY_KEY, "name", "supercategory"), CATEGORY_KEY, "inner")
 
 
 def category_stats(
@@ -89,22 +65,21 @@ def category_stats(
     cat: DataFrame,
     images_dataset: str,
     area_scale: int | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Per category: annotation count, distinct images, average area, crowd count.
+    """Per category of each annotation slice: annotation count, distinct images, average
+    area, crowd count.  Splits and datasets are never merged.
 
     ``area_scale``: when set, the average is a decimal sum at that scale divided by the
     count, which is exact and independent of partitioning (a double sum is not); when
     None it is the plain ``avg``.
     """
     area_type = "double" if area_scale is None else f"decimal(38,{area_scale})"
-    j = _labelled(ann, cat, max_broadcast_rows, ["image_id"], area_type)
-    avg_area = F.sum("area_sum").cast("double") / F.sum("area_n")
-    return j.groupBy("partner", "ingest_date", "category_id", "name", "supercategory").agg(
-        F.sum("n_ann").alias("n_annotations"),
+    j = _labelled(ann, cat, area_type)
+    return j.groupBy(*CATEGORY_KEY, "name", "supercategory").agg(
+        F.count(F.lit(1)).alias("n_annotations"),
         F.count_distinct("image_id").alias("n_images"),
-        avg_area.alias("avg_area"),
-        F.sum("crowd").cast("long").alias("crowd_annotations"),
+        (F.sum("area").cast("double") / F.count("area")).alias("avg_area"),
+        F.sum("iscrowd").cast("long").alias("crowd_annotations"),
     ).select(
         "partner",
         F.lit(images_dataset).alias("dataset"),
@@ -119,20 +94,18 @@ def category_stats(
     )
 
 
-def per_image_labels(
-    ann: DataFrame, cat: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
+def per_image_labels(ann: DataFrame, cat: DataFrame) -> DataFrame:
     """Per image: annotation count, distinct category names and their sorted list.
 
     The distinct names are one ``collect_set`` (partially aggregated map-side, bounded by
     the number of category names); its size is the distinct count, so no separate
     distinct-aggregate pass is needed.
     """
-    j = _labelled(ann, cat, max_broadcast_rows, ["image_id"])
+    j = _labelled(ann, cat)
     names = F.collect_set("name")
     return (
         j.groupBy(*IMAGE_KEY)
-        .agg(F.sum("n_ann").alias("n_annotations"), names.alias("_names"))
+        .agg(F.count(F.lit(1)).alias("n_annotations"), names.alias("_names"))
         .select(
             *IMAGE_KEY,
             "n_annotations",
@@ -142,52 +115,38 @@ def per_image_labels(
     )
 
 
-def ml_manifest(
-    img: DataFrame,
-    meta: DataFrame,
-    ann: DataFrame,
-    cat: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def repeated_file_names(meta: DataFrame) -> DataFrame:
+    """File names that have several metadata rows in one delivery (the manifest has a row for each)."""
+    return meta.groupBy("partner", "ingest_date", "file_name").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+
+
+def ml_manifest(img: DataFrame, meta: DataFrame, ann: DataFrame, cat: DataFrame) -> DataFrame:
     """Per image: bronze / thumbnail keys, dimensions, checksum and label summary.
 
     images x metadata is an inner join on file name (within partner and ingest date);
     the label summary is a left join with 0 / 0 / '' defaults.
     """
-    labels = per_image_labels(ann, cat, max_broadcast_rows)
-    i = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
-    # Each name must have one metadata row: a hash-aggregated count per name (fixed-width
-    # buffer, no sort) is joined back on the same keys, so the metadata is shuffled once
-    # for both joins, and a repeated name fails on its first output row instead of
-    # emitting all pairs of a hot name group.
-    mkeys = ["m_partner", "m_ingest_date", "m_file_name"]
-    m0 = meta.select(
-        F.col("partner").alias("m_partner"),
-        F.col("ingest_date").alias("m_ingest_date"),
-        F.col("file_name").alias("m_file_name"),
-        F.col("dataset").alias("m_dataset"),
+    images = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
+    stored = meta.select(
+        "partner",
+        F.col("dataset").alias("stored_dataset"),
+        "ingest_date",
+        "file_name",
         "bronze_key",
         "thumbnail_key",
         "size_bytes",
         "sha256",
     )
-    m = m0.join(m0.groupBy(*mkeys).agg(F.count(F.lit(1)).alias("_n")), mkeys)
-    joined = i.join(
-        m,
-        (i.partner == m.m_partner) & (i.ingest_date == m.m_ingest_date) & (i.file_name == m.m_file_name),
-        "inner",
-    )
-    out = joined.join(labels, IMAGE_KEY, "left")
-    dup = F.raise_error(F.concat(F.lit("image metadata has several rows for file name "), F.col("file_name")))
-    return out.select(
-        F.col("m_partner").alias("partner"),
-        F.col("m_dataset").alias("dataset"),
-        F.col("m_ingest_date").alias("ingest_date"),
+    labelled = images.join(stored, ["partner", "ingest_date", "file_name"], "inner").join(per_image_labels(ann, cat), IMAGE_KEY, "left")
+    return labelled.select(
+        "partner",
+        F.col("stored_dataset").alias("dataset"),
+        "ingest_date",
         "image_id",
         "file_name",
         "width",
         "height",
-        F.when(F.col("_n") > 1, dup.cast("string")).otherwise(F.col("bronze_key")).alias("bronze_key"),
+        "bronze_key",
         "thumbnail_key",
         "size_bytes",
         "sha256",

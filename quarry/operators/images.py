@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry import schemas as S
 from quarry.functions import image_headers as H
 from quarry.functions import keys as K
+from quarry.operators.joins import spread
 from quarry.session import ship_code
 
 
@@ -238,12 +239,14 @@ def _stored_batches(root: str):
     return run
 
 
-def stored_image_metadata(keys: DataFrame, root: str) -> DataFrame:
+def stored_image_metadata(keys: DataFrame, root: str, total_bytes: int = 0, total_rows: int = 0) -> DataFrame:
     """image_metadata rows for objects stored at ``root/key`` (``keys``: key, partner,
     dataset, ingest_date): each object is fetched once on an executor and hashed and
-    profiled there, so its bytes never cross into the JVM."""
+    profiled there, so its bytes never cross into the JVM.  The keys are dealt over as many tasks
+    as ``total_bytes`` and ``total_rows`` of objects ask for (one per core at least)."""
     ship_code(keys.sparkSession)
     keys = keys.select("key", "partner", "dataset", F.col("ingest_date").cast("date").alias("ingest_date"))
+    keys = spread(keys, ["key"], total_bytes, total_rows)
     schema = S.T.StructType(
         list(PROFILE.fields)
         + [S.T.StructField("size_bytes", S.L), S.T.StructField("sha256", S.S)]

@@ -1,24 +1,31 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""How many tasks heavy per-row work is spread over."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it has at most this many rows.  The probe reads
-# at most ``max_rows + 1`` rows (a LIMIT), so it costs little whatever the table size.
-DEFAULT_BROADCAST_ROWS = 200_000
+#: Bytes of content one task of extraction, fetching or parsing should handle, and rows at most.
+TASK_BYTES, TASK_ROWS = 128 << 20, 2_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def spread(rows: DataFrame, keys: list[str], total_bytes: int | None = None, total_rows: int = 0) -> DataFrame:
+    """``rows`` (small descriptions of heavy work) dealt over tasks by a hash of ``keys``.
 
+    The number of partitions follows the bytes and rows of work, not the size of the
+    descriptions; given as a number, adaptive execution does not merge them.  At least one
+    partition per core, so that a single large archive or document still uses the cluster; where
+    the work is not known, as many as the session shuffles to."""
+    spark = rows.sparkSession
+    least = spark.sparkContext.defaultParallelism
+    if total_bytes is None and not total_rows:
+        least = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(least, -(-(total_bytes or 0) // TASK_BYTES), -(-total_rows // TASK_ROWS))
+    return rows.repartition(int(n), *keys)
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when the size check passes, else ``(df, False)`` so the
-    join falls back to a shuffle join (which AQE may still turn into a broadcast at run
-    time from measured sizes, or split when skewed)."""
-    if fits_broadcast(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+
+def work_of(rows: DataFrame, size: Column | None = None) -> tuple[int, int]:
+    """(bytes, rows) of the work that ``rows`` describe; one aggregate over small rows."""
+    total = F.sum(size) if size is not None else F.lit(0)
+    r = rows.agg(F.coalesce(total, F.lit(0)).cast("long").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    return r.b, r.n

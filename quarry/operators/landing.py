@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import keys as K
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 # Ledger statuses and their order; a terminal status is never hidden by a
 # late earlier one (a SUBMITTED written after DONE stays below it).
@@ -92,21 +91,15 @@ def first_seen(objects: DataFrame) -> DataFrame:
     )
 
 
-def insert_if_absent(
-    ledger: DataFrame, candidates: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
+def insert_if_absent(ledger: DataFrame, candidates: DataFrame) -> DataFrame:
     """Rows of ``candidates`` (one per drop id) whose drop id is not in ``ledger`` yet:
     the conditional put of the reference, for a whole batch at once.
 
-    When the batch is small (checked), the ledger is semi-joined against the broadcast
-    batch ids (a scan of one column, no shuffle of the ledger) and the batch is then
-    anti-joined against the few ids found.  Otherwise a plain shuffle anti-join.
-    """
-    ids = candidates.select("drop_id")
-    if fits_broadcast(ids, max_broadcast_rows):
-        seen = ledger.select("drop_id").join(F.broadcast(ids.distinct()), "drop_id", "left_semi")
-        return candidates.join(F.broadcast(seen.distinct()), "drop_id", "left_anti")
-    return candidates.join(ledger.select("drop_id"), "drop_id", "left_anti")
+    The ledger is first reduced to the batch's ids: a semi-join whose small side (the batch)
+    is broadcast when its measured bytes allow it, so the ledger is scanned for one column and
+    not shuffled.  The batch is then anti-joined against the few ids found."""
+    seen = ledger.select("drop_id").join(candidates.select("drop_id"), "drop_id", "left_semi")
+    return candidates.join(seen, "drop_id", "left_anti")
 
 
 def status_rank(status: Column | str) -> Column:

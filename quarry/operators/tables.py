@@ -8,7 +8,8 @@ second scan) and appends a row to the table's version log.
 
 Upsert without a table format (no MERGE on plain parquet):
 1. fail if a staged key that matches the target occurs twice in the staged rows;
-2. touched partitions = staged partitions + partitions of target rows whose key is staged;
+2. touched partitions = staged partitions + partitions of target rows whose key is staged
+   (a table, joined on the partition columns, so their number is not bounded);
 3. result = staged + target rows of touched partitions whose key is not staged
    (null keys never match, so they stay);
 4. the result is checkpointed (lineage cut, so the overwrite never re-reads the files it
@@ -20,14 +21,14 @@ The commit is per partition, not atomic across partitions.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, scratch_path
 
 VERSION_LOG = T.StructType(
     [
@@ -186,22 +187,13 @@ def replace(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[
     return rows
 
 
-def partition_predicate(partition_cols: list[str], parts: list):
-    """Literal predicate selecting exactly the given partitions (a partition filter, so
-    the scan lists and reads only those folders)."""
-    if len(partition_cols) == 1:
-        c = partition_cols[0]
-        values = [p[c] for p in parts]
-        cond = F.col(c).isin(*[v for v in values if v is not None])
-        return cond | F.col(c).isNull() if any(v is None for v in values) else cond
-    cond = None
-    for p in parts:
-        one = None
-        for c in partition_cols:
-            term = F.col(c).isNull() if p[c] is None else F.col(c) == F.lit(p[c])
-            one = term if one is None else one & term
-        cond = one if cond is None else cond | one
-    return cond
+def in_partitions(df: DataFrame, partition_cols: list[str], touched: DataFrame) -> DataFrame:
+    """The rows of ``df`` in the partitions of ``touched`` (null values match null): a
+    semi-join on the partition columns, so partitions are pruned at run time whatever their number."""
+    names = {c: f"_touched_{i}" for i, c in enumerate(partition_cols)}
+    side = touched.select(*[F.col(c).alias(n) for c, n in names.items()])
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return df.join(side, reduce(lambda x, y: x & y, same), "left_semi")
 
 
 # Characters escaped in partition folder names (as Spark names them), and the null folder.
@@ -234,26 +226,27 @@ def upsert_into(
     partition_cols: list[str],
     table_name: str,
     schema: T.StructType | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> int:
     """Upsert ``staged`` into the partitioned parquet table at ``path`` on ``key``.
-    Creates the table when it does not exist.  Returns rows written."""
+    Creates the table when it does not exist.  Returns rows written.  ``staged`` is written
+    once below the shared checkpoint folder, and every step reads that copy."""
     checkpoint_dir(spark)
     target = read_table(spark, path, schema)
     if target is None:
         return create(spark, staged, path, partition_cols, table_name)
+    copy = scratch_path(spark, "upsert-staged")
+    staged.write.parquet(copy)
+    staged = spark.read.schema(staged.schema).parquet(copy)
     check_merge_duplicates(target, staged, key)
-    staged_keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
-    keys_side, _ = bounded_broadcast(staged_keys, max_broadcast_rows)
-    moved = target.select(key, *partition_cols).join(keys_side, key, "left_semi").select(*partition_cols)
-    touched = staged.select(*partition_cols).unionByName(moved).distinct()
-    touched_list = touched.collect()  # one row per touched partition, not per data row
-    if not touched_list:
+    keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
+    moved = target.select(key, *partition_cols).join(keys, key, "left_semi").select(*partition_cols)
+    touched = staged.select(*partition_cols).unionByName(moved).distinct().checkpoint(eager=True)
+    if touched.isEmpty():
         return 0
-    in_touched = target.where(partition_predicate(partition_cols, touched_list))
-    result = upsert(in_touched.select(*staged.columns), staged, key).checkpoint(eager=True)
-    written = {tuple(r) for r in result.select(*partition_cols).distinct().collect()}
-    emptied = [r for r in touched_list if tuple(r) not in written]
+    result = upsert(in_partitions(target.select(*staged.columns), partition_cols, touched), staged, key).checkpoint(eager=True)
+    left = result.select(*partition_cols).distinct()
+    # rows moved out of a partition may leave it empty: only such partitions reach the driver
+    emptied = touched.exceptAll(left).collect()
     rows = stage(result, path, partition_cols)
     drop_partitions(spark, path, partition_cols, emptied)
     log_version(spark, path, table_name, "merge", rows)

@@ -9,6 +9,9 @@ their elements.  Each wanted array is cut, at element boundaries, into spans of
 Phase 2 (parallel): the spans are repartitioned and each task reads its byte range with
 random access, wraps it in ``[...]`` and decodes it, emitting typed rows.  A document of
 any size is parsed by many tasks; no task holds more than one span.
+
+A malformed document, one without a required array, or an element without a required field
+fails the job.
 """
 
 from __future__ import annotations
@@ -23,8 +26,75 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
+from quarry.operators.joins import spread
 from quarry.session import ship_code
-from quarry.sources.coco_stream import _ARROW, ROWS, WANTED
+
+ROWS = S.struct(
+    ("source_path", S.S),
+    ("kind", S.S),
+    ("array", S.S),
+    ("id", S.L),
+    ("file_name", S.S),
+    ("width", S.L),
+    ("height", S.L),
+    ("name", S.S),
+    ("supercategory", S.S),
+    ("image_id", S.L),
+    ("category_id", S.L),
+    ("bbox", S.T.ArrayType(S.D)),
+    ("area", S.D),
+    ("iscrowd", S.L),
+    ("caption", S.S),
+)
+_ARROW = pa.schema(
+    [
+        ("source_path", pa.string()),
+        ("kind", pa.string()),
+        ("array", pa.string()),
+        ("id", pa.int64()),
+        ("file_name", pa.string()),
+        ("width", pa.int64()),
+        ("height", pa.int64()),
+        ("name", pa.string()),
+        ("supercategory", pa.string()),
+        ("image_id", pa.int64()),
+        ("category_id", pa.int64()),
+        ("bbox", pa.list_(pa.float64())),
+        ("area", pa.float64()),
+        ("iscrowd", pa.int64()),
+        ("caption", pa.string()),
+    ]
+)
+
+
+def _image(e):
+    return {"id": e["id"], "file_name": e["file_name"], "width": e["width"], "height": e["height"]}
+
+
+def _category(e):
+    return {"id": e["id"], "name": e["name"], "supercategory": e["supercategory"]}
+
+
+def _annotation(e):
+    return {
+        "id": e["id"],
+        "image_id": e["image_id"],
+        "category_id": e["category_id"],
+        "bbox": [float(x) for x in e["bbox"]],
+        "area": float(e["area"]),
+        "iscrowd": e["iscrowd"],
+    }
+
+
+def _caption(e):
+    return {"id": e["id"], "image_id": e["image_id"], "caption": e["caption"]}
+
+
+# which arrays each document kind yields, and how an element becomes a row
+WANTED = {
+    "instances": {"images": _image, "categories": _category, "annotations": _annotation},
+    "captions": {"annotations": _caption},
+}
 
 SCAN_CHUNK = 4 << 20
 TARGET_SPAN = 64 << 20
@@ -43,6 +113,7 @@ def find_spans(fh, wanted: set[str], target: int = TARGET_SPAN, chunk: int = SCA
     depth, in_str, bs_run, offset = 0, 0, 0, 0
     tail = b""  # bytes before this chunk, to read the key in front of a '['
     cur_key, last_cut = None, 0
+    found: set[str] = set()
     started, closed_at = False, -1
     while True:
         data = fh.read(chunk)
@@ -103,6 +174,7 @@ def find_spans(fh, wanted: set[str], target: int = TARGET_SPAN, chunk: int = SCA
                     key = json.loads(b'"' + m.group(1) + b'"') if m else None
                     if key in wanted:
                         cur_key, last_cut = key, pos + 1
+                        found.add(key)
             else:  # the top-level value closes
                 if cur_key is not None and pos > last_cut:
                     spans.append((cur_key, last_cut, pos))
@@ -122,6 +194,8 @@ def find_spans(fh, wanted: set[str], target: int = TARGET_SPAN, chunk: int = SCA
         offset += n
     if not started or depth != 0 or in_str or closed_at < 0:
         raise ValueError("malformed annotation document (unbalanced or truncated)")
+    if wanted - found:
+        raise ValueError(f"annotation document without the array {sorted(wanted - found)}")
     return spans
 
 
@@ -165,8 +239,8 @@ def read_annotation_rows(
 ) -> DataFrame:
     """Documents (path, kind) -> typed rows, parsed in parallel by byte-range spans."""
     ship_code(docs.sparkSession)
-    spans = docs.select(F.col(path_col).alias("path"), F.col(kind_col).alias("kind")).mapInArrow(
-        _span_batches(target_bytes), SPANS
-    )
-    spread = spans.repartition(partitions, "path", "start") if partitions else spans.repartition("path", "start")
-    return spread.mapInArrow(_parse_batches, ROWS)
+    listed = docs.select(F.col(path_col).alias("path"), F.col(kind_col).alias("kind"))
+    spans = spread(listed, ["path", "kind"]).mapInArrow(_span_batches(target_bytes), SPANS)
+    keys = ["path", "start"]
+    dealt = spans.repartition(partitions, *keys) if partitions else spread(spans, keys)
+    return dealt.mapInArrow(_parse_batches, ROWS)

@@ -41,6 +41,18 @@ def register_batch(spark: SparkSession, events: DataFrame, batch_id: int, ledger
         first.unpersist()
 
 
+#: Batch registrations take ids from here on, apart from those of streams, which count from 0.
+FIRST_BATCH_RUN = 1 << 40
+
+
+def fresh_batch_id(spark: SparkSession, ledger_path: str) -> int:
+    """An id that no registration has used: one above the largest of earlier batch runs.  Two
+    runs at once must be given ids of their own."""
+    ledger = tbl.read_table(spark, ledger_path, LEDGER_TABLE)
+    used = ledger.agg(F.max("batch_id")).first()[0] if ledger is not None else None
+    return max(FIRST_BATCH_RUN, (used if used is not None else -1) + 1)
+
+
 def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, extra=()) -> DataFrame:
     """Object-created events as a stream of JSON files (explicit schema, no inference)."""
     schema = S.T.StructType(list(S.LANDING_EVENT.fields))  # a copy: add() mutates in place
@@ -74,7 +86,9 @@ def dedup_within_watermark(events: DataFrame, delay: str, seq: str | None = None
     """Bounded-state registration: a streaming ``dropDuplicatesWithinWatermark`` on the
     drop id.  A replay arriving within ``delay`` of the first copy is dropped; state for a
     drop id expires with the watermark, so memory stays bounded (replays later than
-    ``delay`` would register again; the ledger form above has no such horizon)."""
+    ``delay`` would register again, and events that come later than ``delay`` behind the newest
+    are dropped by the watermark and never registered: use the ledger form above where every
+    event must be registered)."""
     objs = landing.normalize_events(events, seq).withColumn(
         "event_ts", F.to_timestamp("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )

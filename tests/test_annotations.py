@@ -36,7 +36,7 @@ def _files(spark, rows):
     return spark.createDataFrame(rows, "path string, partner string, dataset string, ingest_date string")
 
 
-@pytest.mark.parametrize("reader", ["split", "stream", "json"])
+@pytest.mark.parametrize("reader", ["split", "json"])
 def test_normalize_instances_and_captions(spark, tmp_path, reader):
     inst = _write(tmp_path, "instances_val2017.json", INSTANCES)
     caps = _write(tmp_path, "captions_val2017.json", {"annotations": [{"id": 5, "image_id": 1, "caption": "a dog"}]})
@@ -52,7 +52,7 @@ def test_normalize_instances_and_captions(spark, tmp_path, reader):
     assert t["coco_images"].schema["ingest_date"].dataType.typeName() == "date"
 
 
-@pytest.mark.parametrize("reader", ["split", "stream", "json"])
+@pytest.mark.parametrize("reader", ["split", "json"])
 def test_short_bbox_fails(spark, tmp_path, reader):
     bad = dict(INSTANCES, annotations=[{"id": 1, "image_id": 1, "category_id": 1, "bbox": [1, 2], "area": 1, "iscrowd": 0}])
     t = A.normalize(spark, _files(spark, [(_write(tmp_path, "instances_x.json", bad), "c", "d", "2024-06-01")]), reader=reader)
@@ -60,7 +60,7 @@ def test_short_bbox_fails(spark, tmp_path, reader):
         t["coco_annotations"].collect()
 
 
-@pytest.mark.parametrize("reader", ["split", "stream", "json"])
+@pytest.mark.parametrize("reader", ["split", "json"])
 def test_malformed_document_fails(spark, tmp_path, reader):
     p = tmp_path / "instances_bad.json"
     p.write_text("{not json")
@@ -74,11 +74,18 @@ def _gold_inputs(spark, tmp_path):
     return t["coco_annotations"], t["coco_categories"], t["coco_images"]
 
 
-def test_gold_unknown_category_dropped_and_both_join_paths_agree(spark, tmp_path):
+@pytest.mark.parametrize("reader", ["split", "json"])
+@pytest.mark.parametrize("lacking", ["images", "categories", "annotations"])
+def test_missing_array_fails(spark, tmp_path, reader, lacking):
+    doc = {k: v for k, v in INSTANCES.items() if k != lacking}
+    t = A.normalize(spark, _files(spark, [(_write(tmp_path, "instances_x.json", doc), "c", "d", "2024-06-01")]), reader=reader)
+    with pytest.raises(Exception, match="without"):
+        [t[n].collect() for n in ("coco_images", "coco_categories", "coco_annotations")]
+
+
+def test_gold_unknown_category_dropped(spark, tmp_path):
     ann, cat, _ = _gold_inputs(spark, tmp_path)
     small = sorted(tuple(r) for r in gold.category_stats(ann, cat, "val2017").collect())
-    big = sorted(tuple(r) for r in gold.category_stats(ann, cat, "val2017", max_broadcast_rows=0).collect())
-    assert small == big
     assert [(r[3], r[6], r[7]) for r in small] == [(1, 1, 1), (2, 1, 1)]  # category 99 dropped
     labels = gold.per_image_labels(ann, cat).first()
     assert (labels.n_annotations, labels.n_categories, labels.categories) == (2, 2, "dog,person")
@@ -87,18 +94,18 @@ def test_gold_unknown_category_dropped_and_both_join_paths_agree(spark, tmp_path
 def test_gold_duplicate_category_rows_multiply_like_join_then_aggregate(spark, tmp_path):
     ann, cat, _ = _gold_inputs(spark, tmp_path)
     dup = cat.unionByName(cat.where("category_id = 1"))
-    for limit in (10, 0):
-        r = {x.category_id: x for x in gold.category_stats(ann, dup, "v", max_broadcast_rows=limit).collect()}
-        assert r[1].n_annotations == 2 and r[1].n_images == 1 and r[1].avg_area == 12.0
+    r = {x.category_id: x for x in gold.category_stats(ann, dup, "v").collect()}
+    assert r[1].n_annotations == 2 and r[1].n_images == 1 and r[1].avg_area == 12.0
 
 
-def test_gold_broadcasts_small_category_side(spark, tmp_path):
+def test_category_stats_keeps_splits_apart(spark, tmp_path):
     ann, cat, _ = _gold_inputs(spark, tmp_path)
-    plan = gold.category_stats(ann, cat, "v")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    both = lambda df: df.unionByName(df.withColumn("split", F.lit("train2017")))
+    rows = gold.category_stats(both(ann), both(cat), "v").collect()
+    assert sorted((r.category_id, r.n_annotations, r.n_images) for r in rows) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (2, 1, 1)]
 
 
-def test_ml_manifest_duplicate_metadata_name_fails(spark, tmp_path):
+def test_ml_manifest_gives_a_row_per_metadata_row_of_a_name(spark, tmp_path):
     ann, cat, img = _gold_inputs(spark, tmp_path)
     meta = spark.createDataFrame(
         [("coco", "val2017", "k1", "1.jpg", None, 1, "s"), ("coco", "val2017", "k2", "1.jpg", None, 1, "s")],
@@ -106,37 +113,9 @@ def test_ml_manifest_duplicate_metadata_name_fails(spark, tmp_path):
     ).withColumn("ingest_date", F.to_date(F.lit("2024-06-01")))
     ok = gold.ml_manifest(img, meta.where("bronze_key = 'k1'"), ann, cat).collect()
     assert [(r.image_id, r.bronze_key, r.n_annotations) for r in ok] == [(1, "k1", 2)]
-    with pytest.raises(Exception, match="several rows for file name"):
-        gold.ml_manifest(img, meta, ann, cat).collect()
-
-
-def test_stream_reader_small_chunks_and_compact_json(monkeypatch):
-    """Element boundaries falling on chunk edges, numbers cut at a chunk end, nested
-    skipped values, escapes and non-ASCII text."""
-    import io
-
-    from quarry.sources import coco_stream
-
-    monkeypatch.setattr(coco_stream, "CHUNK_CHARS", 7)
-    doc = {
-        "info": {"a": [1, {"b": "x]}"}]},
-        "images": [{"id": 123456789, "file_name": "é\\u00e9 \"q\".jpg", "width": 10, "height": 20, "x": [[1]]}],
-        "licenses": [],
-        "annotations": [
-            {"id": i, "image_id": 123456789, "category_id": 7, "bbox": [1, 2.5, 3e2, 4], "area": 12345678901,
-             "iscrowd": 0, "segmentation": {"counts": [1, 2, 3], "size": [1, 2]}}
-            for i in range(50)
-        ],
-        "categories": [{"id": 7, "name": "ß", "supercategory": "x"}],
-    }
-    for text in (json.dumps(doc), json.dumps(doc, indent=3)):
-        rows = list(coco_stream.iter_rows(io.BytesIO(text.encode()), "instances"))
-        assert [a for a, _ in rows].count("annotations") == 50
-        img = [r for a, r in rows if a == "images"][0]
-        assert img == {"id": 123456789, "file_name": doc["images"][0]["file_name"], "width": 10, "height": 20}
-        ann = [r for a, r in rows if a == "annotations"][-1]
-        assert ann["bbox"] == [1.0, 2.5, 300.0, 4.0] and ann["area"] == 12345678901.0 and ann["id"] == 49
-        assert [r for a, r in rows if a == "categories"] == [{"id": 7, "name": "ß", "supercategory": "x"}]
+    twice = gold.ml_manifest(img, meta, ann, cat)
+    assert sorted((r.bronze_key, r.n_annotations) for r in twice.collect()) == [("k1", 2), ("k2", 2)] and twice.count() == 2
+    assert [(r.file_name, r.n_rows) for r in gold.repeated_file_names(meta).collect()] == [("1.jpg", 2)]
 
 
 def _tricky_doc(seed):
@@ -160,20 +139,21 @@ def _tricky_doc(seed):
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_split_reader_matches_stream_reader(seed):
+def test_split_reader_matches_whole_document(seed):
     import io
 
-    from quarry.sources import coco_split, coco_stream
+    from quarry.sources import coco_split
 
     doc = _tricky_doc(seed)
     for text in (json.dumps(doc), json.dumps(doc, indent=2, ensure_ascii=False)):
         raw = text.encode("utf-8")
-        expected = list(coco_stream.iter_rows(io.BytesIO(raw), "instances"))
+        wanted = coco_split.WANTED["instances"]
+        expected = [(key, wanted[key](e)) for key, elements in json.loads(raw).items() if key in wanted for e in elements]
         for chunk, target in ((5, 1), (13, 40), (1 << 20, 1 << 20)):
-            spans = coco_split.find_spans(io.BytesIO(raw), set(coco_stream.WANTED["instances"]), target, chunk)
+            spans = coco_split.find_spans(io.BytesIO(raw), set(coco_split.WANTED["instances"]), target, chunk)
             got = []
             for key, start, end in spans:
-                make = coco_stream.WANTED["instances"][key]
+                make = coco_split.WANTED["instances"][key]
                 got += [(key, make(e)) for e in json.loads(b"[" + raw[start:end] + b"]")]
             assert got == expected, (chunk, target)
 

@@ -155,10 +155,17 @@ def test_status_history_of_a_drop(spark):
     jobs.bronze_job(spark, layout, jobs.pending_drops(spark, layout))
     st = tbl.read_table(spark, layout.ledger_status, jobs.STATUS_EVENTS)
     hist = sorted((r.drop_id.split("#")[1], r.status) for r in st.collect())
-    assert hist == [("drops/photo.png", "DONE"), ("drops/val2017.zip", "DONE"), ("drops/val2017.zip", "UNPACKING")]
+    assert hist == [("drops/photo.png", "DONE")] + [("drops/val2017.zip", x) for x in ("DONE", "SUBMITTED", "UNPACKING")]
     latest = {r.drop_id.split("#")[1]: r for r in jobs.landing.latest_status(st).collect()}
     assert latest["drops/val2017.zip"].status == "DONE"
     assert latest["drops/val2017.zip"].manifest_key.endswith("/manifest.json")
+    assert latest["drops/val2017.zip"].bronze_prefix == "partner=coco/dataset=val2017/ingest_date=2024-06-01/"
+    assert latest["drops/val2017.zip"].batch_job_id == spark.sparkContext.applicationId
+    with open(f"{layout.bronze.replace('file:', '')}/{latest['drops/val2017.zip'].manifest_key}") as fh:
+        doc = json.load(fh)
+    assert doc["file_count"] == 6 == len(doc["files"]) and doc["total_bytes"] == sum(f["size_bytes"] for f in doc["files"])
+    assert [f["key"].rsplit("/", 1)[-1] for f in doc["files"]][:3] == ["1.png", "2.png", "3.jpg"]
+    assert doc["files"][0]["content_type"] == "image/png" and doc["files"][0]["crc32"] > 0 and doc["partner"] == "coco"
     assert jobs.pending_drops(spark, layout).count() == 0
 
 
@@ -201,3 +208,73 @@ def test_gold_replace_vs_partition_mode(spark):
     # replace mode (the original's createOrReplace): the table becomes exactly the new slice
     jobs.gold_build(spark, layout, "other", "val2017", "val2017", "val2017", "2024-06-01", mode="replace")
     assert stats().count() == 0
+
+
+def _drops(spark, keys_and_tags):
+    rows = [
+        {"detail": {"bucket": {"name": BUCKET}, "object": {"key": k, "size": 1, "etag": tag}}, "time": "2024-06-01T10:00:00Z"}
+        for k, tag in keys_and_tags
+    ]
+    return spark.read.schema(S.LANDING_EVENT).json(spark.sparkContext.parallelize([json.dumps(r) for r in rows]))
+
+
+def _latest(spark, layout):
+    st = tbl.read_table(spark, layout.ledger_status, jobs.STATUS_EVENTS)
+    return {tuple(r.drop_id.split("#")[1:]): r for r in jobs.landing.latest_status(st).collect()}
+
+
+def test_bad_entry_and_failed_copy_fail_only_their_drops(spark):
+    layout = jobs.Layout(scratch_path(spark, "e2e-crc"))
+    _setup(layout)
+    folder = os.path.join(layout.landing.replace("file:", ""), BUCKET, "drops")
+    with open(os.path.join(folder, "val2017.zip"), "rb") as f:
+        data = bytearray(f.read())
+    at = data.find(b"not an image")
+    if at < 0:  # compressed: break the first entry's data instead
+        at = data.find(b"1.png") + 40
+    data[at] ^= 0xFF
+    with open(os.path.join(folder, "badcrc.zip"), "wb") as f:
+        f.write(data)
+    jobs.register_events(spark, layout, _drops(spark, [("drops/val2017.zip", "x"), ("drops/badcrc.zip", "x"), ("drops/absent.png", "x"), ("drops/photo.png", "x")]))
+    jobs.bronze_job(spark, layout, jobs.pending_drops(spark, layout))
+    latest = {k[0]: r for k, r in _latest(spark, layout).items()}
+    assert latest["drops/val2017.zip"].status == "DONE" and latest["drops/photo.png"].status == "DONE"
+    assert latest["drops/badcrc.zip"].status == "FAILED" and latest["drops/badcrc.zip"].error
+    assert latest["drops/absent.png"].status == "FAILED" and latest["drops/absent.png"].error
+    files = tbl.read_table(spark, layout.manifests, jobs.MANIFEST_FILES)
+    assert {r.dataset for r in files.collect()} == {"val2017"}  # no manifest rows for a failed drop
+    assert not os.path.exists(f"{layout.bronze.replace('file:', '')}/partner=coco/dataset=badcrc/ingest_date=2024-06-01/manifest.json")
+
+
+def test_redelivered_key_lists_its_files_once_per_drop(spark):
+    layout = jobs.Layout(scratch_path(spark, "e2e-redelivery"))
+    _setup(layout)
+    jobs.register_events(spark, layout, _drops(spark, [("drops/val2017.zip", "x"), ("drops/val2017.zip", "y")]))
+    jobs.bronze_job(spark, layout, jobs.pending_drops(spark, layout))
+    latest = _latest(spark, layout)
+    assert len(latest) == 2 and all(r.status == "DONE" and r.file_count == 6 for r in latest.values())
+    files = tbl.read_table(spark, layout.manifests, jobs.MANIFEST_FILES)
+    assert sorted(r["count"] for r in files.groupBy("drop_id").count().collect()) == [6, 6]
+    jobs.silver_job(spark, layout, files)
+    assert tbl.read_table(spark, layout.staging("image_metadata"), S.IMAGE_METADATA).count() == 3
+    jobs.silver_build(spark, layout)
+    assert jobs.silver_build(spark, layout)["image_metadata"] == 3  # the merge meets each key once
+
+
+def test_registrations_do_not_replace_one_another(spark):
+    layout = jobs.Layout(scratch_path(spark, "e2e-register"))
+    assert jobs.register_events(spark, layout, _drops(spark, [("a.zip", "1"), ("b.zip", "1")])) == 2
+    assert jobs.register_events(spark, layout, _drops(spark, [("b.zip", "1"), ("c.zip", "1")])) == 1
+    led = tbl.read_table(spark, layout.ledger, jobs.ledger_stream.LEDGER_TABLE)
+    assert sorted(r.src_key for r in led.collect()) == ["a.zip", "b.zip", "c.zip"]
+
+
+def test_heavy_work_is_spread(spark):
+    from quarry.operators import bronze
+
+    layout = jobs.Layout(scratch_path(spark, "e2e-spread"))
+    _setup(layout)
+    path = f"{layout.landing}/{BUCKET}/drops/val2017.zip"
+    entries = bronze.list_entries(spark.createDataFrame([(path,)], "path string"))
+    tasks = bronze.extract(entries).select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks > 1

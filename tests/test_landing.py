@@ -45,13 +45,11 @@ def test_first_seen_and_routing(spark):
     assert routed["a/img.jpg"].bronze_key == "partner=coco/dataset=loose/ingest_date=2024-06-01/img.jpg"
 
 
-def test_insert_if_absent_both_paths(spark):
+def test_insert_if_absent(spark):
     objs = landing.normalize_events(_df(spark, [ev("x.jpg"), ev("y.jpg")]))
     ledger = landing.first_seen(landing.normalize_events(_df(spark, [ev("x.jpg")])))
     cand = landing.first_seen(objs)
-    for limit in (10, 0):  # broadcast path, then shuffle path
-        got = [r.src_key for r in landing.insert_if_absent(ledger, cand, max_broadcast_rows=limit).collect()]
-        assert got == ["y.jpg"]
+    assert [r.src_key for r in landing.insert_if_absent(ledger, cand).collect()] == ["y.jpg"]
 
 
 def test_latest_status_rank_beats_late_submitted(spark):

@@ -28,13 +28,11 @@ def test_ledger_aggregates_combine_map_side(spark):
     assert _partial_before_exchange(_plan(landing.latest_status(st)), "max_by")
 
 
-def test_gold_branches(spark):
+def test_gold_plans_need_no_probe(spark):
     ann, cat = si.coco_annotations(spark, SMOKE_DIR), si.coco_categories(spark, SMOKE_DIR)
-    small = _plan(gold.category_stats(ann, cat, "v"))
-    assert "BroadcastHashJoin" in small
-    big = _plan(gold.category_stats(ann, cat, "v", max_broadcast_rows=0))
-    # over the bound: annotations are first combined to (slice, category, image) grain
-    assert "partial_count(1)" in big and "partial_count(1)" not in small
+    meta, img = si.image_metadata(spark, SMOKE_DIR), si.coco_images(spark, SMOKE_DIR)
+    for df in (gold.category_stats(ann, cat, "v"), gold.per_image_labels(ann, cat), gold.ml_manifest(img, meta, ann, cat)):
+        assert "SinglePartition" not in _plan(df)
     labels = _plan(gold.per_image_labels(ann, cat))
     assert _partial_before_exchange(labels, "collect_set") and "count(distinct" not in labels.lower()
 
@@ -59,7 +57,7 @@ def test_hot_key_third_of_rows_exact(spark):
     assert led["hot"].size_bytes == 0 and led["hot"].received_at == "2024-01-01T00:00:00Z"
 
 
-def test_hot_category_third_of_annotations_exact_on_both_branches(spark):
+def test_hot_category_third_of_annotations_exact(spark):
     import collections
     import datetime
 
@@ -80,8 +78,8 @@ def test_hot_category_third_of_annotations_exact_on_both_branches(spark):
         imgs[c].add(img)
         area[c] += a
         crowd[c] += cr
-    for limit in (1000, 0):
-        got = {r.category_id: r for r in gold.category_stats(ann, cat, "v", max_broadcast_rows=limit).collect()}
+    for side in (cat.hint("broadcast"), cat.hint("merge")):
+        got = {r.category_id: r for r in gold.category_stats(ann, side, "v").collect()}
         assert got[1].n_annotations == 1000
         for c in n:
             assert (got[c].n_annotations, got[c].n_images, got[c].crowd_annotations) == (n[c], len(imgs[c]), crowd[c])

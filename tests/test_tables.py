@@ -112,17 +112,26 @@ def test_emptied_partitions_with_special_and_null_values_are_dropped(spark):
     assert got == [(1, "a2", "z"), (2, "b2", "z"), (3, "c", "z")]
 
 
-def test_touched_partition_predicate_prunes_at_the_scan(spark):
+def test_touched_partitions_of_any_number(spark):
     path = scratch_path(spark, "touched")
-    df = spark.createDataFrame([(i, "v", f"p{i % 5}") for i in range(50)], SCHEMA).withColumn("sub", F.col("k") % 2)
+    df = spark.createDataFrame([(i, "v", f"p{i % 5}" if i % 7 else None) for i in range(50)], SCHEMA).withColumn("sub", F.col("k") % 2)
     tbl.stage(df, path, ["part", "sub"])
     t = tbl.read_table(spark, path)
-    one = t.where(tbl.partition_predicate(["part"], [{"part": "p1"}, {"part": "p3"}]))
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "p1" in plan and "p3" in plan
-    two = t.where(tbl.partition_predicate(["part", "sub"], [{"part": "p1", "sub": 1}, {"part": "p2", "sub": 0}]))
-    assert sorted((r.part, r.sub) for r in two.select("part", "sub").distinct().collect()) == [("p1", 1), ("p2", 0)]
-    assert "PartitionFilters: [" in two._jdf.queryExecution().executedPlan().toString()
+    few = spark.createDataFrame([("p1", 1), ("p2", 0), (None, 0)], "part string, sub long")
+    got = tbl.in_partitions(t, ["part", "sub"], few).select("part", "sub").distinct().collect()
+    assert sorted(map(str, got)) == sorted(map(str, few.collect()))
+    many = spark.range(5000).select(F.concat(F.lit("p"), "id").alias("part"), F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("sub"))
+    assert tbl.in_partitions(t, ["part", "sub"], many).count() == df.where("part is not null").count()
+
+
+def test_upsert_into_many_partitions(spark):
+    path = scratch_path(spark, "upsert-many")
+    df = spark.range(600).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.concat(F.lit("p"), F.col("id") % 300).alias("part"))
+    tbl.create(spark, df, path, ["part"], "t")
+    staged = df.withColumn("v", F.lit("new")).withColumn("part", F.when(F.col("k") == 5, F.lit("p6")).otherwise(F.col("part"))).where("k < 300")
+    tbl.upsert_into(spark, staged, path, "k", ["part"], "t")
+    out = {r.k: (r.v, r.part) for r in tbl.read_table(spark, path).collect()}
+    assert len(out) == 600 and all(v == ("new" if k < 300 else "old") for k, (v, _) in out.items()) and out[5] == ("new", "p6")
 
 
 def test_cluster_conf_sizing():
