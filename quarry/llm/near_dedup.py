@@ -164,14 +164,14 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """(bucket, node): one row per band of each node."""
+    """(node, band, bucket): one row per band of each node."""
     parts = [F.xxhash64(F.lit(b), F.substring("sketch", 1 + 2 * BAND * b, 2 * BAND)) for b in range(BANDS)]
-    return nodes.select("node", F.explode(F.array(*parts)).alias("bucket"))
+    return nodes.select("node", F.posexplode(F.array(*parts)).alias("band", "bucket"))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n_shingles, shingles, fine) for ``wanted`` (node, doc_id, digest): the sorted set and the
-    finer sketch as bytes."""
+    """(node, n_shingles, shingles, fine, banded) for ``wanted`` (node, doc_id, digest): the sorted set,
+    the finer sketch and the banded one as bytes."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     of = wanted.select("node", F.col("doc_id").alias("_doc"), "digest")
     joined = rows.join(of, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("node", "digest", "text")
@@ -181,11 +181,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         raw = [s.tobytes() for s in sets]
         same = [hashlib.blake2b(s, digest_size=16).digest() == d for s, d in zip(raw, batch.column("digest").to_pylist(), strict=True)]
         fine = [s.tobytes() for s in sketches(sets, FINE)]
-        columns = [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(raw, pa.binary()), pa.array(fine, pa.binary())]
-        made = pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "shingles", "fine"])
+        banded = [s.tobytes() for s in sketches(sets)]
+        columns = [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(c, pa.binary()) for c in (raw, fine, banded))]
+        made = pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "shingles", "fine", "banded"])
         return made.filter(pa.array(same))  # a row that repeats the doc_id with another text
 
-    return map_text(joined, "node long, n_shingles long, shingles binary, fine binary", make)
+    return map_text(joined, "node long, n_shingles long, shingles binary, fine binary, banded binary", make)
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -245,7 +246,8 @@ def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
 
     Of each bucket the component with most members is its bulk; the others, the outsiders,
     meet one another and the bulk, and bulk never meets bulk.  Both are dealt into blocks of about
-    ``BLOCK`` members, so a task holds two blocks however large the bucket."""
+    ``BLOCK`` members, so a task holds two blocks however large the bucket.  A pair is looked at in the
+    bucket of its first common band alone."""
     sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     buckets = (
         sizes.groupBy("bucket")
@@ -258,37 +260,42 @@ def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
             F.ceil(F.col("n_bulk") / BLOCK).cast("int").alias("bulks"),
         )
     )
-    dealt = members.join(buckets, "bucket").select("bucket", "node", "comp", "outs", "bulks", (F.col("comp") != F.col("bulk")).alias("out"))
+    dealt = members.join(buckets, "bucket").select("bucket", "band", "node", "comp", "outs", "bulks", (F.col("comp") != F.col("bulk")).alias("out"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("bulks"))).cast("int")
     rows = dealt.withColumn("own", own)
     # an outsider of block i meets outsiders of every block j (as pair min, max) and the bulk blocks (as outs + j)
     meets = F.when(F.col("out"), F.sequence(F.lit(0), F.col("outs") + F.col("bulks") - 1)).otherwise(F.sequence(F.lit(0), F.col("outs") - 1))
     spread = rows.withColumn("other", F.explode(meets)).select(
         "bucket",
+        "band",
         "node",
         "comp",
         F.when(F.col("out"), F.least("own", "other")).otherwise(F.col("other")).alias("i"),
         F.when(F.col("out"), F.greatest("own", "other")).otherwise(F.col("outs") + F.col("own")).alias("j"),
     )
-    known = sets.select("node", "n_shingles", F.col("fine").alias("sketch"))
+    known = sets.select("node", "n_shingles", "fine", "banded")
     least = least_estimate(threshold, FINE)
 
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+    def compare(band: int, rows: list[tuple]) -> list[tuple[int, int]]:
         node, comp, n = (np.array(c, np.int64) for c in list(zip(*rows, strict=True))[:3])
         if (comp == comp[0]).all():
             return []
-        sketch = np.frombuffer(b"".join(r[3] for r in rows), FINE.kind).reshape(-1, FINE.registers)
+        fine = np.frombuffer(b"".join(r[3] for r in rows), FINE.kind).reshape(-1, FINE.registers)
+        bands = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(-1, BANDS)  # a band is 8 bytes
         out = []
         for k in range(len(rows) - 1):
-            other = slice(k + 1, None)
-            agree = (sketch[other] == sketch[k]).mean(axis=1)
-            sized = np.minimum(n[other], n[k]) >= threshold * np.maximum(n[other], n[k])
-            good = sized & (comp[other] != comp[k]) & (estimate(agree, n[other], n[k], FINE) >= least)
-            out += [(min(node[k], x), max(node[k], x)) for x in node[other][good].tolist()]
+            sized = np.minimum(n[k + 1 :], n[k]) >= threshold * np.maximum(n[k + 1 :], n[k])
+            earlier = (bands[k + 1 :, :band] == bands[k, :band]).any(axis=1)
+            other = k + 1 + np.flatnonzero(sized & (comp[k + 1 :] != comp[k]) & ~earlier)
+            agree = (fine[other] == fine[k]).mean(axis=1)
+            good = other[estimate(agree, n[other], n[k], FINE) >= least]
+            out += [(min(node[k], x), max(node[k], x)) for x in node[good].tolist()]
         return out
 
+    names = ["bucket", "i", "j", "band", "node", "comp", "n_shingles", "fine", "banded"]
+
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, band = None, [], 0
 
         def out(pairs):
             a, b = zip(*pairs, strict=True)
@@ -296,21 +303,21 @@ def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
 
         for batch in batches:
             found = []
-            for bucket, i, j, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "node", "comp", "n_shingles", "sketch")), strict=True):
-                if (bucket, i, j) != key:
-                    found += compare(held) if len(held) > 1 else []
-                    key, held = (bucket, i, j), []
+            for bucket, i, j, at, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if (bucket, i, j, at) != key:
+                    found += compare(band, held) if len(held) > 1 else []
+                    key, held, band = (bucket, i, j, at), [], at
                 held.append(row)
             if found:
                 yield out(found)
-        if len(held) > 1 and (found := compare(held)):
+        if len(held) > 1 and (found := compare(band, held)):
             yield out(found)
 
     return (
         spread.join(known, "node")
-        .select("bucket", "i", "j", "node", "comp", "n_shingles", "sketch")
+        .select(*names)
         .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j", "band")
         .mapInArrow(groups, "a long, b long")
         .distinct()
     )
@@ -358,7 +365,7 @@ def _components(spark: SparkSession, docs: DataFrame, nodes: DataFrame, members:
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
     sets = written(full_sets(docs, wanted), "sets")
     for round_ in range(HUB_ROUNDS + 1):
-        grouped = members.join(comps, "node").select("bucket", "node", "comp")
+        grouped = members.join(comps, "node").select("bucket", "band", "node", "comp")
         if round_ < HUB_ROUNDS:
             pairs = likely(hub_pairs(grouped, round_), nodes, threshold)
         else:
