@@ -8,7 +8,6 @@ mode names follow the common imaging-library conventions (``PNG``/``JPEG``/``GIF
 
 from __future__ import annotations
 
-import math
 import struct
 
 # EXIF tag numbers read, and the thumbnail bound.
@@ -175,28 +174,16 @@ def read_header(head: bytes):
     raise ValueError(UNKNOWN)
 
 
-def is_truncated(fmt: str, tail: bytes) -> bool:
-    """Whether the file visibly ends early: PNG without its IEND chunk, JPEG without EOI."""
+def is_truncated(fmt: str, data: bytes, whole: bool) -> bool | None:
+    """Whether the file ends early: no end marker of its format (bytes may follow it).
+    ``data`` is the whole file or its last bytes; None when those do not tell."""
     if fmt == "PNG":
-        return not tail.endswith(b"IEND\xaeB`\x82")
-    if fmt == "JPEG":
-        return b"\xff\xd9" not in tail[-4:]
-    return False
-
-
-def _round_aspect(number: float, key) -> int:
-    return max(min(math.floor(number), math.ceil(number), key=key), 1)
-
-
-def thumbnail_size(width: int, height: int, bound: int = THUMBNAIL_MAX) -> tuple[int, int]:
-    """Largest size within ``bound`` x ``bound`` keeping the aspect ratio (rounded to the
-    nearer aspect), never enlarging."""
-    x, y = bound, bound
-    aspect = width / height
-    if x / y >= aspect:
-        x = _round_aspect(y * aspect, key=lambda n: abs(aspect - n / y))
+        ended = b"IEND\xaeB`\x82" in data
+    elif fmt == "JPEG":
+        # the marker must follow the last scan: an embedded preview has one of its own
+        ended = data.rfind(b"\xff\xd9") > data.rfind(b"\xff\xda")
+    elif fmt == "GIF":
+        ended = data.rstrip(b"\0").endswith(b";")
     else:
-        y = _round_aspect(x / aspect, key=lambda n: 0 if n == 0 else abs(aspect - x / n))
-    if x >= width and y >= height:
-        return width, height
-    return x, y
+        return False
+    return False if ended else True if whole else None

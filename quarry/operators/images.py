@@ -108,7 +108,11 @@ def profile_one(key: str, head: bytes, tail: bytes, size: int) -> dict:
         row["exif_make"] = str(make) if make else None
         row["exif_model"] = str(model) if model else None
         row["exif_orientation"] = int(orient) if orient else None
-        if H.is_truncated(fmt, tail):
+        whole = len(head) >= size
+        truncated = H.is_truncated(fmt, head if whole else tail, whole)
+        if truncated is None:
+            row["need_more"] = True
+        elif truncated:
             row["error"] = H.TRUNCATED
     except H.NeedMore:
         if size > len(head):
@@ -290,13 +294,10 @@ _THUMB_ARROW = pa.schema([("origin", pa.string()), ("width", pa.int64()), ("heig
 def _thumb_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out = []
-        for im in b.column("image").to_pylist():
+        for im, tw, th in zip(*(b.column(n).to_pylist() for n in ("image", "thumb_width", "thumb_height")), strict=True):
             h, w, c = im["height"], im["width"], im["nChannels"]
-            if h <= 0 or w <= 0:
-                continue
             px = np.frombuffer(im["data"], dtype=np.uint8).reshape(h, w, c)
             px = px[:, :, 0] if c == 1 else px[:, :, 2::-1]  # BGR(A) -> RGB, alpha dropped
-            tw, th = H.thumbnail_size(w, h)
             small = resize_area(np.ascontiguousarray(px), tw, th) if (tw, th) != (w, h) else px
             out.append({"origin": im["origin"], "width": tw, "height": th, "content": _png_bytes(np.ascontiguousarray(small))})
         yield pa.RecordBatch.from_pylist(out, schema=_THUMB_ARROW)
@@ -306,32 +307,33 @@ def thumbnails(images: DataFrame) -> DataFrame:
     """Thumbnails (fit in 256x256, aspect kept, never enlarged; RGB or L; PNG bytes) of a
     DataFrame from ``spark.read.format("image")``."""
     ship_code(images.sparkSession)
-    return images.select("image").mapInArrow(
+    sized = thumbnail_dims(images.select("image", "image.width", "image.height").where("width > 0 and height > 0"))
+    return sized.select("image", "thumb_width", "thumb_height").mapInArrow(
         _thumb_batches, S.struct(("origin", S.S), ("width", S.L), ("height", S.L), ("content", S.B))
     )
 
 
 
 def thumbnail_dims(meta: DataFrame, bound: int = H.THUMBNAIL_MAX) -> DataFrame:
-    """``thumb_width`` / ``thumb_height`` from ``width`` / ``height`` with built-in
-    expressions: fit in bound x bound, aspect rounded to the nearer side, never enlarged
-    (same rule as ``image_headers.thumbnail_size``)."""
-    w, h = F.col("width").cast("double"), F.col("height").cast("double")
-    aspect = w / h
-    b = F.lit(float(bound))
-    # wide or square-ish: height is the bound when bound/bound < aspect
-    xf, xc = F.floor(b * aspect), F.ceil(b * aspect)
-    x_pick = F.when(F.abs(aspect - xf / b) <= F.abs(aspect - xc / b), xf).otherwise(xc)
-    yf, yc = F.floor(b / aspect), F.ceil(b / aspect)
-    key = lambda n: F.when(n == 0, F.lit(0.0)).otherwise(F.abs(aspect - b / n))
-    y_pick = F.when(key(yf) <= key(yc), yf).otherwise(yc)
-    tall = F.lit(1.0) >= aspect
-    x = F.when(tall, F.greatest(x_pick, F.lit(1))).otherwise(F.lit(bound)).cast("long")
-    y = F.when(tall, F.lit(bound)).otherwise(F.greatest(y_pick, F.lit(1))).cast("long")
-    keep = (x >= F.col("width")) & (y >= F.col("height"))
+    """``thumb_width`` / ``thumb_height`` from ``width`` / ``height``: an image inside bound x bound
+    keeps its size.  Any other gets ``bound`` for its longer side, and for the shorter one that of the two
+    whole numbers around the exact length whose width : height is nearer to the original's (the
+    smaller if both are as near, 1 at least).  Whole-number arithmetic throughout."""
+    w, h = F.col("width").cast("long"), F.col("height").cast("long")
+    long_side, short = F.greatest(w, h), F.least(w, h)
+    b = F.lit(bound).cast("long")
+    low = F.expr(f"({bound}L * least(width, height)) div greatest(width, height)")
+    exact = b * short == low * long_side
+    # upright: widths low and low + 1 over bound, the nearer to b * short / long
+    upright = 2 * b * short <= (2 * low + 1) * long_side
+    # lying: bound over heights low and low + 1; b/low - w/h <= w/h - b/(low + 1), cleared of fractions
+    lying = b * (2 * low + 1) * short <= 2 * long_side * low * (low + 1)
+    nearer = F.when(exact | F.when(h >= w, upright).otherwise(lying), low).otherwise(low + 1)
+    side = F.greatest(nearer, F.lit(1).cast("long"))
+    inside = long_side <= b
     return meta.withColumns(
         {
-            "thumb_width": F.when(keep, F.col("width")).otherwise(x).cast("long"),
-            "thumb_height": F.when(keep, F.col("height")).otherwise(y).cast("long"),
+            "thumb_width": F.when(inside, w).when(h >= w, side).otherwise(b),
+            "thumb_height": F.when(inside, h).when(h >= w, b).otherwise(side),
         }
     )

@@ -84,19 +84,14 @@ def _staged_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STAGED_DAY = "1996-01-01"
-
-
 @register(
     "scan_staged_partition",
     "S1 S2 K5",
     f"""
-SELECT * FROM (
-  SELECT '{si.PARTNER}' AS partner, 'flag-' || lower(l_returnflag) AS dataset,
-         CAST(date_trunc('year', l_shipdate) AS DATE) AS ingest_date, l_linestatus AS split,
-         l_orderkey AS image_id, l_partkey AS category_id, l_extendedprice AS area
-  FROM lineitem)
-WHERE ingest_date = DATE '{STAGED_DAY}'
+SELECT '{si.PARTNER}' AS partner, 'flag-' || lower(l_returnflag) AS dataset,
+       CAST(date_trunc('year', l_shipdate) AS DATE) AS ingest_date, l_linestatus AS split,
+       l_orderkey AS image_id, l_partkey AS category_id, l_extendedprice AS area
+FROM lineitem
 """,
 )
 def scan_staged_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +106,7 @@ def scan_staged_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("ingest_date", S.DT),
         ("split", S.S),
     )
-    return tbl.read_table(spark, path, schema, ingest_date=STAGED_DAY)
+    return tbl.read_table(spark, path, schema)
 
 
 # ---------------------------------------------------------------------------------------
@@ -173,7 +168,7 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tbl.read_table(spark, path, EVENT_SCHEMA)
 
 
-# Three commits on an events table (create days 1-10, merge days 8-15, overwrite days
+# Three commits on an events table (create days 1-10, merge days 8-19, overwrite days
 # 20-30); the version log counts them and the rows each wrote.
 @register(
     "table_version_counts",
@@ -181,7 +176,7 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 SELECT 'events' AS table_name, CAST(3 AS BIGINT) AS n_versions,
        CAST((SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-11')
-          + (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-16')
+          + (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-20')
           + (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-20') AS BIGINT) AS rows_written
 """,
 )
@@ -190,7 +185,7 @@ def table_version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver-events")
     ts = F.col("ts")
     tbl.create(spark, ev.where(ts < F.lit(_dt.datetime(2024, 1, 11))), path, ["day"], "events")
-    staged = ev.where((ts >= F.lit(_dt.datetime(2024, 1, 8))) & (ts < F.lit(_dt.datetime(2024, 1, 16))))
+    staged = ev.where((ts >= F.lit(_dt.datetime(2024, 1, 8))) & (ts < F.lit(_dt.datetime(2024, 1, 20))))
     tbl.upsert_into(spark, staged, path, "event_id", ["day"], "events", EVENT_SCHEMA)
     tbl.overwrite_partitions(spark, ev.where(ts >= F.lit(_dt.datetime(2024, 1, 20))), path, ["day"], "events")
     return tbl.version_counts(tbl.read_versions(spark, path))

@@ -1,13 +1,14 @@
 """Session construction and shared scratch space.
 
 Jobs never use a machine-local folder on a cluster: intermediate tables and checkpoints
-go below the shared folder named by ``spark.checkpoint.dir``.  Only when that setting is
-absent (local runs, tests) do we create one of our own.
+go below the shared folder named by ``spark.checkpoint.dir``.  Only on a local master without
+that setting (local runs, tests) do we create one of our own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,15 +56,18 @@ def local_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a local one only when unset."""
+    """The shared checkpoint folder of the session.  A folder of our own is made only on a
+    local master, where all tasks share the machine's disk; anywhere else it must be set."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
-    else:
+    elif re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return spark.sparkContext.getCheckpointDir()
 
 

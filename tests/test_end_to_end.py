@@ -14,7 +14,7 @@ from quarry.operators import tables as tbl
 from quarry.session import scratch_path
 from test_images import png
 
-BUCKET = "imgp-dev-landing-coco-935961368629"
+BUCKET = "imgp-dev-landing-coco-000000000042"
 INSTANCES = {
     "images": [
         {"id": 1, "file_name": "1.png", "width": 640, "height": 480},

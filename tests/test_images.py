@@ -73,19 +73,35 @@ def test_exif_tags_and_orientation_zero():
     assert row["exif_orientation"] is None  # orientation 0 counts as absent
 
 
-def test_thumbnail_size_rule():
-    assert H.thumbnail_size(640, 480) == (256, 192)
-    assert H.thumbnail_size(100, 50) == (100, 50)  # never enlarged
-    assert H.thumbnail_size(3000, 20) == (256, 2)
-    assert H.thumbnail_size(300, 100) == (256, 85)
-    assert H.thumbnail_size(200, 300) == (171, 256)
-
-
-def test_thumbnail_dims_match_python_rule(spark):
-    sizes = [(640, 480), (100, 50), (3000, 20), (300, 100), (200, 300), (1, 5000), (5000, 1), (256, 256), (257, 3)]
-    df = spark.createDataFrame(sizes, "width long, height long")
+def test_thumbnail_dims_by_definition(spark):
+    import random
+    from fractions import Fraction
+
+    rnd = random.Random(3)
+    sizes = [(640, 480), (100, 50), (3000, 20), (300, 100), (200, 300), (1, 5000), (5000, 1), (256, 256), (257, 3), (257, 257), (512, 3)]
+    sizes += [(rnd.randint(1, 4000), rnd.randint(1, 4000)) for _ in range(400)]
+    df = spark.createDataFrame(sizes, "width long, height long").coalesce(1)
     got = [(r.thumb_width, r.thumb_height) for r in I.thumbnail_dims(df).collect()]
-    assert got == [H.thumbnail_size(w, h) for w, h in sizes]
+    assert got[:6] == [(256, 192), (100, 50), (256, 2), (256, 85), (171, 256), (1, 256)]
+    for (w, h), (tw, th) in zip(sizes, got, strict=True):
+        if max(w, h) <= 256:
+            assert (tw, th) == (w, h)
+            continue
+        exact = Fraction(256 * min(w, h), max(w, h))
+        around = {max(1, exact.__floor__()), max(1, exact.__ceil__())}
+        fits = [(n, 256) if h >= w else (256, n) for n in sorted(around)]
+        assert (tw, th) == min(fits, key=lambda s: abs(Fraction(w, h) - Fraction(*s)))
+
+
+def test_end_of_file_markers():
+    whole = jpeg(30, 20)
+    profiled = lambda b: I.profile_one("k", b, b[-16:], len(b))["error"]
+    assert profiled(whole) is None and profiled(whole + b"\0" * 8) is None and profiled(whole + b"x" * 500) is None
+    assert profiled(whole[:-2]) == H.TRUNCATED
+    gif = b"GIF89a" + struct.pack("<HHB", 12, 9, 0x80) + b"\x00" * 10
+    assert profiled(gif) == H.TRUNCATED and profiled(gif + b";") is None and profiled(gif + b";\0\0") is None
+    # last bytes that do not tell ask for the whole file
+    assert I.profile_one("k", whole[:40], b"x" * 16, 5000)["need_more"]
 
 
 def test_profile_job_cases(spark):

@@ -15,9 +15,9 @@ def test_partner_from_bucket_reference_cases(spark):
     got = _eval(
         spark,
         [
-            "imgp-dev-landing-coco-935961368629",
-            "imgp-dev-landing-acme-media-935961368629",
-            "imgp-dev-bronze-935961368629",
+            "imgp-dev-landing-coco-000000000042",
+            "imgp-dev-landing-acme-media-000000000042",
+            "imgp-dev-bronze-000000000042",
             "some-other-bucket",
         ],
         K.partner_from_bucket,

@@ -12,7 +12,7 @@ from quarry.operators import tables as tbl
 from quarry.session import scratch_path
 from quarry.streaming import ledger as ledger_stream
 
-B = "imgp-dev-landing-coco-935961368629"
+B = "imgp-dev-landing-coco-000000000042"
 
 
 def ev(key, etag="e1", size=10, t="2024-06-01T10:00:00Z", bucket=B):
