@@ -41,8 +41,8 @@ def _writer(root: str):
     return write_archive
 
 
-def build_archives(spark: SparkSession, sf_dir: str) -> str:
-    root = scratch_path(spark, "landing-archives")
+def build_archives(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    root = root or scratch_path(spark, "landing-archives")
     d = table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "text", "source", F.floor(F.col("doc_id") / DOCS_PER_ARCHIVE).alias("block")
     )
@@ -84,7 +84,7 @@ def bronze_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "bronze_manifest",
-    "A3 K7 X10",
+    "A3",
     f"""WITH {SQL_DOCS}
 SELECT archive, count(*) AS file_count, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes, 'DONE' AS status
 FROM dz GROUP BY archive""",
