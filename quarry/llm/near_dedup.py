@@ -354,7 +354,8 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     labelled = signed.select("doc_id", "n_shingles", "digest", "row").join(of_class, "digest", "left")
     labelled = labelled.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("row")).otherwise(F.col("comp")).alias("comp"))
     groups = labelled.groupBy("comp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    joined = labelled.join(groups.select("comp", "least_id", "n"), "comp", "left")
+    # written, so that both sides of the join come from an exchange and a large component can be split
+    joined = labelled.join(written(groups.select("comp", "least_id", "n"), "groups"), "comp", "left")
     component = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
