@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: At most about this many labelled rows are fitted on; beyond it a share of them, drawn by a hash of the id.
 MAX_FIT_ROWS = 60_000
+#: The sample is dealt over so many partitions, so that partial sums do not follow the number of scan tasks.
+FIT_PARTITIONS = 32
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -25,7 +27,8 @@ def fit_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = MAX_FIT
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     share = min(1.0, most / max(1, known.count()))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) < int(share * (1 << 30))
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known.where(draw)), "doc_id").select("text", "label")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known.where(draw)), "doc_id")
+    return rows.repartition(FIT_PARTITIONS, "doc_id").select("text", "label")
 
 
 def scored_rows(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
