@@ -5,23 +5,23 @@ Folding lower-cases, maps homoglyphs of other scripts and digits that stand for
 letter, drops invisible characters, and turns everything that is no letter into a space.  Entries are
 word beginnings.  The lexicon is learned: beginnings that many different contexts of toxic
 texts hold and clean texts hardly do.  Phrases around an entry that only clean texts hold
-are exceptions: a match inside one does not count.
+are exceptions: a match inside one does not count, neither for a text nor against an entry.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.labels import fit_rows, held_out, scored_rows
+from quarry.llm.labels import FIT_PARTITIONS, fit_rows, held_out, scored_rows
 from quarry.llm.shared import map_text, prepare, sliced, written
 
 #: At most about this many labelled rows are fitted on.
@@ -31,6 +31,8 @@ SHORTEST, LONGEST = 3, 12
 #: An entry has this log odds at least, and is in this share of the toxic texts and in as many
 #: different contexts (copies of one text are one context, a long text is one text).
 LEAST_WEIGHT, LEAST_SHARE, LEAST_TEXTS = 4.2, 0.025, 4
+#: A phrase that so many clean rows and no toxic ones hold is an exception; it says nothing against its words.
+LEAST_QUOTED = 3
 MAX_ENTRIES = 5_000
 PREDICT_AT = 0.5
 
@@ -115,39 +117,60 @@ def features(weight: float, folded: str) -> tuple[float, float]:
     return math.log1p(weight), math.log1p(1000 * weight / max(1, len(folded.split())))
 
 
+def _distinct(rows: DataFrame) -> DataFrame:
+    """(text, label, copies, id): each distinct folded text once per label, and how many rows have it."""
+
+    def folded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [" ".join(fold(t).split()) for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("label")], ["text", "label"])
+
+    once = map_text(rows, "text string, label int", folded).groupBy("text", "label").agg(F.count(F.lit(1)).alias("copies"))
+    return once.withColumn("id", F.xxhash64("text")).repartition(FIT_PARTITIONS, "id")
+
+
 def _contexts(sample: DataFrame) -> DataFrame:
-    """(word, contexts, toxic, clean): in how many contexts (the word before) toxic texts hold a
-    folded word, and how many toxic and clean texts do."""
+    """(word, side, toxic, clean, quoted): one row per context of a folded word, the word before (side 0) or
+    after (side 1).  A context is credited to one toxic and one clean text that hold it (their
+    smallest ids); it is quoted if clean rows alone hold it, ``LEAST_QUOTED`` or more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 8 << 20):
-            pairs, toxic, clean = set(), Counter(), Counter()
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                words = fold(text).split()
-                (toxic if label else clean).update(set(words))
-                if label:
-                    pairs.update(zip(words, ["", *words], strict=False))
-            rows = [(w, p, 0, 0) for w, p in pairs] + [(w, None, toxic[w], clean[w]) for w in {*toxic, *clean}]
-            if rows:
-                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["word", "before", "toxic", "clean"])
-
-    found = sample.mapInArrow(count, "word string, before string, toxic long, clean long")
-    once = found.groupBy("word", "before").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    return once.groupBy("word").agg(F.count("before").alias("contexts"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        for batch in sliced(batches, "text"):
+            found: dict[tuple, list] = {}
+            for text, label, copies, at in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "copies", "id")), strict=True):
+                words = text.split()
+                before, after = zip(words, repeat(0), ["", *words]), zip(words, repeat(1), [*words[1:], ""])
+                for key in {*before, *after}:
+                    e = found.setdefault(key, [None, None, 0, 0])
+                    e[label] = at if e[label] is None else min(at, e[label])
+                    e[2 + label] += copies
+            if found:
+                columns = [*zip(*found, strict=True), *zip(*found.values(), strict=True)]
+                kinds = (pa.string(), pa.int32(), pa.string(), *[pa.int64()] * 4)
+                names = ["word", "side", "beside", "clean", "toxic", "n_clean", "n_toxic"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    found = sample.mapInArrow(count, "word string, side int, beside string, clean long, toxic long, n_clean long, n_toxic long")
+    once = found.where(F.length("word") >= SHORTEST).groupBy("word", "side", "beside")
+    once = once.agg(*(f(c).alias(c) for f, c in ((F.min, "toxic"), (F.min, "clean"), (F.sum, "n_toxic"), (F.sum, "n_clean"))))
+    quoted = (F.col("beside") != "") & (F.col("n_toxic") == 0) & (F.col("n_clean") >= LEAST_QUOTED)
+    return once.select("word", "side", "toxic", "clean", quoted.alias("quoted"))
+
+
+def _credited(contexts: DataFrame, label: str, out: str) -> DataFrame:
+    """(start, out): to how many texts of the ``label`` the contexts of a word beginning are credited, on the side with fewer."""
+    starts = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST))), lambda k: F.substring("word", F.lit(1), k))
+    texts = contexts.where(F.col(label).isNotNull()).select("word", "side", label).distinct()
+    texts = texts.select(F.explode(starts).alias("start"), "side", label).distinct()
+    return texts.groupBy("start", "side").agg(F.count(F.lit(1)).alias("n")).groupBy("start").agg(F.min("n").alias(out))
 
 
 def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    words = _contexts(sample).where((F.length("word") >= SHORTEST) & (F.col("toxic") + F.col("clean") > 0))
-    starts = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST))), lambda k: F.substring("word", F.lit(1), k))
+    contexts = written(_contexts(sample), "toxic-contexts")
+    held = _credited(contexts, "toxic", "t").where(F.col("t") >= LEAST_TEXTS)
+    found = held.join(_credited(contexts.where(~F.col("quoted")), "clean", "c"), "start", "left").na.fill(0, ["c"])
     by_start = (
-        words.select(F.explode(starts).alias("start"), "contexts", "toxic", "clean")
-        .groupBy("start")
-        .agg(F.sum("contexts").alias("contexts"), F.sum("toxic").alias("texts"), F.sum("clean").alias("c"))
-        .withColumn("t", F.least("contexts", "texts"))
-        .withColumn("w", F.log((F.col("texts") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)))
-        .where((F.col("t") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)) & (F.col("w") >= LEAST_WEIGHT))
+        found.withColumn("w", F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)))
+        .where((F.col("t") >= LEAST_SHARE * toxic) & (F.col("w") >= LEAST_WEIGHT))
         .orderBy(F.col("t").desc(), "start")
         .limit(MAX_ENTRIES)
     )
@@ -168,22 +191,22 @@ def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     return {s: w for s, w in chosen.items() if not any(s[:k] in chosen for k in range(SHORTEST, len(s)))}
 
 
-def _exceptions(sample: DataFrame, weights: dict[str, float], least: int = 3) -> frozenset[str]:
-    """Two-word phrases with an entry that several clean texts and no toxic ones hold."""
+def _exceptions(sample: DataFrame, weights: dict[str, float], least: int = LEAST_QUOTED) -> frozenset[str]:
+    """Two-word phrases with an entry that several clean rows and no toxic ones hold."""
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = sorted({len(e) for e in weights})
         for batch in sliced(batches, "text"):
             rows = []
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                words = fold(text).split()
+            for text, label, copies in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "copies")), strict=True):
+                words = text.split()
                 near = {i for i, w in enumerate(words) if any(w[:k] in weights for k in sizes)}
-                rows += [(p, label) for p in {" ".join(words[i : i + 2]) for j in near for i in (j - 1, j) if 0 <= i < len(words) - 1}]
+                rows += [(p, label * copies, copies) for p in {" ".join(words[i : i + 2]) for j in near for i in (j - 1, j) if 0 <= i < len(words) - 1}]
             if rows:
-                phrase, label = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(phrase, pa.string()), pa.array(label, pa.int32())], ["phrase", "label"])
+                phrase, t, n = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(phrase, pa.string()), pa.array(t, pa.int64()), pa.array(n, pa.int64())], ["phrase", "t", "n"])
 
-    counted = sample.mapInArrow(phrases, "phrase string, label int").groupBy("phrase").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n"))
+    counted = sample.mapInArrow(phrases, "phrase string, t long, n long").groupBy("phrase").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     kept = counted.where((F.col("t") == 0) & (F.col("n") >= least)).orderBy(F.col("n").desc(), "phrase").limit(MAX_ENTRIES)
     return frozenset(r.phrase for r in kept.select("phrase").collect())
 
@@ -202,8 +225,8 @@ def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> tuple[float, fl
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Lexicon:
-    """The lexicon from the labelled rows that may be learned from (``most`` at most)."""
-    sample = written(fit_rows(docs, labels, "toxic", most), "toxic-rows")
+    """The lexicon from the labelled rows that may be learned from (``most`` at most); copies of a text count once."""
+    sample = written(_distinct(fit_rows(docs, labels, "toxic", most)), "toxic-rows")
     totals = sample.agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).first()
     toxic, clean = totals.t or 0, totals.n - (totals.t or 0)
     if not toxic:

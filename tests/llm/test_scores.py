@@ -76,6 +76,28 @@ def test_toxicity_on_held_out_rows(spark, make_docs, corpus):
     assert accuracy(rows, labels, 2) > 0.97
 
 
+def toxic_found(spark, make_docs, docs, labels):
+    rows = X.score_toxicity(make_docs(docs), spark.createDataFrame(labels, LABELS)).collect()
+    truth = {r[0]: r[2] for r in labels}
+    return [r.predicted for r in rows if r.held_out and r.doc_id < 1500 and truth[r.doc_id]]
+
+
+def added(ids, text, toxic, known):
+    """``known`` documents and labels with copies of a text that may be learned from."""
+    docs, labels = known
+    return docs + [(i, text) for i in ids], labels + [(i, 1, toxic, "", 0.0) for i in ids]
+
+
+def test_quoted_terms_stay_entries(spark, make_docs, corpus):
+    """A clean text that quotes every term, in copies, strikes none of them out, and is no toxic text itself."""
+    ids = [i for i in range(2000, 2100) if not held(i)][:60]
+    docs, labels = added(ids, "quoted dumfool here, said wreckle there", 0, corpus)
+    found = toxic_found(spark, make_docs, docs, labels)
+    assert sum(found) > 0.95 * len(found)
+    rows = X.score_toxicity(make_docs(docs), spark.createDataFrame(labels, LABELS)).collect()
+    assert not any(r.predicted for r in rows if r.doc_id >= 2000)
+
+
 def test_exceptions_and_longest_entry():
     lexicon = X.Lexicon({"wreck": 1.0, "wreckie": 5.0}, frozenset({"wreckie museum"}), (-3.0, 1.0, 1.0))
     a = lexicon.automaton()
