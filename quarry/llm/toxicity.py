@@ -28,9 +28,10 @@ from quarry.llm.shared import map_text, prepare, sliced, written
 FIT_ROWS = 20_000
 #: Word beginnings looked at, in folded letters.
 SHORTEST, LONGEST = 3, 12
-#: An entry has this log odds at least, and is in this share of the toxic texts and in as many
-#: different contexts (copies of one text are one context, a long text is one text).
-LEAST_WEIGHT, LEAST_SHARE, LEAST_TEXTS = 4.2, 0.025, 4
+#: An entry has this log odds at least, and its contexts are credited to so many toxic texts (copies are one text).
+LEAST_WEIGHT, LEAST_TEXTS = 4.2, 4
+#: Chance of a false entry among all word beginnings tested, were toxic and clean texts to hold them alike.
+CHANCE = 0.05
 #: A phrase that so many clean rows and no toxic ones hold is an exception; it says nothing against its words.
 LEAST_QUOTED = 3
 MAX_ENTRIES = 5_000
@@ -167,10 +168,16 @@ def _credited(contexts: DataFrame, label: str, out: str) -> DataFrame:
 def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     contexts = written(_contexts(sample), "toxic-contexts")
     held = _credited(contexts, "toxic", "t").where(F.col("t") >= LEAST_TEXTS)
-    found = held.join(_credited(contexts.where(~F.col("quoted")), "clean", "c"), "start", "left").na.fill(0, ["c"])
+    held = written(held, "toxic-starts")
+    found = held.join(_credited(contexts, "clean", "all"), "start", "left").join(_credited(contexts.where(~F.col("quoted")), "clean", "c"), "start", "left")
+    # bound (Chernoff) of the chance that so large a part of the texts with a beginning is toxic; quoted phrases count here
+    part, base, texts = F.col("t") / (F.col("t") + F.col("all")), toxic / (toxic + clean), F.col("t") + F.col("all")
+    rest = F.when(F.col("all") == 0, 0.0).otherwise((1 - part) * F.log((1 - part) / max(1 - base, 1e-9)))
+    gain = texts * (part * F.log(part / base) + rest)
     by_start = (
-        found.withColumn("w", F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)))
-        .where((F.col("t") >= LEAST_SHARE * toxic) & (F.col("w") >= LEAST_WEIGHT))
+        found.na.fill(0, ["c", "all"])
+        .withColumn("w", F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)))
+        .where((F.col("w") >= LEAST_WEIGHT) & (part > base) & (gain >= math.log(max(1, held.count()) / CHANCE)))
         .orderBy(F.col("t").desc(), "start")
         .limit(MAX_ENTRIES)
     )

@@ -98,6 +98,30 @@ def test_quoted_terms_stay_entries(spark, make_docs, corpus):
     assert not any(r.predicted for r in rows if r.doc_id >= 2000)
 
 
+def test_copies_of_a_toxic_text_drop_no_entry(spark, make_docs, corpus):
+    """Copies of a toxic text with another term, and a term that under 2.5 % of the toxic texts hold."""
+    docs, labels = added([i for i in range(2000, 5000) if not held(i)], "zotted person, zotted fool, so zotted", 1, corpus)
+    found = toxic_found(spark, make_docs, docs, labels)
+    assert sum(found) > 0.95 * len(found)
+
+
+def test_rare_terms_are_entries(spark, make_docs):
+    """Each of 60 terms in 12 of 720 toxic texts (1.7 %), a tenth of all texts."""
+    rnd = random.Random(3)
+    names = ["".join(rnd.choice("bdfgkmnprtvz") + rnd.choice("aeou") for _ in range(4)) for _ in range(60)]
+    plain = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "kmnprstvwx"]
+    docs, labels = [], []
+    for i in range(7200):
+        words = [rnd.choice(plain) for _ in range(30)]
+        if i % 10 == 0:
+            for at in (4, 14, 24):
+                words[at] = names[i // 10 % 60]
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 10 == 0), "", 0.0))
+    rows = X.score_toxicity(make_docs(docs), spark.createDataFrame(labels, LABELS)).collect()
+    assert accuracy(rows, labels, 2) > 0.97
+
+
 def test_exceptions_and_longest_entry():
     lexicon = X.Lexicon({"wreck": 1.0, "wreckie": 5.0}, frozenset({"wreckie museum"}), (-3.0, 1.0, 1.0))
     a = lexicon.automaton()
