@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import connected_components, map_text, prepare, text_of, written
@@ -142,25 +142,27 @@ def least_estimate(threshold: float, layout: Layout = BANDED) -> float:
     return threshold - ESTIMATE_MARGIN * math.sqrt(threshold * (1 - threshold) / layout.registers)
 
 
-SIGNATURE = "doc_id long, n_shingles long, digest binary, sketch binary"
+SIGNATURE = "n_shingles long, digest binary, sketch binary"
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest of the full set, sketch) of every row."""
+    """(n_shingles, digest of the full set, sketch, doc_id, text and the other columns) of every row."""
+    own = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    schema = ", ".join([SIGNATURE, *(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)])
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
+        sets = shingle_sets([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 pa.array([s.tobytes() for s in sketches(sets)], pa.binary()),
+                *batch.columns,
             ],
-            ["doc_id", "n_shingles", "digest", "sketch"],
+            ["n_shingles", "digest", "sketch", *batch.schema.names],
         )
 
-    return map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), SIGNATURE, sign)
+    return map_text(own, schema, sign)
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
@@ -169,22 +171,18 @@ def band_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", F.posexplode(F.array(*parts)).alias("band", "bucket"))
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n_shingles, shingles, fine, banded) for ``wanted`` (node, doc_id, digest): the sorted set,
-    the finer sketch and the banded one as bytes."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    of = wanted.select("node", F.col("doc_id").alias("_doc"), "digest")
-    joined = rows.join(of, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("node", "digest", "text")
+def full_sets(signed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n_shingles, shingles, fine, banded) for ``wanted`` (node), the rows of ``signed`` that stand for a
+    set: the sorted set, the finer sketch and the banded one as bytes."""
+    joined = signed.select(F.col("row").alias("node"), text_of().alias("text")).join(wanted, "node")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
         raw = [s.tobytes() for s in sets]
-        same = [hashlib.blake2b(s, digest_size=16).digest() == d for s, d in zip(raw, batch.column("digest").to_pylist(), strict=True)]
         fine = [s.tobytes() for s in sketches(sets, FINE)]
         banded = [s.tobytes() for s in sketches(sets)]
         columns = [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(c, pa.binary()) for c in (raw, fine, banded))]
-        made = pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "shingles", "fine", "banded"])
-        return made.filter(pa.array(same))  # a row that repeats the doc_id with another text
+        return pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "shingles", "fine", "banded"])
 
     return map_text(joined, "node long, n_shingles long, shingles binary, fine binary, banded binary", make)
 
@@ -333,38 +331,41 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     none, are linked with nothing and kept.  Rows that repeat a doc_id are documents of their own;
     null ids never name a component unless all its ids are null.  Other columns are ignored;
     an empty table gives no rows.  Building the frame runs the rounds described above."""
-    spark = docs.sparkSession
-    prepare(spark)
+    prepare(docs.sparkSession)
+    signed = written(signatures(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    labelled = _labelled(signed, percent)
+    groups = labelled.groupBy("comp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that both sides of the join come from an exchange and a large component can be split
+    joined = labelled.join(written(groups.select("comp", "least_id", "n"), "groups"), "comp", "left")
+    component = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _labelled(signed: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, row, comp) of every row of ``signed``."""
     threshold = percent / 100
-    signed = written(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")
     classes = (
         signed.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("members"))
     )
     classes = written(classes, "classes")
     nodes = signed.join(classes.select("node"), F.col("row") == F.col("node")).select(
-        "node", "doc_id", "digest", "n_shingles", "sketch"
+        "node", "n_shingles", "sketch"
     )
     nodes = written(nodes, "nodes")
     bands = band_rows(nodes)
     shared_buckets = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = written(bands.join(shared_buckets, "bucket", "left_semi"), "members")
-    comps = _components(spark, docs, nodes, members, threshold, percent)
+    comps = _components(signed, nodes, members, threshold, percent)
     of_class = classes.select("digest", "node").join(comps, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp"))
     # rows without shingles stand alone
     labelled = signed.select("doc_id", "n_shingles", "digest", "row").join(of_class, "digest", "left")
-    labelled = labelled.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("row")).otherwise(F.col("comp")).alias("comp"))
-    groups = labelled.groupBy("comp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # written, so that both sides of the join come from an exchange and a large component can be split
-    joined = labelled.join(written(groups.select("comp", "least_id", "n"), "groups"), "comp", "left")
-    component = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return labelled.select("doc_id", "n_shingles", "row", F.when(F.col("n_shingles") == 0, F.col("row")).otherwise(F.col("comp")).alias("comp"))
 
 
-def _components(spark: SparkSession, docs: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float, percent: int) -> DataFrame:
+def _components(signed: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float, percent: int) -> DataFrame:
     """(node, comp) for the nodes that share a bucket with another."""
     comps = members.select("node").distinct().withColumn("comp", F.col("node"))
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
-    sets = written(full_sets(docs, wanted), "sets")
+    sets = written(full_sets(signed, members.select("node").distinct()), "sets")
     for round_ in range(HUB_ROUNDS + 1):
         grouped = members.join(comps, "node").select("bucket", "band", "node", "comp")
         if round_ < HUB_ROUNDS:
