@@ -19,7 +19,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = MAX_FIT_ROWS) -> DataFrame:
     """(text, label 0/1) of the labelled rows that may be learned from, ``most`` at most in
     expectation.  Null labels and null ids teach nothing; a document labelled more than once
-    takes its largest label.  The sampled ids are broadcast (their number is bounded), so texts of
+    takes its largest label, and of rows that repeat its id the smallest text counts.  The sampled ids are broadcast (their number is bounded), so texts of
     other rows are dropped at the scan, not shuffled."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out()
@@ -28,7 +28,9 @@ def fit_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = MAX_FIT
     share = min(1.0, most / max(1, known.count()))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) < int(share * (1 << 30))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known.where(draw)), "doc_id")
-    return rows.repartition(FIT_PARTITIONS, "doc_id").select("text", "label")
+    # combined before the exchange, so that an id many rows repeat is one row and in no task more than that
+    once = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    return once.repartition(FIT_PARTITIONS, "doc_id").select("text", "label")
 
 
 def scored_rows(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
