@@ -14,7 +14,7 @@ import math
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -129,10 +129,11 @@ def _distinct(rows: DataFrame) -> DataFrame:
     return once.withColumn("id", F.xxhash64("text")).repartition(FIT_PARTITIONS, "id")
 
 
-def _contexts(sample: DataFrame) -> DataFrame:
+def _contexts(sample: DataFrame, kept: frozenset[str] | None = None) -> DataFrame:
     """(word, side, toxic, clean, quoted): one row per context of a folded word, the word before (side 0) or
     after (side 1).  A context is credited to one toxic and one clean text that hold it (their
-    smallest ids); it is quoted if clean rows alone hold it, ``LEAST_QUOTED`` or more."""
+    smallest ids); it is quoted if clean rows alone hold it, ``LEAST_QUOTED`` or more.  With ``kept``, of
+    words that begin with one of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -140,7 +141,8 @@ def _contexts(sample: DataFrame) -> DataFrame:
             for text, label, copies, at in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "copies", "id")), strict=True):
                 words = text.split()
                 before, after = zip(words, repeat(0), ["", *words]), zip(words, repeat(1), [*words[1:], ""])
-                for key in {*before, *after}:
+                fits = {w for w in set(words) if kept is None or any(w[:k] in kept for k in range(SHORTEST, LONGEST + 1))}
+                for key in {key for key in chain(before, after) if key[0] in fits}:
                     e = found.setdefault(key, [None, None, 0, 0])
                     e[label] = at if e[label] is None else min(at, e[label])
                     e[2 + label] += copies
@@ -157,31 +159,43 @@ def _contexts(sample: DataFrame) -> DataFrame:
     return once.select("word", "side", "toxic", "clean", quoted.alias("quoted"))
 
 
-def _credited(contexts: DataFrame, label: str, out: str) -> DataFrame:
-    """(start, out): to how many texts of the ``label`` the contexts of a word beginning are credited, on the side with fewer."""
+def _credited(contexts: DataFrame, label: str) -> DataFrame:
+    """(start, n, unquoted): to how many texts of the ``label`` the contexts of a word beginning are credited, and those
+    that are not quoted, each on the side with fewer."""
     starts = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST))), lambda k: F.substring("word", F.lit(1), k))
-    texts = contexts.where(F.col(label).isNotNull()).select("word", "side", label).distinct()
-    texts = texts.select(F.explode(starts).alias("start"), "side", label).distinct()
-    return texts.groupBy("start", "side").agg(F.count(F.lit(1)).alias("n")).groupBy("start").agg(F.min("n").alias(out))
+    quoted = F.min("quoted").alias("quoted")
+    texts = contexts.where(F.col(label).isNotNull()).groupBy("word", "side", label).agg(quoted)
+    texts = texts.select(F.explode(starts).alias("start"), "side", label, "quoted").groupBy("start", "side", label).agg(quoted)
+    sides = texts.groupBy("start", "side").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("quoted")).alias("unquoted"))
+    return sides.groupBy("start").agg(F.min("n").alias("n"), F.min("unquoted").alias("unquoted"))
 
 
 def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    contexts = written(_contexts(sample), "toxic-contexts")
-    held = _credited(contexts, "toxic", "t").where(F.col("t") >= LEAST_TEXTS)
-    held = written(held, "toxic-starts")
-    found = held.join(_credited(contexts, "clean", "all"), "start", "left").join(_credited(contexts.where(~F.col("quoted")), "clean", "c"), "start", "left")
-    # bound (Chernoff) of the chance that so large a part of the texts with a beginning is toxic; quoted phrases count here
-    part, base, texts = F.col("t") / (F.col("t") + F.col("all")), toxic / (toxic + clean), F.col("t") + F.col("all")
-    rest = F.when(F.col("all") == 0, 0.0).otherwise((1 - part) * F.log((1 - part) / max(1 - base, 1e-9)))
-    gain = texts * (part * F.log(part / base) + rest)
-    by_start = (
-        found.na.fill(0, ["c", "all"])
-        .withColumn("w", F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)))
-        .where((F.col("w") >= LEAST_WEIGHT) & (part > base) & (gain >= math.log(max(1, held.count()) / CHANCE)))
-        .orderBy(F.col("t").desc(), "start")
-        .limit(MAX_ENTRIES)
-    )
-    rows = {r.start: (r.t, r.w) for r in by_start.collect()}  # MAX_ENTRIES at most
+    held = _credited(_contexts(sample.where("label = 1")), "toxic").where(F.col("n") >= LEAST_TEXTS)
+    t = {r.start: r.n for r in held.collect()}  # beginnings in at most FIT_ROWS texts
+    base, least = toxic / (toxic + clean), math.log(max(1, len(t)) / CHANCE)
+
+    def weight(start: str, c: int) -> float:
+        return math.log((t[start] + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+
+    def significant(start: str, c: int) -> bool:
+        """By the bound of Chernoff on so large a part of the texts with the beginning being toxic by chance."""
+        n, part = t[start] + c, t[start] / (t[start] + c)
+        rest = (1 - part) * math.log((1 - part) / (1 - base)) if c else 0.0
+        return part > base and n * (part * math.log(part / base) + rest) >= least
+
+    kept = {s: (0, 0) for s in t if significant(s, 0) and weight(s, 0) >= LEAST_WEIGHT}
+    # the texts of smallest ids are credited alike in a part of the sample: what fails there fails in the whole
+    for share in (16, 4, 1):
+        if not kept:
+            return {}
+        part = sample.where((F.col("label") == 1) | (F.col("id") < -(1 << 63) + (1 << 64) // share)) if share > 1 else sample
+        counts = _credited(_contexts(part, frozenset(kept)), "clean").collect()  # beginnings of the words of kept ones
+        found = {r.start: (r.n, r.unquoted) for r in counts if r.start in kept}
+        kept = {s: found.get(s, (0, 0)) for s in kept}
+        kept = {s: n for s, n in kept.items() if significant(s, n[0])}
+    passed = {s: (t[s], weight(s, c)) for s, (_, c) in kept.items() if weight(s, c) >= LEAST_WEIGHT}
+    rows = dict(sorted(passed.items(), key=lambda r: (-r[1][0], r[0]))[:MAX_ENTRIES])
     chosen: dict[str, float] = {}
     for start in sorted(rows, key=len):
         if any(start[:k] in chosen for k in range(SHORTEST, len(start))):
