@@ -7,6 +7,7 @@ from llm_fixtures import edge_rows, make_docs  # noqa: F401
 
 from quarry.llm import quality as Q
 from quarry.llm import toxicity as X
+from quarry.llm.labels import fit_rows
 
 LABELS = "doc_id long, quality int, toxic int, text string, score double"
 
@@ -122,6 +123,14 @@ def test_rare_terms_are_entries(spark, make_docs):
     assert accuracy(rows, labels, 2) > 0.97
 
 
+def test_one_fitted_row_per_label(spark, make_docs):
+    """Rows that repeat a labelled id count once, so the bound on labels bounds the rows."""
+    a, b = [i for i in range(20) if not held(i)][:2]
+    known = spark.createDataFrame([(i, 1, 1, "", 0.0) for i in (a, b)], LABELS)
+    rows = fit_rows(make_docs([(a, f"text {k}") for k in range(300)] + [(b, None)]), known, "toxic").collect()
+    assert sorted((r.text, r.label) for r in rows) == [("", 1), ("text 0", 1)]
+
+
 def test_exceptions_and_longest_entry():
     lexicon = X.Lexicon({"wreck": 1.0, "wreckie": 5.0}, frozenset({"wreckie museum"}), (-3.0, 1.0, 1.0))
     a = lexicon.automaton()
