@@ -140,3 +140,62 @@ def op6(spark, sf_dir):
     from quarry.llm.html_text import extract_main_text
 
     return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query(
+    "op11_warc",
+    """
+    WITH p AS (
+      SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS lead FROM pages)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+             ((CAST('0x' || substr(h, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+           CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> lead THEN lead END AS refers_to
+    FROM p
+    """,
+)
+def op11(spark, sf_dir):
+    from quarry.llm.warc import archive_pages
+    from quarry.session import scratch_path
+
+    rows = archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch_path(spark, "web-archive"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    from quarry.llm.whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query(
+    "op13_lexical_search",
+    """
+    WITH d AS (
+      SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term FROM documents),
+    i AS (
+      SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term FROM benchmark),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+    len AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+    st AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM len),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+          FROM tf, st GROUP BY term, n_docs),
+    s AS (
+      SELECT i.item_id, tf.doc_id,
+             CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * len.n * st.n_docs) // st.n_terms)))) AS BIGINT) AS score
+      FROM i JOIN tf USING (term) JOIN w USING (term) JOIN len ON len.doc_id = tf.doc_id, st
+      GROUP BY i.item_id, tf.doc_id)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    WHERE rank <= 10
+    """,
+)
+def op13(spark, sf_dir):
+    from quarry.llm.lexical import ranked_search
+
+    return ranked_search(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), documents(spark, sf_dir))

@@ -8,9 +8,12 @@ import numpy as np
 import pytest
 from conftest import SMOKE_DIR
 from test_html import main_text
+from test_lexical import brute as lexical_brute
 from test_near_dedup import brute as near_brute
 from test_sharding import check as check_shards
 from test_tokens import BYTE, WORD, check_packing
+from test_warc import brute as warc_brute
+from test_whitening import brute as whitening_brute
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -31,8 +34,8 @@ def rows_of(spark, name, columns):
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
-    assert set(ORACLES) == {"op1_exact_dedup", "op8_exact_topk"}
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
+    assert set(ORACLES) == {"op1_exact_dedup", "op8_exact_topk", "op11_warc", "op13_lexical_search"}
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
 
 
@@ -85,3 +88,36 @@ def test_op9(spark, docs):
 def test_op10(spark, docs):
     columns = [("doc_id", "bigint"), ("size", "bigint"), ("text_crc32", "bigint"), ("law", "string"), ("shard", "int"), ("slot", "bigint"), ("grown_shard", "int")]
     check_shards(rows_of(spark, "op10_sharding", columns), docs, 24)
+
+
+def test_op11(spark):
+    columns = [("page_id", "bigint"), ("payload_bytes", "bigint"), ("payload_digest", "string"), ("record_type", "string"), ("refers_to", "bigint")]
+    pages = [(p.page_id, p.url, p.html) for p in spark.read.parquet(f"{SMOKE_DIR}/pages.parquet").collect()]
+    assert sorted(map(tuple, rows_of(spark, "op11_warc", columns)), key=repr) == warc_brute(pages)
+
+
+def test_op12(spark):
+    columns = [("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"), ("whitened", "double"), ("explained", "double"), ("identity_error", "double")]
+    rows = rows_of(spark, "op12_whitening", columns)
+    vectors = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMOKE_DIR}/embeddings.parquet").collect()]
+    ids, n, deviation, centred, v = whitening_brute(vectors)
+    assert sorted((r.vec_id, r.deviation) for r in rows if r.component == 8) == sorted(zip(ids, deviation, strict=True))
+    z = np.zeros((n, 8))
+    at = {i: k for k, i in enumerate(ids)}
+    for r in rows:
+        z[at[r.vec_id], r.component - 1] = r.whitened
+    assert np.abs(z.T @ z / n - np.eye(8)).max() < 1e-9 and rows[0].identity_error < 1e-9
+    # a component is an eigenvector: its variance is the eigenvalue, and it takes the covariance to itself
+    for c in range(8):
+        q = centred.T @ z[:, c]
+        q /= np.linalg.norm(q)
+        e = q @ v @ q
+        assert np.linalg.norm(v @ q - e * q) < 1e-9 * e
+        (explained,) = {r.explained for r in rows if r.component == c + 1}
+        assert explained == pytest.approx(e / np.trace(v), rel=1e-9)
+
+
+def test_op13(spark, docs):
+    rows = rows_of(spark, "op13_lexical_search", [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")])
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMOKE_DIR}/benchmark.parquet").collect()]
+    assert sorted(map(tuple, rows), key=repr) == lexical_brute(items, docs)
