@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.shared import prepare, written
 from quarry.operators.bronze import _open, _open_out
+from quarry.operators.joins import spread, work_of
 
 #: A package is closed beyond so many bytes of records, or so many records.
 PACKAGE_BYTES, PACKAGE_RECORDS = 128 << 20, 100_000
@@ -71,14 +72,21 @@ def _size_of(fh) -> int:
     return fh.tell()
 
 
+def _end_at(tail: bytes) -> int:
+    """Where the end record begins whose comment fills the rest; a signature within a comment is passed over."""
+    at = len(tail)
+    while (at := tail.rfind(struct.pack("<I", END), 0, at)) >= 0:
+        if at + 22 <= len(tail) and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail):
+            break
+    return at
+
+
 def directory(fh) -> list[Member]:
     """The members listed by the central directory, ZIP64 or not; bytes before the package are allowed."""
     size = _size_of(fh)
     tail_at = max(0, size - (22 + 0xFFFF))
     tail = _read_at(fh, tail_at, size - tail_at)
-    at = tail.rfind(struct.pack("<I", END))
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail) if at + 22 <= len(tail) else at >= 0:
-        at = tail.rfind(struct.pack("<I", END), 0, at)  # a signature inside the comment or the data before
+    at = _end_at(tail)
     if at < 0:
         raise ValueError("no end of central directory: not a ZIP package")
     entries, cd_size, cd_at = struct.unpack_from("<HII", tail, at + 10)
@@ -399,9 +407,9 @@ RECORD = "archive string, record_id string, record_type string, url string, date
 def read_packages(archives: DataFrame, payloads: bool = True) -> DataFrame:
     """The records (``RECORD`` and, if wanted, payload) of the packages that ``archives`` (archive) names.
 
-    First the directories and indexes are read, a small row per record; these are dealt by stretches of
-    the packages, so a package of any size is fetched by many tasks, each reading its ranges in order.  A
-    record that is damaged fails the job.  Revisits have no payload; their digest and length are the full one's."""
+    First the directories and indexes are read, a small row per record (when the frame is built); these are dealt
+    by stretches of the packages over as many tasks as their bytes ask for, so a package of any size is
+    fetched by many tasks, each reading its ranges in order.  A record that is damaged fails the job.  Revisits have no payload; their digest and length are the full one's."""
     prepare(archives.sparkSession)
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,9 +442,10 @@ def read_packages(archives: DataFrame, payloads: bool = True) -> DataFrame:
         if fh is not None:
             fh.close()
 
-    listed = archives.select("archive").repartition("archive").mapInArrow(locate, "archive string, at long, length long")
-    dealt = listed.withColumn("_part", F.floor(F.col("at") / STRETCH_BYTES)).repartition("archive", "_part").sortWithinPartitions("archive", "at")
-    return dealt.drop("_part").mapInArrow(fetch, RECORD + (", payload binary" if payloads else ""))
+    listed = spread(archives.select("archive"), ["archive"]).mapInArrow(locate, "archive string, at long, length long")
+    listed = written(listed.withColumn("stretch", F.floor(F.col("at") / STRETCH_BYTES)), "places")
+    dealt = spread(listed, ["archive", "stretch"], *work_of(listed, F.col("length"))).sortWithinPartitions("archive", "at")
+    return dealt.drop("stretch").mapInArrow(fetch, RECORD + (", payload binary" if payloads else ""))
 
 
 def archive_pages(pages: DataFrame, root: str, least: int = 0) -> DataFrame:
