@@ -19,7 +19,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from quarry import jobs, schemas
+from quarry import jobs
 from quarry.session import BASE_CONF
 
 
@@ -59,7 +59,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
     layout = jobs.Layout(args.root)
     if args.job == "register":
-        events = spark.read.schema(schemas.LANDING_EVENT).json(args.events)
+        from quarry.streaming.ledger import read_events
+
+        events = read_events(spark, args.events)
         out = {"registered": jobs.register_events(spark, layout, events, args.batch_id)}
     elif args.job == "bronze":
         jobs.bronze_job(spark, layout, jobs.pending_drops(spark, layout))

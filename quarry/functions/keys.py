@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import mimetypes
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -178,3 +179,11 @@ def truncate_error(err: Column | str, n: int = ERROR_MAX_CHARS) -> Column:
 def date_lit(d: str | _dt.date) -> Column:
     """Typed date literal, so partition filters stay prunable."""
     return F.lit(d if isinstance(d, _dt.date) else _dt.date.fromisoformat(d))
+
+
+def key_below(path: Column | str, root: str) -> Column:
+    """The object key of a path below ``root``, both in any of the spellings of a local path."""
+    one = root.rstrip("/") + "/"
+    one = one if "://" in one or one.startswith("file:") else "file:" + one
+    one = re.sub(r"^file:/+", "file:/", one)
+    return F.substr(F.regexp_replace(_c(path), "^file:/+", "file:/"), F.lit(len(one) + 1))

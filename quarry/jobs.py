@@ -1,8 +1,10 @@
 """Job entry points: the medallion flow as Spark jobs over one shared storage root.
 
     landing/<bucket>/<key>             objects dropped by partners
-    ledger/                            drop registrations (batch_id partitions)
+    ledger/                            drop registrations (partitions by hash bucket and batch)
+    ledger-quarantine/                 events that are malformed, with the reason
     ledger-status/                     append-only status events
+    drop-state/                        current state per drop (open ones apart), kept incrementally
     bronze/<partner=/dataset=/ingest_date=>/<path>   immutable objects
     manifests/                         manifest files table (one row per listed file)
     staging/<table>/                   silver staging (Hive partitions)
@@ -17,7 +19,6 @@ redoes exactly what is missing.
 from __future__ import annotations
 
 import datetime as _dt
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from quarry import schemas as S
 from quarry.functions import keys as K
 from quarry.operators import annotations as A
-from quarry.operators import bronze, gold, landing
+from quarry.operators import bronze, drop_state, gold, landing
 from quarry.operators import images as I
 from quarry.operators import manifest as M
 from quarry.operators import tables as tbl
@@ -93,21 +94,19 @@ def register_events(spark: SparkSession, layout: Layout, events: DataFrame, batc
     given one replays that batch."""
     if batch_id is None:
         batch_id = ledger_stream.fresh_batch_id(spark, layout.ledger)
-    return ledger_stream.register_batch(spark, events, batch_id, layout.ledger)
+    return ledger_stream.register_batch(spark, events, batch_id, layout.ledger, state_path=layout.drop_state)
 
 
 def pending_drops(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Drops whose latest status is not final (the work set, read after registration,
-    so a lost submission is retried)."""
-    led = tbl.read_table(spark, layout.ledger, ledger_stream.LEDGER_TABLE)
-    if led is None:
-        return spark.createDataFrame([], ledger_stream.LEDGER_TABLE)
-    status = tbl.read_table(spark, layout.ledger_status, STATUS_EVENTS)
-    if status is None:
-        return led
-    latest = landing.latest_status(status)
-    final = latest.where(F.col("status").isin("DONE", "FAILED", "NOOP")).select("drop_id")
-    return led.join(final, "drop_id", "left_anti")
+    """Drops whose current status is not final (the work set, read after registration, so a lost
+    submission is retried): the open partitions of the state table, not the history."""
+    if not tbl.path_exists(spark, layout.drop_state):
+        led = tbl.read_table(spark, layout.ledger, ledger_stream.LEDGER_TABLE)
+        if led is None:
+            return spark.createDataFrame([], ledger_stream.LEDGER_TABLE).select(*landing.LEDGER_COLUMNS)
+        drop_state.rebuild(spark, layout.drop_state, led, tbl.read_table(spark, layout.ledger_status, STATUS_EVENTS))
+    todo = drop_state.open_drops(spark, layout.drop_state).where("src_key is not null")
+    return todo.select(*landing.LEDGER_COLUMNS)
 
 
 def _status(spark: SparkSession, df: DataFrame, status, **columns) -> DataFrame:
@@ -117,6 +116,15 @@ def _status(spark: SparkSession, df: DataFrame, status, **columns) -> DataFrame:
     return df.select("drop_id", *values)
 
 
+def _record(spark: SparkSession, layout: Layout, events: DataFrame) -> None:
+    """Status events into the history and the state table; what ``events`` does runs once."""
+    path = scratch_path(spark, "status")
+    events.write.parquet(path)
+    events = spark.read.schema(STATUS_EVENTS).parquet(path)
+    events.write.mode("append").parquet(layout.ledger_status)
+    drop_state.update(spark, layout.drop_state, events)
+
+
 def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
     """Unpack archives and copy loose objects of ``drops`` into bronze; write manifest rows,
     manifest documents and status events.
@@ -124,7 +132,9 @@ def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
     Each distinct archive is listed and read once, however many drops deliver it, by tasks
     whose number follows its bytes.  A drop with any entry that could not be listed, read or
     written is FAILED and gets no manifest; so is a loose object that could not be copied."""
-    routed = landing.route(drops)
+    work = scratch_path(spark, "work-set")  # fixed here: the tables it comes from change while the job runs
+    drops.select(*landing.LEDGER_COLUMNS).write.parquet(work)
+    routed = landing.route(spark.read.parquet(work))
     src_key = F.concat("src_bucket", F.lit("/"), "src_key")
     landing_root = layout.landing.rstrip("/") + "/"
     archives = routed.where(F.col("action") == "unpack").select(
@@ -136,8 +146,8 @@ def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
         _uri(F.concat(F.lit(landing_root), src_key)).alias("upath"),
     )
     prefix = {"bronze_prefix": F.col("bronze_prefix")}
-    for state in ("SUBMITTED", "UNPACKING"):
-        _status(spark, archives, F.lit(state), **prefix).write.mode("append").parquet(layout.ledger_status)
+    began = [_status(spark, archives, F.lit(state), **prefix) for state in ("SUBMITTED", "UNPACKING")]
+    _record(spark, layout, began[0].unionByName(began[1]))
 
     listing_path, written_path = scratch_path(spark, "listing"), scratch_path(spark, "unpacked")
     paths = archives.select(F.col("upath").alias("path")).distinct()
@@ -188,20 +198,21 @@ def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
         error=K.truncate_error("error", K.LEDGER_ERROR_MAX_CHARS),
         **prefix,
     )
-    final.write.mode("append").parquet(layout.ledger_status)
+    _record(spark, layout, final)
 
     # loose objects: fetched by key on the executors, copied under dataset=loose
     loose = routed.where(F.col("action") == "copy").select("drop_id", "bronze_key", src_key.alias("key"))
     copied = bronze.copy_objects(loose, layout.landing, layout.bronze)
     ok = F.col("error").isNull()
-    _status(
+    outcomes = _status(
         spark,
         copied,
         F.when(ok, F.lit("DONE")).otherwise(F.lit("FAILED")),
         bronze_key=F.when(ok, F.col("bronze_key")),
         file_count=F.when(ok, F.lit(1)).otherwise(F.lit(0)),
         error=K.truncate_error("error", K.LEDGER_ERROR_MAX_CHARS),
-    ).write.mode("append").parquet(layout.ledger_status)
+    )
+    _record(spark, layout, outcomes)
 
 
 def silver_job(spark: SparkSession, layout: Layout, files: DataFrame) -> DataFrame:
@@ -209,18 +220,17 @@ def silver_job(spark: SparkSession, layout: Layout, files: DataFrame) -> DataFra
     ``files``; results go to staging.  Returns the routing of each drop."""
     routing = M.silver_routing(files, "drop_id", "key")
     # a key that several deliveries list is one object
-    listed = files.where(K.is_image_key("key")).groupBy("key", "partner", "dataset", "ingest_date").agg(F.max("size_bytes").alias("size_bytes"))
-    meta = I.stored_image_metadata(listed, layout.bronze, *work_of(listed, F.col("size_bytes"))).persist()
+    listed = files.where(K.is_image_key("key")).select("key", *S.DROP_PARTITION).distinct()
+    meta_path = scratch_path(spark, "image-metadata")
+    I.stored_image_metadata(listed, layout.bronze).write.parquet(meta_path)  # objects are read once: two writes follow
+    meta = spark.read.schema(S.IMAGE_METADATA).parquet(meta_path)
     tbl.stage(meta, layout.staging("image_metadata"), S.DROP_PARTITION)
     write_thumbnails(spark, layout, meta)
-    meta.unpersist()
     ann_files = files.select(
-        F.concat(F.lit(layout.bronze.rstrip("/") + "/"), "key").alias("path"), "partner", "dataset", "ingest_date"
+        F.concat(F.lit(layout.bronze.rstrip("/") + "/"), "key").alias("path"), *S.DROP_PARTITION
     ).distinct()
-    normalized = A.normalize(spark, ann_files)
-    for table, df in A.tables_of(normalized).items():
+    for table, df in A.normalize(spark, ann_files).items():
         tbl.stage(df, layout.staging(table), S.SLICE_PARTITION)
-    A.release(normalized)
     return routing
 
 
@@ -240,11 +250,8 @@ def write_thumbnails(spark: SparkSession, layout: Layout, meta: DataFrame) -> in
         .option("pathGlobFilter", K.IMAGE_GLOB)
         .load(paths)
     )
-    root = layout.bronze.rstrip("/") + "/"
-    root = root if "://" in root or root.startswith("file:") else "file:" + root
-    root = re.sub(r"^file:/+", "file:/", root)
     th = I.thumbnails(images).select(
-        F.expr(f"substring(regexp_replace(origin, '^file:/+', 'file:/'), {len(root) + 1})").alias("bronze_key"),
+        K.key_below("origin", layout.bronze).alias("bronze_key"),
         F.col("width").alias("thumb_width"),
         F.col("height").alias("thumb_height"),
         "content",

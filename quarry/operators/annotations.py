@@ -9,10 +9,15 @@ downstream work spreads over the cluster even though one document is one input r
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry import schemas as S
 from quarry.functions import keys as K
+from quarry.session import scratch_path
+from quarry.sources.documents import read_json_docs
 
 BBOX_FIELDS = ("bbox_x", "bbox_y", "bbox_w", "bbox_h")
 
@@ -106,24 +111,40 @@ def _complete(schema, kind: str):
     return F.when(lacks, F.raise_error(F.lit(f"{kind} document without one of the arrays {names}")).cast(schema)).otherwise(doc)
 
 
-def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "split") -> dict[str, DataFrame]:
+#: An element of any of the documents' arrays; the fields that its array lacks are null.
+ELEMENT = S.struct(
+    ("id", S.L), ("image_id", S.L), ("category_id", S.L), ("file_name", S.S), ("width", S.L), ("height", S.L), ("name", S.S),
+    ("supercategory", S.S), ("bbox", S.T.ArrayType(S.D)), ("area", S.D), ("iscrowd", S.L), ("caption", S.S),
+)
+
+
+def _elements(doc_schema: S.T.StructType) -> Column:
+    """All elements of all arrays of a document, with the name of their array."""
+
+    def of(array: S.T.StructField) -> Column:
+        has = array.dataType.elementType.fieldNames()
+
+        def element(x: Column) -> Column:
+            fields = [(x[f.name] if f.name in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in ELEMENT.fields]
+            return F.struct(F.lit(array.name).alias("array"), *fields)
+
+        return F.transform(F.col("doc")[array.name], element)
+
+    return F.concat(*(of(f) for f in doc_schema.fields))
+
+
+def normalize(spark, files: DataFrame, path_col: str = "path") -> dict[str, DataFrame]:
     """Annotation documents listed in ``files`` (path, partner, dataset, ingest_date) ->
     ``coco_images``, ``coco_categories``, ``coco_annotations``, ``coco_captions``.
 
-    ``reader="split"`` (default) cuts each document into byte-range spans of whole array
-    elements and parses the spans in parallel (``sources.coco_split``); ``reader="json"``
-    uses Spark's JSON reader with the subset schemas (one document per row).  Either way:
-    keypoints files are skipped, base columns and the split come from the manifest row,
-    malformed documents and documents without a required array fail the job, and each
-    document is parsed once (the rows are cached for the four tables; the cache is released
-    with ``release(tables)``).
-    """
-    from quarry import schemas as S
-    from quarry.sources import coco_split
-    from quarry.sources.documents import read_json_docs
-
+    Spark's JSON reader parses each document once, with the subset schema (FAILFAST), in a task of its own; its
+    elements are written below the shared checkpoint folder, one partition per array, and the four
+    tables read that.  Keypoints files are skipped, base columns and the split come from the
+    manifest row, malformed documents and documents without a required array fail the job.  The
+    driver holds one path per document of the batch (as any file listing does)."""
     f = with_kind(files, path_col).where(F.col("action").isin("instances", "captions"))
     base = f.select(
+        F.col(path_col).alias("path"),
         _uri(F.col(path_col)).alias("source_path"),
         "partner",
         "dataset",
@@ -131,69 +152,31 @@ def normalize(spark, files: DataFrame, path_col: str = "path", reader: str = "sp
         "split",
         F.col("action").alias("kind"),
     )
-    if reader == "split":
-        rows = (
-            coco_split.read_annotation_rows(f.select(path_col, F.col("action").alias("kind")), path_col)
-            .withColumn("source_path", _uri(F.col("source_path")))
-            .join(base, ["source_path", "kind"])
-            .persist()
-        )
-
-        def part(kind, array, *cols):
-            return rows.where((F.col("kind") == kind) & (F.col("array") == array)).select(*S.SLICE_PARTITION, *cols)
-
-        return {
-            "coco_images": part(
-                "instances", "images", F.col("id").alias("image_id"), "file_name", "width", "height"
-            ),
-            "coco_categories": part("instances", "categories", F.col("id").alias("category_id"), "name", "supercategory"),
-            "coco_annotations": part(
-                "instances",
-                "annotations",
-                F.col("id").alias("annotation_id"),
-                "image_id",
-                "category_id",
-                *bbox_columns("bbox"),
-                "area",
-                "iscrowd",
-            ),
-            "coco_captions": part("captions", "annotations", F.col("id").alias("caption_id"), "image_id", "caption"),
-            "_cache": rows,
-        }
-
-    out: dict[str, DataFrame] = {}
+    listed = base.distinct().collect()
+    scratch = scratch_path(spark, "annotation-elements")
+    parts = []
     for kind, schema in (("instances", S.INSTANCES_DOC), ("captions", S.CAPTIONS_DOC)):
-        paths = [r[0] for r in f.where(F.col("action") == kind).select(path_col).collect()]
-        if not paths:
-            empty = spark.createDataFrame([], "source_path string").join(base, "source_path")
-            docs = empty.select(*S.SLICE_PARTITION, F.lit(None).cast(schema).alias("doc"))
-        else:
-            raw = read_json_docs(spark, paths, schema, multi_line=True, with_path=True)
-            raw = raw.withColumn("source_path", _uri(F.col("source_path")))
-            docs = (
-                raw.join(base.where(F.col("kind") == kind), "source_path")
-                .select(*S.SLICE_PARTITION, _complete(schema, kind).alias("doc"))
-                .persist()
-            )
-            out.setdefault("_caches", []).append(docs)
-        if kind == "instances":
-            out["coco_images"] = images(docs, S.SLICE_PARTITION)
-            out["coco_categories"] = categories(docs, S.SLICE_PARTITION)
-            out["coco_annotations"] = annotations(docs, S.SLICE_PARTITION)
-        else:
-            out["coco_captions"] = captions(docs, S.SLICE_PARTITION)
-    return out
-
-
-def tables_of(normalized: dict) -> dict[str, DataFrame]:
-    """The four tables of a ``normalize`` result (without its cache handles)."""
-    return {k: v for k, v in normalized.items() if not k.startswith("_")}
-
-
-def release(normalized: dict) -> None:
-    """Drop the parse cache of a ``normalize`` result."""
-    for k in ("_cache",):
-        if k in normalized:
-            normalized[k].unpersist()
-    for d in normalized.get("_caches", []):
-        d.unpersist()
+        own = [r for r in listed if r.kind == kind]
+        if not own:
+            continue
+        raw = read_json_docs(spark, sorted({r.path for r in own}), schema, multi_line=True, with_path=True)
+        rows = F.broadcast(spark.createDataFrame(own, base.schema).drop("path"))  # a row per path just listed
+        docs = raw.withColumn("source_path", _uri(F.col("source_path"))).join(rows, "source_path")
+        docs = docs.select(*S.SLICE_PARTITION, "kind", _complete(schema, kind).alias("doc"))
+        parts.append(docs.select(*S.SLICE_PARTITION, "kind", F.explode(_elements(schema)).alias("x")).select(*S.SLICE_PARTITION, "kind", "x.*"))
+    written = S.T.StructType([*(S.COCO_IMAGES[c] for c in S.SLICE_PARTITION), *ELEMENT.fields, *S.struct(("kind", S.S), ("array", S.S)).fields])
+    rows = spark.createDataFrame([], written)
+    if parts:
+        reduce(DataFrame.unionByName, parts).write.partitionBy("kind", "array").parquet(scratch)
+        rows = spark.read.schema(written).parquet(scratch)
+
+    def part(kind: str, array: str, *cols) -> DataFrame:
+        return rows.where((F.col("kind") == kind) & (F.col("array") == array)).select(*S.SLICE_PARTITION, *cols)
+
+    box = [*bbox_columns("bbox"), "area", "iscrowd"]
+    return {
+        "coco_images": part("instances", "images", F.col("id").alias("image_id"), "file_name", "width", "height"),
+        "coco_categories": part("instances", "categories", F.col("id").alias("category_id"), "name", "supercategory"),
+        "coco_annotations": part("instances", "annotations", F.col("id").alias("annotation_id"), "image_id", "category_id", *box),
+        "coco_captions": part("captions", "annotations", F.col("id").alias("caption_id"), "image_id", "caption"),
+    }

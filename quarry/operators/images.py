@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from quarry import schemas as S
 from quarry.functions import image_headers as H
 from quarry.functions import keys as K
-from quarry.operators.joins import spread
-from quarry.session import ship_code
+from quarry.session import scratch_path, ship_code
 
 
 def checksums(objects: DataFrame, content: str = "content") -> DataFrame:
@@ -68,88 +67,78 @@ def error_summary(meta: DataFrame, by: list[str]) -> DataFrame:
 HEAD_BYTES = 1 << 20  # header bytes sent to Python; longer headers get a second, full pass
 TAIL_BYTES = 16
 
-PROFILE = S.struct(
-    ("bronze_key", S.S),
-    ("width", S.L),
-    ("height", S.L),
-    ("format", S.S),
-    ("mode", S.S),
-    ("exif_make", S.S),
-    ("exif_model", S.S),
-    ("exif_orientation", S.L),
-    ("error", S.S),
-    ("need_more", S.BOOL),
-)
-_PROFILE_ARROW = pa.schema(
-    [
-        ("bronze_key", pa.string()),
-        ("width", pa.int64()),
-        ("height", pa.int64()),
-        ("format", pa.string()),
-        ("mode", pa.string()),
-        ("exif_make", pa.string()),
-        ("exif_model", pa.string()),
-        ("exif_orientation", pa.int64()),
-        ("error", pa.string()),
-        ("need_more", pa.bool_()),
-    ]
-)
-
-
-def profile_one(key: str, head: bytes, tail: bytes, size: int) -> dict:
-    """Profile of one image from its first bytes and last bytes; errors are captured.
-    A row with dimensions can still carry an error (a truncated file)."""
-    row = {f.name: None for f in _PROFILE_ARROW}
-    row.update(bronze_key=key, need_more=False)
+#: What a header tells, as it stands there; ``unsure`` asks for the whole file.
+HEADER = S.struct(
+    ("format", S.S), ("width", S.L), ("height", S.L), ("mode", S.S), ("make", S.S), ("model", S.S), ("orientation", S.L),
+    ("problem", S.S), ("unsure", S.BOOL),
+)
+
+
+def read_one(head: bytes, tail: bytes, size: int) -> tuple:
+    """The values of ``HEADER`` for a file of ``size`` bytes from its first and last ones.  A problem never
+    raises; a file may have dimensions and a problem (one that ends too early)."""
+    whole, nothing = len(head) >= size, (None,) * 7
     try:
-        fmt, w, h, mode, exif = H.read_header(head)
-        row.update(width=w, height=h, format=fmt, mode=mode)
-        make, model, orient = exif.get(H.EXIF_MAKE), exif.get(H.EXIF_MODEL), exif.get(H.EXIF_ORIENTATION)
-        row["exif_make"] = str(make) if make else None
-        row["exif_model"] = str(model) if model else None
-        row["exif_orientation"] = int(orient) if orient else None
-        whole = len(head) >= size
-        truncated = H.is_truncated(fmt, head if whole else tail, whole)
-        if truncated is None:
-            row["need_more"] = True
-        elif truncated:
-            row["error"] = H.TRUNCATED
+        kind, width, height, mode, tags = H.read_header(head)
+        ends_early = H.is_truncated(kind, head if whole else tail, whole)
     except H.NeedMore:
-        if size > len(head):
-            row["need_more"] = True
-        else:
-            row["error"] = H.TRUNCATED if head[:2] in (b"\xff\xd8", b"\x89P") else H.UNKNOWN
+        known = head.startswith((b"\xff\xd8", b"\x89P"))
+        return (*nothing, (H.TRUNCATED if known else H.UNKNOWN) if whole else None, not whole)
     except Exception as exc:
-        row["error"] = (str(exc) or type(exc).__name__)[: 500]
-    return row
+        return (*nothing, str(exc) or type(exc).__name__, False)
+    texts = (None if v is None else str(v) for v in map(tags.get, (H.EXIF_MAKE, H.EXIF_MODEL)))
+    return (kind, width, height, mode, *texts, tags.get(H.EXIF_ORIENTATION), H.TRUNCATED if ends_early else None, ends_early is None)
 
 
-_META_COLS = ["partner", "dataset", "ingest_date", "size_bytes", "sha256"]
+def _header_batches(root: str | None):
+    """(bronze_key, head, tail, size, other columns) -> ``HEADER``, bronze_key and the other columns.  Where the first
+    bytes do not tell, the whole object is fetched from ``root``, if given."""
+    names = HEADER.fieldNames()
+    kinds = {S.S: pa.string(), S.L: pa.int64(), S.BOOL: pa.bool_()}
+    types = [kinds[f.dataType] for f in HEADER.fields]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quarry.operators.bronze import _open
 
-def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bronze_key, head, tail, size, *pass-through) -> profile columns + pass-through."""
-    for b in batches:
-        keys, heads, tails, sizes = (b.column(i).to_pylist() for i in range(4))
-        rows = [profile_one(k, hd or b"", tl or b"", sz or 0) for k, hd, tl, sz in zip(keys, heads, tails, sizes)]
-        out = pa.RecordBatch.from_pylist(rows, schema=_PROFILE_ARROW)
-        extra = [b.column(i) for i in range(4, b.num_columns)]
-        names = out.schema.names + b.schema.names[4:]
-        yield pa.RecordBatch.from_arrays(list(out.columns) + extra, names=names)
+        for b in batches:
+            told = []
+            for key, head, tail, size in zip(*(b.column(c).to_pylist() for c in ("bronze_key", "head", "tail", "size")), strict=True):
+                told.append(read_one(head or b"", tail or b"", size or 0))
+                if told[-1][-1] and root is not None:
+                    with _open(f"{root.rstrip('/')}/{key}") as fh:
+                        body = fh.read()
+                    told[-1] = read_one(body, body[-TAIL_BYTES:], len(body))
+            columns = [pa.array(c, t) for c, t in zip(zip(*told, strict=True), types, strict=True)] if told else [pa.array([], t) for t in types]
+            others = [n for n in b.schema.names if n not in ("head", "tail", "size")]
+            yield pa.RecordBatch.from_arrays(columns + [b.column(n) for n in others], names=names + others)
 
+    return run
 
-def _headers(objects: DataFrame, key: str, content: str, head_bytes: int | None, keep: list[str]) -> DataFrame:
+
+def _headers(objects: DataFrame, content: str, head_bytes: int | None, keep: list[str], root: str | None = None) -> DataFrame:
     ship_code(objects.sparkSession)
     head = F.col(content) if head_bytes is None else F.substring(content, 1, head_bytes)
-    keep_fields = [f for f in objects.schema.fields if f.name in keep]
-    out_schema = S.T.StructType(list(PROFILE.fields) + keep_fields)
-    return objects.select(
-        F.col(key).alias("bronze_key"),
+    small = objects.select(
+        "bronze_key",
         head.alias("head"),
         F.substring(content, -TAIL_BYTES, TAIL_BYTES).alias("tail"),
         F.octet_length(content).cast("long").alias("size"),
         *keep,
-    ).mapInArrow(_profile_batches, out_schema)
+    )
+    others = [f for f in small.schema.fields if f.name not in ("head", "tail", "size")]
+    return small.mapInArrow(_header_batches(root), S.T.StructType([*HEADER.fields, *others]))
+
+
+def _profiled(told: DataFrame) -> DataFrame:
+    """The profile columns from what the headers tell: empty tags and orientation 0 count as absent."""
+    return told.withColumns(
+        {
+            "exif_make": F.nullif("make", F.lit("")),
+            "exif_model": F.nullif("model", F.lit("")),
+            "exif_orientation": F.nullif("orientation", F.lit(0).cast("long")),
+            "error": F.col("problem"),
+        }
+    ).drop("make", "model", "orientation", "problem", "unsure")
 
 
 def profile(
@@ -159,16 +148,25 @@ def profile(
     head_bytes: int = HEAD_BYTES,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Header profile per object, in one pass over ``objects``.  Only the first
-    ``head_bytes`` and last bytes go to Python; the result (metadata only) is cached and,
-    when some header runs past the cut (rare), just those objects are profiled again from
-    their full content, so results never depend on the cut."""
+    """Header profile per object (``key``, ``content``).  Only the first ``head_bytes`` and last bytes go to
+    Python; objects for which these do not tell (rare) are profiled again from their full
+    content, so results never depend on the cut.  What the first pass found is written below the shared
+    checkpoint folder, so the objects are read once more only where needed."""
+    spark = objects.sparkSession
     keep = [c for c in (keep or []) if c != key]
-    first = _headers(objects, key, content, head_bytes, keep).persist()
-    if not first.where("need_more").limit(1).count():
-        return first.drop("need_more")
-    again = objects.join(first.where("need_more").select(F.col("bronze_key").alias(key)), key, "left_semi")
-    return first.where(~F.col("need_more")).unionByName(_headers(again, key, content, None, keep)).drop("need_more")
+    named = objects if key == "bronze_key" else objects.withColumn("bronze_key", F.col(key))
+    path = scratch_path(spark, "headers")
+    first = _headers(named, content, head_bytes, keep)
+    first.write.parquet(path)
+    first = spark.read.schema(first.schema).parquet(path)
+    unsure = first.where("unsure")
+    if unsure.isEmpty():
+        return _profiled(first)
+    again = named.join(unsure.select("bronze_key").distinct(), "bronze_key", "left_semi")
+    return _profiled(first.where(~F.col("unsure")).unionByName(_headers(again, content, None, keep)))
+
+
+_META_COLS = ["partner", "dataset", "ingest_date", "size_bytes", "sha256"]
 
 
 def _finish(prof: DataFrame) -> DataFrame:
@@ -218,45 +216,43 @@ def image_metadata(
     return _finish(profile(base, "bronze_key", content, keep=_META_COLS))
 
 
-def _stored_batches(root: str):
-    import hashlib
-
-    out_schema = pa.schema(list(_PROFILE_ARROW) + [("size_bytes", pa.int64()), ("sha256", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from quarry.operators.bronze import _open
-
-        for b in batches:
-            rows = []
-            for key in b.column("key").to_pylist():
-                with _open(f"{root.rstrip('/')}/{key}") as fh:  # a listed key with no object fails the job
-                    body = fh.read()
-                row = profile_one(key, body, body[-TAIL_BYTES:], len(body))
-                row.update(size_bytes=len(body), sha256=hashlib.sha256(body).hexdigest())
-                rows.append(row)
-            out = pa.RecordBatch.from_pylist(rows, schema=out_schema)
-            extra = [b.column(n) for n in b.schema.names if n != "key"]
-            yield pa.RecordBatch.from_arrays(
-                list(out.columns) + extra, names=out.schema.names + [n for n in b.schema.names if n != "key"]
-            )
-
-    return run
-
-
-def stored_image_metadata(keys: DataFrame, root: str, total_bytes: int = 0, total_rows: int = 0) -> DataFrame:
-    """image_metadata rows for objects stored at ``root/key`` (``keys``: key, partner,
-    dataset, ingest_date): each object is fetched once on an executor and hashed and
-    profiled there, so its bytes never cross into the JVM.  The keys are dealt over as many tasks
-    as ``total_bytes`` and ``total_rows`` of objects ask for (one per core at least)."""
-    ship_code(keys.sparkSession)
+def stored_objects(keys: DataFrame, root: str, name_glob: str = "*") -> DataFrame:
+    """(key, content) of the objects in the drop folders of ``keys`` (key, partner, dataset, ingest_date) below ``root``,
+    by Spark's binary file source: files are listed folder by folder (the driver gets one folder per drop), and
+    small ones share a task.  The source passes over names that begin with ``_`` or ``.``; those among the
+    keys are fetched by key on the executors."""
+    spark = keys.sparkSession
+    from quarry.operators.bronze import read_objects
+
+    prefix = K.hive_prefix(*S.DROP_PARTITION)
+    inside = F.substr(F.col("key"), F.length(prefix) + 1)
+    folders = sorted(r[0] for r in keys.select(prefix).distinct().collect())
+    if not folders:
+        return spark.createDataFrame([], "key string, content binary")
+    found = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+        .load([f"{root.rstrip('/')}/{f}" for f in folders])
+    )
+    hidden = "(^|/)([_.][^/]*|[^/]*[.]_COPYING_)(/|$)"
+    passed_over = keys.where(inside.rlike(hidden)).select("key").distinct()
+    visible = found.select(K.key_below("path", root).alias("key"), "content")
+    below = F.regexp_replace("key", "^partner=[^/]*/dataset=[^/]*/ingest_date=[^/]*/", "")
+    return visible.where(~below.rlike(hidden)).unionByName(read_objects(passed_over, root))
+
+
+def stored_image_metadata(keys: DataFrame, root: str) -> DataFrame:
+    """image_metadata rows for objects stored at ``root/key`` (``keys``: key, partner, dataset, ingest_date).
+
+    Sizes and checksums are taken in the JVM as the binary file source reads the objects, headers in
+    Arrow batches in the same pass; only the small rows that result are joined to the keys.  A listed
+    key without an object fails the job."""
     keys = keys.select("key", "partner", "dataset", F.col("ingest_date").cast("date").alias("ingest_date"))
-    keys = spread(keys, ["key"], total_bytes, total_rows)
-    schema = S.T.StructType(
-        list(PROFILE.fields)
-        + [S.T.StructField("size_bytes", S.L), S.T.StructField("sha256", S.S)]
-        + [f for f in keys.schema.fields if f.name != "key"]
-    )
-    return _finish(keys.mapInArrow(_stored_batches(root), schema).drop("need_more"))
+    objects = stored_objects(keys, root, K.IMAGE_GLOB).withColumnRenamed("key", "bronze_key")
+    told = _profiled(_headers(checksums(objects), "content", HEAD_BYTES, ["size_bytes", "sha256"], root))
+    listed = keys.withColumnRenamed("key", "_key").join(told, F.col("_key") == F.col("bronze_key"), "left")
+    lost = F.raise_error(F.concat(F.lit("manifest lists a key with no object: "), "_key"))
+    present = F.when(F.col("bronze_key").isNull(), lost.cast("string")).otherwise(F.col("bronze_key"))
+    return _finish(listed.withColumn("bronze_key", present))
 
 
 # ---------------------------------------------------------------------------------------

@@ -17,6 +17,11 @@ from quarry.functions import keys as K
 # late earlier one (a SUBMITTED written after DONE stays below it).
 STATUS_RANK = {"RECEIVED": 0, "SUBMITTED": 1, "UNPACKING": 2, "DONE": 3, "FAILED": 3, "NOOP": 3}
 
+#: Ledger and state tables are cut into so many buckets by a hash of the drop id.
+LEDGER_BUCKETS = 64
+#: Column of a JSON source that holds a line it could not parse.
+CORRUPT = "_corrupt_record"
+
 LEDGER_COLUMNS = [
     "drop_id",
     "partner",
@@ -29,6 +34,38 @@ LEDGER_COLUMNS = [
 ]
 
 
+def ledger_bucket(drop_id: Column | str) -> Column:
+    """The ledger partition of a drop id."""
+    d = F.col(drop_id) if isinstance(drop_id, str) else drop_id
+    return F.pmod(F.xxhash64(d), F.lit(LEDGER_BUCKETS)).cast("int")
+
+
+def event_problem(events: DataFrame) -> Column:
+    """Why an event cannot be registered, null for a sound one.  Bucket, key and a time that begins with a
+    date are required; size and etag are not."""
+    d = F.col("detail")
+    lacks = lambda c: F.coalesce(c, F.lit("")) == ""
+    problem = (
+        F.when(lacks(d["bucket"]["name"]), F.lit("no bucket name"))
+        .when(lacks(d["object"]["key"]), F.lit("no object key"))
+        .when(lacks(F.col("time")), F.lit("no time"))
+        .when(F.substring("time", 1, 10).try_cast("date").isNull() | ~F.col("time").rlike(r"^\d{4}-\d{2}-\d{2}"), F.lit("time without a date"))
+    )
+    if CORRUPT in events.columns:
+        return F.when(F.col(CORRUPT).isNotNull(), F.lit("not the JSON of an event")).otherwise(problem)
+    return problem
+
+
+def split_malformed(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sound events, rejected ones as (reason, record)): the record is the line as it came, or the parsed
+    parts of one that is JSON but lacks something."""
+    marked = events.withColumn("_problem", event_problem(events))
+    parsed = F.to_json(F.struct("detail", "time"))
+    record = F.coalesce(F.col(CORRUPT), parsed) if CORRUPT in events.columns else parsed
+    rejected = marked.where("_problem is not null").select(F.col("_problem").alias("reason"), record.alias("record"))
+    return marked.where("_problem is null").drop("_problem"), rejected
+
+
 def normalize_events(events: DataFrame, seq: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flatten object-created events (``detail.bucket.name``, ``detail.object.{key,size,
     etag}``, ``time``) and derive partner, ingest date and drop id.  A missing size counts

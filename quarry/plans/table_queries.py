@@ -353,7 +353,7 @@ def _doc_writer(root: str):
 
 @register(
     "annotation_docs_stream",
-    "S5 F5 F8 F9 X15 (streaming document reader)",
+    "S5 F5 F8 F9 X15",
     f"""
 SELECT '{si.PARTNER}' AS partner, 'conversations' AS dataset, DATE '{si.INGEST_DATE}' AS ingest_date,
        'chat' AS split, turn AS caption_id, conv_id AS image_id, text AS caption
@@ -362,16 +362,16 @@ FROM conversations
 )
 def annotation_docs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as caption documents, one multi-line file per conversation page
-    (written by the executors), then the normaliser: file-name routing, the streaming
-    element reader, base columns from the manifest rows."""
+    (written by the executors), then the normaliser: file-name routing, Spark's
+    JSON reader, base columns from the manifest rows."""
     root = scratch_path(spark, "caption-files")
     c = table(spark, sf_dir, "conversations").withColumn("page", F.floor(F.col("turn") / 500))
-    paths = c.groupBy("conv_id", "page").applyInPandas(_doc_writer(root), "path string").persist()
-    paths.count()  # the documents exist before they are listed
-    files = paths.select(
+    listing = scratch_path(spark, "caption-paths")
+    c.groupBy("conv_id", "page").applyInPandas(_doc_writer(root), "path string").write.parquet(listing)  # documents are written once
+    files = spark.read.schema("path string").parquet(listing).select(
         "path",
         F.lit(si.PARTNER).alias("partner"),
         F.lit("conversations").alias("dataset"),
         F.lit(si.INGEST_DATE).alias("ingest_date"),
     )
-    return ann_ops.tables_of(ann_ops.normalize(spark, files))["coco_captions"]
+    return ann_ops.normalize(spark, files)["coco_captions"]

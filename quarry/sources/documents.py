@@ -24,5 +24,6 @@ def read_json_docs(
     if with_path:
         from pyspark.sql import functions as F
 
-        df = df.withColumn("source_path", F.col("_metadata.file_path"))
+        # the file's path is given in its URL form; a plus sign is itself there
+        df = df.withColumn("source_path", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
     return df

@@ -1,11 +1,12 @@
 """Exactly-once drop registration over at-least-once object-created events.
 
 ``readStream`` (file source of event records) -> ``foreachBatch``:
-  normalise -> keep the first event per drop id within the batch -> anti-join against the
-  ledger -> write the new rows into the ledger partition ``batch_id=<id>``.
+  malformed events to the quarantine table -> normalise -> keep the first event per drop id
+  within the batch -> anti-join against the batch's buckets of the ledger -> write the new rows
+  into the ledger partitions ``bucket=<hash of the drop id>/batch_id=<id>``.
 
 Replays are safe: a re-run of batch N ignores the ledger's own ``batch_id=N`` rows when
-anti-joining and then overwrites that partition (dynamic overwrite), so a retried batch
+anti-joining and then overwrites those partitions (dynamic overwrite), so a retried batch
 neither duplicates nor drops drops.  The seen-id state is the ledger table itself: durable
 and unbounded like the reference's key-value table, with no state-store memory.  (For a
 bounded-state variant, ``dropDuplicatesWithinWatermark`` on the drop id does the same
@@ -19,26 +20,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry import schemas as S
-from quarry.operators import landing
+from quarry.operators import drop_state, landing
 from quarry.operators import tables as tbl
+from quarry.operators.drop_state import buckets_of
+from quarry.session import scratch_path
 
-LEDGER_TABLE = S.struct(*[(f.name, f.dataType) for f in S.LEDGER.fields], ("batch_id", S.L))
+LEDGER_TABLE = S.struct(*[(f.name, f.dataType) for f in S.LEDGER.fields], ("bucket", S.T.IntegerType()), ("batch_id", S.L))
+PARTITION = ["bucket", "batch_id"]
+QUARANTINE = S.struct(("reason", S.S), ("record", S.S), ("batch_id", S.L))
 
 
-def register_batch(spark: SparkSession, events: DataFrame, batch_id: int, ledger_path: str, seq: str | None = None) -> int:
-    """Register the drops of one micro-batch of raw events; returns rows added."""
-    # one row per drop id of this batch, kept for the size probe and the write (a cache:
-    # a lost executor recomputes it from the batch's files)
-    first = landing.first_seen(landing.normalize_events(events, seq)).persist()
-    candidates = first
+def quarantine_path(ledger_path: str) -> str:
+    return ledger_path.rstrip("/") + "-quarantine"
+
+
+def unseen(spark: SparkSession, ledger_path: str, candidates: DataFrame, batch_id: int) -> DataFrame:
+    """Rows of ``candidates`` (drop_id, bucket; one per drop) that no other batch has registered.  Only the
+    candidates' buckets of the ledger are read: at most ``LEDGER_BUCKETS`` numbers, as a partition filter."""
     ledger = tbl.read_table(spark, ledger_path, LEDGER_TABLE)
-    if ledger is not None:
-        candidates = landing.insert_if_absent(ledger.where(F.col("batch_id") != batch_id), candidates)
-    new = candidates.select(*landing.LEDGER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    try:
-        return tbl.stage(new, ledger_path, ["batch_id"])
-    finally:
-        first.unpersist()
+    if ledger is None:
+        return candidates
+    own = F.col("bucket").isin(*(buckets_of(candidates) or [-1]))
+    return landing.insert_if_absent(ledger.where(own & (F.col("batch_id") != batch_id)), candidates)
+
+
+def register_batch(
+    spark: SparkSession, events: DataFrame, batch_id: int, ledger_path: str, seq: str | None = None, state_path: str | None = None
+) -> int:
+    """Register the drops of one micro-batch of raw events; returns rows added.
+
+    Events that are malformed go to the quarantine table beside the ledger (a partition per batch,
+    replaced by a replay); the others are registered.  With ``state_path`` the new drops also enter the
+    state table, before the ledger: a batch that fails between the two is found unregistered."""
+    copy = scratch_path(spark, "events")
+    events.write.parquet(copy)  # read once from the source: three writes follow
+    sound, rejected = landing.split_malformed(spark.read.schema(events.schema).parquet(copy))
+    tbl.stage(rejected.withColumn("batch_id", F.lit(batch_id).cast("long")), quarantine_path(ledger_path), ["batch_id"])
+    first_path, new_path = scratch_path(spark, "first-seen"), scratch_path(spark, "new-drops")
+    first = landing.first_seen(landing.normalize_events(sound, seq)).withColumn("bucket", landing.ledger_bucket("drop_id"))
+    first.withColumn("batch_id", F.lit(batch_id).cast("long")).select(*LEDGER_TABLE.fieldNames()).write.parquet(first_path)
+    first = spark.read.schema(LEDGER_TABLE).parquet(first_path)
+    unseen(spark, ledger_path, first, batch_id).select(*LEDGER_TABLE.fieldNames()).write.parquet(new_path)
+    new = spark.read.schema(LEDGER_TABLE).parquet(new_path)
+    if state_path is not None:
+        drop_state.update(spark, state_path, drop_state.registered(new))
+    return tbl.stage(new, ledger_path, PARTITION)
 
 
 #: Batch registrations take ids from here on, apart from those of streams, which count from 0.
@@ -54,16 +80,24 @@ def fresh_batch_id(spark: SparkSession, ledger_path: str) -> int:
 
 
 def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, extra=()) -> DataFrame:
-    """Object-created events as a stream of JSON files (explicit schema, no inference)."""
-    schema = S.T.StructType(list(S.LANDING_EVENT.fields))  # a copy: add() mutates in place
-    for name, dtype in extra:
-        schema = schema.add(name, dtype)
-    reader = spark.readStream.schema(schema)
+    """Object-created events as a stream of JSON files (explicit schema, no inference); a line
+    that does not parse comes as it is, in the column ``landing.CORRUPT``."""
+    reader = spark.readStream.schema(event_schema(extra)).option("columnNameOfCorruptRecord", landing.CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(source_dir)
 
 
+def event_schema(extra=()) -> S.T.StructType:
+    more = [S.T.StructField(name, dtype) for name, dtype in extra]
+    return S.T.StructType([*S.LANDING_EVENT.fields, *more, S.T.StructField(landing.CORRUPT, S.S)])
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The same records as a batch."""
+    return spark.read.schema(event_schema()).option("columnNameOfCorruptRecord", landing.CORRUPT).json(path)
+
+
 def start_ledger_stream(
     spark: SparkSession,
     source_dir: str,
@@ -73,10 +107,11 @@ def start_ledger_stream(
     available_now: bool = True,
     seq: str | None = None,
     extra=(),
+    state_path: str | None = None,
 ) -> StreamingQuery:
     events = event_stream(spark, source_dir, max_files_per_trigger, extra)
     writer = events.writeStream.foreachBatch(
-        lambda df, bid: register_batch(spark, df, bid, ledger_path, seq)
+        lambda df, bid: register_batch(spark, df, bid, ledger_path, seq, state_path)
     ).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
@@ -89,7 +124,8 @@ def dedup_within_watermark(events: DataFrame, delay: str, seq: str | None = None
     ``delay`` would register again, and events that come later than ``delay`` behind the newest
     are dropped by the watermark and never registered: use the ledger form above where every
     event must be registered)."""
-    objs = landing.normalize_events(events, seq).withColumn(
+    sound = events.where(landing.event_problem(events).isNull())  # malformed events have no drop id
+    objs = landing.normalize_events(sound, seq).withColumn(
         "event_ts", F.to_timestamp("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
     return objs.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["drop_id"])
@@ -99,31 +135,27 @@ COMPACTED_BATCH = -1
 
 
 def compact_ledger(spark: SparkSession, ledger_path: str, keep_last: int = 16) -> int:
-    """Fold every batch partition except the newest ``keep_last`` (which a restarted
-    stream may still replay) into the single partition ``batch_id=-1``, one row per drop
-    id (the earliest).  The folded rows are checkpointed before anything is replaced; a
-    crash between the write and the removal of the old folders leaves duplicates that the
-    next compaction removes.  Returns the rows in the compacted partition."""
-    from quarry.session import checkpoint_dir
-
+    """Fold every batch except the newest ``keep_last`` (which a restarted stream may still
+    replay) into ``batch_id=-1``, one row per drop id (the earliest), bucket by bucket in
+    one job.  The new partitions are swapped in before the old folders go; a crash between the two leaves
+    duplicates that the next compaction removes.  Returns the rows in the compacted partitions."""
     led = tbl.read_table(spark, ledger_path, LEDGER_TABLE)
     if led is None:
         return 0
-    batches = sorted(r[0] for r in led.select("batch_id").distinct().collect())  # one row per partition
-    old = [b for b in batches if b != COMPACTED_BATCH][:-keep_last] if keep_last else [b for b in batches if b != COMPACTED_BATCH]
+    parts = [(r.bucket, r.batch_id) for r in led.select(*PARTITION).distinct().collect()]  # one row per partition
+    batches = sorted({b for _, b in parts if b != COMPACTED_BATCH})
+    old = set(batches[:-keep_last] if keep_last else batches)
     if not old:
         return 0
-    checkpoint_dir(spark)
     part = led.where(F.col("batch_id").isin(*old, COMPACTED_BATCH))
     first = F.min(F.struct("received_at", *[c for c in landing.LEDGER_COLUMNS if c not in ("drop_id", "received_at")]))
     folded = (
-        part.groupBy("drop_id")
+        part.groupBy("drop_id", "bucket")
         .agg(first.alias("f"))
-        .select("drop_id", "f.*")
-        .select(*landing.LEDGER_COLUMNS)
+        .select("drop_id", "f.*", "bucket")
+        .select(*landing.LEDGER_COLUMNS, "bucket")
         .withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long"))
-        .checkpoint(eager=True)
     )
-    n = tbl.stage(folded, ledger_path, ["batch_id"])
-    tbl.drop_partitions(spark, ledger_path, ["batch_id"], [{"batch_id": b} for b in old])
+    n = tbl.stage(folded, ledger_path, PARTITION)
+    tbl.drop_partitions(spark, ledger_path, PARTITION, [{"bucket": k, "batch_id": b} for k, b in parts if b in old])
     return n

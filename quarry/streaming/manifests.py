@@ -1,59 +1,97 @@
 """Manifest-triggered silver work (batch-complete trigger).
 
-A file-source stream over the manifests table: every micro-batch
-  1. groups its manifest rows per drop and ledgers each manifest once as
-     ``silver#<manifest key>`` (a manifest rewritten at the same key is skipped),
-  2. routes the new manifests (profile if images, normalise if annotation documents,
+A stream over the manifest documents that the bronze job leaves in the drop folders: one document is
+one file and one row, so a drop, however large, is always whole within a micro-batch.  Every micro-batch
+  1. puts documents that are malformed into a quarantine table, with the reason,
+  2. ledgers each manifest once as ``silver#<manifest key>`` (one that is rewritten is skipped),
+  3. routes the new manifests (profile if images, normalise if annotation documents,
      NOOP if neither),
-  3. runs the silver job for the new manifests' files.
-The ledger writes are per ``batch_id`` partition, so a replayed batch rewrites itself.
+  4. runs the silver job for the new manifests' files.
+The ledger is written last and per batch, so a batch that is replayed does its work again and
+rewrites its own partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry import jobs
+from quarry import schemas as S
 from quarry.functions import keys as K
 from quarry.operators import landing
-from quarry.operators import manifest as M
 from quarry.operators import tables as tbl
-from quarry.streaming.ledger import LEDGER_TABLE
+from quarry.session import scratch_path
+from quarry.streaming.ledger import LEDGER_TABLE, PARTITION, quarantine_path, unseen
 
+FILE = S.struct(("key", S.S), ("size_bytes", S.L), ("crc32", S.L), ("content_type", S.S))
+DOCUMENT = S.T.StructType([*S.MANIFEST_HEADER.fields, S.T.StructField("files", S.T.ArrayType(FILE)), S.T.StructField(landing.CORRUPT, S.S)])
 
-def run_batch(spark: SparkSession, layout: jobs.Layout, files: DataFrame, batch_id: int) -> int:
-    files = files.withColumn(
-        "manifest_key", F.concat(K.hive_prefix("partner", "dataset", "ingest_date"), F.lit(K.MANIFEST_NAME))
-    ).persist()
-    routing = M.silver_routing(files, "manifest_key", "key")
-    cand = files.groupBy("manifest_key", "partner", "ingest_date").agg(F.min("source").alias("src")).select(
+
+def document_problem() -> Column:
+    """Why a manifest cannot be worked on, null for a sound one."""
+    lacks = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    return (
+        F.when(F.col(landing.CORRUPT).isNotNull(), F.lit("not the JSON of a manifest"))
+        .when(lacks("partner") | lacks("dataset"), F.lit("no partner or dataset"))
+        .when(F.col("ingest_date").try_cast("date").isNull(), F.lit("no ingest date"))
+        .when(F.col("files").isNull(), F.lit("no file list"))
+        .when(F.exists("files", lambda f: f["key"].isNull()), F.lit("a file without key"))
+    )
+
+
+def routing(documents: DataFrame) -> DataFrame:
+    """Adds n_files, n_images, n_coco_json and the status of each manifest, from its own list."""
+    count = lambda test: F.size(F.filter("files", lambda f: test(f["key"])))
+    counted = documents.withColumns({"n_files": F.size("files"), "n_images": count(K.is_image_key), "n_coco_json": count(K.is_coco_json)})
+    work = (F.col("n_images") > 0) | (F.col("n_coco_json") > 0)
+    return counted.withColumn("status", F.when(work, F.lit("SUBMITTED")).otherwise(F.lit("NOOP")))
+
+
+def run_batch(spark: SparkSession, layout: jobs.Layout, documents: DataFrame, batch_id: int) -> int:
+    """One micro-batch of manifest documents (``DOCUMENT`` and path); the number of manifests ledgered."""
+    copy = scratch_path(spark, "manifests")
+    documents.withColumn("_problem", document_problem()).write.parquet(copy)  # parsed once
+    documents = spark.read.schema(documents.schema.add("_problem", S.S)).parquet(copy)
+    bad = documents.where("_problem is not null").select(F.col("_problem").alias("reason"), F.col("path").alias("record"))
+    tbl.stage(bad.withColumn("batch_id", F.lit(batch_id).cast("long")), quarantine_path(layout.silver_ledger), ["batch_id"])
+    sound = routing(documents.where("_problem is null")).withColumn("manifest_key", K.key_below("path", layout.bronze))
+    rows = sound.select(
         F.concat(F.lit("silver#"), "manifest_key").alias("drop_id"),
         "partner",
         F.lit("bronze").alias("src_bucket"),
         F.col("manifest_key").alias("src_key"),
         F.lit(None).cast("long").alias("size_bytes"),
-        F.col("ingest_date").cast("string").alias("ingest_date"),
-        "manifest_key",
-    )
-    ledger = tbl.read_table(spark, layout.silver_ledger, LEDGER_TABLE)
-    if ledger is not None:
-        cand = landing.insert_if_absent(ledger.where(F.col("batch_id") != batch_id), cand)
-    new = cand.join(routing, "manifest_key").persist()
-    rows = new.select(
-        *[c for c in landing.LEDGER_COLUMNS if c not in ("status", "received_at")],
+        "ingest_date",
         "status",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("received_at"),
-        F.lit(batch_id).cast("long").alias("batch_id"),
-    ).select(*LEDGER_TABLE.fieldNames())
-    todo = files.join(new.where(F.col("status") != "NOOP").select("manifest_key"), "manifest_key", "left_semi")
-    if todo.limit(1).count():
-        jobs.silver_job(spark, layout, todo.drop("manifest_key"))
-    n = tbl.stage(rows, layout.silver_ledger, ["batch_id"])
-    new.unpersist()
-    files.unpersist()
-    return n
+    )
+    rows = rows.withColumn("bucket", landing.ledger_bucket("drop_id")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    new_path = scratch_path(spark, "new-manifests")
+    unseen(spark, layout.silver_ledger, rows, batch_id).select(*LEDGER_TABLE.fieldNames()).write.parquet(new_path)
+    new = spark.read.schema(LEDGER_TABLE).parquet(new_path)
+    todo = sound.join(new.where("status <> 'NOOP'").select(F.col("src_key").alias("manifest_key")), "manifest_key", "left_semi")
+    if not todo.isEmpty():
+        files = todo.select("drop_id", *S.DROP_PARTITION[:2], F.col("ingest_date").cast("date").alias("ingest_date"), "source", F.posexplode("files").alias("pos", "f"))
+        jobs.silver_job(spark, layout, files.select("*", "f.*").drop("f"))
+    return tbl.stage(new, layout.silver_ledger, PARTITION)
+
+
+def document_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The manifest documents below ``root`` as a stream, a row each, with the path; a file that is no JSON
+    comes as it is in the column ``landing.CORRUPT``."""
+    reader = (
+        spark.readStream.schema(DOCUMENT)
+        .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", landing.CORRUPT)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", K.MANIFEST_NAME)
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return reader.json(root).withColumn("path", path)
 
 
 def start_silver_stream(
@@ -63,12 +101,8 @@ def start_silver_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    reader = spark.readStream.schema(jobs.MANIFEST_FILES)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(layout.manifests)
-    writer = stream.writeStream.foreachBatch(lambda df, bid: run_batch(spark, layout, df, bid)).option(
-        "checkpointLocation", checkpoint
-    )
+    """Silver work for every manifest document below ``layout.bronze``, ``max_files_per_trigger`` documents at a time."""
+    stream = document_stream(spark, layout.bronze, max_files_per_trigger)
+    writer = stream.writeStream.foreachBatch(lambda df, bid: run_batch(spark, layout, df, bid)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

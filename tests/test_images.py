@@ -69,8 +69,10 @@ def test_read_header(data, expect):
 def test_exif_tags_and_orientation_zero():
     fmt, w, h, mode, exif = H.read_header(jpeg(4, 4, exif=tiff_exif("Canon", 6)))
     assert exif == {271: "Canon", 274: 6}
-    row = I.profile_one("k", png(4, 4, exif=tiff_exif(None, 0)), b"IEND\xaeB`\x82", 100)
-    assert row["exif_orientation"] is None  # orientation 0 counts as absent
+
+
+def told(head, tail, size):
+    return dict(zip(I.HEADER.fieldNames(), I.read_one(head, tail, size), strict=True))
 
 
 def test_thumbnail_dims_by_definition(spark):
@@ -95,13 +97,13 @@ def test_thumbnail_dims_by_definition(spark):
 
 def test_end_of_file_markers():
     whole = jpeg(30, 20)
-    profiled = lambda b: I.profile_one("k", b, b[-16:], len(b))["error"]
+    profiled = lambda b: told(b, b[-16:], len(b))["problem"]
     assert profiled(whole) is None and profiled(whole + b"\0" * 8) is None and profiled(whole + b"x" * 500) is None
     assert profiled(whole[:-2]) == H.TRUNCATED
     gif = b"GIF89a" + struct.pack("<HHB", 12, 9, 0x80) + b"\x00" * 10
     assert profiled(gif) == H.TRUNCATED and profiled(gif + b";") is None and profiled(gif + b";\0\0") is None
     # last bytes that do not tell ask for the whole file
-    assert I.profile_one("k", whole[:40], b"x" * 16, 5000)["need_more"]
+    assert told(whole[:40], b"x" * 16, 5000)["unsure"]
 
 
 def test_profile_job_cases(spark):
@@ -112,6 +114,7 @@ def test_profile_job_cases(spark):
         ("p/fake.jpg", b"this is not an image at all"),
         ("p/exif.jpg", jpeg(40, 30, exif=tiff_exif("Nikon", 6))),
         ("p/big-header.jpg", jpeg(9, 9, exif=tiff_exif("X", 1) + b"\x00" * 5000)),
+        ("p/zero.png", png(4, 4, exif=tiff_exif(None, 0))),
     ]
     df = spark.createDataFrame(objs, "bronze_key string, content binary")
     # a small head forces the second, full-content pass for the long header
@@ -122,6 +125,7 @@ def test_profile_job_cases(spark):
     assert meta["p/trunc.png"].thumbnail_key is None
     assert meta["p/fake.jpg"].width is None and meta["p/fake.jpg"].error == H.UNKNOWN
     assert (meta["p/exif.jpg"].exif_make, meta["p/exif.jpg"].exif_orientation) == ("Nikon", 6)
+    assert (meta["p/zero.png"].exif_make, meta["p/zero.png"].exif_orientation) == (None, None)  # orientation 0 counts as absent
     assert meta["p/exif.jpg"].size_bytes == len(objs[4][1])
     import hashlib
 

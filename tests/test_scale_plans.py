@@ -39,7 +39,7 @@ def test_gold_plans_need_no_probe(spark):
 
 def test_only_headers_cross_into_python(spark):
     objs = spark.createDataFrame([("k", b"\x89PNG" + bytes(100))], "bronze_key string, content binary")
-    plan = _plan(images.profile(objs))
+    plan = _plan(images._headers(objs, "content", images.HEAD_BYTES, []))
     assert f"substring(content#" in plan and str(images.HEAD_BYTES) in plan
 
 
