@@ -266,9 +266,10 @@ def missing_thumbnails(meta: DataFrame, thumbnails: DataFrame) -> DataFrame:
     return meta.where("thumbnail_key is not null").join(thumbnails.select("thumbnail_key"), "thumbnail_key", "left_anti")
 
 
-def silver_build(spark: SparkSession, layout: Layout, ingest_date: str | None = None) -> dict[str, int]:
-    """Staging -> silver tables: create on first run, MERGE image_metadata on bronze_key,
-    replace the staged partitions of the annotation tables.  Returns row counts."""
+def silver_build(spark: SparkSession, layout: Layout, ingest_date: str | None = None, buckets: int = tbl.MERGE_BUCKETS) -> dict[str, int]:
+    """Staging -> silver tables: create on first run (image_metadata bucketed by its key), MERGE image_metadata
+    on bronze_key, replace the staged partitions of the annotation tables.  Returns the tables' row
+    counts, from what the writes observed."""
     counts: dict[str, int] = {}
     for table, (parts, merge_key, schema) in S.SILVER_TABLES.items():
         staged = tbl.read_table(spark, layout.staging(table), schema, ingest_date=ingest_date)
@@ -276,15 +277,32 @@ def silver_build(spark: SparkSession, layout: Layout, ingest_date: str | None =
             continue  # no staging data for this table
         target = layout.silver(table)
         if not tbl.path_exists(spark, target):
-            tbl.create(spark, staged, target, parts, table)
+            tbl.create(spark, staged, target, parts, table, merge_key, buckets)
         elif merge_key:
             tbl.upsert_into(spark, staged, target, merge_key, parts, table, schema)
         else:
             tbl.overwrite_partitions(spark, staged, target, parts, table)
-        counts[table] = tbl.read_table(spark, target, schema).count()
+        counts[table] = tbl.table_rows(spark, target)
     return counts
 
 
+def gold_build_slices(spark: SparkSession, layout: Layout, slices: DataFrame) -> dict[str, int]:
+    """Gold products of many slices in one run: ``slices`` (partner, images_dataset, annotations_dataset, split,
+    ingest_date) are written as a small table, the silver tables are read for its partitions alone
+    (pruned at run time), and the gold partitions the slices produce are replaced."""
+    def silver(t):
+        return tbl.read_table(spark, layout.silver(t), S.SILVER_TABLES[t][2])
+
+    wanted = gold.slice_table(slices, scratch_path(spark, "gold-slices"))
+    ann, cat, img = (gold.scan_slices(silver(t), wanted) for t in ("coco_annotations", "coco_categories", "coco_images"))
+    meta = gold.scan_slices(silver("image_metadata"), wanted, "images_dataset", with_split=False)
+    products = {
+        "category_stats": gold.category_stats_of(ann, cat, wanted),
+        "ml_manifest": gold.ml_manifest_of(img, meta, ann, cat, wanted),
+    }
+    return {t: tbl.overwrite_partitions(spark, df, layout.gold(t), S.DROP_PARTITION, t) for t, df in products.items()}
+
+
 def gold_build(
     spark: SparkSession,
     layout: Layout,

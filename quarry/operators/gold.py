@@ -18,10 +18,12 @@ Semantics kept on purpose (they are what users of the reference get today):
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry import schemas as S
 from quarry.functions.keys import date_lit
 from quarry.schemas import SLICE_PARTITION
 
@@ -52,6 +54,27 @@ def scan_slice(
     return df
 
 
+SLICE = S.struct(("partner", S.S), ("images_dataset", S.S), ("annotations_dataset", S.S), ("split", S.S), ("ingest_date", S.DT))
+
+
+def slice_table(slices: DataFrame, path: str) -> DataFrame:
+    """The slices to build (columns of ``SLICE``), each once, written to ``path`` and read with a filter, which
+    is what dynamic partition pruning asks of the side that prunes."""
+    rows = slices.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in SLICE.fields)).distinct()
+    rows.withColumn("slice", F.monotonically_increasing_id()).write.parquet(path)
+    schema = S.T.StructType([*SLICE.fields, S.T.StructField("slice", S.L)])
+    return slices.sparkSession.read.schema(schema).parquet(path).where("slice >= 0")
+
+
+def scan_slices(df: DataFrame, slices: DataFrame, dataset: str = "annotations_dataset", with_split: bool = True) -> DataFrame:
+    """The rows of a silver table that belong to any of ``slices``: a semi-join on the partition columns, so
+    only the partitions wanted are read, whatever their number."""
+    columns = {"partner": "partner", "dataset": dataset, "ingest_date": "ingest_date", **({"split": "split"} if with_split else {})}
+    wanted = slices.select(*(F.col(c).alias(f"_{n}") for n, c in columns.items()))
+    same = [F.col(n) == F.col(f"_{n}") for n in columns]
+    return df.join(wanted, reduce(lambda x, y: x & y, same), "left_semi")
+
+
 def _labelled(ann: DataFrame, cat: DataFrame, area_type: str = "double") -> DataFrame:
     """Annotations joined to their category rows (inner join on slice + category_id).  A
     plain join: the category side is broadcast when its measured bytes allow it, and
@@ -73,24 +96,31 @@ def category_stats(
     count, which is exact and independent of partitioning (a double sum is not); when
     None it is the plain ``avg``.
     """
+    return _stats(ann, cat, area_scale).withColumn("dataset", F.lit(images_dataset)).select(*STATS_COLUMNS)
+
+
+def category_stats_of(ann: DataFrame, cat: DataFrame, slices: DataFrame, area_scale: int | None = None) -> DataFrame:
+    """``category_stats`` of many slices at once: each slice's rows carry its images dataset."""
+    stats = _stats(ann, cat, area_scale).withColumnRenamed("dataset", "annotations_dataset")
+    named = stats.join(slices.drop("slice"), ["partner", "annotations_dataset", "ingest_date", "split"])
+    return named.withColumnRenamed("images_dataset", "dataset").select(*STATS_COLUMNS)
+
+
+STATS_COLUMNS = [f.name for f in S.CATEGORY_STATS.fields]
+
+
+def _stats(ann: DataFrame, cat: DataFrame, area_scale: int | None) -> DataFrame:
     area_type = "double" if area_scale is None else f"decimal(38,{area_scale})"
     j = _labelled(ann, cat, area_type)
-    return j.groupBy(*CATEGORY_KEY, "name", "supercategory").agg(
-        F.count(F.lit(1)).alias("n_annotations"),
-        F.count_distinct("image_id").alias("n_images"),
-        (F.sum("area").cast("double") / F.count("area")).alias("avg_area"),
-        F.sum("iscrowd").cast("long").alias("crowd_annotations"),
-    ).select(
-        "partner",
-        F.lit(images_dataset).alias("dataset"),
-        "ingest_date",
-        "category_id",
-        F.col("name").alias("category"),
-        "supercategory",
-        "n_annotations",
-        "n_images",
-        "avg_area",
-        "crowd_annotations",
+    return (
+        j.groupBy(*CATEGORY_KEY, "name", "supercategory")
+        .agg(
+            F.count(F.lit(1)).alias("n_annotations"),
+            F.count_distinct("image_id").alias("n_images"),
+            (F.sum("area").cast("double") / F.count("area")).alias("avg_area"),
+            F.sum("iscrowd").cast("long").alias("crowd_annotations"),
+        )
+        .withColumnRenamed("name", "category")
     )
 
 
@@ -127,17 +157,23 @@ def ml_manifest(img: DataFrame, meta: DataFrame, ann: DataFrame, cat: DataFrame)
     the label summary is a left join with 0 / 0 / '' defaults.
     """
     images = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
-    stored = meta.select(
-        "partner",
-        F.col("dataset").alias("stored_dataset"),
-        "ingest_date",
-        "file_name",
-        "bronze_key",
-        "thumbnail_key",
-        "size_bytes",
-        "sha256",
-    )
-    labelled = images.join(stored, ["partner", "ingest_date", "file_name"], "inner").join(per_image_labels(ann, cat), IMAGE_KEY, "left")
+    return _manifest(images, _stored(meta), ["partner", "ingest_date", "file_name"], ann, cat)
+
+
+def ml_manifest_of(img: DataFrame, meta: DataFrame, ann: DataFrame, cat: DataFrame, slices: DataFrame) -> DataFrame:
+    """``ml_manifest`` of many slices at once: images meet the metadata of their own slice's images dataset."""
+    images = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
+    of = slices.select("partner", F.col("annotations_dataset").alias("dataset"), "ingest_date", "split", F.col("images_dataset").alias("stored_dataset"))
+    return _manifest(images.join(of, SLICE_PARTITION), _stored(meta), ["partner", "stored_dataset", "ingest_date", "file_name"], ann, cat)
+
+
+def _stored(meta: DataFrame) -> DataFrame:
+    named = F.col("dataset").alias("stored_dataset")
+    return meta.select("partner", named, "ingest_date", "file_name", "bronze_key", "thumbnail_key", "size_bytes", "sha256")
+
+
+def _manifest(images: DataFrame, stored: DataFrame, on: list[str], ann: DataFrame, cat: DataFrame) -> DataFrame:
+    labelled = images.join(stored, on, "inner").join(per_image_labels(ann, cat), IMAGE_KEY, "left")
     return labelled.select(
         "partner",
         F.col("stored_dataset").alias("dataset"),

@@ -6,29 +6,34 @@ Path tables are the primary form (works on any storage a cluster shares); catalo
 variants use the session catalog.  Every write counts its rows with ``observe`` (no
 second scan) and appends a row to the table's version log.
 
-Upsert without a table format (no MERGE on plain parquet):
+Upsert without a table format (no MERGE on plain parquet), on tables bucketed by the merge key:
 1. fail if a staged key that matches the target occurs twice in the staged rows;
-2. touched partitions = staged partitions + partitions of target rows whose key is staged
-   (a table, joined on the partition columns, so their number is not bounded);
-3. result = staged + target rows of touched partitions whose key is not staged
-   (null keys never match, so they stay);
-4. the result is checkpointed (lineage cut, so the overwrite never re-reads the files it
-   replaces), written with dynamic partition overwrite, and touched partitions left with
-   no rows are dropped.
+2. touched partitions = staged partitions + partitions of target rows whose key is staged;
+3. result = target rows of the touched partitions, full outer joined with the staged rows on the
+   key: staged where there is one (null keys never match, so they stay).  The target is read bucket by
+   bucket, so only the staged rows are shuffled;
+4. the result is written once, with dynamic partition overwrite: the new files are complete before they
+   are swapped in, so the plan may read the files it replaces; touched partitions left with no
+   rows are dropped.
 The commit is per partition, not atomic across partitions.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import json
+import os
+import tempfile
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import checkpoint_dir, scratch_path
+from quarry.session import scratch_path
 
 VERSION_LOG = T.StructType(
     [
@@ -36,11 +41,16 @@ VERSION_LOG = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("operation", T.StringType()),
         T.StructField("rows_written", T.LongType()),
+        T.StructField("rows_total", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
 
 
+#: Buckets of a table that is merged into, unless the caller gives another number.
+MERGE_BUCKETS = 32
+
+
 def _dyn_writer(df: DataFrame, partition_cols: list[str]):
     return (
         df.write.mode("overwrite")
@@ -61,6 +71,50 @@ def _layout(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
+# ---------------------------------------------------------------------------------------
+# small files beside the tables
+def _fs(spark: SparkSession, path: str):
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
+
+
+def _put_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless it exists; False if it does.  Of several writers one succeeds: the file is
+    linked into place on a local disk, created without overwriting elsewhere."""
+    fs, hp = _fs(spark, path)
+    fs.mkdirs(hp.getParent())
+    if fs.getScheme() == "file":
+        local = hp.toUri().getPath()
+        with tempfile.NamedTemporaryFile("w", dir=os.path.dirname(local), prefix=".", suffix=".tmp") as fh:
+            fh.write(text)
+            fh.flush()
+            try:
+                os.link(fh.name, local)
+            except FileExistsError:
+                return False
+        return True
+    try:
+        out = fs.create(hp, False)
+    except Py4JJavaError as e:
+        if fs.exists(hp):
+            return False
+        raise e
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def _read_small(spark: SparkSession, path: str) -> str | None:
+    fs, hp = _fs(spark, path)
+    if not fs.exists(hp):
+        return None
+    stream = fs.open(hp)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 # ---------------------------------------------------------------------------------------
 # version log
 def version_log_path(path: str) -> str:
@@ -68,26 +122,40 @@ def version_log_path(path: str) -> str:
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The versions of the table at ``path``, one row each, by number."""
     if not path_exists(spark, version_log_path(path)):
         return spark.createDataFrame([], VERSION_LOG)
-    return spark.read.schema(VERSION_LOG).parquet(version_log_path(path))
+    return spark.read.schema(VERSION_LOG).option("pathGlobFilter", "*.json").json(version_log_path(path))
 
 
-def _count_files(spark: SparkSession, path: str, prefix: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hp):
-        return 0
-    return sum(1 for st in fs.listStatus(hp) if st.getPath().getName().startswith(prefix))
+def _version_numbers(spark: SparkSession, log: str) -> list[int]:
+    fs, hp = _fs(spark, log)
+    names = [st.getPath().getName() for st in fs.listStatus(hp)] if fs.exists(hp) else []
+    return [int(n[: -len(".json")]) for n in names if n.endswith(".json")]
+
 
+def table_rows(spark: SparkSession, path: str, version: int | None = None) -> int:
+    """Rows of the table as its version log has them: one small file is read, the table is not counted."""
+    log = version_log_path(path)
+    if version is None:
+        version = max(_version_numbers(spark, log), default=0)
+    text = _read_small(spark, f"{log}/{version:012d}.json")
+    return json.loads(text)["rows_total"] if text else 0
 
-def log_version(spark: SparkSession, path: str, table_name: str, operation: str, rows: int) -> None:
-    """Append one version row (one small file per version, so the next version number is
-    a file listing, not a Spark job)."""
-    version = _count_files(spark, version_log_path(path), "part-") + 1
-    row = (table_name, version, operation, int(rows), _dt.datetime.now(_dt.UTC).replace(tzinfo=None))
-    spark.createDataFrame([row], VERSION_LOG).coalesce(1).write.mode("append").parquet(version_log_path(path))
+
+def log_version(spark: SparkSession, path: str, table_name: str, operation: str, rows: int, replaced: int | None = None) -> int:
+    """Append one version: a small file named by its number, made only if no other writer has made it; who
+    comes second takes the next number.  ``replaced`` rows went as ``rows`` came; None: the whole
+    table was written.  Returns the number."""
+    log = version_log_path(path)
+    version = max(_version_numbers(spark, log), default=0) + 1
+    while True:
+        now = _dt.datetime.now(_dt.UTC).isoformat(timespec="microseconds")
+        total = rows if replaced is None else table_rows(spark, path, version - 1) + rows - replaced
+        row = {"table_name": table_name, "version": version, "operation": operation, "rows_written": int(rows), "rows_total": int(total), "committed_at": now}
+        if _put_absent(spark, f"{log}/{version:012d}.json", json.dumps(row)):
+            return version
+        version += 1
 
 
 def version_counts(versions: DataFrame) -> DataFrame:
@@ -100,9 +168,8 @@ def version_counts(versions: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 # staging and reading
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp))
+    fs, hp = _fs(spark, path)
+    return bool(fs.exists(hp))
 
 
 def _is_missing_path(e: AnalysisException) -> bool:
@@ -118,6 +185,13 @@ def stage(df: DataFrame, path: str, partition_cols: list[str]) -> int:
     return int(obs.get["rows"])
 
 
+def append(df: DataFrame, path: str, partition_cols: list[str]) -> int:
+    """Adds rows to a partitioned table; returns their number."""
+    df, obs = _observed(_layout(df, partition_cols))
+    df.write.mode("append").partitionBy(*partition_cols).parquet(path)
+    return int(obs.get["rows"])
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, ingest_date: str | _dt.date | None = None
 ) -> DataFrame | None:
@@ -162,19 +236,74 @@ def check_merge_duplicates(target: DataFrame, staged: DataFrame, key: str) -> No
 
 # ---------------------------------------------------------------------------------------
 # path tables
-def create(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str) -> int:
-    """Create a table from a DataFrame (fails if it exists); no dedup of the first load."""
-    df, obs = _observed(_layout(df, partition_cols))
-    df.write.mode("errorifexists").partitionBy(*partition_cols).parquet(path)
+def create(
+    spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str, key: str | None = None, buckets: int = MERGE_BUCKETS
+) -> int:
+    """Create a table from a DataFrame (fails if it exists); no dedup of the first load.  With a merge
+    ``key`` its files are bucketed by it, and a note beside the table says so."""
+    if key is None:
+        df, obs = _observed(_layout(df, partition_cols))
+        df.write.mode("errorifexists").partitionBy(*partition_cols).parquet(path)
+    else:
+        if path_exists(spark, path):
+            raise ValueError(f"{path} exists")
+        df, obs = _observed(df.repartition(buckets, key))  # a task per bucket: one file per bucket and partition
+        (
+            df.write.format("parquet").partitionBy(*partition_cols).bucketBy(buckets, key).sortBy(key)
+            .option("path", path).mode("overwrite").saveAsTable(_catalog_name(path))
+        )
+        ordered = [c for c in df.columns if c not in partition_cols] + partition_cols
+        note = {"key": key, "buckets": buckets, "partition_cols": partition_cols, "schema": df.select(*ordered).schema.jsonValue()}
+        _put_absent(spark, _bucket_note(path), json.dumps(note))
     rows = int(obs.get["rows"])
     log_version(spark, path, table_name, "create", rows)
     return rows
 
 
+# ---------------------------------------------------------------------------------------
+# bucketed tables: the session catalog is told of them when they are opened
+
+def _bucket_note(path: str) -> str:
+    return path.rstrip("/") + ".buckets"
+
+
+def _catalog_name(path: str) -> str:
+    return "quarry_" + hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:16]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def bucketed(spark: SparkSession, path: str, key: str) -> str | None:
+    """The catalog name under which the table at ``path`` reads as bucketed by ``key``; None if it isn't.
+    Only the session's catalog changes; partitions are found by listing."""
+    text = _read_small(spark, _bucket_note(path))
+    note = json.loads(text) if text else {}
+    if note.get("key") != key:
+        return None
+    name = _catalog_name(path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(note["schema"]).fields)
+    parts = ", ".join(f"`{c}`" for c in note["partition_cols"])
+    tracked = spark.conf.get("spark.sql.hive.manageFilesourcePartitions")
+    spark.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet " + (f"PARTITIONED BY ({parts}) " if parts else "")
+            + f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {note['buckets']} BUCKETS LOCATION {_quoted(path)}"
+        )
+    finally:
+        spark.conf.set("spark.sql.hive.manageFilesourcePartitions", tracked)
+    return name
+
+
 def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str) -> int:
     """Replace exactly the partitions present in ``df``; others are untouched."""
+    old = read_table(spark, path)
+    replaced = in_partitions(old, partition_cols, df.select(*partition_cols).distinct()).count() if old is not None else 0
     rows = stage(df, path, partition_cols)
-    log_version(spark, path, table_name, "overwrite_partitions", rows)
+    log_version(spark, path, table_name, "overwrite_partitions", rows, replaced)
     return rows
 
 
@@ -210,12 +339,26 @@ def partition_dir_name(value) -> str:
 
 def drop_partitions(spark: SparkSession, path: str, partition_cols: list[str], parts: list) -> None:
     """Delete the folders of the given partitions (rows or dicts of partition values)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in parts:
         sub = "/".join(f"{partition_dir_name(c)}={partition_dir_name(p[c])}" for c in partition_cols)
-        hp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
-        hp.getFileSystem(conf).delete(hp, True)
+        fs, hp = _fs(spark, f"{path.rstrip('/')}/{sub}")
+        fs.delete(hp, True)
+
+
+def merge_rows(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
+    """Target rows with a staged row of their key become that row; the others of both sides stay as they are.
+    ``_was`` tells the rows that stand for one of the target."""
+    old = target.select(F.col(key).alias("_key"), F.struct(*staged.columns).alias("_old"))
+    new = staged.select(F.col(key).alias("_staged"), F.struct(*staged.columns).alias("_new"))
+    both = old.join(new, F.col("_key") == F.col("_staged"), "full_outer")
+    return both.select(F.coalesce("_new", "_old").alias("_row"), F.col("_old").isNotNull().alias("_was")).select("_row.*", "_was")
+
+
+def touched_partitions(target: DataFrame, staged: DataFrame, key: str, partition_cols: list[str]) -> DataFrame:
+    """The partitions of staged rows and of target rows whose key is staged: one row each."""
+    keys = staged.select(F.col(key).alias("_staged")).where("_staged is not null")
+    moved = target.select(key, *partition_cols).join(keys, F.col(key) == F.col("_staged"), "left_semi").select(*partition_cols)
+    return staged.select(*partition_cols).unionByName(moved).distinct()
 
 
 def upsert_into(
@@ -226,30 +369,39 @@ def upsert_into(
     partition_cols: list[str],
     table_name: str,
     schema: T.StructType | None = None,
+    buckets: int = MERGE_BUCKETS,
 ) -> int:
-    """Upsert ``staged`` into the partitioned parquet table at ``path`` on ``key``.
-    Creates the table when it does not exist.  Returns rows written.  ``staged`` is written
-    once below the shared checkpoint folder, and every step reads that copy."""
-    checkpoint_dir(spark)
+    """Upsert ``staged`` into the partitioned parquet table at ``path`` on ``key``; returns rows written.
+
+    Creates the table, bucketed by ``key``, when it does not exist; one that exists without buckets
+    is shuffled for each upsert.  ``staged`` is written once below the shared checkpoint folder, and every step
+    reads that copy.  The driver holds the partitions touched, as the file listing of the table does."""
     target = read_table(spark, path, schema)
     if target is None:
-        return create(spark, staged, path, partition_cols, table_name)
+        return create(spark, staged, path, partition_cols, table_name, key, buckets)
     copy = scratch_path(spark, "upsert-staged")
     staged.write.parquet(copy)
     staged = spark.read.schema(staged.schema).parquet(copy)
+    name = bucketed(spark, path, key)
+    if name is not None:
+        target = spark.table(name)
     check_merge_duplicates(target, staged, key)
-    keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
-    moved = target.select(key, *partition_cols).join(keys, key, "left_semi").select(*partition_cols)
-    touched = staged.select(*partition_cols).unionByName(moved).distinct().checkpoint(eager=True)
-    if touched.isEmpty():
+    parts = touched_partitions(target, staged, key, partition_cols).collect()  # one row per partition
+    if not parts:
         return 0
-    result = upsert(in_partitions(target.select(*staged.columns), partition_cols, touched), staged, key).checkpoint(eager=True)
-    left = result.select(*partition_cols).distinct()
-    # rows moved out of a partition may leave it empty: only such partitions reach the driver
-    emptied = touched.exceptAll(left).collect()
-    rows = stage(result, path, partition_cols)
-    drop_partitions(spark, path, partition_cols, emptied)
-    log_version(spark, path, table_name, "merge", rows)
+    touched = spark.createDataFrame(parts, T.StructType([staged.schema[c] for c in partition_cols]))
+    result = merge_rows(in_partitions(target.select(*staged.columns), partition_cols, touched), staged, key)
+    seen = Observation()
+    left_over = F.collect_set(F.struct(*partition_cols)).alias("left")
+    result = result.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("_was").alias("was"), left_over).drop("_was")
+    if name is not None:
+        overwrite_table_partitions(spark, result, name)
+    else:
+        _dyn_writer(_layout(result, partition_cols), partition_cols).save(path)
+    left = {tuple(r) for r in seen.get["left"]}
+    drop_partitions(spark, path, partition_cols, [p for p in parts if tuple(p) not in left])
+    rows = int(seen.get["rows"])
+    log_version(spark, path, table_name, "merge", rows, int(seen.get["was"]))
     return rows
 
 

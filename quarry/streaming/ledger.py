@@ -5,9 +5,8 @@
   within the batch -> anti-join against the batch's buckets of the ledger -> write the new rows
   into the ledger partitions ``bucket=<hash of the drop id>/batch_id=<id>``.
 
-Replays are safe: a re-run of batch N ignores the ledger's own ``batch_id=N`` rows when
-anti-joining and then overwrites those partitions (dynamic overwrite), so a retried batch
-neither duplicates nor drops drops.  The seen-id state is the ledger table itself: durable
+Replays are safe: only rows that the ledger lacks are appended, so a batch that is run again, after a
+failure at any point, neither duplicates nor drops drops (one writer at a time).  The seen-id state is the ledger table itself: durable
 and unbounded like the reference's key-value table, with no state-store memory.  (For a
 bounded-state variant, ``dropDuplicatesWithinWatermark`` on the drop id does the same
 within a watermark.)
@@ -34,14 +33,14 @@ def quarantine_path(ledger_path: str) -> str:
     return ledger_path.rstrip("/") + "-quarantine"
 
 
-def unseen(spark: SparkSession, ledger_path: str, candidates: DataFrame, batch_id: int) -> DataFrame:
-    """Rows of ``candidates`` (drop_id, bucket; one per drop) that no other batch has registered.  Only the
-    candidates' buckets of the ledger are read: at most ``LEDGER_BUCKETS`` numbers, as a partition filter."""
+def unseen(spark: SparkSession, ledger_path: str, candidates: DataFrame) -> DataFrame:
+    """Rows of ``candidates`` (drop_id, bucket; one per drop) that the ledger lacks.  Only the candidates'
+    buckets of the ledger are read: at most ``LEDGER_BUCKETS`` numbers, as a partition filter."""
     ledger = tbl.read_table(spark, ledger_path, LEDGER_TABLE)
     if ledger is None:
         return candidates
     own = F.col("bucket").isin(*(buckets_of(candidates) or [-1]))
-    return landing.insert_if_absent(ledger.where(own & (F.col("batch_id") != batch_id)), candidates)
+    return landing.insert_if_absent(ledger.where(own), candidates)
 
 
 def register_batch(
@@ -51,7 +50,9 @@ def register_batch(
 
     Events that are malformed go to the quarantine table beside the ledger (a partition per batch,
     replaced by a replay); the others are registered.  With ``state_path`` the new drops also enter the
-    state table, before the ledger: a batch that fails between the two is found unregistered."""
+    state table, before the ledger: a batch that fails between the two is found unregistered.  The ledger
+    itself says what is new and gets only that, so a batch run again, even under another id (a stream
+    whose checkpoint was lost), registers what is missing and nothing twice."""
     copy = scratch_path(spark, "events")
     events.write.parquet(copy)  # read once from the source: three writes follow
     sound, rejected = landing.split_malformed(spark.read.schema(events.schema).parquet(copy))
@@ -60,11 +61,11 @@ def register_batch(
     first = landing.first_seen(landing.normalize_events(sound, seq)).withColumn("bucket", landing.ledger_bucket("drop_id"))
     first.withColumn("batch_id", F.lit(batch_id).cast("long")).select(*LEDGER_TABLE.fieldNames()).write.parquet(first_path)
     first = spark.read.schema(LEDGER_TABLE).parquet(first_path)
-    unseen(spark, ledger_path, first, batch_id).select(*LEDGER_TABLE.fieldNames()).write.parquet(new_path)
+    unseen(spark, ledger_path, first).select(*LEDGER_TABLE.fieldNames()).write.parquet(new_path)
     new = spark.read.schema(LEDGER_TABLE).parquet(new_path)
     if state_path is not None:
         drop_state.update(spark, state_path, drop_state.registered(new))
-    return tbl.stage(new, ledger_path, PARTITION)
+    return tbl.append(new, ledger_path, PARTITION)
 
 
 #: Batch registrations take ids from here on, apart from those of streams, which count from 0.
@@ -135,8 +136,7 @@ COMPACTED_BATCH = -1
 
 
 def compact_ledger(spark: SparkSession, ledger_path: str, keep_last: int = 16) -> int:
-    """Fold every batch except the newest ``keep_last`` (which a restarted stream may still
-    replay) into ``batch_id=-1``, one row per drop id (the earliest), bucket by bucket in
+    """Fold every batch except the newest ``keep_last`` into ``batch_id=-1``, one row per drop id (the earliest), bucket by bucket in
     one job.  The new partitions are swapped in before the old folders go; a crash between the two leaves
     duplicates that the next compaction removes.  Returns the rows in the compacted partitions."""
     led = tbl.read_table(spark, ledger_path, LEDGER_TABLE)

@@ -7,8 +7,8 @@ one file and one row, so a drop, however large, is always whole within a micro-b
   3. routes the new manifests (profile if images, normalise if annotation documents,
      NOOP if neither),
   4. runs the silver job for the new manifests' files.
-The ledger is written last and per batch, so a batch that is replayed does its work again and
-rewrites its own partitions.
+The ledger gets its rows last, so a batch that fails on the way does its work again; what is ledgered is
+never worked on twice, whatever becomes of the stream's checkpoint.
 """
 
 from __future__ import annotations
@@ -69,13 +69,13 @@ def run_batch(spark: SparkSession, layout: jobs.Layout, documents: DataFrame, ba
     )
     rows = rows.withColumn("bucket", landing.ledger_bucket("drop_id")).withColumn("batch_id", F.lit(batch_id).cast("long"))
     new_path = scratch_path(spark, "new-manifests")
-    unseen(spark, layout.silver_ledger, rows, batch_id).select(*LEDGER_TABLE.fieldNames()).write.parquet(new_path)
+    unseen(spark, layout.silver_ledger, rows).select(*LEDGER_TABLE.fieldNames()).write.parquet(new_path)
     new = spark.read.schema(LEDGER_TABLE).parquet(new_path)
     todo = sound.join(new.where("status <> 'NOOP'").select(F.col("src_key").alias("manifest_key")), "manifest_key", "left_semi")
     if not todo.isEmpty():
         files = todo.select("drop_id", *S.DROP_PARTITION[:2], F.col("ingest_date").cast("date").alias("ingest_date"), "source", F.posexplode("files").alias("pos", "f"))
         jobs.silver_job(spark, layout, files.select("*", "f.*").drop("f"))
-    return tbl.stage(new, layout.silver_ledger, PARTITION)
+    return tbl.append(new, layout.silver_ledger, PARTITION)
 
 
 def document_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
