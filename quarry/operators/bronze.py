@@ -11,13 +11,15 @@ Two phases, so one large archive never becomes one task:
    ``unpack_to`` writes each entry as an object in the same task; an entry that cannot be
    read or written is a row with an error, never a failed job.
 
-Archives are opened through ``pyarrow.fs`` from their path, so nothing larger than one
-entry is held in memory, and binary-file size limits do not apply to the archive.
+Archives are opened through ``pyarrow.fs`` from their path, so binary-file size limits do not
+apply to them; ``unpack_to`` holds a piece of an entry at a time, ``extract`` whole entries.
 """
 
 from __future__ import annotations
 
+import contextlib
 import io
+import itertools
 import json
 import zipfile
 import zlib
@@ -40,6 +42,7 @@ ENTRY_LIST = S.struct(
     ("crc32", S.L),
     ("error", S.S),
 )
+COPY_BYTES = 8 << 20  # objects are copied in pieces of this size
 BATCH_BYTES = 64 << 20  # output Arrow batches of binary content stay below this size
 
 ENTRY_CONTENT = S.struct(*[(f.name, f.dataType) for f in ENTRY_LIST.fields], ("content", S.B))
@@ -181,29 +184,63 @@ def extract(entries: DataFrame, partitions: int | None = None) -> DataFrame:
 WRITTEN = S.struct(("archive_path", S.S), ("key", S.S), ("pos", S.L), ("size_bytes", S.L), ("crc32", S.L), ("error", S.S))
 
 
+def _stream(source, path: str) -> int:
+    """Copies an open file to a new object piece by piece; its size.  What a failed copy leaves is removed."""
+    size = 0
+    try:
+        with _open_out(path) as out:
+            while piece := source.read(COPY_BYTES):
+                out.write(piece)
+                size += len(piece)
+    except Exception:
+        _remove(path)
+        raise
+    return size
+
+
+def _remove(path: str) -> None:
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:") :].lstrip("/")
+    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    if filesystem.get_file_info(inner).type == fs.FileType.File:
+        filesystem.delete_file(inner)
+
+
 def _unpack_batches(root: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WRITTEN.fieldNames()
         schema = pa.schema(list(zip(names, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)))
         for b in batches:
-            keys = dict(zip(zip(b.column("archive_path").to_pylist(), b.column("pos").to_pylist(), strict=True), b.column("keys").to_pylist(), strict=True))
-            for part in _extract_batches(iter([b.drop_columns(["keys"])])):
-                out = []
-                for r in part.to_pylist():
-                    content, error = r.pop("content"), r["error"]
-                    for key in keys[r["archive_path"], r["pos"]]:
-                        if content is not None:
-                            error = _put(f"{root.rstrip('/')}/{key}", content)
-                        out.append({n: {**r, "key": key, "error": error}[n] for n in names})
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
+            out = []
+            by_archive = sorted(b.to_pylist(), key=lambda r: (r["archive_path"], r["pos"]))
+            for path, entries in itertools.groupby(by_archive, key=lambda r: r["archive_path"]):
+                with contextlib.ExitStack() as stack:
+                    archive = problem = None
+                    try:
+                        archive = stack.enter_context(zipfile.ZipFile(stack.enter_context(_open(path))))
+                    except Exception as exc:
+                        problem = str(exc)[:1000] or type(exc).__name__
+                    for r in entries:
+                        for key in r["keys"]:
+                            error = r["error"] or problem
+                            if error is None:
+                                try:
+                                    with archive.open(r["path"]) as entry:  # raises at its end on a CRC mismatch
+                                        _stream(entry, f"{root.rstrip('/')}/{key}")
+                                except Exception as exc:
+                                    error = str(exc)[:1000] or type(exc).__name__
+                            out.append({n: {**r, "key": key, "error": error}[n] for n in names})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
 
 def unpack_to(entries: DataFrame, root: str, total_bytes: int, total_rows: int) -> DataFrame:
-    """Reads each entry (columns of ``ENTRY_LIST`` and ``keys``, the object keys it goes to)
-    once and writes it to ``root``; content never leaves the task.  One row per key with its
-    error, if any."""
+    """Copies each entry (columns of ``ENTRY_LIST`` and ``keys``, the object keys it goes to) to ``root``
+    piece by piece, so entries of any size pass through bounded memory; content never leaves
+    the task.  One row per key with its error, if any."""
     ship_code(entries.sparkSession)
     rows = entries.select(*ENTRY_LIST.fieldNames(), "keys")
     return spread(rows, ["archive_path", "pos"], total_bytes, total_rows).mapInArrow(_unpack_batches(root), WRITTEN)
@@ -269,22 +306,24 @@ def _copy_batches(source: str, target: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("drop_id", pa.string()), ("bronze_key", pa.string()), ("size_bytes", pa.int64()), ("error", pa.string())])
         for b in batches:
+            out = []
             for drop, key, to in zip(*(b.column(c).to_pylist() for c in ("drop_id", "key", "bronze_key")), strict=True):
                 size, error = None, None
                 try:
                     with _open(f"{source.rstrip('/')}/{key}") as fh:
-                        content = fh.read()
-                    size, error = len(content), _put(f"{target.rstrip('/')}/{to}", content)
+                        size = _stream(fh, f"{target.rstrip('/')}/{to}")
                 except Exception as exc:
                     error = str(exc)[:1000] or type(exc).__name__
-                yield pa.RecordBatch.from_pylist([{"drop_id": drop, "bronze_key": to, "size_bytes": size, "error": error}], schema=schema)
+                out.append({"drop_id": drop, "bronze_key": to, "size_bytes": size, "error": error})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
 
 def copy_objects(loose: DataFrame, source: str, target: str) -> DataFrame:
     """Copies ``source/key`` to ``target/bronze_key`` for each row (drop_id, key, bronze_key) on
-    the executors; one row per drop with its error, if any."""
+    the executors, piece by piece (objects of any size in bounded memory); one row per drop with
+    its error, if any."""
     ship_code(loose.sparkSession)
     schema = S.struct(("drop_id", S.S), ("bronze_key", S.S), ("size_bytes", S.L), ("error", S.S))
     return spread(loose.select("drop_id", "key", "bronze_key"), ["drop_id"]).mapInArrow(_copy_batches(source, target), schema)

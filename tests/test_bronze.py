@@ -80,3 +80,44 @@ def test_one_archive_is_extracted_by_many_tasks(spark, tmp_path):
     assert sorted(r.pos for r in rows) == list(range(40))
     assert all(r.content == bytes([r.pos]) * (100 + r.pos) for r in rows)
     assert len({r.task for r in rows}) > 1  # the hot archive is spread, not one task
+
+
+def test_objects_larger_than_a_piece_are_copied_whole_in_bounded_memory(tmp_path, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(bronze, "COPY_BYTES", 1 << 20)
+    size = 64 << 20
+    os.makedirs(tmp_path / "in")
+    with open(tmp_path / "in" / "big.bin", "wb") as f:
+        f.seek(size - 1)
+        f.write(b"x")
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.write(tmp_path / "in" / "big.bin", "big.bin")
+    copies = pa.RecordBatch.from_pylist([{"drop_id": "d", "key": "big.bin", "bronze_key": "out/b"}, {"drop_id": "e", "key": "none", "bronze_key": "out/n"}])
+    entry = {"archive_path": str(tmp_path / "a.zip"), "pos": 0, "path": "big.bin", "size_bytes": size, "crc32": 0, "error": None, "keys": ["un/1", "un/2"]}
+    tracemalloc.start()
+    rows = [r for b in bronze._copy_batches(str(tmp_path / "in"), str(tmp_path))(iter([copies])) for r in b.to_pylist()]
+    rows += [r for b in bronze._unpack_batches(str(tmp_path))(iter([pa.RecordBatch.from_pylist([entry])])) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+    assert [r["error"] is None for r in rows] == [True, False, True, True]
+    assert all((tmp_path / p).stat().st_size == size for p in ("out/b", "un/1", "un/2")) and not (tmp_path / "out/n").exists()
+
+
+def test_a_failed_copy_leaves_no_object(tmp_path):
+    import io
+
+    class Broken(io.BytesIO):
+        def read(self, n=-1):
+            if self.tell():
+                raise OSError("lost")
+            return super().read(3)
+
+    try:
+        bronze._stream(Broken(b"abcdef"), str(tmp_path / "x"))
+    except OSError:
+        pass
+    assert not (tmp_path / "x").exists()

@@ -7,6 +7,7 @@ import os
 import zipfile
 
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry import jobs, schemas as S
@@ -278,3 +279,87 @@ def test_heavy_work_is_spread(spark):
     entries = bronze.list_entries(spark.createDataFrame([(path,)], "path string"))
     tasks = bronze.extract(entries).select(F.spark_partition_id().alias("t")).distinct().count()
     assert tasks > 1
+
+
+def _deliver(spark, layout, dataset, files):
+    """Objects and a manifest document of one drop in bronze, without the jobs before."""
+    prefix = f"partner=coco/dataset={dataset}/ingest_date=2024-06-01/"
+    root = layout.bronze.replace("file:", "")
+    for name, body in files.items():
+        os.makedirs(os.path.dirname(f"{root}/{prefix}{name}"), exist_ok=True)
+        with open(f"{root}/{prefix}{name}", "wb") as f:
+            f.write(body)
+    head = {"drop_id": f"coco#{dataset}#x", "partner": "coco", "dataset": dataset, "ingest_date": "2024-06-01", "source": "s", "completed_at": "t"}
+    doc = head | {"file_count": len(files), "total_bytes": 1, "files": [{"key": prefix + n, "size_bytes": len(b), "crc32": 1} for n, b in files.items()]}
+    os.makedirs(f"{root}/{prefix}", exist_ok=True)
+    with open(f"{root}/{prefix}manifest.json", "w") as f:
+        json.dump(doc, f, indent=1)
+
+
+def _instances(n):
+    return json.dumps({
+        "images": [{"id": i, "file_name": f"{i}.png", "width": 4, "height": 4} for i in range(n)], "categories": [{"id": 1, "name": "c", "supercategory": "s"}],
+        "annotations": [{"id": i, "image_id": i, "category_id": 1, "bbox": [0, 0, 1, 1], "area": 1, "iscrowd": 0} for i in range(n)],
+    }).encode()
+
+
+def test_manifest_stream_does_each_delivery_whole(spark, monkeypatch):
+    from quarry.streaming import manifests as ms
+
+    layout = jobs.Layout(scratch_path(spark, "e2e-manifests"))
+    for d, n in (("a", 6), ("b", 2)):
+        files = {f"img/{i}.PNG": png(8 + i, 4) for i in range(n)} | {f"annotations/instances_{d}.json": _instances(n), "annotations/captions_x.json": b'{"annotations": []}'}
+        _deliver(spark, layout, d, files | {"__MACOSX/._1.png": b"resource fork", "notes.txt": b"x"})
+    _deliver(spark, layout, "text", {"readme.txt": b"nothing to do"})
+    _deliver(spark, layout, "empty", {})
+    root = layout.bronze.replace("file:", "")
+    for name, text in (("broken", "{not json"), ("blank", '{"partner": "coco"}')):
+        os.makedirs(f"{root}/partner=coco/dataset={name}/ingest_date=2024-06-01")
+        with open(f"{root}/partner=coco/dataset={name}/ingest_date=2024-06-01/manifest.json", "w") as f:
+            f.write(text)
+    done = []
+    real = jobs.silver_job
+    monkeypatch.setattr(jobs, "silver_job", lambda spark, layout, files: done.append({r.dataset for r in files.select("dataset").distinct().collect()}) or real(spark, layout, files))
+    for _ in range(2):  # one document per micro-batch; the second run has lost its checkpoint
+        ms.start_silver_stream(spark, layout, scratch_path(spark, "ck"), max_files_per_trigger=1).awaitTermination()
+    assert sorted(map(sorted, done)) == [["a"], ["b"]]
+    led = tbl.read_table(spark, layout.silver_ledger, ms.LEDGER_TABLE).collect()
+    key = "silver#partner=coco/dataset=%s/ingest_date=2024-06-01/manifest.json"
+    assert sorted((r.drop_id, r.status) for r in led) == [(key % d, s) for d, s in (("a", "SUBMITTED"), ("b", "SUBMITTED"), ("empty", "NOOP"), ("text", "NOOP"))]
+    staged = {t: tbl.read_table(spark, layout.staging(t), S.SILVER_TABLES[t][2]) for t in ("image_metadata", "coco_annotations", "coco_images")}
+    assert sorted((r.dataset, r["count"]) for r in staged["image_metadata"].groupBy("dataset").count().collect()) == [("a", 7), ("b", 3)]
+    assert {r.error for r in staged["image_metadata"].where("file_name = '._1.png'").collect()} == {"cannot identify image file"}
+    assert sorted((r.dataset, r.split, r["count"]) for r in staged["coco_annotations"].groupBy("dataset", "split").count().collect()) == [("a", "a", 6), ("b", "b", 2)]
+    bad = tbl.read_table(spark, ms.quarantine_path(layout.silver_ledger), jobs.ledger_stream.QUARANTINE).collect()
+    assert {(r.reason, r.record.split("dataset=")[1].split("/")[0]) for r in bad} == {("not the JSON of a manifest", "broken"), ("no partner or dataset", "blank")}
+
+
+def test_a_listed_key_without_object_fails(spark):
+    from quarry.operators import images as I
+
+    layout = jobs.Layout(scratch_path(spark, "e2e-lost"))
+    _deliver(spark, layout, "a", {"1.png": png(4, 4), "_x/.2.png": png(5, 5)})
+    prefix = "partner=coco/dataset=a/ingest_date=2024-06-01/"
+    listed = lambda *names: spark.createDataFrame([(prefix + n, "coco", "a", "2024-06-01") for n in names], "key string, partner string, dataset string, ingest_date string")
+    assert sorted((r.file_name, r.width) for r in I.stored_image_metadata(listed("1.png", "_x/.2.png"), layout.bronze).collect()) == [(".2.png", 5), ("1.png", 4)]
+    for lost in ("3.png", "_x/.4.png"):
+        with pytest.raises(Exception, match="no object|[Nn]o such file"):
+            I.stored_image_metadata(listed("1.png", lost), layout.bronze).collect()
+
+
+def test_gold_slices_prune_at_run_time(spark):
+    from quarry.operators import gold
+    from quarry.plans.gold_queries import sliced_silver
+    from conftest import SMOKE_DIR
+
+    layout = jobs.Layout(scratch_path(spark, "e2e-slices"))
+    sliced_silver(spark, SMOKE_DIR, layout)
+    rows = [("coco", "val2017", "annotations_trainval2017", s, f"{y}-01-01") for s in "fo" for y in (1995, 1996)]
+    wanted = gold.slice_table(spark.createDataFrame(rows, ", ".join(f"{n} string" for n in gold.SLICE.fieldNames())), scratch_path(spark, "slices"))
+    ann = gold.scan_slices(tbl.read_table(spark, layout.silver("coco_annotations"), S.COCO_ANNOTATIONS), wanted)
+    assert "dynamicpruning" in ann._jdf.queryExecution().executedPlan().toString()
+    read = {r[0] for r in ann.select(F.concat_ws("/", F.col("ingest_date").cast("string"), "split")).distinct().collect()}
+    assert read == {f"{y}-01-01/{s}" for y in (1995, 1996) for s in "fo"}
+    one = jobs.gold_build_slices(spark, layout, wanted.where("split = 'f' and ingest_date = '1995-01-01'"))
+    jobs.gold_build(spark, layout, "coco", "val2017", "annotations_trainval2017", "f", "1995-01-01", mode="partitions")
+    assert tbl.table_rows(spark, layout.gold("ml_manifest")) == one["ml_manifest"] > 0  # a single slice gives what the single build gives

@@ -142,3 +142,69 @@ def test_cluster_conf_sizing():
     small = cluster_conf(2**30, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
     assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def _plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _above(plan, leaf):
+    """The plan lines from the root to the first line that holds ``leaf``, without those of other branches."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if leaf in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    path, d = [lines[at]], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < d:
+            path, d = [line, *path], depth(line)
+    return path
+
+
+def test_merge_shuffles_only_the_staged_rows(spark):
+    path = scratch_path(spark, "bucketed")
+    target = spark.range(4000).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.concat(F.lit("p"), F.col("id") % 5).alias("part"))
+    tbl.create(spark, target, path, ["part"], "t", "k", buckets=4)
+    staged = target.where("k % 10 = 0").withColumn("v", F.lit("new")).unionByName(spark.createDataFrame([(9001, "in", "p9"), (None, "n", "p1")], SCHEMA))
+    name = tbl.bucketed(spark, path, "k")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")  # as with staged rows too many to broadcast
+    try:
+        for df in (tbl.merge_rows(spark.table(name).select(*SCHEMA_COLUMNS), staged, "k"), tbl.touched_partitions(spark.table(name), staged, "k", ["part"])):
+            plan = _plan_of(df)
+            path_up = _above(plan, "Bucketed: true")
+            joins = [i for i, line in enumerate(path_up) if "Join" in line]
+            assert joins and not any("Exchange" in line for line in path_up[joins[-1] :]), plan
+    finally:
+        spark.conf.set(conf, before)
+    for _ in range(2):
+        tbl.upsert_into(spark, staged.where("k is not null"), path, "k", ["part"], "t")
+    rows = {r.k: (r.v, r.part) for r in tbl.read_table(spark, path).collect()}
+    assert len(rows) == 4001 and rows[9001] == ("in", "p9") and all(rows[k][0] == ("new" if k % 10 == 0 else "old") for k in range(4000))
+    assert tbl.table_rows(spark, path) == 4001
+    per_partition = [len(spark.read.parquet(f"{path}/part=p{i}").inputFiles()) for i in range(5)]
+    assert max(per_partition) <= 4  # one file per bucket
+
+
+SCHEMA_COLUMNS = ["k", "v", "part"]
+
+
+def test_merge_into_a_table_without_buckets(spark):
+    path = scratch_path(spark, "plain")
+    tbl.create(spark, spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (None, "n", "x")], SCHEMA), path, ["part"], "t")
+    assert tbl.upsert_into(spark, spark.createDataFrame([(2, "B", "x"), (3, "c", "z")], SCHEMA), path, "k", ["part"], "t") == 4
+    got = sorted(((r.k, r.v, r.part) for r in tbl.read_table(spark, path).collect()), key=repr)
+    assert got == sorted([(1, "a", "x"), (2, "B", "x"), (3, "c", "z"), (None, "n", "x")], key=repr)
+    assert tbl.table_rows(spark, path) == 4
+
+
+def test_version_numbers_of_writers_at_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = scratch_path(spark, "versions")
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda i: tbl.log_version(spark, path, "t", "append", i, replaced=0), range(40)))
+    assert sorted(got) == list(range(1, 41))  # none taken twice, none left out
+    log = tbl.read_versions(spark, path).collect()
+    assert sorted(r.version for r in log) == sorted(got) and sorted(r.rows_written for r in log) == list(range(40))
+    assert tbl.table_rows(spark, path) == sum(range(40)) and all(r.committed_at for r in log)
