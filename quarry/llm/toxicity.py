@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,8 @@ LEAST_WEIGHT, LEAST_TEXTS = 4.2, 4
 CHANCE = 0.05
 #: A phrase that so many clean rows and no toxic ones hold is an exception; it says nothing against its words.
 LEAST_QUOTED = 3
-MAX_ENTRIES = 5_000
+#: A beginning that a larger part of the clean texts hold is no entry, quoted or not.
+COMMON = 0.2
 PREDICT_AT = 0.5
 
 # fixed values: letters of other scripts that look like Latin ones, and signs that stand for letters
@@ -136,13 +137,26 @@ def _contexts(sample: DataFrame, kept: frozenset[str] | None = None) -> DataFram
     words that begin with one of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fits = {}  # whether a word counts, looked up once per task
+
+        def wanted(word: str) -> bool:
+            if len(word) < SHORTEST:
+                return False
+            return kept is None or any(word[:k] in kept for k in range(SHORTEST, LONGEST + 1))
+
         for batch in sliced(batches, "text"):
             found: dict[tuple, list] = {}
             for text, label, copies, at in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "copies", "id")), strict=True):
                 words = text.split()
-                before, after = zip(words, repeat(0), ["", *words]), zip(words, repeat(1), [*words[1:], ""])
-                fits = {w for w in set(words) if kept is None or any(w[:k] in kept for k in range(SHORTEST, LONGEST + 1))}
-                for key in {key for key in chain(before, after) if key[0] in fits}:
+                for word in set(words).difference(fits):
+                    fits[word] = wanted(word)
+                around = ["", *words, ""]
+                own = set()
+                for i, word in enumerate(words):
+                    if fits[word]:
+                        own.add((word, 0, around[i]))
+                        own.add((word, 1, around[i + 2]))
+                for key in own:
                     e = found.setdefault(key, [None, None, 0, 0])
                     e[label] = at if e[label] is None else min(at, e[label])
                     e[2 + label] += copies
@@ -153,26 +167,72 @@ def _contexts(sample: DataFrame, kept: frozenset[str] | None = None) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     found = sample.mapInArrow(count, "word string, side int, beside string, clean long, toxic long, n_clean long, n_toxic long")
-    once = found.where(F.length("word") >= SHORTEST).groupBy("word", "side", "beside")
+    once = found.groupBy("word", "side", "beside")
     once = once.agg(*(f(c).alias(c) for f, c in ((F.min, "toxic"), (F.min, "clean"), (F.sum, "n_toxic"), (F.sum, "n_clean"))))
     quoted = (F.col("beside") != "") & (F.col("n_toxic") == 0) & (F.col("n_clean") >= LEAST_QUOTED)
     return once.select("word", "side", "toxic", "clean", quoted.alias("quoted"))
 
 
-def _credited(contexts: DataFrame, label: str) -> DataFrame:
-    """(start, n, unquoted): to how many texts of the ``label`` the contexts of a word beginning are credited, and those
-    that are not quoted, each on the side with fewer."""
-    starts = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST))), lambda k: F.substring("word", F.lit(1), k))
-    quoted = F.min("quoted").alias("quoted")
-    texts = contexts.where(F.col(label).isNotNull()).groupBy("word", "side", label).agg(quoted)
-    texts = texts.select(F.explode(starts).alias("start"), "side", label, "quoted").groupBy("start", "side", label).agg(quoted)
-    sides = texts.groupBy("start", "side").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("quoted")).alias("unquoted"))
+def _credited(contexts: DataFrame, label: str, kept: frozenset[str] | None = None) -> DataFrame:
+    """(start, n, unquoted): to how many texts of the ``label`` the contexts of a word beginning (one of ``kept``) are
+    credited, and those that are not quoted, each on the side with fewer.  The contexts of a text meet in one
+    task, which takes the beginnings and counts them: a row per beginning and task is shuffled, none per occurrence."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple, list] = {}
+        current, own = None, {}
+
+        def close():
+            for key, quoted in own.items():
+                e = totals.setdefault(key, [0, 0])
+                e[0] += 1
+                e[1] += not quoted
+            own.clear()
+
+        for batch in batches:
+            for at, word, side, quoted in zip(*(batch.column(c).to_pylist() for c in ("id", "word", "side", "quoted")), strict=True):
+                if at != current:
+                    close()
+                    current = at
+                for k in range(SHORTEST, min(len(word), LONGEST) + 1):
+                    key = word[:k], side
+                    if kept is None or key[0] in kept:
+                        own[key] = quoted and own.get(key, True)
+        close()
+        if totals:
+            columns = [*zip(*totals, strict=True), *zip(*totals.values(), strict=True)]
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["start", "side", "n", "unquoted"])
+
+    texts = contexts.where(F.col(label).isNotNull()).select(F.col(label).alias("id"), "word", "side", "quoted")
+    parts = texts.repartition(FIT_PARTITIONS, "id").sortWithinPartitions("id").mapInArrow(count, "start string, side int, n long, unquoted long")
+    sides = parts.groupBy("start", "side").agg(F.sum("n").alias("n"), F.sum("unquoted").alias("unquoted"))
     return sides.groupBy("start").agg(F.min("n").alias("n"), F.min("unquoted").alias("unquoted"))
 
 
+def _held_by(sample: DataFrame, kept: frozenset[str]) -> dict[str, int]:
+    """How many texts of ``sample`` hold a word with each of the beginnings ``kept``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: Counter = Counter()
+        of_word: dict[str, list[str]] = {}
+        for batch in sliced(batches, "text"):
+            for text in batch.column("text").to_pylist():
+                held = set()
+                for word in set(text.split()):
+                    if word not in of_word:
+                        of_word[word] = [word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1) if word[:k] in kept]
+                    held.update(of_word[word])
+                totals.update(held)
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], ["start", "n"])
+
+    parts = sample.mapInArrow(count, "start string, n long").groupBy("start").agg(F.sum("n").alias("n"))
+    return {r.start: r.n for r in parts.collect()}  # kept ones only
+
+
 def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     held = _credited(_contexts(sample.where("label = 1")), "toxic").where(F.col("n") >= LEAST_TEXTS)
-    t = {r.start: r.n for r in held.collect()}  # beginnings in at most FIT_ROWS texts
+    t = {r.start: r.n for r in held.collect()}  # beginnings in several toxic texts of the sample
     base, least = toxic / (toxic + clean), math.log(max(1, len(t)) / CHANCE)
 
     def weight(start: str, c: int) -> float:
@@ -184,18 +244,15 @@ def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
         rest = (1 - part) * math.log((1 - part) / (1 - base)) if c else 0.0
         return part > base and n * (part * math.log(part / base) + rest) >= least
 
-    kept = {s: (0, 0) for s in t if significant(s, 0) and weight(s, 0) >= LEAST_WEIGHT}
-    # the texts of smallest ids are credited alike in a part of the sample: what fails there fails in the whole
-    for share in (16, 4, 1):
-        if not kept:
-            return {}
-        part = sample.where((F.col("label") == 1) | (F.col("id") < -(1 << 63) + (1 << 64) // share)) if share > 1 else sample
-        counts = _credited(_contexts(part, frozenset(kept)), "clean").collect()  # beginnings of the words of kept ones
-        found = {r.start: (r.n, r.unquoted) for r in counts if r.start in kept}
-        kept = {s: found.get(s, (0, 0)) for s in kept}
-        kept = {s: n for s, n in kept.items() if significant(s, n[0])}
-    passed = {s: (t[s], weight(s, c)) for s, (_, c) in kept.items() if weight(s, c) >= LEAST_WEIGHT}
-    rows = dict(sorted(passed.items(), key=lambda r: (-r[1][0], r[0]))[:MAX_ENTRIES])
+    kept = frozenset(s for s in t if significant(s, 0) and weight(s, 0) >= LEAST_WEIGHT)
+    if kept:
+        held_by = _held_by(sample.where("label = 0"), kept)
+        kept = frozenset(s for s in kept if held_by.get(s, 0) <= COMMON * clean)
+    if not kept:
+        return {}
+    counts = {r.start: (r.n, r.unquoted) for r in _credited(_contexts(sample, kept), "clean", kept).collect()}  # kept ones only
+    found = {s: counts.get(s, (0, 0)) for s in kept}
+    rows = {s: (t[s], weight(s, c)) for s, (n, c) in sorted(found.items()) if significant(s, n) and weight(s, c) >= LEAST_WEIGHT}
     chosen: dict[str, float] = {}
     for start in sorted(rows, key=len):
         if any(start[:k] in chosen for k in range(SHORTEST, len(start))):
@@ -228,8 +285,8 @@ def _exceptions(sample: DataFrame, weights: dict[str, float], least: int = LEAST
                 yield pa.RecordBatch.from_arrays([pa.array(phrase, pa.string()), pa.array(t, pa.int64()), pa.array(n, pa.int64())], ["phrase", "t", "n"])
 
     counted = sample.mapInArrow(phrases, "phrase string, t long, n long").groupBy("phrase").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
-    kept = counted.where((F.col("t") == 0) & (F.col("n") >= least)).orderBy(F.col("n").desc(), "phrase").limit(MAX_ENTRIES)
-    return frozenset(r.phrase for r in kept.select("phrase").collect())
+    kept = counted.where((F.col("t") == 0) & (F.col("n") >= least))
+    return frozenset(r.phrase for r in kept.select("phrase").collect())  # of the sample's words beside entries
 
 
 def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> tuple[float, float, float]:
