@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,8 +34,6 @@ LEAST_WEIGHT, LEAST_TEXTS = 4.2, 4
 CHANCE = 0.05
 #: A phrase that so many clean rows and no toxic ones hold is an exception; it says nothing against its words.
 LEAST_QUOTED = 3
-#: A beginning that a larger part of the clean texts hold is no entry, quoted or not.
-COMMON = 0.2
 PREDICT_AT = 0.5
 
 # fixed values: letters of other scripts that look like Latin ones, and signs that stand for letters
@@ -130,14 +128,16 @@ def _distinct(rows: DataFrame) -> DataFrame:
     return once.withColumn("id", F.xxhash64("text")).repartition(FIT_PARTITIONS, "id")
 
 
-def _contexts(sample: DataFrame, kept: frozenset[str] | None = None) -> DataFrame:
+def _contexts(sample: DataFrame, kept: frozenset[str] | None = None, share: int = 1) -> DataFrame:
     """(word, side, toxic, clean, quoted): one row per context of a folded word, the word before (side 0) or
     after (side 1).  A context is credited to one toxic and one clean text that hold it (their
     smallest ids); it is quoted if clean rows alone hold it, ``LEAST_QUOTED`` or more.  With ``kept``, of
-    words that begin with one of them."""
+    words that begin with one of them; with ``share``, one of so many contexts, drawn by a hash of their words
+    (each is then counted over all texts, as without)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fits = {}  # whether a word counts, looked up once per task
+        code = {"": 1}
 
         def wanted(word: str) -> bool:
             if len(word) < SHORTEST:
@@ -149,13 +149,14 @@ def _contexts(sample: DataFrame, kept: frozenset[str] | None = None) -> DataFram
             for text, label, copies, at in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "copies", "id")), strict=True):
                 words = text.split()
                 for word in set(words).difference(fits):
-                    fits[word] = wanted(word)
+                    fits[word], code[word] = wanted(word), zlib.crc32(word.encode())
                 around = ["", *words, ""]
                 own = set()
                 for i, word in enumerate(words):
                     if fits[word]:
-                        own.add((word, 0, around[i]))
-                        own.add((word, 1, around[i + 2]))
+                        for side, beside in ((0, around[i]), (1, around[i + 2])):
+                            if share == 1 or (3 * code[word] + 5 * code[beside] + side) % share == 0:
+                                own.add((word, side, beside))
                 for key in own:
                     e = found.setdefault(key, [None, None, 0, 0])
                     e[label] = at if e[label] is None else min(at, e[label])
@@ -210,26 +211,6 @@ def _credited(contexts: DataFrame, label: str, kept: frozenset[str] | None = Non
     return sides.groupBy("start").agg(F.min("n").alias("n"), F.min("unquoted").alias("unquoted"))
 
 
-def _held_by(sample: DataFrame, kept: frozenset[str]) -> dict[str, int]:
-    """How many texts of ``sample`` hold a word with each of the beginnings ``kept``."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: Counter = Counter()
-        of_word: dict[str, list[str]] = {}
-        for batch in sliced(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                held = set()
-                for word in set(text.split()):
-                    if word not in of_word:
-                        of_word[word] = [word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1) if word[:k] in kept]
-                    held.update(of_word[word])
-                totals.update(held)
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], ["start", "n"])
-
-    parts = sample.mapInArrow(count, "start string, n long").groupBy("start").agg(F.sum("n").alias("n"))
-    return {r.start: r.n for r in parts.collect()}  # kept ones only
-
-
 def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     held = _credited(_contexts(sample.where("label = 1")), "toxic").where(F.col("n") >= LEAST_TEXTS)
     t = {r.start: r.n for r in held.collect()}  # beginnings in several toxic texts of the sample
@@ -245,14 +226,14 @@ def _entries(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
         return part > base and n * (part * math.log(part / base) + rest) >= least
 
     kept = frozenset(s for s in t if significant(s, 0) and weight(s, 0) >= LEAST_WEIGHT)
-    if kept:
-        held_by = _held_by(sample.where("label = 0"), kept)
-        kept = frozenset(s for s in kept if held_by.get(s, 0) <= COMMON * clean)
-    if not kept:
-        return {}
-    counts = {r.start: (r.n, r.unquoted) for r in _credited(_contexts(sample, kept), "clean", kept).collect()}  # kept ones only
-    found = {s: counts.get(s, (0, 0)) for s in kept}
-    rows = {s: (t[s], weight(s, c)) for s, (n, c) in sorted(found.items()) if significant(s, n) and weight(s, c) >= LEAST_WEIGHT}
+    # a part of the contexts credits no more texts than all of them: what fails on it fails on the whole
+    for share in (16, 1):
+        if not kept:
+            return {}
+        counts = {r.start: (r.n, r.unquoted) for r in _credited(_contexts(sample, kept, share), "clean", kept).collect()}  # kept ones only
+        found = {s: counts.get(s, (0, 0)) for s in kept}
+        kept = frozenset(s for s, (n, c) in found.items() if significant(s, n) and weight(s, c) >= LEAST_WEIGHT)
+    rows = {s: (t[s], weight(s, found[s][1])) for s in sorted(kept, key=lambda s: (-t[s], s))}
     chosen: dict[str, float] = {}
     for start in sorted(rows, key=len):
         if any(start[:k] in chosen for k in range(SHORTEST, len(start))):
