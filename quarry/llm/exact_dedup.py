@@ -53,12 +53,21 @@ def chunk_collisions(docs: DataFrame, digest, pattern: str | None = None) -> Dat
     return dictionary.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
 
 
-def recipes(docs: DataFrame, digest, pattern: str | None = None) -> DataFrame:
-    """(doc_id, n_chars, sha, recipe): code points of the whole text, SHA-256 of the
+def sound_digest(docs: DataFrame, digests=DIGESTS, pattern: str | None = None):
+    """(name, function) of the first digest under which no two chunks share an identifier."""
+    for name, digest in digests:
+        if chunk_collisions(docs, digest, pattern).isEmpty():
+            return name, digest
+    raise ValueError("distinct chunks share an identifier under every digest")
+
+
+def recipes(docs: DataFrame, digest, pattern: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, chars, sha, recipe) and the columns ``carry``: code points of the whole text, SHA-256 of the
     normalised text, and the identifiers of its chunks one after the other."""
-    norm = docs.select("doc_id", F.length(text_of()).cast("long").alias("chars"), normalised(text_of()).alias("norm"))
+    norm = docs.select("doc_id", *carry, F.length(text_of()).cast("long").alias("chars"), normalised(text_of()).alias("norm"))
     return norm.select(
         "doc_id",
+        *carry,
         "chars",
         F.unhex(F.sha2("norm", 256)).alias("sha"),
         F.unhex(F.array_join(F.transform(chunks(F.col("norm"), pattern), digest), "")).alias("recipe"),
@@ -76,11 +85,7 @@ def exact_dedup(docs: DataFrame, digests=DIGESTS, pattern: str | None = None) ->
     are ignored; an empty table gives no rows.  Building the frame runs the dictionary check
     and writes the recipes to the shared folder."""
     docs = docs.select("doc_id", "text")
-    for name, digest in digests:
-        if chunk_collisions(docs, digest, pattern).isEmpty():
-            break
-    else:
-        raise ValueError("distinct chunks share an identifier under every digest")
+    name, digest = sound_digest(docs, digests, pattern)
     lists = written(recipes(docs, digest, pattern), f"recipes-{name}")
     best = F.min(F.struct((-F.col("chars")).alias("c"), F.col("doc_id").isNull().alias("u"), "doc_id"))
     groups = (
@@ -100,3 +105,19 @@ def exact_dedup(docs: DataFrame, digests=DIGESTS, pattern: str | None = None) ->
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, digests=DIGESTS, pattern: str | None = None) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others), one of each group of equal texts: the one that
+    ``exact_dedup`` names, and of several rows with its doc_id and length one.  Rows are told apart by
+    a number of their own, so null and repeated ids bring no copy back."""
+    whole = docs.select(F.struct(*docs.columns).alias("_row_of_docs"), F.monotonically_increasing_id().alias("_row"))
+    whole = written(whole, "numbered")
+    named = whole.select("_row_of_docs.doc_id", "_row_of_docs.text", "_row")
+    name, digest = sound_digest(named, digests, pattern)
+    lists = written(recipes(named, digest, pattern, ("_row",)).drop("sha"), f"recipes-{name}")
+    best = F.min(F.struct((-F.col("chars")).alias("c"), F.col("doc_id").isNull().alias("u"), "doc_id", "_row"))
+    groups = lists.groupBy("recipe").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).where("n > 1")
+    groups = written(groups.select("recipe", F.col("best._row").alias("_keep")), "recipe-groups")
+    copies = lists.join(groups, "recipe").where("_row <> _keep").select("_row")
+    return whole.join(copies, "_row", "left_anti").select("_row_of_docs.*")

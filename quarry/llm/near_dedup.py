@@ -2,7 +2,7 @@
 
 A document's set is its distinct word shingles.  Each bucket of the hash space keeps its smallest
 hash as leading zeros and the mantissa after them, in 16 bits for the 128 registers that are banded,
-in 8 bits for 1,024 registers that documents with a candidate get for finer estimates.  Empty registers of small
+in two-bit codes of 1,024 registers that documents with a candidate get for finer estimates.  Empty registers of small
 sets borrow from a filled one in a fixed random order of their own, so that a register
 agrees with the probability of the Jaccard similarity whatever the set's size.
 
@@ -10,7 +10,8 @@ Equal sets are one node.  Bands of registers give buckets of candidates.  No buc
 listed: in a few rounds each bucket links its members to one hub, and members already
 connected are not compared again; what is then left unconnected within a bucket is compared in
 blocks, outsiders against all.  Every pair is first estimated from the sketches (corrected for
-register collisions) and then confirmed on the full sets.
+register collisions) and then confirmed on the full sets: those of a block's likely pairs go once to
+the task that confirms them, which passes on a spanning forest of the links it finds.
 
 Recall: a pair at the threshold 0.75 shares none of the 32 bands of 4 registers with
 probability (1 - 0.75^4)^32 = 5e-6, and its estimate falls under the cut of ``ESTIMATE_MARGIN``
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import connected_components, map_text, prepare, text_of, written
+from quarry.llm.shared import connected_components, discard, map_text, prepare, text_of, written
 
 
 
@@ -51,13 +52,16 @@ class Layout:
         return np.dtype(np.uint16 if self.zeros + self.mantissa > 8 else np.uint8)
 
 
-BANDED, FINE = Layout(7, 6, 10), Layout(10, 5, 3)
+BANDED, FINE = Layout(7, 6, 10), Layout(10, 5, 11)
+#: Fine registers are compared by codes of so many bits, 32 of them in a word.
+CODE_BITS = 2
 REGISTERS = BANDED.registers
 BAND = 4
 BANDS = REGISTERS // BAND
 ESTIMATE_MARGIN = 5.0
-#: Members of one bucket compared at once.
-BLOCK = 256
+#: Members of one bucket compared at once, and bytes of full sets a task holds to confirm their pairs.
+BLOCK = 2_048
+SET_BYTES = 64 << 20
 #: Rounds that link each bucket to one hub before what is left is compared in blocks.
 HUB_ROUNDS = 3
 
@@ -142,6 +146,31 @@ def least_estimate(threshold: float, layout: Layout = BANDED) -> float:
     return threshold - ESTIMATE_MARGIN * math.sqrt(threshold * (1 - threshold) / layout.registers)
 
 
+def codes(registers: np.ndarray) -> np.ndarray:
+    """(rows, words): ``CODE_BITS`` of a hash of each fine register, 32 registers to a word."""
+    at = np.arange(registers.shape[1], dtype=np.uint64) << np.uint64(16)
+    code = _mix(registers.astype(np.uint64) + at) & np.uint64(3)
+    shifts = np.arange(0, 64, CODE_BITS, dtype=np.uint64)
+    return np.bitwise_or.reduce(code.reshape(len(registers), -1, len(shifts)) << shifts, axis=2)
+
+
+def code_estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Jaccard similarity from the share of equal codes, without the quarter that are equal by chance."""
+    other = x ^ y
+    differ = np.bitwise_count((other | (other >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
+    return 1 - differ / FINE.registers * 4 / 3
+
+
+def least_code_estimate(threshold: float) -> float:
+    equal = 0.25 + 0.75 * threshold
+    return threshold - ESTIMATE_MARGIN * math.sqrt(equal * (1 - equal) / FINE.registers) * 4 / 3
+
+
+def band_marks(sketch: np.ndarray) -> np.ndarray:
+    """(rows, bands) of 32 bits that stand for the bands of a sketch."""
+    return (_mix(np.ascontiguousarray(sketch).view(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+
 SIGNATURE = "n_shingles long, digest binary, sketch binary"
 
 
@@ -173,14 +202,14 @@ def band_rows(nodes: DataFrame) -> DataFrame:
 
 def full_sets(signed: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, n_shingles, shingles, fine, banded) for ``wanted`` (node), the rows of ``signed`` that stand for a
-    set: the sorted set, the finer sketch and the banded one as bytes."""
+    set: the sorted set, the codes of the finer sketch and the marks of the bands as bytes."""
     joined = signed.select(F.col("row").alias("node"), text_of().alias("text")).join(wanted, "node")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
         raw = [s.tobytes() for s in sets]
-        fine = [s.tobytes() for s in sketches(sets, FINE)]
-        banded = [s.tobytes() for s in sketches(sets)]
+        fine = [c.tobytes() for c in codes(sketches(sets, FINE))]
+        banded = [m.tobytes() for m in band_marks(sketches(sets))]
         columns = [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(c, pa.binary()) for c in (raw, fine, banded))]
         return pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "shingles", "fine", "banded"])
 
@@ -204,6 +233,14 @@ def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return sized.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(keep, "a long, b long")
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets."""
+    short, long = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.searchsorted(long, short)
+    both = int((long[np.minimum(at, len(long) - 1)] == short).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
@@ -213,11 +250,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             good = []
             for xa, xb in zip(batch.column("xa"), batch.column("xb"), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (xa, xb))
-                short, long = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.searchsorted(long, short)
-                both = int((long[np.minimum(at, len(long) - 1)] == short).sum())
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+                good.append(linked(*(np.frombuffer(s.as_buffer(), np.uint64) for s in (xa, xb)), percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "xa", "xb").mapInArrow(check, "a long, b long")
@@ -239,13 +272,36 @@ def hub_pairs(members: DataFrame, round_: int) -> DataFrame:
     return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def _by_cell(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[int, list[list]]]:
+    """(cell, its columns) for batches sorted by cell."""
+    cell, held = None, [[] for _ in names]
+    for batch in batches:
+        cells = batch.column("cell").to_numpy()
+        ends = [*(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)] if len(cells) else []
+        columns, begin = [batch.column(n) for n in names], 0
+        for end in ends:
+            if cells[begin] != cell:
+                if held[0]:
+                    yield cell, held
+                cell, held = cells[begin], [[] for _ in names]
+            for h, c in zip(held, columns, strict=True):
+                h += c.slice(begin, end - begin).to_pylist()
+            begin = end
+    if held[0]:
+        yield cell, held
+
+
+def _pair_batch(cell: int, a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([int(cell)] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["cell", "a", "b"])
+
+
 def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """All likely pairs (a, b) of one bucket and different components.
+    """All likely pairs (cell, a, b) of one bucket and different components.
 
     Of each bucket the component with most members is its bulk; the others, the outsiders,
     meet one another and the bulk, and bulk never meets bulk.  Both are dealt into blocks of about
-    ``BLOCK`` members, so a task holds two blocks however large the bucket.  A pair is looked at in the
-    bucket of its first common band alone."""
+    ``BLOCK`` members; a cell is two blocks, so a task holds two however large the bucket.  A pair
+    is looked at in the bucket of its first common band alone, and there in one cell."""
     sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     buckets = (
         sizes.groupBy("bucket")
@@ -258,67 +314,83 @@ def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
             F.ceil(F.col("n_bulk") / BLOCK).cast("int").alias("bulks"),
         )
     )
-    dealt = members.join(buckets, "bucket").select("bucket", "band", "node", "comp", "outs", "bulks", (F.col("comp") != F.col("bulk")).alias("out"))
+    known = sets.select("node", "n_shingles", "fine", "banded")
+    is_out = (F.col("comp") != F.col("bulk")).alias("out")
+    dealt = members.join(buckets, "bucket").select("bucket", "band", "node", "comp", "outs", "bulks", is_out).join(known, "node")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("bulks"))).cast("int")
-    rows = dealt.withColumn("own", own)
-    # an outsider of block i meets outsiders of every block j (as pair min, max) and the bulk blocks (as outs + j)
+    # blocks of outsiders count from 0, those of the bulk go on after them; a cell is a pair of blocks, an outsider block first
+    block = F.when(F.col("out"), own).otherwise(F.col("outs") + own)
     meets = F.when(F.col("out"), F.sequence(F.lit(0), F.col("outs") + F.col("bulks") - 1)).otherwise(F.sequence(F.lit(0), F.col("outs") - 1))
-    spread = rows.withColumn("other", F.explode(meets)).select(
-        "bucket",
-        "band",
-        "node",
-        "comp",
-        F.when(F.col("out"), F.least("own", "other")).otherwise(F.col("other")).alias("i"),
-        F.when(F.col("out"), F.greatest("own", "other")).otherwise(F.col("outs") + F.col("own")).alias("j"),
-    )
-    known = sets.select("node", "n_shingles", "fine", "banded")
-    least = least_estimate(threshold, FINE)
-
-    def compare(band: int, rows: list[tuple]) -> list[tuple[int, int]]:
-        node, comp, n = (np.array(c, np.int64) for c in list(zip(*rows, strict=True))[:3])
+    spread = dealt.withColumn("block", block).withColumn("other", F.explode(meets))
+    cell = F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("cell")
+    least = least_code_estimate(threshold)
+    names = ["band", "block", "out", "node", "comp", "n_shingles", "fine", "banded"]
+
+    def compare(band, block, out, node, comp, n, fine, banded) -> tuple[list[int], list[int]]:
+        order = np.argsort(~np.array(out), kind="stable")  # outsiders first
+        block, node, comp, n = (np.array(c, np.int64)[order] for c in (block, node, comp, n))
         if (comp == comp[0]).all():
-            return []
-        fine = np.frombuffer(b"".join(r[3] for r in rows), FINE.kind).reshape(-1, FINE.registers)
-        bands = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(-1, BANDS)  # a band is 8 bytes
-        out = []
-        for k in range(len(rows) - 1):
-            sized = np.minimum(n[k + 1 :], n[k]) >= threshold * np.maximum(n[k + 1 :], n[k])
-            earlier = (bands[k + 1 :, :band] == bands[k, :band]).any(axis=1)
-            other = k + 1 + np.flatnonzero(sized & (comp[k + 1 :] != comp[k]) & ~earlier)
-            agree = (fine[other] == fine[k]).mean(axis=1)
-            good = other[estimate(agree, n[other], n[k], FINE) >= least]
-            out += [(min(node[k], x), max(node[k], x)) for x in node[good].tolist()]
-        return out
-
-    names = ["bucket", "i", "j", "band", "node", "comp", "n_shingles", "fine", "banded"]
+            return [], []
+        fine = np.frombuffer(b"".join(fine), np.uint64).reshape(len(node), -1)[order]
+        before = np.frombuffer(b"".join(banded), np.uint32).reshape(len(node), -1)[order, : band[0]]
+        apart, found = block.min() != block.max(), ([], [])
+        for k in range(min(sum(out), len(node) - 1)):
+            rest = slice(k + 1, None)
+            hopeful = (comp[rest] != comp[k]) & (np.minimum(n[rest], n[k]) >= threshold * np.maximum(n[rest], n[k]))
+            if apart:
+                hopeful &= block[rest] != block[k]
+            other = k + 1 + np.flatnonzero(hopeful)
+            other = other[~(before[other] == before[k]).any(axis=1)]
+            good = other[code_estimate(fine[other], fine[k]) >= least]
+            found[0].extend(np.minimum(node[good], node[k]).tolist())
+            found[1].extend(np.maximum(node[good], node[k]).tolist())
+        return found
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, band = None, [], 0
+        for at, columns in _by_cell(batches, names):
+            a, b = compare(*columns) if len(columns[0]) > 1 else ((), ())
+            if a:
+                yield _pair_batch(at, a, b)
 
-        def out(pairs):
-            a, b = zip(*pairs, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return spread.select(cell, *names).repartition("cell").sortWithinPartitions("cell").mapInArrow(groups, "cell long, a long, b long")
 
-        for batch in batches:
-            found = []
-            for bucket, i, j, at, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                if (bucket, i, j, at) != key:
-                    found += compare(band, held) if len(held) > 1 else []
-                    key, held, band = (bucket, i, j, at), [], at
-                held.append(row)
-            if found:
-                yield out(found)
-        if len(held) > 1 and (found := compare(band, held)):
-            yield out(found)
-
-    return (
-        spread.join(known, "node")
-        .select(*names)
-        .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j", "band")
-        .mapInArrow(groups, "a long, b long")
-        .distinct()
-    )
+
+def confirmed_in_cells(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect whatever the confirmed ones of ``pairs`` (cell, a, b) connect within a cell.
+
+    The set of a node goes to a cell once, however many pairs it has there.  A cell whose sets are
+    more than ``SET_BYTES`` is cut by hashes of a and b."""
+    both = pairs.select("cell", F.col("a").alias("node")).union(pairs.select("cell", F.col("b").alias("node"))).distinct()
+    size = F.sum(F.col("n_shingles") * 8)
+    cuts = both.join(sets.select("node", "n_shingles"), "node").groupBy("cell").agg(F.ceil(size / F.lit(SET_BYTES)).cast("int").alias("cuts"))
+    part = lambda c: F.pmod(F.xxhash64(c), F.col("cuts"))
+    cut = pairs.join(cuts, "cell").select(F.xxhash64("cell", part("a"), part("b")).alias("cell"), "a", "b")
+    needed = cut.select("cell", F.col("a").alias("node")).union(cut.select("cell", F.col("b").alias("node"))).distinct()
+    none = F.lit(None).cast("binary").alias("shingles")
+    with_sets = needed.join(sets.select("node", "shingles"), "node").select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), "shingles")
+    rows = with_sets.unionByName(cut.select("cell", F.lit(1).alias("kind"), "a", "b", none))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, (kind, a, b, shingles) in _by_cell(batches, ["kind", "a", "b", "shingles"]):
+            held = {x: np.frombuffer(s, np.uint64) for k, x, s in zip(kind, a, shingles, strict=True) if k == 0}
+            root = {x: x for x in held}
+
+            def top(x):
+                while root[x] != x:
+                    root[x] = x = root[root[x]]  # noqa: B023
+                return x
+
+            links = ([], [])
+            for k, x, y in zip(kind, a, b, strict=True):
+                if k == 1 and top(x) != top(y) and linked(held[x], held[y], percent):
+                    root[top(x)] = top(y)
+                    links[0].append(x)
+                    links[1].append(y)
+            if links[0]:
+                yield _pair_batch(at, *links)
+
+    links = rows.repartition("cell").sortWithinPartitions("cell", "kind").mapInArrow(check, "cell long, a long, b long")
+    return links.select("a", "b")
 
 
 def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -341,6 +413,23 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def without_near_copies(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others), one of each group that ``near_dedup`` links: the one with
+    the smallest doc_id (null ids last), and of several rows with it one.  Rows are told apart by
+    a number of their own, so null and repeated ids bring no copy back."""
+    prepare(docs.sparkSession)
+    others = [F.struct(*(c for c in docs.columns if c not in ("doc_id", "text"))).alias("_others")] if len(docs.columns) > 2 else []
+    signed = written(signatures(docs.select("doc_id", "text", *others)).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    labelled = written(_labelled(signed, percent), "labelled")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "row")).alias("first")
+    groups = labelled.groupBy("comp").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").select("comp", F.col("first.row").alias("keep"))
+    copies = labelled.join(written(groups, "groups"), "comp").where("row <> keep").select("row")
+    left = signed.join(copies, "row", "left_anti")
+    own = dict(docs.dtypes)
+    columns = [F.col(c).cast(own[c]).alias(c) if c in ("doc_id", "text") else F.col("_others")[c].alias(c) for c in docs.columns]
+    return left.select(*columns)
+
+
 def _labelled(signed: DataFrame, percent: int) -> DataFrame:
     """(doc_id, n_shingles, row, comp) of every row of ``signed``."""
     threshold = percent / 100
@@ -364,19 +453,24 @@ def _labelled(signed: DataFrame, percent: int) -> DataFrame:
 
 def _components(signed: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float, percent: int) -> DataFrame:
     """(node, comp) for the nodes that share a bucket with another."""
-    comps = members.select("node").distinct().withColumn("comp", F.col("node"))
+    comps = written(members.select("node").distinct().withColumn("comp", F.col("node")), "comps")
     sets = written(full_sets(signed, members.select("node").distinct()), "sets")
     for round_ in range(HUB_ROUNDS + 1):
         grouped = members.join(comps, "node").select("bucket", "band", "node", "comp")
+        pairs = None
         if round_ < HUB_ROUNDS:
-            pairs = likely(hub_pairs(grouped, round_), nodes, threshold)
+            links = written(confirmed(likely(hub_pairs(grouped, round_), nodes, threshold), sets, percent), "links")
         else:
-            pairs = block_pairs(grouped, sets, threshold)
-        links = written(confirmed(pairs, sets, percent), "links")
-        a, b = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
-        edges = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
-        if links.isEmpty():
-            continue
-        joined = connected_components(edges).select(F.col("node").alias("comp"), F.col("component").alias("to"))
-        comps = written(comps.join(joined, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "comps")
+            pairs = written(block_pairs(grouped, sets, threshold), "block-pairs")
+            links = written(confirmed_in_cells(pairs, sets, percent), "links")
+        if not links.isEmpty():
+            a, b = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
+            edges = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
+            joined = connected_components(edges)
+            moved = joined.select(F.col("node").alias("comp"), F.col("component").alias("to"))
+            newer = written(comps.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "comps")
+            discard(comps, joined)
+            comps = newer
+        discard(links, pairs)
+    discard(sets)
     return comps

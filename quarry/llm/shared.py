@@ -27,7 +27,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Removes tables made by ``written`` that nothing will read again."""
+    for table in tables:
+        path = getattr(table, "scratch", None)
+        if path is not None:
+            jvm = table.sparkSession.sparkContext._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -80,18 +92,22 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         hop = points.select(F.col("node").alias("to"), F.col("to").alias("to2"))
         step = written(points.join(hop, "to").select("node", F.col("to2").alias("to")), "cc-step")
         if labels is None:
-            labels = step.select("node", F.col("to").alias("component"))
+            newer = step.select("node", F.col("to").alias("component"))
         else:
             moved = step.select(F.col("node").alias("component"), F.col("to").alias("_to"))
-            labels = labels.join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
-        labels = written(labels, "cc-labels")
+            newer = labels.join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+        newer = written(newer, "cc-labels")
         ends = step.select(F.col("node").alias("a"), F.col("to").alias("a2"))
         other = step.select(F.col("node").alias("b"), F.col("to").alias("b2"))
         rewritten = live.join(ends, "a").join(other, "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
-        live = written(rewritten.where("a <> b").distinct(), "cc-edges")
+        left = written(rewritten.where("a <> b").distinct(), "cc-edges")
+        discard(labels, live, step)  # what this round replaces
+        labels, live = newer, left
         if live.isEmpty():
             least = labels.groupBy("component").agg(F.min("node").alias("least"))
-            return labels.join(least, "component").select("node", F.col("least").alias("component"))
+            settled = written(labels.join(least, "component").select("node", F.col("least").alias("component")), "components")
+            discard(labels, live)
+            return settled
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

@@ -71,6 +71,29 @@ def test_blocks_alone_find_the_same(make_docs, varied, monkeypatch):
     assert frame(make_docs(varied)) == brute(varied)
 
 
+def test_cells_are_cut_by_the_bytes_of_their_sets(make_docs, varied, monkeypatch):
+    monkeypatch.setattr(N, "HUB_ROUNDS", 1)
+    monkeypatch.setattr(N, "SET_BYTES", 5_000)
+    assert frame(make_docs(varied)) == brute(varied)
+
+
+def test_code_estimates_follow_the_similarity():
+    rng = np.random.default_rng(3)
+    for n in (3, 40, 300, 5000):
+        for share in (0.0, 0.75, 1.0):
+            errors = []
+            for _ in range(20):
+                h = np.unique(rng.integers(0, 1 << 63, 3 * n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+                rng.shuffle(h)
+                both = int(round(share * n))
+                a, b = np.sort(h[:n]), np.sort(np.concatenate([h[:both], h[n : 2 * n - both]]))
+                x, y = N.codes(N.sketches([a, b], N.FINE))
+                errors.append(N.code_estimate(x[None], y)[0] - both / (2 * n - both))
+                if both / (2 * n - both) >= 0.75:
+                    assert errors[-1] >= N.least_code_estimate(0.75) - 0.75
+            assert abs(np.mean(errors)) < 0.02
+
+
 def test_edge_rows(make_docs, edge_rows):
     assert frame(make_docs(edge_rows)) == brute(edge_rows)
     assert N.near_dedup(make_docs(edge_rows).limit(0)).collect() == []

@@ -38,3 +38,21 @@ def test_stage_edge_rows(spark, make_docs, edge_rows):
     for _, stage in P.STAGES:
         assert stage(spark, docs.limit(0), SMOKE_DIR).collect() == []
         stage(spark, docs, SMOKE_DIR).collect()
+
+
+def test_repeated_and_null_ids_bring_no_copy_back(spark, make_docs):
+    text = "a text of ten words that several rows have in common"
+    near = text + " and ends in other words that are its own here"
+    rows = [(1, text), (1, text), (1, text.replace(" ", "  ")), (None, text), (None, text), (None, near + " x"), (None, near + " y"), (2, near + " z"), (2, near + " z z"), (None, None), (None, None), (3, "")]
+    docs = make_docs(rows).select(*P.COLUMNS)
+    exact = dict(P.STAGES)["exact dedup"](spark, docs, SMOKE_DIR)
+    squeezed = ["".join((r.text or "").split()) for r in exact.collect()]
+    assert len(squeezed) == len(set(squeezed)) == len({"".join((t or "").split()) for _, t in rows})
+    assert exact.columns == P.COLUMNS and exact.dtypes == docs.dtypes
+    chosen = {"".join((r.text or "").split()): (r.doc_id, r.text) for r in exact.collect()}
+    assert chosen["".join(text.split())] == (1, text.replace(" ", "  ")) and chosen[""][0] == 3
+    left = dict(P.STAGES)["near dedup"](spark, docs, SMOKE_DIR)
+    assert left.columns == P.COLUMNS and left.dtypes == docs.dtypes
+    # every set is one row; rows without words stay, as they are linked with nothing
+    assert sorted(r.doc_id for r in left.where("text like 'a%'").collect()) == [1, 2]
+    assert left.where("trim(coalesce(text, '')) = ''").count() == 3
