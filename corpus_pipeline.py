@@ -8,10 +8,9 @@ the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quarry.llm.exact_dedup import exact_dedup
-from quarry.llm.near_dedup import near_dedup
+from quarry.llm.exact_dedup import without_copies
+from quarry.llm.near_dedup import without_near_copies
 from quarry.llm.packing import pack_documents
 from quarry.llm.quality import score_quality
 from quarry.llm.queries import documents, labels, query, vocabulary_path
@@ -22,12 +21,6 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CARRIED = tuple(COLUMNS[1:])
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id (null too) is among ``verdicts`` (doc_id)."""
-    ids = verdicts.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon finds toxic go."""
     scored = score_toxicity(docs, labels(spark, sf_dir), carry=CARRIED)
@@ -41,13 +34,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one stays."""
-    return _kept(docs, exact_dedup(docs).where("kept"))
+    """Of equal texts one row stays."""
+    return without_copies(docs).select(*COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest doc_id stays."""
-    return _kept(docs, near_dedup(docs).where("kept"))
+    """Of each group of near-duplicates one row stays, that of the smallest doc_id."""
+    return without_near_copies(docs).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
