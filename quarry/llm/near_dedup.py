@@ -291,12 +291,26 @@ def _by_cell(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
         yield cell, held
 
 
-def _pair_batch(cell: int, a: list, b: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([int(cell)] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["cell", "a", "b"])
+def _listed(cell: int, a: np.ndarray, b: np.ndarray, sizes: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """The pairs of a cell as (cell, node, partners): a row for each node that has a pair, with those it is the first
+    of.  A cell whose sets are more than ``SET_BYTES`` is cut by hashes of both nodes."""
+    cuts = -(-sum(8 * sizes[x] for x in np.unique(np.concatenate([a, b])).tolist()) // SET_BYTES)
+    part = (_mix(a.view(np.uint64)) % np.uint64(cuts)) * np.uint64(cuts) + _mix(b.view(np.uint64)) % np.uint64(cuts)
+    for p in np.unique(part):
+        x, y = a[part == p], b[part == p]
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        first, begins = np.unique(x, return_index=True)
+        rest = np.setdiff1d(y, first)
+        ends = np.concatenate([begins, np.full(len(rest) + 1, len(y))])
+        name = _mix(np.array([cell], np.int64).view(np.uint64) + p).view(np.int64)
+        columns = [np.repeat(name, len(first) + len(rest)), np.concatenate([first, rest])]
+        partners = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(y, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), partners], ["cell", "node", "partners"])
 
 
 def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """All likely pairs (cell, a, b) of one bucket and different components.
+    """All likely pairs of one bucket and different components, as (cell, node, partners).
 
     Of each bucket the component with most members is its bulk; the others, the outsiders,
     meet one another and the bulk, and bulk never meets bulk.  Both are dealt into blocks of about
@@ -350,47 +364,41 @@ def block_pairs(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
         for at, columns in _by_cell(batches, names):
             a, b = compare(*columns) if len(columns[0]) > 1 else ((), ())
             if a:
-                yield _pair_batch(at, a, b)
+                sizes = dict(zip(columns[names.index("node")], columns[names.index("n_shingles")], strict=True))
+                yield from _listed(at, np.array(a, np.int64), np.array(b, np.int64), sizes)
 
-    return spread.select(cell, *names).repartition("cell").sortWithinPartitions("cell").mapInArrow(groups, "cell long, a long, b long")
+    return spread.select(cell, *names).repartition("cell").sortWithinPartitions("cell").mapInArrow(groups, LISTED)
 
 
-def confirmed_in_cells(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect whatever the confirmed ones of ``pairs`` (cell, a, b) connect within a cell.
+LISTED = "cell long, node long, partners array<long>"
 
-    The set of a node goes to a cell once, however many pairs it has there.  A cell whose sets are
-    more than ``SET_BYTES`` is cut by hashes of a and b."""
-    both = pairs.select("cell", F.col("a").alias("node")).union(pairs.select("cell", F.col("b").alias("node"))).distinct()
-    size = F.sum(F.col("n_shingles") * 8)
-    cuts = both.join(sets.select("node", "n_shingles"), "node").groupBy("cell").agg(F.ceil(size / F.lit(SET_BYTES)).cast("int").alias("cuts"))
-    part = lambda c: F.pmod(F.xxhash64(c), F.col("cuts"))
-    cut = pairs.join(cuts, "cell").select(F.xxhash64("cell", part("a"), part("b")).alias("cell"), "a", "b")
-    needed = cut.select("cell", F.col("a").alias("node")).union(cut.select("cell", F.col("b").alias("node"))).distinct()
-    none = F.lit(None).cast("binary").alias("shingles")
-    with_sets = needed.join(sets.select("node", "shingles"), "node").select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), "shingles")
-    rows = with_sets.unionByName(cut.select("cell", F.lit(1).alias("kind"), "a", "b", none))
+
+def confirmed_in_cells(listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect whatever the confirmed pairs of ``listed`` (cell, node, partners) connect within a
+    cell.  The set of a node goes to a cell once, however many pairs it has there."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for at, (kind, a, b, shingles) in _by_cell(batches, ["kind", "a", "b", "shingles"]):
-            held = {x: np.frombuffer(s, np.uint64) for k, x, s in zip(kind, a, shingles, strict=True) if k == 0}
-            root = {x: x for x in held}
+        for _, (nodes, partners, shingles) in _by_cell(batches, ["node", "partners", "shingles"]):
+            held = {x: np.frombuffer(s, np.uint64) for x, s in zip(nodes, shingles, strict=True)}
+            root = {x: x for x in nodes}
 
             def top(x):
                 while root[x] != x:
                     root[x] = x = root[root[x]]  # noqa: B023
                 return x
 
-            links = ([], [])
-            for k, x, y in zip(kind, a, b, strict=True):
-                if k == 1 and top(x) != top(y) and linked(held[x], held[y], percent):
-                    root[top(x)] = top(y)
-                    links[0].append(x)
-                    links[1].append(y)
-            if links[0]:
-                yield _pair_batch(at, *links)
-
-    links = rows.repartition("cell").sortWithinPartitions("cell", "kind").mapInArrow(check, "cell long, a long, b long")
-    return links.select("a", "b")
+            a, b = [], []
+            for x, ys in zip(nodes, partners, strict=True):
+                for y in ys:
+                    if top(x) != top(y) and linked(held[x], held[y], percent):
+                        root[top(x)] = top(y)
+                        a.append(x)
+                        b.append(y)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    rows = listed.join(sets.select("node", "shingles"), "node").select("cell", "node", "partners", "shingles")
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(check, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
