@@ -35,6 +35,8 @@ CHANCE = 0.05
 #: A phrase that so many clean rows and no toxic ones hold is an exception; it says nothing against its words.
 LEAST_QUOTED = 3
 PREDICT_AT = 0.5
+#: Contexts are combined in the task over about so much text: each takes some hundred bytes there.
+CONTEXT_BYTES = 256 << 10
 
 # fixed values: letters of other scripts that look like Latin ones, and signs that stand for letters
 LOOKALIKES = {
@@ -144,7 +146,7 @@ def _contexts(sample: DataFrame, kept: frozenset[str] | None = None, share: int
                 return False
             return kept is None or any(word[:k] in kept for k in range(SHORTEST, LONGEST + 1))
 
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", CONTEXT_BYTES):
             found: dict[tuple, list] = {}
             for text, label, copies, at in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "copies", "id")), strict=True):
                 words = text.split()
