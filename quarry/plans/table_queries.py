@@ -8,6 +8,7 @@ written near the input tables.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,6 +169,41 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tbl.read_table(spark, path, EVENT_SCHEMA)
 
 
+# The same on the session catalog: a table is created, seen to exist, has days overwritten; another is replaced.
+@register(
+    "catalog_tables",
+    "S10 K1 K3 K4 (session catalog)",
+    f"""
+SELECT 'overwritten' AS kind, event_id, value, CAST(ts AS DATE) AS day FROM events
+WHERE CAST(ts AS DATE) NOT BETWEEN DATE '{REPLACE_DAYS[0]}' AND DATE '{REPLACE_DAYS[1]}'
+UNION ALL
+SELECT 'overwritten', event_id, value * 2, CAST(ts AS DATE) FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '{REPLACE_DAYS[0]}' AND DATE '{REPLACE_DAYS[1]}' AND event_type = 'purchase'
+UNION ALL
+SELECT 'replaced', event_id, value, CAST(ts AS DATE) FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT 'existed before: false, after: true', count(*), NULL, NULL FROM events
+""",
+)
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events_by_day(spark, sf_dir).select("event_id", "event_type", "value", "day")
+    kept, renewed = (f"quarry_events_{uuid.uuid4().hex[:12]}" for _ in range(2))
+    before = tbl.table_exists(spark, kept)
+    for name in (kept, renewed):
+        tbl.create_table(ev, name, ["day"])
+    after = tbl.table_exists(spark, kept)
+    days = F.col("day").between(F.lit(REPLACE_DAYS[0]), F.lit(REPLACE_DAYS[1]))
+    purchases = ev.where(F.col("event_type") == "purchase")
+    tbl.overwrite_table_partitions(spark, purchases.where(days).withColumn("value", F.col("value") * 2), kept)
+    tbl.replace_table(purchases, renewed, ["day"])
+    seen = f"existed before: {str(before).lower()}, after: {str(after).lower()}"
+    told = ev.agg(F.count(F.lit(1)).alias("event_id")).select(
+        F.lit(seen).alias("kind"), "event_id", F.lit(None).cast("double").alias("value"), F.lit(None).cast("date").alias("day")
+    )
+    rows = [spark.table(n).select(F.lit(k).alias("kind"), "event_id", "value", "day") for n, k in ((kept, "overwritten"), (renewed, "replaced"))]
+    return rows[0].unionByName(rows[1]).unionByName(told)
+
+
 # Three commits on an events table (create days 1-10, merge days 8-19, overwrite days
 # 20-30); the version log counts them and the rows each wrote.
 @register(
