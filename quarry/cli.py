@@ -20,7 +20,7 @@ import json
 from pyspark.sql import SparkSession
 
 from quarry import jobs
-from quarry.session import BASE_CONF
+from quarry.session import BASE_CONF, qualified
 
 
 def _session() -> SparkSession:
@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     spark = _session()
-    layout = jobs.Layout(args.root)
+    layout = jobs.Layout(qualified(spark, args.root))
     if args.job == "register":
         from quarry.streaming.ledger import read_events
 

@@ -77,6 +77,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system's scheme, as Spark resolves it: Python code on the executors then opens the same
+    place (a path without scheme would be the executor's own disk there)."""
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hp).toString()
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Size-dependent settings for a cluster run: shuffle partitions of about
     ``target_partition_bytes`` if the whole input were shuffled (at least 3 per core, at

@@ -133,7 +133,7 @@ def test_cli_runs_the_jobs(spark, tmp_path, capsys):
     _setup(layout)
     ev = tmp_path / "events.json"
     ev.write_text("\n".join(json.dumps(r.asDict(recursive=True)) for r in _events(spark).collect()))
-    root = ["--root", layout.root]
+    root = ["--root", layout.root.replace("file:", "")]  # a path without scheme is Spark's own, here a local one
     assert cli.main(["register", "--events", f"file:{ev}", *root]) == 0
     assert cli.main(["bronze", *root]) == 0
     assert cli.main(["silver", *root]) == 0
