@@ -5,14 +5,15 @@ position in the document tree and its text (link share, length, sentence marks)
 cost of calling it boilerplate or content: these are the capacities to source and sink.  Blocks that
 follow one another, and blocks that share a parent or an ancestor below the body, are tied by
 smoothness edges.  A maximum flow gives the labelling of least total cost: what stays connected to
-the source is content.
+the source is content.  Blocks whose own cost outweighs all their edges are on their side of every
+least cut, so they are settled first and only the undecided rest takes part in the flow.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,17 +54,22 @@ NEXT_TO, SAME_PARENT = 0.25, 1.0
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden|style|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s\"'>]+))?", re.I)
 _SPACE = re.compile(r"\s+")
+#: A stray end tag of the first kind does not close what is around an element of the second.
+STRAY, AROUND = frozenset("p b i a span em strong".split()), ("article", "body", "table")
+TINY = 1e-9
 
 
 class _Node:
-    __slots__ = ("tag", "up", "depth", "cost", "hidden", "link")
+    __slots__ = ("tag", "up", "depth", "cost", "hidden", "link", "block", "in_article")
 
     def __init__(self, tag: str, up: _Node | None, attributes: str = ""):
         self.tag, self.up = tag, up
         self.depth = up.depth + 1 if up else 0
         own, self.hidden = ELEMENT_COST.get(tag, 0.0), bool(up and up.hidden) or tag in INVISIBLE
         self.link = tag == "a" or bool(up and up.link)
-        if tag == "header" and up and up.has("article", "main"):
+        self.block = self if up is None or tag in BLOCKS else up.block  # the nearest block element
+        self.in_article = tag in ("article", "main") or bool(up and up.in_article)
+        if tag == "header" and up and up.in_article:
             own = 0.0  # a heading group of the article itself
         if attributes:
             names = ""
@@ -82,14 +88,6 @@ class _Node:
                     own += GOOD_NAME_COST
         self.cost = own + (up.cost if up else 0.0)
 
-    def has(self, *tags: str) -> bool:
-        node: _Node | None = self
-        while node:
-            if node.tag in tags:
-                return True
-            node = node.up
-        return False
-
 
 class Block:
     """Text of one place in the tree: ``parts`` are raw pieces, ``linked`` how many characters of them are in links."""
@@ -106,6 +104,14 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     current: Block | None = None
     at = 0
+    open_at: dict[str, list[_Node]] = defaultdict(list)  # open elements by name, innermost last
+
+    def leave(place: _Node) -> None:
+        """Closes ``place`` and all that is open in it: every element is left once."""
+        nonlocal node
+        while node.depth >= place.depth:
+            open_at[node.tag].pop()
+            node = node.up
 
     def add(raw: str) -> None:
         nonlocal current
@@ -114,10 +120,7 @@ def blocks(page: str) -> list[Block]:
         if current is None:
             if raw.isspace():
                 return
-            place = node
-            while place.tag not in BLOCKS and place.up:
-                place = place.up
-            current = Block(place)
+            current = Block(node.block)
             out.append(current)
         current.parts.append(raw)
         if node.link:
@@ -126,9 +129,10 @@ def blocks(page: str) -> list[Block]:
     while at < len(page):
         if node.tag in ("script", "style", "textarea", "title"):  # raw text up to the end tag
             end = re.compile(rf"</{node.tag}(?=[\s/>]|$)", re.I).search(page, at)
-            node, at = node.up, end.start() if end else len(page)
             if not end:
                 break
+            leave(node)
+            at = end.start()
             close = page.find(">", at)
             at = len(page) if close < 0 else close + 1
             continue
@@ -144,28 +148,24 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCKS:
             current = None
         if found[1]:
-            place = node
-            while place.up and place.tag != tag:
-                if place.tag in ("article", "body", "table") and tag in ("p", "b", "i", "a", "span", "em", "strong"):
-                    break  # a stray end tag does not close what is around it
-                place = place.up
-            if place.tag == tag and place.up:
-                node = place.up
+            if open_at[tag]:
+                place = open_at[tag][-1]
+                if tag not in STRAY or all(o.depth < place.depth for name in AROUND for o in open_at[name][-1:]):
+                    leave(place)
         elif tag == "br":
             add(" ")
         elif tag not in VOID:
             if tag in BLOCKS:  # a block ends an open paragraph and the inline elements in it
-                place = node
-                while place.up and place.tag not in BLOCKS:
-                    place = place.up
-                if place.tag == "p" and place.up:
-                    node = place.up
+                place = node.block
+                if place.tag == "p":
+                    leave(place)
             shut = CLOSED_BY.get(node.tag)
-            if shut and tag in shut and node.up:
-                node = node.up
+            if shut and tag in shut:
+                leave(node)
             attributes = found[3] or ""
             if not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
                 node = _Node(tag, node, attributes)
+                open_at[tag].append(node)
     kept = []
     for b in out:
         b.text = _SPACE.sub(" ", html.unescape("".join(b.parts))).strip()
@@ -212,44 +212,87 @@ def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
 
 
 def source_side(costs: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Maximum flow by shortest augmenting paths.  Node i is tied to the source with max(cost, 0) and
-    to the sink with max(-cost, 0); True for nodes the source still reaches: the least-cost labelling."""
-    n = len(costs)
+    """The least-cost labelling.  Node i is tied to the source with max(cost, 0) and to the sink with
+    max(-cost, 0); True for nodes the source still reaches after a maximum flow.
+
+    A node whose cost exceeds the sum of its edges is settled, and its edges become costs of its
+    neighbours, which may settle them in turn; the flow runs over what is left."""
+    near: list[list[tuple[int, float]]] = [[] for _ in costs]
+    cost, tied = list(costs), [0.0] * len(costs)
+    for i, j, c in edges:
+        near[i].append((j, c))
+        near[j].append((i, c))
+        tied[i] += c
+        tied[j] += c
+    side: list[bool | None] = [None] * len(costs)
+    todo = list(range(len(costs)))
+    while todo:
+        i = todo.pop()
+        if side[i] is not None or TINY - tied[i] < cost[i] <= TINY + tied[i]:
+            continue
+        side[i] = cost[i] > 0
+        for j, c in near[i]:
+            if side[j] is None:
+                tied[j] -= c
+                cost[j] += c if side[i] else -c
+                todo.append(j)
+    place = {i: k for k, i in enumerate(i for i, s in enumerate(side) if s is None)}
+    rest = [(place[i], place[j], c) for i, j, c in edges if i in place and j in place]
+    for i, reached in zip(place, _flow_side([cost[i] for i in place], rest), strict=True):
+        side[i] = reached
+    return side
+
+
+def _flow_side(costs: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    """Maximum flow in phases: distances from all sources with supply left, then flow along steps that
+    lead one further, each step given up once per phase.  Phases are as many as distances that
+    still carry flow, which edges of bounded capacity keep few."""
     supply, drain = [max(c, 0.0) for c in costs], [max(-c, 0.0) for c in costs]
-    near: list[list[int]] = [[] for _ in range(n)]
+    near: list[list[int]] = [[] for _ in costs]
     ends, room = [], []
     for i, j, c in edges:
         near[i].append(len(ends))
         near[j].append(len(ends) + 1)
         ends += [j, i]
         room += [c, c]
-    tiny = 1e-9
     while True:
-        queue = deque(i for i in range(n) if supply[i] > tiny)
-        came = {i: -1 for i in queue}
-        target = -1
-        while queue and target < 0:
-            i = queue.popleft()
+        sources = [i for i, s in enumerate(supply) if s > TINY]
+        far = [-1] * len(costs)
+        for i in sources:
+            far[i] = 0
+        queue, wanted = list(sources), False
+        for i in queue:
+            wanted = wanted or drain[i] > TINY
             for e in near[i]:
-                j = ends[e]
-                if room[e] > tiny and j not in came:
-                    came[j] = e
-                    if drain[j] > tiny:
-                        target = j
-                        break
-                    queue.append(j)
-        if target < 0:
-            return [i in came for i in range(n)]
-        path, at = [], target
-        while came[at] >= 0:
-            path.append(came[at])
-            at = ends[came[at] ^ 1]
-        flow = min(supply[at], drain[target], *(room[e] for e in path))
-        supply[at] -= flow
-        drain[target] -= flow
-        for e in path:
-            room[e] -= flow
-            room[e ^ 1] += flow
+                if far[ends[e]] < 0 and room[e] > TINY:
+                    far[ends[e]] = far[i] + 1
+                    queue.append(ends[e])
+        if not wanted:
+            return [f >= 0 for f in far]
+        tried = [0] * len(costs)
+        for s in sources:
+            path, at = [], s
+            while supply[s] > TINY:
+                if drain[at] > TINY:
+                    flow = min(supply[s], drain[at], *(room[e] for e in path))
+                    supply[s] -= flow
+                    drain[at] -= flow
+                    for e in path:
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                    path, at = [], s
+                elif tried[at] < len(near[at]):
+                    e = near[at][tried[at]]
+                    if room[e] > TINY and far[ends[e]] == far[at] + 1:
+                        path.append(e)
+                        at = ends[e]
+                    else:
+                        tried[at] += 1
+                elif path:
+                    at = ends[path.pop() ^ 1]
+                    tried[at] += 1
+                else:
+                    break
 
 
 def main_text(page: str) -> str:
@@ -265,7 +308,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Character references are decoded, white space inside a block becomes one space, blocks
     are trimmed and joined in page order by one newline.  Null html counts as empty; a text
     without tags is one block; repeated rows give repeated rows; other columns are ignored; pages of
-    any length are read whole; an empty table gives no rows."""
+    any length are read whole, in time about linear in them; an empty table gives no rows."""
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [main_text(p) for p in batch.column("html").to_pylist()]

@@ -1,4 +1,5 @@
 import random
+import time
 from itertools import product
 
 import pytest
@@ -35,6 +36,57 @@ def test_minimum_cut_against_all_labellings():
         assert abs(total(source_side(costs, edges)) - best) < 1e-6
 
 
+def test_minimum_cut_of_a_long_chain():
+    """Against the exact dynamic program over a chain; costs too small to settle nodes by themselves."""
+    rnd = random.Random(7)
+    n = 60_000
+    costs = [rnd.choice([-0.3, 0.3, 0.025, -0.025, 0.0]) for _ in range(n)]
+    weights = [rnd.choice([0.25, 0.5, 1.25]) for _ in range(n - 1)]
+    out, into = max(costs[0], 0), max(-costs[0], 0)  # least cost so far with the last node out of or in the content
+    for c, w in zip(costs[1:], weights, strict=True):
+        out, into = min(out, into + w) + max(c, 0), min(into, out + w) + max(-c, 0)
+    start = time.perf_counter()
+    side = source_side(costs, [(i, i + 1, w) for i, w in enumerate(weights)])
+    total = sum(max(-c, 0) if s else max(c, 0) for c, s in zip(costs, side, strict=True))
+    total += sum(w for a, b, w in zip(side, side[1:], weights) if a != b)
+    assert abs(total - min(out, into)) < 1e-3
+    assert time.perf_counter() - start < 20
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p>Some short text here.</p><a href=x>link</a>" * 40_000,
+        "<div>" * 40_000 + "</section>text, more. <span>" * 40_000,
+        "<p><article>" + "<div>a b c.</p>" * 60_000,
+        "<span>" * 30_000 + "<p>x y.</p>tail text, of it" * 30_000,
+        "<div class=content><p>one. two</p>text in it<p>x</p>" * 20_000 + "</div>" * 20_000,
+    ],
+)
+def test_long_pages_take_linear_time(page):
+    start = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - start < 20
+
+
+#: (page, the article's text as its writer meant it)
+LABELLED = [
+    ("<body><div id=top-bar><a href=/>Site</a> <a href=/x>News</a></div><article><header><h1>A walk</h1></header><p>We went out early, and came back late.</p>"
+     "<p>It rained.</p></article><div class=related><h3>More</h3><a href=1>One</a></div></body>", ["A walk", "We went out early, and came back late.", "It rained."]),
+    ("<body><div class='post-body'><h2>Bread</h2><p>Mix flour and water. Wait an hour, or two.</p><blockquote>Patience is all.</blockquote>"
+     "<table><tr><td>Flour, 500 g.</td></tr></table></div><div class=comments><p>Great recipe, thank you, I made it twice.</p></div></body>",
+     ["Bread", "Mix flour and water. Wait an hour, or two.", "Patience is all.", "Flour, 500 g."]),
+    ("<body><nav><a href=a>A</a></nav><main><p>Only one sentence stands here, and that is all.</p></main><aside><p>Sponsored: buy a car, now, cheaply.</p></aside>"
+     "<footer>All rights reserved</footer></body>", ["Only one sentence stands here, and that is all."]),
+    ("<body><nav><a href=a>A</a></nav><form><label>Name</label><button>Send</button></form><footer><p>Imprint</p></footer></body>", []),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), LABELLED)
+def test_labelled_pages(page, want):
+    assert main_text(page) == "\n".join(want)
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<!--", "</p></div>", "&amp", "<script>x", "<div>" * 3000 + "deep, text.", "<p>" + "long words " * 60_000])
 def test_broken_pages(page):
     main_text(page)
