@@ -28,7 +28,7 @@ QUERY_BLOCK, CANDIDATE_BLOCK = 1_024, 16_384
 #: Candidates evaluated first, then per step.
 FIRST, STEP = 128, 1_024
 
-VECTOR = "vec_id long, vector binary, distances binary"
+VECTOR = "row long, vec_id long, vector binary, distances binary"
 
 
 def choose_pivots(vectors: np.ndarray, n: int) -> np.ndarray:
@@ -44,17 +44,17 @@ def choose_pivots(vectors: np.ndarray, n: int) -> np.ndarray:
 
 
 def quantised(embeddings: DataFrame, scale: float) -> DataFrame:
-    """(vec_id, v): integer vectors; null or not finite vectors and null ids take no part, and of rows that
-    repeat a vec_id the one with the smallest vector counts."""
+    """(row, vec_id, v): integer vectors, each with a number of its own; null or not finite vectors and null ids
+    take no part."""
     x = F.col("embedding")
     bad = lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
     usable = embeddings.select("vec_id", F.transform(x, lambda c: c.cast("double")).alias("embedding")).where(
         F.col("vec_id").isNotNull() & x.isNotNull() & ~F.exists("embedding", bad)
     )
-    return (
-        usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: F.floor(c * scale).cast("long")).alias("v"))
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
+    return usable.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.transform("embedding", lambda c: F.floor(c * scale).cast("long")).alias("v"),
     )
 
 
@@ -63,48 +63,51 @@ def with_distances(rows: DataFrame, pivots: np.ndarray, width: int) -> DataFrame
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("v").to_pylist()
-            x = np.zeros((len(lists), width))
-            for row, v in zip(x, lists, strict=True):
-                row[: len(v)] = v
+            lists = batch.column("v")
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+            whole = np.zeros((len(lists), width), np.int64)
+            whole[np.arange(width) < lengths[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+            x = whole.astype(np.float64)
             squares = (x**2).sum(axis=1)[:, None] + (pivots**2).sum(axis=1)[None, :] - 2 * x @ pivots.T
             d = np.sqrt(np.maximum(squares, 0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in d], pa.binary())],
-                ["vec_id", "vector", "distances"],
-            )
+            binary = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (whole, d)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("vec_id"), *binary], ["row", "vec_id", "vector", "distances"])
 
     return rows.mapInArrow(measure, VECTOR)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
+def _matrix(column: pd.Series, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
 
 
 def block_top(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best candidates of one block for each query of one block."""
-    c_ids, c, c_far = candidates["vec_id"].to_numpy(), _matrix(candidates["vector"]), _matrix(candidates["distances"])
-    q_ids, q, q_far = queries["vec_id"].to_numpy(), _matrix(queries["vector"]), _matrix(queries["distances"])
-    by_id = np.argsort(c_ids)
-    c_ids, c, c_far = c_ids[by_id], c[by_id], np.ascontiguousarray(c_far[by_id].T.astype(np.float32))
-    norms, q_norms = (c**2).sum(axis=1), (q**2).sum(axis=1)
-    # scores are whole numbers; this covers the rounding of single-precision bounds
-    slack = 0.01 + 1e-5 * (norms + norms.max())
-    if np.sqrt(norms.max() * q_norms.max()) < 1 << 23:  # products and their sums are whole numbers that single precision holds
-        c, q = c.astype(np.float32), q.astype(np.float32)
+    c_ids, c, c_far = candidates["vec_id"].to_numpy(), _matrix(candidates["vector"], np.int64), _matrix(candidates["distances"], np.float64)
+    q_ids, q, q_far = queries["vec_id"].to_numpy(), _matrix(queries["vector"], np.int64), _matrix(queries["distances"], np.float64)
+    by_id = np.argsort(c_ids, kind="stable")
+    c_ids, c, c_far = c_ids[by_id], c[by_id], c_far[by_id].T
+    norms, q_norms = (c.astype(np.float64) ** 2).sum(axis=1), (q.astype(np.float64) ** 2).sum(axis=1)
+    # rounding of norms, and of distances to each pivot, whose own length counts too (at most that of a vector
+    # and its distance): single precision and the square root of a cancelled sum
+    slack = 0.01 + 1e-9 * norms
+    longest = np.sqrt(max(norms.max(), q_norms.max()))
+    blur = 2e-6 * (3 * longest + np.maximum(c_far.max(axis=1, initial=0), q_far.max(axis=0, initial=0))).astype(np.float32)[:, None]
+    c_far = np.ascontiguousarray(c_far.astype(np.float32))
+    reach = np.sqrt(norms.max() * q_norms.max())  # no product or sum of some of them exceeds it
+    kind = np.float32 if reach < 1 << 23 else np.float64 if reach < 1 << 52 else np.int64
+    c, q = c.astype(kind), q.astype(kind)  # whole numbers each kind holds exactly
     apart = np.empty_like(c_far)
     out = []
     for qid, x, own, far in zip(q_ids, q, q_norms, q_far.astype(np.float32), strict=True):
         np.abs(np.subtract(c_far, far[:, None], out=apart), out=apart)
-        least = apart.max(axis=0).astype(np.float64)
-        bound = np.floor((norms + own - least**2) / 2 + slack + 1e-5 * own)
-        mine = np.searchsorted(c_ids, qid)
-        if mine < len(c_ids) and c_ids[mine] == qid:
-            bound[mine] = -np.inf
+        least = np.subtract(apart, blur, out=apart).max(axis=0).astype(np.float64)
+        bound = np.floor((norms + own - np.maximum(least, 0) ** 2) / 2 + slack + 1e-9 * own)
+        bound[np.searchsorted(c_ids, qid) : np.searchsorted(c_ids, qid, "right")] = -np.inf
         take = min(FIRST, len(c_ids))
         at = np.argpartition(-bound, take - 1)[:take]
         score = c[at] @ x
-        kth = np.partition(score[bound[at] > -np.inf], -k)[-k] if take > k else -np.inf
+        others = score[bound[at] > -np.inf]
+        kth = np.partition(others, -k)[-k] if len(others) >= k else -np.inf
         todo = bound >= kth
         todo[at] = False
         rest = np.flatnonzero(todo)
@@ -131,24 +134,25 @@ def block_top(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.Dat
 
 def top_k(embeddings: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for each row of ``embeddings`` (vec_id, embedding) whose vec_id is
-    divisible by ``every``, against all other vec_ids: the ``k`` highest inner products of the vectors
+    divisible by ``every``, against all rows of other vec_ids: the ``k`` highest inner products of the vectors
     floor(scale * x), ties to the smaller vec_id; all if there are fewer.
 
-    Null vectors, those with null or non-finite components, and null ids take no part; of rows
-    that repeat a vec_id the one with the smallest vector counts; shorter vectors count as
-    padded with zeros; other columns are ignored; an empty table gives no rows."""
+    Scores are exact as long as they fit 64 bits (beyond 2^52 they are whole-number products).  Null vectors, those
+    with null or non-finite components, and null ids take no part; rows that repeat a vec_id are
+    candidates each, and as queries share one answer, the best of all their products; shorter
+    vectors count as padded with zeros; other columns are ignored; an empty table gives no rows."""
     spark = embeddings.sparkSession
     prepare(spark)
     rows = written(quantised(embeddings, scale), "vectors")
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"), F.sum((F.col("vec_id") % every == 0).cast("int")).alias("q")).first()
     width = totals.width or 1
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()  # a bounded sample
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "row").limit(PIVOT_SAMPLE).collect()  # a bounded sample
     padded = np.zeros((len(sample), width))
     for line, r in zip(padded, sample, strict=True):
         line[: len(r.v)] = r.v
     table = written(with_distances(rows, choose_pivots(padded, PIVOTS), width), "pivot-table")
     q_blocks, c_blocks = -(-(totals.q or 0) // QUERY_BLOCK) or 1, -(-totals.n // CANDIDATE_BLOCK) or 1
-    own = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     candidates = table.withColumn("c", own(c_blocks)).withColumn("q", each(q_blocks))
     queries = table.where(F.col("vec_id") % every == 0).withColumn("q", own(q_blocks)).withColumn("c", each(c_blocks))

@@ -8,17 +8,15 @@ from quarry.llm import topk as T
 
 
 def brute(rows, k=20):
-    kept = {}
+    kept = []
     for i, v, _ in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        q = [math.floor(64 * np.float64(np.float32(x))) for x in v]
-        kept[i] = min(q, kept.get(i, q))
+        kept.append((i, [math.floor(64 * float(np.float32(x))) for x in v]))
     out = []
-    for i, q in kept.items():
-        if i % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, c, strict=False)), j) for j, c in kept.items() if j != i)
-            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
+    for i in {i for i, _ in kept if i % 20 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(q, c, strict=False)), j) for o, q in kept if o == i for j, c in kept if j != i)
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -51,3 +49,22 @@ def test_edge_rows(spark):
     assert frame(spark, rows[:1]) == []
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int")
     assert T.top_k(df.limit(0)).collect() == []
+
+
+def test_repeated_ids_take_part_each(spark):
+    rows = vectors(60, 3, 0.5)
+    rows += [(i, v, 4) for i, v, _ in vectors(60, 4, 0.5) if i % 3 == 0] + rows[:30]
+    assert frame(spark, rows) == brute(rows)
+
+
+def test_large_components_are_exact(spark):
+    rnd = random.Random(8)
+    rows = [(i, [rnd.uniform(-4e6, 4e6) for _ in range(12)], 0) for i in range(300)]
+    assert frame(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("far", [1e5, 1e6, 1e7])
+def test_outlier_pivot_leaves_no_answer_out(spark, monkeypatch, far):
+    monkeypatch.setattr(T, "CANDIDATE_BLOCK", 100)
+    rows = vectors(600, 9, 0.05) + [(9001, [far * x for x in vectors(1, 5, 1.0)[0][1]], 0)]
+    assert frame(spark, rows) == brute(rows)
