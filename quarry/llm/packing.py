@@ -12,14 +12,14 @@ import json
 import os
 import re
 import zlib
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import PieceCache, Vocabulary
+from quarry.llm.bpe import BYTE_ALPHABET, Vocabulary
 from quarry.llm.shared import map_text, rank_within, text_of, written
 
 #: The byte-level word rule for texts of ASCII and the accented letters of Latin-1 alone.
@@ -27,14 +27,36 @@ PLAIN_TEXT = re.compile("[\n -~À-ÖØ-öø-ÿ]*")
 PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\\s+(?!\\S)|\\s+")
 
 
+#: The byte alphabet by byte; 0 stands between words.
+SPELLING = np.array([0, *(ord(BYTE_ALPHABET[b]) for b in range(1, 256))], "<u4")
+
+
+class UnitNumbers(dict):
+    """Numbers units in the order they are first asked for; ``new`` are those whose ids are not there yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.given = 0
+
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = self.given
+        self.given += 1
+        self.new.append(unit)
+        return number
+
+
 class SpacedTokenizer:
     """Ids of whole texts by the ``tokenizers`` library, remembered per unit.
 
     A text of common letters is cut into the words of the vocabulary's own rule.  Any other is
     cut at spaces before visible characters: such a space begins a token whatever stands
-    before it.  The library encodes each distinct unit once.  Lives as long as the Python worker."""
+    before it.  The library encodes each distinct unit once, a word of the rule by its model alone; ids lie
+    in one array, and a text gathers its units' ids from there.  Lives as long as the Python worker and begins anew when it holds much."""
 
     CUT = re.compile(r"(?= \S)")
+    MOST_UNITS, MOST_IDS = 600_000, 8 << 20
+    GATHERED = 1 << 18  # units whose ids are gathered at a time
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -48,28 +70,68 @@ class SpacedTokenizer:
         )
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.units = PieceCache(400_000)
-
-    def _cut(self, text: str) -> list[str]:
-        if self.plain_rule and PLAIN_TEXT.fullmatch(text) and not (self.special and self.special.search(text)):
-            return PLAIN_WORDS.findall(text)
-        return self.CUT.split(text)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.units = UnitNumbers()
+        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
+        self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _is_plain(self, text: str) -> bool:
+        return bool(self.plain_rule and PLAIN_TEXT.fullmatch(text) and not (self.special and self.special.search(text)))
+
+    def _learn(self, are_words: bool) -> None:
+        """Ids of all new units, behind those known."""
+        new, self.units.new = self.units.new, []
+        if not new:
+            return
+        if are_words:
+            model = self.library.model.tokenize
+            spelled = SPELLING[np.frombuffer("\0".join(new).encode(), np.uint8)].tobytes().decode("utf-32-le").split("\0")
+            found = [[t.id for t in model(w)] for w in spelled]
+        else:
+            found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), "<u4", int(counts.sum()))
+        first = self.units.given - len(new)
+        if self.units.given > len(self.starts):
+            more = max(self.units.given, 2 * len(self.starts)) - len(self.starts)
+            self.starts, self.lengths = np.pad(self.starts, (0, more)), np.pad(self.lengths, (0, more))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.pad(self.ids[: self.used], (0, max(len(ids), self.used)))
+        self.starts[first : first + len(new)] = self.used + np.cumsum(counts) - counts
+        self.lengths[first : first + len(new)] = counts
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        for u in new:
+            if len(u) > 512:  # one long unit is not worth keeping
+                del self.units[u]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self._cut(t) for t in texts]
-        wanted = set().union(*cut)
-        self.units.make_room(len(wanted))
-        young, old = self.units, self.units.old
-        new = [u for u in wanted if u not in young and u not in old]
-        encoded = self.library.encode_batch_fast(new, add_special_tokens=False)
-        young.update(zip(new, [array("I", e.ids).tobytes() for e in encoded], strict=True))
-        unit = young.__getitem__
-        out = [b"".join(map(unit, units)) for units in cut]
-        for u in new:
-            if len(u) > 512:  # one long unit is not worth keeping
-                del young[u]
-        return out
+        if self.units.given > self.MOST_UNITS or self.used > self.MOST_IDS:
+            self._begin()
+        plain = [self._is_plain(t) for t in texts]
+        order, sizes, numbers = [], [], []
+        for kind, cut in ((True, PLAIN_WORDS.findall), (False, self.CUT.split)):
+            of_kind = [i for i, p in enumerate(plain) if p == kind]
+            units = [cut(texts[i]) for i in of_kind]
+            order += of_kind
+            sizes += map(len, units)
+            numbers.append(np.fromiter(map(self.units.__getitem__, chain.from_iterable(units)), np.int64, sum(map(len, units))))
+            del units
+            self._learn(kind)
+        numbers = np.concatenate(numbers)
+        parts = []
+        for begin in range(0, len(numbers), self.GATHERED):
+            some = numbers[begin : begin + self.GATHERED]
+            counts = self.lengths[some]
+            ends = np.cumsum(counts)
+            parts.append(self.ids[np.arange(ends[-1]) + np.repeat(self.starts[some] - ends + counts, counts)])
+        ids = np.concatenate(parts) if parts else self.ids[:0]
+        edges = np.append(0, np.cumsum(self.lengths[numbers]))[np.append(0, np.cumsum(sizes, dtype=np.int64))].tolist()
+        found = dict(zip(order, zip(edges, edges[1:], strict=False), strict=True))
+        return [ids[slice(*found[i])].tobytes() for i in range(len(texts))]
 
 
 def pieces(docs: DataFrame, vocabulary_path: str, capacity: int, end_id: int) -> DataFrame:
