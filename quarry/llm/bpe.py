@@ -128,12 +128,12 @@ class WordBpe(Merges):
         self.special = {t.content: i for i, t in added.items()}
         self._split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.strings = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
-        self._plain_rule = WORD_RULE in spec and all("<|" in t for t in self.special)
+        self.plain_rule = WORD_RULE in spec and all("<|" in t for t in self.special)
         self._normalize, self._pre = library.normalizer, library.pre_tokenizer
 
     def words(self, piece: bytes) -> list[int | str]:
         text = piece.decode("utf-8", "replace")
-        if self._plain_rule and SIMPLE.fullmatch(text) and "<|" not in text:
+        if self.plain_rule and SIMPLE.fullmatch(text) and "<|" not in text:
             return SIMPLE_WORDS.findall(text.lower()) if text.isascii() else [w.translate(LATIN_BYTES) for w in SIMPLE_WORDS.findall(text.lower())]
         out: list[int | str] = []
         for part in self._split.split(text) if self._split else [text]:

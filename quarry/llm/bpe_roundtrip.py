@@ -2,12 +2,14 @@
 
 Greedy longest match proposes the tokens of every new word of a slice.  A sequence of tokens is
 the exact encoding if every adjacent pair of it is compatible, so the distinct pairs are
-looked up as one sorted array, and only words with a failing pair are merged exactly.
+looked up as one sorted array, and only words with a failing pair are merged exactly, those of
+like length together: every round merges one pair in each of them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
 
 import numpy as np
@@ -15,10 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import PieceCache, Vocabulary, WordBpe
+from quarry.llm.bpe import BYTE_ALPHABET, SIMPLE, SIMPLE_WORDS, PieceCache, Vocabulary, WordBpe
 from quarry.llm.shared import map_text, text_of
 
 
+NO_MERGE = 1 << 40
+#: The words of simple pieces, one a line.
+LINE_WORDS = re.compile("\n|" + SIMPLE_WORDS.pattern.replace("[^", "[^\n"))
+#: Longer words are merged each for itself, by a heap.
+MOST_SYMBOLS = 48
+
+
 class Speculator:
     """Encodes slices of texts; lives as long as the Python worker."""
 
@@ -26,8 +35,24 @@ class Speculator:
         self.bpe = WordBpe(spec)
         if self.bpe.strings.keys() - range(1 << 21):
             raise ValueError("ids below 2**21 are expected")
-        tokens = self.bpe.ids
-        self.starts = {t[:k] for t in tokens for k in range(1, len(t) + 1)}
+        #: beginnings of tokens as nested dictionaries; under "" the token that ends there
+        self.starts: dict = {}
+        for token, i in self.bpe.ids.items():
+            at = self.starts
+            for c in token:
+                at = at.setdefault(c, {})
+            at[""] = i
+        ids = self.bpe.ids
+        made = [(ids[a] << 21 | ids[b], rank, ids[a + b]) for (a, b), rank in self.bpe.ranks.items()]
+        #: mergeable pairs as sorted keys, with their ranks and results
+        self.merge_keys, self.merge_ranks, self.merge_made = np.array(sorted(made), np.int64).reshape(-1, 3).T.copy()
+        #: ids of the symbols by code point, inside a word and at its end (-1: none)
+        widest = max(map(ord, BYTE_ALPHABET.values()))
+        self.inner_symbols, self.last_symbols = (
+            np.array([ids.get(chr(c) + end, -1) for c in range(widest + 1)], np.int64) for end in ("", self.bpe.end)
+        )
+        #: the byte alphabet by byte; 0 stands between words
+        self.spelling = np.array([0, *(ord(BYTE_ALPHABET[b]) for b in range(1, 256))], "<u4")
         #: verified pairs as sorted keys, and whether each is compatible
         self.pair_keys, self.pair_fits = np.empty(0, np.int64), np.empty(0, bool)
         self.whole: dict[int, bool] = {}
@@ -38,15 +63,18 @@ class Speculator:
     def propose(self, word: str) -> list[int]:
         """Greedy longest match; the last token carries the word end."""
         ids, starts, out, at, n = self.bpe.ids, self.starts, [], 0, len(word)
-        last = word + self.bpe.end
+        end = word + self.bpe.end
         while at < n:
-            token, stop, reach = None, at, at + 1
-            while reach <= n and word[at:reach] in starts:
-                if reach < n and (found := ids.get(word[at:reach])) is not None:
-                    token, stop = found, reach
-                reach += 1
-            if reach > n and (found := ids.get(last[at:])) is not None:
-                token, stop = found, n
+            token, stop, here = None, at, starts
+            for reach in range(at, n):
+                here = here.get(word[reach])
+                if here is None:
+                    break
+                if reach + 1 < n and "" in here:
+                    token, stop = here[""], reach + 1
+            else:
+                if (found := ids.get(end[at:])) is not None:
+                    token, stop = found, n
             if token is None:
                 raise ValueError(f"{word[at]!r} is not in the vocabulary")
             out.append(token)
@@ -84,6 +112,57 @@ class Speculator:
             known = self.whole[token] = self.bpe.merge(self.bpe.split_token(s)) == [s]
         return known
 
+    def _merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and result of merging neighbours; pairs that do not merge (-1 stands for no symbol) rank last."""
+        keys = left << 21 | right
+        at = np.minimum(np.searchsorted(self.merge_keys, keys), len(self.merge_keys) - 1)
+        found = (self.merge_keys[at] == keys) & (left >= 0) & (right >= 0)
+        return np.where(found, self.merge_ranks[at], NO_MERGE), self.merge_made[at]
+
+    def merge_exactly(self, words: list[str]) -> list[list[int]]:
+        """The exact encoding: the pair of lowest rank first, the leftmost of equals; in each round one merge in every
+        word.  Words of more than ``MOST_SYMBOLS`` are merged one by one."""
+        out: list[list[int]] = [[] for _ in words]
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(lengths) - lengths
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        for i in np.flatnonzero(lengths > MOST_SYMBOLS).tolist():
+            out[i] = [self.bpe.ids[t] for t in self.bpe.merge(self.bpe.symbols(words[i]))]
+        for width in np.unique(lengths[lengths <= MOST_SYMBOLS]).tolist():
+            at = np.flatnonzero(lengths == width)
+            spelled = codes[starts[at][:, None] + np.arange(width)]
+            symbols = self.inner_symbols[spelled]
+            symbols[:, -1] = self.last_symbols[spelled[:, -1]]
+            if width > 1:
+                ranks, made = self._merges(symbols[:, :-1], symbols[:, 1:])
+            while width > 1:
+                best = ranks.argmin(axis=1)
+                rows = np.arange(len(at))
+                done = ranks[rows, best] == NO_MERGE
+                if done.any():
+                    for i, line in zip(at[done].tolist(), symbols[done].tolist(), strict=True):
+                        out[i] = line
+                    at, symbols, ranks, made, best = at[~done], symbols[~done], ranks[~done], made[~done], best[~done]
+                    rows = rows[: len(at)]
+                if not len(at):
+                    break
+                # each word loses the right one of the merged symbols, and the pair that was merged
+                symbols[rows, best] = made[rows, best]
+                keep = np.ones(symbols.shape, bool)
+                keep[rows, best + 1] = False
+                symbols = symbols[keep].reshape(len(at), width - 1)
+                keep = np.ones(ranks.shape, bool)
+                keep[rows, best] = False
+                ranks, made = ranks[keep].reshape(len(at), width - 2), made[keep].reshape(len(at), width - 2)
+                width -= 1
+                for pair in (best - 1, best):  # the merged symbol with its neighbours
+                    some = (pair >= 0) & (pair < width - 1)
+                    r, p = rows[some], pair[some]
+                    ranks[r, p], made[r, p] = self._merges(symbols[r, p], symbols[r, p + 1])
+            for i, line in zip(at.tolist(), symbols.tolist(), strict=True):
+                out[i] = line
+        return out
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         proposals = [self.propose(w) for w in words]
         lengths = np.fromiter(map(len, proposals), np.int64, len(words))
@@ -96,15 +175,34 @@ class Speculator:
             fits[owner[1:][inner][~self._fits(keys)]] = False
         for i in np.flatnonzero(lengths == 1).tolist():
             fits[i] = self._is_whole(proposals[i][0])
-        for i in np.flatnonzero(~fits).tolist():
-            proposals[i] = [self.bpe.ids[t] for t in self.bpe.merge(self.bpe.symbols(words[i]))]
+        failing = np.flatnonzero(~fits).tolist()
+        for i, ids in zip(failing, self.merge_exactly([words[i] for i in failing]), strict=True):
+            proposals[i] = ids
         self.proposed_words += len(words)
         self.exact_words += int((~fits).sum())
         return proposals
 
+    def split(self, pieces: list[bytes]) -> list[list[int | str]]:
+        """The words of each piece.  Pieces of common letters are cut as lines of one text."""
+        out: list[list[int | str]] = [[]] * len(pieces)
+        simple, lines = [], []
+        for i, p in enumerate(pieces):
+            text = p.decode("utf-8", "replace")
+            if self.bpe.plain_rule and SIMPLE.fullmatch(text) and "<|" not in text:
+                simple.append(i)
+                lines.append(text)
+            else:
+                out[i] = self.bpe.words(p)
+        words = LINE_WORDS.findall("\n".join(lines).lower())
+        spelled = self.spelling[np.frombuffer("\0".join(words).encode(), np.uint8)].tobytes().decode("utf-32-le").split("\0")
+        ends = [k for k, w in enumerate(words) if w == "\n"]
+        for i, a, b in zip(simple, [-1, *ends], [*ends, len(words)], strict=False):
+            out[i] = spelled[a + 1 : b]
+        return out
+
     def learn(self, pieces: list[bytes]) -> None:
         """Keeps (ids as little-endian 32-bit integers, their strings joined by a space, count) of pieces."""
-        split = [self.bpe.words(p) for p in pieces]
+        split = self.split(pieces)
         words = {w for ws in split for w in ws if isinstance(w, str)}
         self.words.make_room(len(words))
         new = [w for w in words if not self.words.knows(w)]
@@ -115,6 +213,10 @@ class Speculator:
             if len(ws) == 1 and isinstance(ws[0], str):
                 self.pieces[p] = known[ws[0]]
                 continue
+            if len(ws) == 2 and isinstance(ws[0], str) and isinstance(ws[1], str):  # a word and a mark
+                (a, x, n), (b, y, m) = known[ws[0]], known[ws[1]]
+                self.pieces[p] = (a + b, x + b" " + y, n + m)
+                continue
             own = [known[w] if isinstance(w, str) else (array("I", [w]).tobytes(), strings[w].encode(), 1) for w in ws]
             self.pieces[p] = (b"".join([e[0] for e in own]), b" ".join([e[1] for e in own]), sum([e[2] for e in own]))
         for w in new:
