@@ -63,6 +63,33 @@ def test_large_components_are_exact(spark):
     assert frame(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("spread", [0.01, 1.0])
+def test_queries_travel_only_where_bounds_allow(spark, monkeypatch, spread):
+    monkeypatch.setattr(T, "CANDIDATE_BLOCK", 40)
+    monkeypatch.setattr(T, "MOST_CELLS", 9)  # cells of several blocks
+    monkeypatch.setattr(T, "QUERY_BLOCK", 5)  # a block meets its queries in several parts
+    sent, places = [], []
+    whole = T.sent_out
+
+    def counted(home, bounds, parts, places_only):
+        rows = whole(home, bounds, parts, places_only)
+        if places_only:
+            places.append((int(bounds.blocks.sum()), home.count()))
+        else:
+            sent.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(T, "sent_out", counted)
+    rows = vectors(600, 11, spread)
+    assert frame(spark, rows, k=5) == brute(rows, 5)
+    (blocks, queries), letters = places[0], sent[0]
+    assert queries == 30 and blocks >= 15
+    if spread < 0.1:  # clusters far apart: most blocks are never visited
+        assert letters < 0.6 * queries * (blocks - 1)
+    else:
+        assert letters <= queries * (blocks - 1)
+
+
 @pytest.mark.parametrize("far", [1e5, 1e6, 1e7])
 def test_outlier_pivot_leaves_no_answer_out(spark, monkeypatch, far):
     monkeypatch.setattr(T, "CANDIDATE_BLOCK", 100)
