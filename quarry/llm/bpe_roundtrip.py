@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,7 @@ class Speculator:
         self.whole: dict[int, bool] = {}
         self.pieces, self.words = PieceCache(), PieceCache()
         self.most_pairs = 1_000_000
+        self.empty_pieces = False
         self.exact_words = self.proposed_words = 0
 
     def propose(self, word: str) -> list[int]:
@@ -203,12 +205,16 @@ class Speculator:
     def learn(self, pieces: list[bytes]) -> None:
         """Keeps (ids as little-endian 32-bit integers, their strings joined by a space, count) of pieces."""
         split = self.split(pieces)
-        words = {w for ws in split for w in ws if isinstance(w, str)}
+        words = {w for w in set().union(*split) if isinstance(w, str)}
         self.words.make_room(len(words))
-        new = [w for w in words if not self.words.knows(w)]
+        new = list(words.difference(self.words, self.words.old))
         strings, known = self.bpe.strings, self.words
-        for w, ids in zip(new, self.encode_words(new), strict=True):
-            known[w] = (array("I", ids).tobytes(), " ".join([strings[i] for i in ids]).encode(), len(ids))
+        encoded = self.encode_words(new)
+        flat, at = array("I", chain.from_iterable(encoded)).tobytes(), 0
+        for w, ids in zip(new, encoded, strict=True):
+            n = len(ids)
+            known[w] = (flat[at : at + 4 * n], " ".join([strings[i] for i in ids]).encode(), n)
+            at += 4 * n
         for p, ws in zip(pieces, split, strict=True):
             if len(ws) == 1 and isinstance(ws[0], str):
                 self.pieces[p] = known[ws[0]]
@@ -217,6 +223,7 @@ class Speculator:
                 (a, x, n), (b, y, m) = known[ws[0]], known[ws[1]]
                 self.pieces[p] = (a + b, x + b" " + y, n + m)
                 continue
+            self.empty_pieces = self.empty_pieces or not ws
             own = [known[w] if isinstance(w, str) else (array("I", [w]).tobytes(), strings[w].encode(), 1) for w in ws]
             self.pieces[p] = (b"".join([e[0] for e in own]), b" ".join([e[1] for e in own]), sum([e[2] for e in own]))
         for w in new:
@@ -226,12 +233,15 @@ class Speculator:
     def encode(self, texts: list[bytes]) -> list[list[tuple]]:
         """For each text, the entries of its pieces in order."""
         split = [t.split() for t in texts]
-        wanted = {p for ps in split for p in ps}
+        wanted = set().union(*split)
         self.pieces.make_room(len(wanted))
-        new = [p for p in wanted if not self.pieces.knows(p)]
+        new = list(wanted.difference(self.pieces, self.pieces.old))
         self.learn(new)
         entry = self.pieces.__getitem__
-        out = [[e for e in map(entry, ps) if e[2]] for ps in split]
+        if self.empty_pieces:  # pieces that the normaliser leaves nothing of
+            out = [[e for e in map(entry, ps) if e[2]] for ps in split]
+        else:
+            out = [list(map(entry, ps)) for ps in split]
         for p in new:
             if len(p) > 512:
                 del self.pieces[p]
