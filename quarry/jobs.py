@@ -262,8 +262,12 @@ def write_thumbnails(spark: SparkSession, layout: Layout, meta: DataFrame) -> in
 
 
 def missing_thumbnails(meta: DataFrame, thumbnails: DataFrame) -> DataFrame:
-    """Images whose metadata names a thumbnail that has no row in the thumbnail table."""
-    return meta.where("thumbnail_key is not null").join(thumbnails.select("thumbnail_key"), "thumbnail_key", "left_anti")
+    """(bronze_key, thumbnail_key, reason) of images whose metadata names a thumbnail that the thumbnail table has
+    no picture of."""
+    stored = thumbnails.select("bronze_key", F.col("content").isNotNull().alias("made"), F.col("error").alias("reason"))
+    named = meta.where(F.col("thumbnail_key").isNotNull()).select("bronze_key", "thumbnail_key")
+    lacking = named.join(stored, "bronze_key", "left").where(~F.coalesce("made", F.lit(False)))
+    return lacking.select("bronze_key", "thumbnail_key", F.coalesce("reason", F.lit("no row")).alias("reason"))
 
 
 def silver_build(spark: SparkSession, layout: Layout, ingest_date: str | None = None, buckets: int = tbl.MERGE_BUCKETS) -> dict[str, int]:

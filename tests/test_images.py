@@ -147,3 +147,35 @@ def test_thumbnails_from_image_source(spark, tmp_path):
 def test_resize_area_average():
     img = np.arange(16, dtype=np.uint8).reshape(4, 4)
     assert I.resize_area(img, 2, 2).tolist() == [[2, 4], [10, 12]]
+
+
+def test_missing_thumbnails_with_reasons(spark, tmp_path):
+    from quarry import jobs
+
+    whole = png(40, 30, ctype=2)
+    body = whole.index(b"IDAT") + 4
+    files = {
+        "good.PNG": whole,
+        "after-the-end.png": whole + bytes(32),
+        "broken-body.png": whole[:body] + bytes(8) + whole[body + 8 :],
+        "four-inks.JPG": jpeg(16, 16, comps=4) + b"\xff\xd9",
+        "cut.png": whole[:-20],
+    }
+    prefix = "partner=acme/dataset=d/ingest_date=2024-06-01/"
+    layout = jobs.Layout(str(tmp_path))
+    folder = tmp_path / "bronze" / prefix
+    folder.mkdir(parents=True)
+    for name, content in files.items():
+        (folder / name).write_bytes(content)
+    df = spark.createDataFrame([(prefix + n, bytearray(c)) for n, c in files.items()], "bronze_key string, content binary")
+    meta = I.image_metadata(df, "acme", "d", "2024-06-01")
+    assert meta.where("thumbnail_key is null").count() == 1  # the one cut short
+    assert jobs.write_thumbnails(spark, layout, meta) == 4
+    stored = spark.read.parquet(layout.thumbnails)
+
+    def lacking(thumbnails):
+        return {r.bronze_key[len(prefix) :]: r.reason for r in jobs.missing_thumbnails(meta, thumbnails).collect()}
+
+    refused = dict.fromkeys(["broken-body.png", "four-inks.JPG"], "not decodable by the image source")
+    assert lacking(stored) == refused
+    assert lacking(stored.where("bronze_key not like '%good%'")) == refused | {"good.PNG": "no row"}
