@@ -39,6 +39,13 @@ IMAGE_GLOB = "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in x[1:]
 DEFAULT_CONTENT_TYPE = "application/octet-stream"
 LOOSE_DATASET = "loose"
 MANIFEST_NAME = "manifest.json"  # a leading "_" would hide it from every Spark file source
+
+
+def manifest_glob(root: str) -> str:
+    """The path pattern of the manifest documents of all drop folders below ``root``."""
+    plain = re.sub(r"([\\\[\]{}*?])", r"\\\1", root.rstrip("/"))
+    return f"{plain}/partner=*/dataset=*/ingest_date=*/{MANIFEST_NAME}"
+
 ERROR_MAX_CHARS = 500
 LEDGER_ERROR_MAX_CHARS = 1000
 # ---------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ that setting (local runs, tests) do we create one of our own.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -77,6 +78,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value):
+    """The session's setting ``key`` while the block runs; a query planned or a stream started in it keeps the value."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def listing_by_the_core(spark: SparkSession):
+    """While it holds, a list of many paths is looked up by some tasks per core.  Spark's own choice is a task per path,
+    up to 10,000, and each sends the driver more about itself than about its file."""
+    return setting(spark, _LISTING_TASKS, 8 * spark.sparkContext.defaultParallelism)
+
+
+def listing_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` that always lists by the core: a stream's source lists files for as long
+    as the stream runs, under the session it was made in."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(_LISTING_TASKS, str(8 * spark.sparkContext.defaultParallelism))
+    return own
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with its file system's scheme, as Spark resolves it: Python code on the executors then opens the same
     place (a path without scheme would be the executor's own disk there)."""

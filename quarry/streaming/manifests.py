@@ -22,7 +22,7 @@ from quarry import schemas as S
 from quarry.functions import keys as K
 from quarry.operators import landing
 from quarry.operators import tables as tbl
-from quarry.session import scratch_path
+from quarry.session import listing_session, scratch_path
 from quarry.streaming.ledger import LEDGER_TABLE, PARTITION, quarantine_path, unseen
 
 FILE = S.struct(("key", S.S), ("size_bytes", S.L), ("crc32", S.L), ("content_type", S.S))
@@ -79,19 +79,19 @@ def run_batch(spark: SparkSession, layout: jobs.Layout, documents: DataFrame, ba
 
 
 def document_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The manifest documents below ``root`` as a stream, a row each, with the path; a file that is no JSON
-    comes as it is in the column ``landing.CORRUPT``."""
+    """The manifest documents of the drop folders of ``root`` as a stream, a row each, with the path; a file that is no
+    JSON comes as it is in the column ``landing.CORRUPT``.  Documents are found by their place
+    (``keys.manifest_glob``), so the drops' own objects are never listed and the driver gets documents alone."""
     reader = (
         spark.readStream.schema(DOCUMENT)
         .option("multiLine", True)
         .option("columnNameOfCorruptRecord", landing.CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", K.MANIFEST_NAME)
+        .option("recursiveFileLookup", True)  # no columns from the folder names
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return reader.json(root).withColumn("path", path)
+    return reader.json(K.manifest_glob(root)).withColumn("path", path)
 
 
 def start_silver_stream(
@@ -102,7 +102,7 @@ def start_silver_stream(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Silver work for every manifest document below ``layout.bronze``, ``max_files_per_trigger`` documents at a time."""
-    stream = document_stream(spark, layout.bronze, max_files_per_trigger)
+    stream = document_stream(listing_session(spark), layout.bronze, max_files_per_trigger)
     writer = stream.writeStream.foreachBatch(lambda df, bid: run_batch(spark, layout, df, bid)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
