@@ -281,11 +281,11 @@ def silver_build(spark: SparkSession, layout: Layout, ingest_date: str | None =
             continue  # no staging data for this table
         target = layout.silver(table)
         if not tbl.path_exists(spark, target):
-            tbl.create(spark, staged, target, parts, table, merge_key, buckets)
+            tbl.create(spark, staged, target, parts, table, merge_key, buckets, laid_out=True)
         elif merge_key:
             tbl.upsert_into(spark, staged, target, merge_key, parts, table, schema)
         else:
-            tbl.overwrite_partitions(spark, staged, target, parts, table)
+            tbl.overwrite_partitions(spark, staged, target, parts, table, laid_out=True)
         counts[table] = tbl.table_rows(spark, target)
     return counts
 
@@ -324,13 +324,9 @@ def gold_build(
     def silver(t):
         return tbl.read_table(spark, layout.silver(t), S.SILVER_TABLES[t][2])
 
-    # both products read the same annotation slice: scan it once (needed columns only) and
-    # keep it across the two writes
-    ann = (
-        gold.scan_slice(silver("coco_annotations"), partner, annotations_dataset, ingest_date, split)
-        .select(*gold.CATEGORY_KEY, "image_id", "area", "iscrowd")
-        .persist()
-    )
+    # both products scan the annotation slice: each reads its own few columns, which costs less than
+    # building a cache of the slice
+    ann = gold.scan_slice(silver("coco_annotations"), partner, annotations_dataset, ingest_date, split)
     cat = gold.scan_slice(silver("coco_categories"), partner, annotations_dataset, ingest_date, split)
     img = gold.scan_slice(silver("coco_images"), partner, annotations_dataset, ingest_date, split)
     meta = gold.scan_slice(silver("image_metadata"), partner, images_dataset, ingest_date)
@@ -341,5 +337,4 @@ def gold_build(
     out["ml_manifest"] = write(
         spark, gold.ml_manifest(img, meta, ann, cat), layout.gold("ml_manifest"), S.DROP_PARTITION, "ml_manifest"
     )
-    ann.unpersist()
     return out

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import scratch_path
+from quarry.session import scratch_path, setting
 
 VERSION_LOG = T.StructType(
     [
@@ -65,6 +65,14 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+#: Partitions that a writing task keeps open at once; only rows of tasks that meet more are sorted by partition first.
+OPEN_FILES = 4
+
+
+def _unsorted(spark: SparkSession):
+    return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES)
+
+
 def _layout(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     """Few files per partition: AQE's rebalance groups rows by partition and splits a hot
     partition over several tasks instead of one."""
@@ -177,11 +185,13 @@ def _is_missing_path(e: AnalysisException) -> bool:
     return (cond() if cond else None) == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(e)
 
 
-def stage(df: DataFrame, path: str, partition_cols: list[str]) -> int:
+def stage(df: DataFrame, path: str, partition_cols: list[str], laid_out: bool = False) -> int:
     """Write staged rows under Hive partition folders; re-running a drop replaces exactly
-    its partitions (dynamic overwrite).  Returns the number of rows written."""
-    df, obs = _observed(_layout(df, partition_cols))
-    _dyn_writer(df, partition_cols).save(path)
+    its partitions (dynamic overwrite).  Returns the number of rows written.  ``laid_out``: ``df`` is read from a table
+    of the same partitions, so its few files per partition stay few without a shuffle."""
+    df, obs = _observed(df if laid_out else _layout(df, partition_cols))
+    with _unsorted(df.sparkSession):
+        _dyn_writer(df, partition_cols).save(path)
     return int(obs.get["rows"])
 
 
@@ -237,13 +247,15 @@ def check_merge_duplicates(target: DataFrame, staged: DataFrame, key: str) -> No
 # ---------------------------------------------------------------------------------------
 # path tables
 def create(
-    spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str, key: str | None = None, buckets: int = MERGE_BUCKETS
+    spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str, key: str | None = None, buckets: int = MERGE_BUCKETS,
+    laid_out: bool = False,
 ) -> int:
     """Create a table from a DataFrame (fails if it exists); no dedup of the first load.  With a merge
-    ``key`` its files are bucketed by it, and a note beside the table says so."""
+    ``key`` its files are bucketed by it, and a note beside the table says so.  ``laid_out``: as in ``stage``."""
     if key is None:
-        df, obs = _observed(_layout(df, partition_cols))
-        df.write.mode("errorifexists").partitionBy(*partition_cols).parquet(path)
+        df, obs = _observed(df if laid_out else _layout(df, partition_cols))
+        with _unsorted(spark):
+            df.write.mode("errorifexists").partitionBy(*partition_cols).parquet(path)
     else:
         if path_exists(spark, path):
             raise ValueError(f"{path} exists")
@@ -298,11 +310,13 @@ def bucketed(spark: SparkSession, path: str, key: str) -> str | None:
     return name
 
 
-def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str) -> int:
-    """Replace exactly the partitions present in ``df``; others are untouched."""
+def overwrite_partitions(
+    spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str, laid_out: bool = False
+) -> int:
+    """Replace exactly the partitions present in ``df``; others are untouched.  ``laid_out``: as in ``stage``."""
     old = read_table(spark, path)
     replaced = in_partitions(old, partition_cols, df.select(*partition_cols).distinct()).count() if old is not None else 0
-    rows = stage(df, path, partition_cols)
+    rows = stage(df, path, partition_cols, laid_out)
     log_version(spark, path, table_name, "overwrite_partitions", rows, replaced)
     return rows
 
@@ -310,7 +324,8 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
 def replace(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], table_name: str) -> int:
     """Create or replace the whole table (gold semantics: other partners' rows go too)."""
     df, obs = _observed(_layout(df, partition_cols))
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(path)
+    with _unsorted(spark):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(path)
     rows = int(obs.get["rows"])
     log_version(spark, path, table_name, "replace", rows)
     return rows
