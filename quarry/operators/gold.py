@@ -27,8 +27,9 @@ from quarry import schemas as S
 from quarry.functions.keys import date_lit
 from quarry.schemas import SLICE_PARTITION
 
-CATEGORY_KEY = SLICE_PARTITION + ["category_id"]
-IMAGE_KEY = SLICE_PARTITION + ["image_id"]
+# the id first: sorts compare by the first key, and the slice columns are the same in most rows
+CATEGORY_KEY = ["category_id", *SLICE_PARTITION]
+IMAGE_KEY = ["image_id", *SLICE_PARTITION]
 
 
 def scan_slice(
@@ -75,12 +76,11 @@ def scan_slices(df: DataFrame, slices: DataFrame, dataset: str = "annotations_da
     return df.join(wanted, reduce(lambda x, y: x & y, same), "left_semi")
 
 
-def _labelled(ann: DataFrame, cat: DataFrame, area_type: str = "double") -> DataFrame:
-    """Annotations joined to their category rows (inner join on slice + category_id).  A
+def _labelled(ann: DataFrame, cat: DataFrame) -> DataFrame:
+    """Image and name of each annotation whose category is known (inner join on slice + category_id).  A
     plain join: the category side is broadcast when its measured bytes allow it, and
     otherwise adaptive execution splits a hot category."""
-    a = ann.select(*CATEGORY_KEY, "image_id", F.col("area").cast(area_type).alias("area"), "iscrowd")
-    return a.join(cat.select(*CATEGORY_KEY, "name", "supercategory"), CATEGORY_KEY, "inner")
+    return ann.select(*CATEGORY_KEY, "image_id").join(cat.select(*CATEGORY_KEY, "name"), CATEGORY_KEY, "inner")
 
 
 def category_stats(
@@ -110,17 +110,26 @@ STATS_COLUMNS = [f.name for f in S.CATEGORY_STATS.fields]
 
 
 def _stats(ann: DataFrame, cat: DataFrame, area_scale: int | None) -> DataFrame:
+    """Annotations are tallied by image and category, then by category, and only the tallies meet the category rows:
+    every annotation of a category meets the same ones, and equal rows multiply its counts."""
     area_type = "double" if area_scale is None else f"decimal(38,{area_scale})"
-    j = _labelled(ann, cat, area_type)
-    return (
-        j.groupBy(*CATEGORY_KEY, "name", "supercategory")
-        .agg(
-            F.count(F.lit(1)).alias("n_annotations"),
-            F.count_distinct("image_id").alias("n_images"),
-            (F.sum("area").cast("double") / F.count("area")).alias("avg_area"),
-            F.sum("iscrowd").cast("long").alias("crowd_annotations"),
-        )
-        .withColumnRenamed("name", "category")
+    area = F.col("area").cast(area_type)
+    on_image = ann.groupBy("image_id", *CATEGORY_KEY).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(area).alias("covered"), F.count(area).alias("sized"), F.sum("iscrowd").alias("crowds")
+    )
+    totals = on_image.groupBy(*CATEGORY_KEY).agg(
+        F.sum("n").alias("n"), F.count("image_id").alias("n_images"),
+        *(F.sum(c).alias(c) for c in ("covered", "sized", "crowds")),
+    )
+    named = cat.groupBy(*CATEGORY_KEY, "name", "supercategory").agg(F.count(F.lit(1)).alias("times"))
+    return totals.join(named, CATEGORY_KEY, "inner").select(
+        *CATEGORY_KEY,
+        F.col("name").alias("category"),
+        "supercategory",
+        (F.col("n") * F.col("times")).alias("n_annotations"),
+        "n_images",
+        (F.col("covered").cast("double") / F.col("sized")).alias("avg_area"),
+        (F.col("crowds") * F.col("times")).cast("long").alias("crowd_annotations"),
     )
 
 
@@ -137,7 +146,8 @@ def per_image_labels(ann: DataFrame, cat: DataFrame) -> DataFrame:
         j.groupBy(*IMAGE_KEY)
         .agg(F.count(F.lit(1)).alias("n_annotations"), names.alias("_names"))
         .select(
-            *IMAGE_KEY,
+            *SLICE_PARTITION,
+            "image_id",
             "n_annotations",
             F.size("_names").cast("long").alias("n_categories"),
             F.concat_ws(",", F.sort_array("_names")).alias("categories"),
@@ -157,14 +167,14 @@ def ml_manifest(img: DataFrame, meta: DataFrame, ann: DataFrame, cat: DataFrame)
     the label summary is a left join with 0 / 0 / '' defaults.
     """
     images = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
-    return _manifest(images, _stored(meta), ["partner", "ingest_date", "file_name"], ann, cat)
+    return _manifest(images, _stored(meta), ["file_name", "partner", "ingest_date"], ann, cat)
 
 
 def ml_manifest_of(img: DataFrame, meta: DataFrame, ann: DataFrame, cat: DataFrame, slices: DataFrame) -> DataFrame:
     """``ml_manifest`` of many slices at once: images meet the metadata of their own slice's images dataset."""
     images = img.select(*SLICE_PARTITION, "image_id", "file_name", "width", "height")
     of = slices.select("partner", F.col("annotations_dataset").alias("dataset"), "ingest_date", "split", F.col("images_dataset").alias("stored_dataset"))
-    return _manifest(images.join(of, SLICE_PARTITION), _stored(meta), ["partner", "stored_dataset", "ingest_date", "file_name"], ann, cat)
+    return _manifest(images.join(of, SLICE_PARTITION), _stored(meta), ["file_name", "partner", "stored_dataset", "ingest_date"], ann, cat)
 
 
 def _stored(meta: DataFrame) -> DataFrame:
