@@ -31,7 +31,7 @@ from quarry.operators import bronze, drop_state, gold, landing
 from quarry.operators import images as I
 from quarry.operators import manifest as M
 from quarry.operators import tables as tbl
-from quarry.operators.joins import work_of
+from quarry.operators.joins import spread, work_of
 from quarry.session import scratch_path
 from quarry.streaming import ledger as ledger_stream
 
@@ -47,6 +47,7 @@ MANIFEST_FILES = S.struct(
     ("dataset", S.S),
     ("ingest_date", S.DT),
 )
+FILE_ROWS = 1 << 20  # rows of a drop that one file of the manifests table holds
 STATUS_EVENTS = S.struct(
     ("drop_id", S.S),
     ("status", S.S),
@@ -185,7 +186,9 @@ def bronze_job(spark: SparkSession, layout: Layout, drops: DataFrame) -> None:
         placed.select("upath", "bronze_prefix", "pos", "key", "size_bytes", "crc32"), ["upath", "bronze_prefix"], "left"
     )
     named = named.withColumn("source", F.col("upath")).withColumn("content_type", K.content_type("key"))
-    tbl.stage(named.where("key is not null").select(*MANIFEST_FILES.fieldNames()), layout.manifests, S.DROP_PARTITION)
+    # the work here is a file per drop, not the few bytes of its rows
+    files = spread(named.where("key is not null").select(*MANIFEST_FILES.fieldNames(), (F.col("pos") / FILE_ROWS).cast("long").alias("_part")), [*S.DROP_PARTITION, "_part"])
+    tbl.stage(files.drop("_part"), layout.manifests, S.DROP_PARTITION, laid_out=True)
     stamped = named.withColumn("completed_at", F.date_format(_now(spark), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
     latest = stamped.withColumn("ingest_date", F.col("ingest_date").cast("string"))
     bronze.write_manifest_documents(latest, layout.bronze).count()  # every document is written before any drop is DONE

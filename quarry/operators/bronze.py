@@ -43,6 +43,7 @@ ENTRY_LIST = S.struct(
     ("error", S.S),
 )
 COPY_BYTES = 8 << 20  # objects are copied in pieces of this size
+RUN = 64  # entries below ``COPY_BYTES`` of one archive that one task unpacks together
 BATCH_BYTES = 64 << 20  # output Arrow batches of binary content stay below this size
 
 ENTRY_CONTENT = S.struct(*[(f.name, f.dataType) for f in ENTRY_LIST.fields], ("content", S.B))
@@ -240,10 +241,18 @@ def _unpack_batches(root: str):
 def unpack_to(entries: DataFrame, root: str, total_bytes: int, total_rows: int) -> DataFrame:
     """Copies each entry (columns of ``ENTRY_LIST`` and ``keys``, the object keys it goes to) to ``root``
     piece by piece, so entries of any size pass through bounded memory; content never leaves
-    the task.  One row per key with its error, if any."""
+    the task.  One row per key with its error, if any.
+
+    Up to ``RUN`` neighbouring small entries go to one task, which opens their archive once for them; a large
+    one is dealt by itself, so that a hot archive still spreads over the cluster."""
     ship_code(entries.sparkSession)
-    rows = entries.select(*ENTRY_LIST.fieldNames(), "keys")
-    return spread(rows, ["archive_path", "pos"], total_bytes, total_rows).mapInArrow(_unpack_batches(root), WRITTEN)
+    return dealt_entries(entries, total_bytes, total_rows).mapInArrow(_unpack_batches(root), WRITTEN)
+
+
+def dealt_entries(entries: DataFrame, total_bytes: int, total_rows: int) -> DataFrame:
+    run = F.when(F.col("size_bytes") < COPY_BYTES, -1 - F.floor(F.col("pos") / RUN)).otherwise(F.col("pos"))
+    rows = entries.select(*ENTRY_LIST.fieldNames(), "keys").withColumn("_run", run.cast("long"))
+    return spread(rows, ["archive_path", "_run"], total_bytes, total_rows).drop("_run")
 
 
 def unpack(archives: DataFrame, path_col: str = "path", partitions: int | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""How many tasks heavy per-row work is spread over."""
+"""How many tasks heavy per-row work is spread over, and how few the reading of many small files."""
 
 from __future__ import annotations
 
@@ -21,7 +21,17 @@ def spread(rows: DataFrame, keys: list[str], total_bytes: int | None = None, tot
     if total_bytes is None and not total_rows:
         least = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n = max(least, -(-(total_bytes or 0) // TASK_BYTES), -(-total_rows // TASK_ROWS))
-    return rows.repartition(int(n), *keys)
+    # by a hash of the keys: where the rows come dealt by the keys themselves, Spark would leave this repartition
+    # out, and adaptive execution would merge the tasks by the few bytes of the descriptions
+    return rows.repartition(int(n), F.xxhash64(*keys))
+
+
+def gathered(files: DataFrame, total_files: int) -> DataFrame:
+    """``files`` (read from storage, a row per small file) in as many tasks as the number of files asks for, four per core
+    at least.  A file counts as 4 MB when Spark cuts a scan, so that a task has some thirty small files and
+    costs more than they do."""
+    n = max(4 * files.sparkSession.sparkContext.defaultParallelism, -(-total_files // (TASK_ROWS // 4)))
+    return files.coalesce(int(n))
 
 
 def work_of(rows: DataFrame, size: Column | None = None) -> tuple[int, int]:

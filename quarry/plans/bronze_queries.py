@@ -46,6 +46,8 @@ def build_archives(spark: SparkSession, sf_dir: str, root: str | None = None) ->
     d = table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "text", "source", F.floor(F.col("doc_id") / DOCS_PER_ARCHIVE).alias("block")
     )
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    d = d.repartition(n, "block")  # given as a number, it is not merged by the bytes before they are packed
     d.groupBy("block").applyInPandas(_writer(root), "archive_path string, n long").count()
     return root
 

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from quarry import jobs
 from quarry import schemas as S
+from quarry.functions import keys as K
 from quarry.operators import bronze, landing
 from quarry.operators import tables as tbl
 from quarry.plans.bronze_queries import DOCS_PER_ARCHIVE, build_archives
 from quarry.plans.landing_queries import ACCOUNT
 from quarry.plans.registry import register
 from quarry.plans.standins import table
-from quarry.session import scratch_path
+from quarry.session import listing_by_the_core, scratch_path
 
 BUCKET = f"imgp-dev-landing-acme-{ACCOUNT}"
 DAY = "2024-06-01"
@@ -70,10 +71,8 @@ def bronze_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest documents that the bronze job writes, read back with their ordered files; the
     listed CRCs are compared with those of the documents."""
     layout = _unpacked(spark, sf_dir)
-    docs = (
-        spark.read.schema(DOCUMENT).option("multiLine", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "manifest.json").json(layout.bronze)
-    )
+    with listing_by_the_core(spark):  # the documents alone are listed, not the objects beside them
+        docs = spark.read.schema(DOCUMENT).option("multiLine", True).option("recursiveFileLookup", True).json(K.manifest_glob(layout.bronze))
     files = docs.select("dataset", "file_count", "total_bytes", F.posexplode("files").alias("pos", "f")).select(
         "dataset", "pos", "f.key", "f.size_bytes", "f.content_type", "f.crc32", "file_count", "total_bytes"
     )
