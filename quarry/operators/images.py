@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry import schemas as S
 from quarry.functions import image_headers as H
 from quarry.functions import keys as K
+from quarry.operators.joins import gathered
 from quarry.session import scratch_path, ship_code
 
 
@@ -274,7 +275,7 @@ def resize_area(img: np.ndarray, tw: int, th: int) -> np.ndarray:
     h, w = img.shape[:2]
     rows = (np.arange(th) * h) // th
     cols = (np.arange(tw) * w) // tw
-    a = np.add.reduceat(img.astype(np.float64), rows, axis=0)
+    a = np.add.reduceat(img, rows, axis=0, dtype=np.uint64)  # whole numbers, so the sums are exact
     a = np.add.reduceat(a, cols, axis=1)
     rcount = np.diff(np.append(rows, h))
     ccount = np.diff(np.append(cols, w))
@@ -299,10 +300,12 @@ def _thumb_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pylist(out, schema=_THUMB_ARROW)
 
 
-def thumbnails(images: DataFrame) -> DataFrame:
+def thumbnails(images: DataFrame, total_images: int | None = None) -> DataFrame:
     """Thumbnails (fit in 256x256, aspect kept, never enlarged; RGB or L; PNG bytes) of a
-    DataFrame from ``spark.read.format("image")``."""
+    DataFrame from ``spark.read.format("image")``.  Where their number is known, small files share a task."""
     ship_code(images.sparkSession)
+    if total_images is not None:
+        images = gathered(images, total_images)
     sized = thumbnail_dims(images.select("image", "image.width", "image.height").where("width > 0 and height > 0"))
     return sized.select("image", "thumb_width", "thumb_height").mapInArrow(
         _thumb_batches, S.struct(("origin", S.S), ("width", S.L), ("height", S.L), ("content", S.B))

@@ -116,10 +116,10 @@ def thumbnails_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     Arrow batches and encoded as PNG, and each thumbnail's own header is read back."""
     root = scratch_path(spark, "rendered")
     rendered = rendered_images(spark, sf_dir)
-    rendered.mapInArrow(_write_rendered(root), "bronze_key string").count()
+    written = rendered.mapInArrow(_write_rendered(root), "bronze_key string").count()
     ok = img_ops.image_metadata(rendered, "acme", "vectors", "2024-06-01").where(F.col("error").isNull())
     images = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", "true").load(root)
-    th = img_ops.thumbnails(images).withColumn("file_name", F.substring_index("origin", "/", -1))
+    th = img_ops.thumbnails(images, written).withColumn("file_name", F.substring_index("origin", "/", -1))
     th = th.join(ok.select("file_name"), "file_name", "left_semi")
     prof = img_ops.profile(th.select(F.col("file_name").alias("bronze_key"), "content"))
     return prof.select(F.col("bronze_key").alias("file_name"), "width", "height", "format", "mode")
