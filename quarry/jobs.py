@@ -253,7 +253,7 @@ def write_thumbnails(spark: SparkSession, layout: Layout, meta: DataFrame) -> in
         .option("pathGlobFilter", K.IMAGE_GLOB)
         .load(paths)
     )
-    th = I.thumbnails(images).select(
+    th = I.thumbnails(images, ok.count()).select(
         K.key_below("origin", layout.bronze).alias("bronze_key"),
         F.col("width").alias("thumb_width"),
         F.col("height").alias("thumb_height"),

@@ -248,7 +248,7 @@ def stored_image_metadata(keys: DataFrame, root: str) -> DataFrame:
     Arrow batches in the same pass; only the small rows that result are joined to the keys.  A listed
     key without an object fails the job."""
     keys = keys.select("key", "partner", "dataset", F.col("ingest_date").cast("date").alias("ingest_date"))
-    objects = stored_objects(keys, root, K.IMAGE_GLOB).withColumnRenamed("key", "bronze_key")
+    objects = gathered(stored_objects(keys, root, K.IMAGE_GLOB), keys.count()).withColumnRenamed("key", "bronze_key")
     told = _profiled(_headers(checksums(objects), "content", HEAD_BYTES, ["size_bytes", "sha256"], root))
     listed = keys.withColumnRenamed("key", "_key").join(told, F.col("_key") == F.col("bronze_key"), "left")
     lost = F.raise_error(F.concat(F.lit("manifest lists a key with no object: "), "_key"))

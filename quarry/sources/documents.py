@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quarry.session import listing_by_the_core
+
 
 def read_json_docs(
     spark: SparkSession,
@@ -20,7 +22,8 @@ def read_json_docs(
     with_path: bool = False,
 ) -> DataFrame:
     reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
-    df = reader.json(paths)
+    with listing_by_the_core(spark):
+        df = reader.json(paths)
     if with_path:
         from pyspark.sql import functions as F
 
