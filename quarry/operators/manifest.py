@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import keys as K
+from quarry.operators.joins import work_of
 
 DEFAULT_PAGE_SIZE = 1000
 
@@ -77,14 +78,28 @@ def silver_routing(files: DataFrame, manifest_col: str = "manifest_key", key: st
     )
 
 
+#: Rows of both sides that one task of an anti-join should hold.
+KEYS_A_TASK = 1 << 20
+
+
+def _absent(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key is not among those of ``known``.  Both sides are dealt by key over a number of tasks that
+    follows their rows: adaptive execution would size tasks by compressed bytes, and keys compress so well that
+    a task's memory would grow with the input.  A task holds the distinct keys it was dealt, and sorts nothing."""
+    n_rows = sum(work_of(side)[1] for side in (rows, known))
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n_rows // KEYS_A_TASK))
+    keys = known.select(key).repartition(n, key).hint("shuffle_hash")
+    return rows.repartition(n, key).join(keys, key, "left_anti")
+
+
 def missing_objects(listed: DataFrame, objects: DataFrame, key: str = "key") -> DataFrame:
     """Listed keys with no stored object (anti-join)."""
-    return listed.join(objects.select(key).distinct(), key, "left_anti")
+    return _absent(listed, objects, key)
 
 
 def unlisted_objects(listed: DataFrame, objects: DataFrame, key: str = "key") -> DataFrame:
     """Stored objects no manifest lists (anti-join the other way)."""
-    return objects.join(listed.select(key).distinct(), key, "left_anti")
+    return _absent(objects, listed, key)
 
 
 def require_objects(listed: DataFrame, objects: DataFrame, key: str = "key") -> None:
