@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import connected_components, discard, map_text, prepare, text_of, written
+from quarry.llm.shared import connected_components, discard, map_text, prepare, small_batches, text_of, written
 
 
 
@@ -412,6 +412,7 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     null ids never name a component unless all its ids are null.  Other columns are ignored;
     an empty table gives no rows.  Building the frame runs the rounds described above."""
     prepare(docs.sparkSession)
+    small_batches(docs.sparkSession)
     signed = written(signatures(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id()), "signatures")
     labelled = _labelled(signed, percent)
     groups = labelled.groupBy("comp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -426,6 +427,7 @@ def without_near_copies(docs: DataFrame, percent: int = 75) -> DataFrame:
     the smallest doc_id (null ids last), and of several rows with it one.  Rows are told apart by
     a number of their own, so null and repeated ids bring no copy back."""
     prepare(docs.sparkSession)
+    small_batches(docs.sparkSession)
     others = [F.struct(*(c for c in docs.columns if c not in ("doc_id", "text"))).alias("_others")] if len(docs.columns) > 2 else []
     signed = written(signatures(docs.select("doc_id", "text", *others)).withColumn("row", F.monotonically_increasing_id()), "signatures")
     labelled = written(_labelled(signed, percent), "labelled")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.bpe import BYTE_ALPHABET, Vocabulary
-from quarry.llm.shared import map_text, rank_within, text_of, written
+from quarry.llm.shared import map_text, rank_within, small_batches, text_of, written
 
 #: The byte-level word rule for texts of ASCII and the accented letters of Latin-1 alone.
 PLAIN_TEXT = re.compile("[\n -~À-ÖØ-öø-ÿ]*")
@@ -55,7 +55,7 @@ class SpacedTokenizer:
     in one array, and a text gathers its units' ids from there.  Lives as long as the Python worker and begins anew when it holds much."""
 
     CUT = re.compile(r"(?= \S)")
-    MOST_UNITS, MOST_IDS = 600_000, 8 << 20
+    MOST_UNITS, MOST_IDS = 200_000, 4 << 20
     GATHERED = 1 << 18  # units whose ids are gathered at a time
 
     def __init__(self, spec: str):
@@ -138,6 +138,7 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int, end_id: int) ->
     """(doc_id, piece, start, length, ids_crc32): every document's ids and ``end_id``, cut if
     longer than ``capacity`` so that only the first piece may be shorter."""
     spec = Vocabulary(docs.sparkSession, vocabulary_path)
+    small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:

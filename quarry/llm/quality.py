@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.labels import MAX_FIT_ROWS, fit_rows, held_out, scored_rows
-from quarry.llm.shared import map_text, prepare, sliced, written
+from quarry.llm.shared import map_text, prepare, sliced, small_batches, written
 
 FEATURES = 256
 #: Kernel width in standard deviations of the statistics, and the ridge.
@@ -212,6 +212,7 @@ def score_quality(
     repeated rows; without any usable label every score is 0.5; an empty table gives no rows.
     Building the frame fits the model."""
     prepare(docs.sparkSession)
+    small_batches(docs.sparkSession)
     model = fit(docs, labels, most)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -3,6 +3,7 @@ within skewed groups, connected components, and byte-bounded Arrow slices."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,9 @@ from quarry.session import checkpoint_dir, scratch_path, ship_code
 
 #: Python stages work on slices of about this many bytes of text at a time.
 SLICE_BYTES = 2 << 20
+#: Rows cross into the Python stages of whole texts in Arrow batches of about this many bytes at most.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def text_of(name: str = "text") -> Column:
@@ -52,6 +56,15 @@ def prepare(spark: SparkSession) -> None:
     ship_code(spark)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by ``BATCH_BYTES``, unless its own bound is lower.  A task's batch stands several
+    times over, in the JVM's writer and reader and in the worker, and none of them gives that memory back while the
+    application lasts.  The setting stays: a frame is planned when its caller runs it, after the operator is done."""
+    given = re.fullmatch(r"(\d+) *([kmg]?)i?b?", spark.conf.get(_BATCH_SETTING).strip().lower())
+    if not given or not 0 < int(given[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[given[2]] <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def rank_within(df: DataFrame, key: str, order: list[str], out: str = "rank", buckets: int | None = None) -> DataFrame:
     """Adds ``out``: a 0-based gapless rank of each row within its ``key`` (no nulls in it).
 

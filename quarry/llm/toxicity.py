@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.labels import FIT_PARTITIONS, fit_rows, held_out, scored_rows
-from quarry.llm.shared import map_text, prepare, sliced, written
+from quarry.llm.shared import map_text, prepare, sliced, small_batches, written
 
 #: At most about this many labelled rows are fitted on.
 FIT_ROWS = 20_000
@@ -321,6 +321,7 @@ def score_toxicity(
     toxic label to learn from nothing is found toxic; an empty table gives no rows.
     Building the frame learns the lexicon."""
     prepare(docs.sparkSession)
+    small_batches(docs.sparkSession)
     lexicon = learn(docs, labels, most)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as P
 from quarry.llm.queries import QUERIES, documents, labels
 from quarry.llm.quality import score_quality
+from quarry.llm.shared import BATCH_BYTES
 from quarry.llm.toxicity import score_toxicity
 
 
@@ -56,3 +57,34 @@ def test_repeated_and_null_ids_bring_no_copy_back(spark, make_docs):
     # every set is one row; rows without words stay, as they are linked with nothing
     assert sorted(r.doc_id for r in left.where("text like 'a%'").collect()) == [1, 2]
     assert left.where("trim(coalesce(text, '')) = ''").count() == 3
+
+
+def test_stages_bound_their_batches(spark):
+    """Each stage by itself, in whatever session its caller has."""
+    for name, stage in P.STAGES:
+        if name == "exact dedup":
+            continue  # no Python in it
+        own = spark.newSession()
+        own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+        rows = [(i, f"text number {i} of a few", "en", "s", 20) for i in range(5)]
+        docs = own.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        assert stage(own, docs, SMOKE_DIR).count() > 0 or name in ("toxicity", "quality")
+        assert int(own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES
+
+
+def test_results_do_not_hang_on_batches(spark):
+    """Every stage over batches of some rows gives what it gives over one batch."""
+    docs = documents(spark, SMOKE_DIR).select(*P.COLUMNS)
+    rows, kinds, found = docs.collect(), docs.schema, []
+    for bound in (BATCH_BYTES, 20_000):
+        own = spark.newSession()
+        own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(bound))
+        docs = own.createDataFrame(rows, kinds)
+        found.append([])
+        for _, stage in P.STAGES:
+            out = stage(own, docs, SMOKE_DIR)
+            names = [c for c in out.columns if c not in ("sequence_id", "offset")]
+            found[-1].append(sorted(map(tuple, out.select(names).collect()), key=repr))
+            docs = own.createDataFrame(out.collect(), out.schema)
+    for (name, _), one, other in zip(P.STAGES, *found, strict=True):
+        assert one == other and one, name

@@ -1,8 +1,10 @@
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from quarry.llm.shared import connected_components, rank_within
+from quarry.llm.shared import BATCH_BYTES, connected_components, rank_within, small_batches
 
 
 def union_find(edges):
@@ -41,3 +43,33 @@ def test_rank_within_a_hot_key(spark):
     for r in ranked:
         by_key.setdefault(r.k, []).append(r["rank"])
     assert len(ranked) == len(rows) and all(sorted(v) == list(range(len(v))) for v in by_key.values())
+
+
+SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def batch_sizes(spark, n, size):
+    """Rows and bytes of the Arrow batches in which ``n`` texts of ``size`` characters reach a Python stage."""
+
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64()), "size": pa.array([batch.nbytes], pa.int64())})
+
+    rows = spark.range(0, n, 1, 1).select("id", F.rpad(F.col("id").cast("string"), size, "x").alias("text"))
+    return [tuple(r) for r in rows.mapInArrow(measure, "n long, size long").collect()]
+
+
+def test_small_batches(spark):
+    own = spark.newSession()  # its settings are its own
+    own.conf.set(SETTING, str(64 << 20))
+    assert max(b for _, b in batch_sizes(own, 9_000, 2_000)) > 3 * BATCH_BYTES
+    small_batches(own)
+    found = batch_sizes(own, 9_000, 2_000)
+    assert sum(n for n, _ in found) == 9_000 and max(b for _, b in found) < 1.5 * BATCH_BYTES
+    # a text above the bound comes alone, and whole
+    found = batch_sizes(own, 3, 2 * BATCH_BYTES)
+    assert [n for n, _ in found] == [1, 1, 1] and min(b for _, b in found) >= 2 * BATCH_BYTES
+    for given, kept in (("100000", "100000"), ("1m", "1m"), ("2MB", "2MB"), ("5m", None), ("1g", None), ("67108864b", None)):
+        own.conf.set(SETTING, given)
+        small_batches(own)
+        assert own.conf.get(SETTING) == (kept or str(BATCH_BYTES))

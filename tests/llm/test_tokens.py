@@ -100,6 +100,17 @@ def test_spaced_tokenizer_is_the_library(byte):
             assert np.frombuffer(ids, "<u4").tolist() == byte.encode(text, add_special_tokens=False).ids, text
 
 
+def test_spaced_tokenizer_holds_few_units(byte):
+    t = SpacedTokenizer(spec(BYTE))
+    most, letters = 0, str.maketrans("0123456789", "ghijklmnop")
+    for k in range(0, 320_000, 40_000):
+        texts = [" ".join(f"{i:x}".translate(letters) for i in range(j, j + 400)) for j in range(k, k + 40_000, 400)]
+        found = t.encode(texts)
+        most = max(most, t.units.given)
+        assert np.frombuffer(found[7], "<u4").tolist() == byte.encode(texts[7], add_special_tokens=False).ids
+    assert 0 < most < 300_000
+
+
 def check_packing(rows, docs, byte, capacity=2048):
     by_doc, by_sequence = {}, {}
     for r in rows:
